@@ -49,13 +49,6 @@ def _time_text(c: Column) -> Column:
     return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
 
 
-def _join(parts: list[Column], opening: str, closing: str) -> Column:
-    items = [F.lit(opening)]
-    for i, part in enumerate(parts):
-        items += [F.lit(", "), part] if i else [part]
-    return F.concat(*items, F.lit(closing))
-
-
 def _escape_runs(c: Column, bad: str, good: str, escape) -> Column:
     """Rewrite the runs of ``bad`` characters."""
     runs = F.regexp_extract_all(c, F.lit(f"{good}+|{bad}+"), F.lit(0))
@@ -120,14 +113,7 @@ def py_repr(c: Column, dtype: T.DataType) -> Column:
         items = F.transform(c, lambda x: py_repr(x, dtype.elementType))
         text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
     elif isinstance(dtype, T.StructType):
-        text = _join(
-            [
-                F.concat(F.lit(repr(f.name) + ": "), py_repr(c.getField(f.name), f.dataType))
-                for f in dtype.fields
-            ],
-            "{",
-            "}",
-        )
+        text = F.when(c.isNotNull(), py_repr_fields({f.name: (c.getField(f.name), f.dataType) for f in dtype.fields}))
     elif isinstance(dtype, T.MapType):
         items = F.transform(
             F.map_entries(c),
@@ -139,6 +125,15 @@ def py_repr(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(text, F.lit("None"))
 
 
+def py_repr_fields(fields: dict[str, tuple[Column, T.DataType]], drop_null: bool = False) -> Column:
+    """repr() of a record given as columns; ``drop_null`` leaves null fields out."""
+    parts = []
+    for name, (c, dtype) in fields.items():
+        part = F.concat(F.lit(repr(name) + ": "), py_repr(c, dtype))
+        parts.append(F.when(c.isNotNull(), part) if drop_null else part)
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
 def sorted_json(c: Column, dtype: T.DataType) -> Column:
     """JSON text with keys sorted at every depth, ", " and ": " between parts; null is null.
 

@@ -8,12 +8,12 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.functions.render import py_repr
+from docspark.functions.render import py_repr_fields
 from docspark.functions.text import parse_float, strip
 from docspark.operators.joins import left_join_unique
 
@@ -67,13 +67,13 @@ def extraction_prompt(text: Column, schema: ExtractionSchema) -> Column:
     return F.concat(F.lit(head), F.substring(text, 1, EXTRACT_CHARS), F.lit("\n\n" + EXTRACT_TAIL))
 
 
-def judge_prompt(source: Column, record: Column, record_type: T.DataType) -> Column:
-    """The prompt asking for scores of ``record`` against its source text."""
+def judge_prompt(source: Column, record: dict[str, tuple[Column, T.DataType]]) -> Column:
+    """The prompt asking for scores of a record against its source text; null fields are left out."""
     return F.concat(
         F.lit(JUDGE_HEAD + "Source text:\n"),
         F.substring(source, 1, JUDGE_CHARS),
         F.lit("\n\nExtracted data:\n"),
-        py_repr(record, record_type),
+        py_repr_fields(record, drop_null=True),
         F.lit("\n\n" + JUDGE_TAIL),
     )
 
@@ -101,16 +101,14 @@ def call_model(
     rows = df.select(*keep, prompt)
     if tasks:
         rows = rows.repartition(tasks)
-    schema = T.StructType(
-        [*rows.drop(prompt).schema.fields]
-        + [T.StructField("reply", T.StringType()), T.StructField("call_ms", T.DoubleType()), T.StructField("call_error", T.StringType())]
-    )
+    added = [("reply", T.StringType()), ("call_ms", T.DoubleType()), ("call_error", T.StringType())]
+    schema = T.StructType([*rows.drop(prompt).schema.fields, *[T.StructField(n, t) for n, t in added]])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()
         for batch in batches:
             replies, times, errors = [], [], []
-            for text in batch[prompt]:
+            for text in batch.column(prompt).to_pylist():
                 start = time.perf_counter()
                 reply = error = None
                 try:
@@ -120,9 +118,11 @@ def call_model(
                 replies.append(reply)
                 errors.append(error)
                 times.append((time.perf_counter() - start) * 1000)
-            yield batch.drop(columns=prompt).assign(reply=replies, call_ms=times, call_error=errors)
+            columns = [batch.column(n) for n in keep]
+            columns += [pa.array(replies, pa.string()), pa.array(times, pa.float64()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "reply", "call_ms", "call_error"])
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def strip_fence(reply: Column) -> Column:

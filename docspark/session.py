@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,17 +42,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="docspark-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
 
     Without that setting only a local master may fall back to a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-        base = tempfile.mkdtemp(prefix="docspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/docspark/{name}-{uuid.uuid4().hex}"
 
 

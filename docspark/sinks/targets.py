@@ -74,7 +74,8 @@ class FunctionSink:
 
     ``make`` runs once per task and returns ``send(payload) -> (status, text)``. Every attempt is
     logged and written once; the outcome per document is then an aggregation over that log.
-    A task may run twice, so the receiver should treat the document id as a key.
+    ``rate_per_second`` is shared out evenly among the tasks that can run at once. A task may run
+    twice, so the receiver should treat the document id as a key.
     """
 
     make: Callable[[], Callable[[str], tuple[int | None, str | None]]]
@@ -82,13 +83,16 @@ class FunctionSink:
     destination: str
     max_retries: int = MAX_RETRIES
     delay: float = RETRY_DELAY
-    tasks: int = 8
+    tasks: int | None = None
     rate_per_second: float = 10.0
 
     def attempts(self, df: DataFrame) -> DataFrame:
-        rows = df.select("document_id", api_payload(self.fields).alias("payload")).repartition(self.tasks)
+        rows = df.select("document_id", api_payload(self.fields).alias("payload"))
+        rows = rows.repartition(self.tasks) if self.tasks else rows
         make, retries, delay = self.make, self.max_retries, self.delay
-        pause = self.tasks / self.rate_per_second if self.rate_per_second else 0.0
+        at_once = df.sparkSession.sparkContext.defaultParallelism
+        at_once = min(self.tasks, at_once) if self.tasks else at_once
+        pause = at_once / self.rate_per_second if self.rate_per_second else 0.0
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             send, last = make(), 0.0

@@ -141,7 +141,7 @@ def flaky_target():
 )
 def sink_function(spark: SparkSession, sf: str) -> DataFrame:
     """Every customer handed to a caller's function, with retries; outcome per record."""
-    customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("document_id"), "c_name")
+    customers = table(spark, sf, "customer", spread=True).select(F.col("c_custkey").cast("string").alias("document_id"), "c_name")
     sink = FunctionSink(flaky_target, ["c_name"], "target", delay=0.0, rate_per_second=0.0)
     return sink.write(customers, "0")
 
@@ -239,7 +239,7 @@ def note_flow() -> DocumentFlow:
 
 
 def run_notes(spark: SparkSession, sf: str, sink=None) -> FlowResult:
-    docs = table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents", spread=True).select(
         "doc_id", F.when(F.col("doc_id") % 5 == 4, "text").otherwise("pdf").alias("format"), F.translate("text", "\t", " ").alias("content")
     )
     return note_flow().run(as_documents(docs, id="doc_id"), sink=sink)

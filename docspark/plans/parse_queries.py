@@ -31,12 +31,12 @@ SQL_LINKS = r"len(regexp_extract_all(html, '(?i)<a\s'))"
 
 @query("html_text", f"SELECT page_id, {sql_html_text('html')} AS raw_content FROM pages")
 def html_text(spark: SparkSession, sf: str) -> DataFrame:
-    return html.parse(table(spark, sf, "pages"), "html").select("page_id", "raw_content")
+    return html.parse(table(spark, sf, "pages", spread=True), "html").select("page_id", "raw_content")
 
 
 @query("html_meta", f"SELECT page_id, {SQL_TITLE} AS title, {SQL_LINKS}::INT AS links_count FROM pages")
 def html_meta(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = html.parse(table(spark, sf, "pages"), "html")
+    parsed = html.parse(table(spark, sf, "pages", spread=True), "html")
     return parsed.select("page_id", F.col("meta_title").alias("title"), F.col("meta_links_count").alias("links_count"))
 
 
@@ -50,7 +50,7 @@ def sql_collapse(x: str) -> str:
     f"SELECT page_id, nullif({sql_strip('regexp_replace(' + sql_collapse('html') + ', $$<[^>]+>$$, $$$$, $$g$$)')}, '') AS html FROM pages",
 )
 def clean_strip_html(spark: SparkSession, sf: str) -> DataFrame:
-    return clean(table(spark, sf, "pages").select("page_id", "html"), {"html": FieldRule(strip_html=True)}, ["html"])
+    return clean(table(spark, sf, "pages", spread=True).select("page_id", "html"), {"html": FieldRule(strip_html=True)}, ["html"])
 
 
 # ---- e-mail: messages wrapped around the conversation turns ----
@@ -89,7 +89,7 @@ def plain_mails(conversations: DataFrame) -> DataFrame:
         FROM conversations""",
 )
 def email_headers(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = email.parse(plain_mails(table(spark, sf, "conversations")))
+    parsed = email.parse(plain_mails(table(spark, sf, "conversations", spread=True)))
     return parsed.select(
         "document_id", F.col("meta_from").alias("sender"), F.col("meta_to").alias("recipient"),
         F.col("meta_subject").alias("subject"), F.col("meta_date").alias("sent"), F.col("meta_cc").alias("cc"), "raw_content",
@@ -146,7 +146,7 @@ SQL_HTML_BODY = sql_strip(
         FROM conversations""",
 )
 def email_multipart(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = email.parse(multipart_mails(table(spark, sf, "conversations")))
+    parsed = email.parse(multipart_mails(table(spark, sf, "conversations", spread=True)))
     return parsed.select(
         "document_id",
         F.regexp_replace("raw_content", r"\AFrom: [^\n]*\nTo: \nSubject: \nDate: \n\n", "").alias("body"),
@@ -177,7 +177,7 @@ SQL_CSV_LINES = "list_transform(string_split(text, chr(10)), lambda l, i: 'Row '
         FROM r""",
 )
 def csv_doc_text(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = csv.parse(csv_documents(table(spark, sf, "documents")))
+    parsed = csv.parse(csv_documents(table(spark, sf, "documents", spread=True)))
     return parsed.select(
         "doc_id", "raw_content", F.col("meta_row_count").alias("row_count"), F.col("meta_column_count").alias("column_count")
     )
@@ -218,7 +218,7 @@ def csv_counts(spark: SparkSession, sf: str) -> DataFrame:
                CASE WHEN t = '' THEN 0 ELSE 1 END AS pages FROM t""",
 )
 def pdf_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = pdf.parse(table(spark, sf, "documents"), "text")
+    parsed = pdf.parse(table(spark, sf, "documents", spread=True), "text")
     return parsed.select("doc_id", "raw_content", F.col("meta_pages").alias("pages"))
 
 
@@ -258,7 +258,7 @@ SQL_MIXED = """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'html' WHEN 1 THEN 'em
         FROM h""",
 )
 def format_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    docs = documents.as_documents(mixed_documents(table(spark, sf, "documents")), id="doc_id")
+    docs = documents.as_documents(mixed_documents(table(spark, sf, "documents", spread=True)), id="doc_id")
     return documents.parse(docs).select("document_id", "format", "size_bytes", "raw_content", "parse_error")
 
 
@@ -269,7 +269,7 @@ def format_dispatch(spark: SparkSession, sf: str) -> DataFrame:
                title, links::VARCHAR AS links_count, 'html' AS parser, url AS filename FROM p""",
 )
 def parse_preview(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select(
+    pages = table(spark, sf, "pages", spread=True).select(
         "page_id", F.encode("html", "UTF-8").alias("content"), F.lit("html").alias("format"), F.col("url").alias("filename")
     )
     shown = documents.preview(documents.parse(documents.as_documents(pages, id="page_id")))

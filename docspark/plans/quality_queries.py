@@ -65,7 +65,7 @@ def rule_range(spark: SparkSession, sf: str) -> DataFrame:
     reading = F.expr(
         "case event_id % 7 when 0 then 'nan' when 1 then 'high' when 2 then concat(' ', value, ' ') when 3 then null else cast(value as string) end"
     )
-    events = table(spark, sf, "events").select("event_id", reading.alias("reading"), "value")
+    events = table(spark, sf, "events", spread=True).select("event_id", reading.alias("reading"), "value")
     rules = [in_range("reading", 2, 20), Rule("top", "value", "range", WARNING, min=1.0, max=30), in_range("missing", 0, 1)]
     return found(events, rules, "event_id")
 
@@ -176,7 +176,7 @@ Respond with ONLY valid JSON matching the schema.'"""
 
 @query("prompt_build", f"SELECT doc_id, {SQL_EXTRACT_PROMPT} AS prompt FROM documents")
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", extraction_prompt(F.col("text"), INVOICE).alias("prompt"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", extraction_prompt(F.col("text"), INVOICE).alias("prompt"))
 
 
 @query("prompt_first_batch", f"SELECT doc_id, {SQL_EXTRACT_PROMPT} AS prompt FROM documents ORDER BY doc_id LIMIT 10")
@@ -208,7 +208,7 @@ ACCURACY: 0.X
 ISSUES: list' AS prompt FROM documents""",
 )
 def judge_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents", spread=True).select(
         "doc_id", "text", "lang",
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("it's "), F.col("source"))).alias("source"),
         (F.col("n_chars") / 4).alias("score"),
@@ -230,7 +230,7 @@ def order_replies(spark: SparkSession, sf: str) -> DataFrame:
         f"when 3 then substring({body}, 1, length({body}) - 1) when 4 then concat('[', {body}, ']') when 5 then concat({body}, ' done') "
         f"when 6 then '{{}}' when 7 then null else concat('{{\"status\": \"x\", \"total\": \"n/a\", \"more\": [1], \"status\": \"', o_orderstatus, '\"}}') end"
     )
-    return table(spark, sf, "orders").select("o_orderkey", F.expr(reply).alias("reply"))
+    return table(spark, sf, "orders", spread=True).select("o_orderkey", F.expr(reply).alias("reply"))
 
 
 @query(
@@ -270,7 +270,7 @@ SQL_REPLIES = (
 
 def judge_replies(spark: SparkSession, sf: str) -> DataFrame:
     """Judge replies in many spellings; the accuracy follows the quality label where there is one."""
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    docs = table(spark, sf, "documents", spread=True).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     docs = docs.select(
         "doc_id", "lang", "text", "quality", (F.col("doc_id") % 13 != 5).alias("success"),
         F.expr("cast(cast((doc_id * 7 % 11) / 10.0 as double) as string)").alias("x"),
@@ -417,7 +417,7 @@ SQL_PAGES = f"""SELECT page_id, host, title, links, len(w) AS word_count, length
 
 @query("page_records", f"SELECT page_id, host, title, links::INT AS links_count, word_count::INT AS word_count, route, field_count FROM ({SQL_PAGES})")
 def page_records(spark: SparkSession, sf: str) -> DataFrame:
-    done = checked_pages(table(spark, sf, "pages"))
+    done = checked_pages(table(spark, sf, "pages", spread=True))
     return done.select(
         "page_id", "host", "title", "links_count", F.try_element_at("_text_analytics", F.lit("raw_content"))["word_count"].alias("word_count"),
         "route", F.col("_enrichment.field_count").alias("field_count"),
@@ -431,7 +431,7 @@ def page_records(spark: SparkSession, sf: str) -> DataFrame:
 )
 def page_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: raw pages to a quality report per host."""
-    done = checked_pages(table(spark, sf, "pages"))
+    done = checked_pages(table(spark, sf, "pages", spread=True))
     words = F.try_element_at("_text_analytics", F.lit("raw_content"))["word_count"]
     return done.groupBy("host").agg(
         F.count("*").alias("pages"),

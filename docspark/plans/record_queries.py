@@ -25,7 +25,7 @@ SQL_DIRTY = "chr(9) || ' ' || replace(text, 'e ', 'e' || chr(9) || chr(13) || '
 )
 def clean_strings(spark: SparkSession, sf: str) -> DataFrame:
     dirty = F.expr(DIRTY)
-    docs = table(spark, sf, "documents").select("doc_id", *[dirty.alias(n) for n in ("plain", "lowered", "uppered")])
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", *[dirty.alias(n) for n in ("plain", "lowered", "uppered")])
     rules = {"lowered": FieldRule(lowercase=True), "uppered": FieldRule(lowercase=True, uppercase=True)}
     return clean(docs, rules, ["plain", "lowered", "uppered"])
 
@@ -64,7 +64,7 @@ def clean_nulls(spark: SparkSession, sf: str) -> DataFrame:
        FROM orders""",
 )
 def clean_nested(spark: SparkSession, sf: str) -> DataFrame:
-    nested = table(spark, sf, "orders").select(
+    nested = table(spark, sf, "orders", spread=True).select(
         "o_orderkey",
         F.expr(
             "named_struct('priority', concat(' ', o_orderpriority, '\\t'), 'inner', named_struct('status', "
@@ -105,7 +105,7 @@ def clean_date(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.lit(None).cast("string")
     for i, (form, _) in enumerate(DATE_FORMS):
         raw = F.when(F.col("o_orderkey") % 8 == i, F.date_format("o_orderdate", form)).otherwise(raw)
-    orders = table(spark, sf, "orders").select("o_orderkey", raw.alias("raw")).withColumn("o_date", F.col("raw"))
+    orders = table(spark, sf, "orders", spread=True).select("o_orderkey", raw.alias("raw")).withColumn("o_date", F.col("raw"))
     return clean(orders, {"o_date": FieldRule(date_format="%Y/%m/%d %H:%M")}, ["o_date"])
 
 
@@ -175,7 +175,7 @@ SQL_MONEY = """CASE o_orderkey % 8 WHEN 0 THEN printf('%.2f', o_totalprice) WHEN
 def money(spark: SparkSession, sf: str) -> DataFrame:
     text = "case o_orderkey % 8 " + " ".join(f"when {k} then {v}" for k, v in MONEY.items()) + " end"
     text = text.replace("cast(o_totalprice as string)", "format_number(o_totalprice, '0.00')")
-    return table(spark, sf, "orders").select("o_orderkey", F.expr(text).alias("raw"))
+    return table(spark, sf, "orders", spread=True).select("o_orderkey", F.expr(text).alias("raw"))
 
 
 @query(
@@ -206,7 +206,7 @@ def coerce_float(spark: SparkSession, sf: str) -> DataFrame:
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipped FROM lineitem""",
 )
 def coerce_str(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "lineitem").select(
+    items = table(spark, sf, "lineitem", spread=True).select(
         "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"),
         (F.col("l_tax") > 0.04).alias("taxed"), F.col("l_partkey").alias("part"),
         F.when(F.col("l_quantity") > 25, F.col("l_quantity") * 1e17).otherwise(F.col("l_quantity") / 1e5).alias("scale"),
@@ -250,7 +250,7 @@ def coerce_list(spark: SparkSession, sf: str) -> DataFrame:
         "case doc_id % 5 when 0 then replace(text, ',', '') when 1 then text when 2 then replace(replace(text, ',', ''), ' ', ' ; ') "
         "when 3 then replace(translate(text, ',;', ''), ' ', '|') else lang end"
     )
-    docs = coerce(table(spark, sf, "documents").select("doc_id", raw.alias("items")), {"items": "list"})
+    docs = coerce(table(spark, sf, "documents", spread=True).select("doc_id", raw.alias("items")), {"items": "list"})
     return docs.select(
         "doc_id", F.size("items").alias("n_items"), F.get("items", F.lit(0)).alias("first_item"), F.array_join("items", "#").alias("items")
     )
@@ -281,7 +281,7 @@ SQL_JSON_TEXT = r"""array_to_string(list_transform(string_split(replace(replace(
     f"""SELECT doc_id, substr(sha256('{{"lang": "' || lang || '", "text": "' || {SQL_JSON_TEXT} || '"}}'), 1, 16) AS record_hash FROM documents""",
 )
 def enrich_hash_text(spark: SparkSession, sf: str) -> DataFrame:
-    done = enrich(table(spark, sf, "documents").select("doc_id", "lang", "text"), ["lang", "text"])
+    done = enrich(table(spark, sf, "documents", spread=True).select("doc_id", "lang", "text"), ["lang", "text"])
     return done.select("doc_id", F.col("_enrichment.record_hash").alias("record_hash"))
 
 
@@ -315,7 +315,7 @@ def enrich_source(spark: SparkSession, sf: str) -> DataFrame:
         "case page_id % 4 when 0 then map('parser', 'html') when 1 then map('parser', 'html', 'ingested_at', '2024-01-01') "
         "when 2 then map('url', url) else cast(map() as map<string,string>) end"
     )
-    pages = table(spark, sf, "pages").select("page_id", "url", meta.alias("metadata"))
+    pages = table(spark, sf, "pages", spread=True).select("page_id", "url", meta.alias("metadata"))
     done = enrich(pages, ["url"], metadata="metadata")
     return done.select("page_id", F.col("_source.format").alias("format"), F.col("_source.ingested_at").alias("ingested_at"))
 
@@ -375,6 +375,6 @@ def text_analytics(spark: SparkSession, sf: str) -> DataFrame:
         "concat('call ', format_string('%03d-%03d.%04d', doc_id % 1000, doc_id % 997, doc_id % 9973), ' or see http', if(doc_id % 3 = 0, 's', ''), "
         "if(doc_id % 2 = 0, '://', ':/'), source, ' or write ', lang, '@', source, if(doc_id % 5 = 0, '', '.org'), if(doc_id % 7 = 0, '', ' any time of the day'))"
     )
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", contact.alias("contact"))
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", "text", "lang", contact.alias("contact"))
     done = enrich(docs, ["text", "lang", "contact"])
     return done.select("doc_id", F.explode("_text_analytics").alias("field", "stats")).select("doc_id", "field", "stats.*")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docspark.functions.text import WHITESPACE
+from docspark.sources.tables import spread as spread_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,8 +25,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A parquet table; ``spread`` for heavy work per row (see ``sources.tables.spread``)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_rows(df) if spread else df
 
 
 def sql_strip(x: str) -> str:

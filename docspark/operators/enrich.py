@@ -132,6 +132,12 @@ def text_analytics(df: DataFrame, fields: list[str]) -> Column:
     return F.when(some, F.map_from_entries(F.array_compact(F.array(*entries))))
 
 
+def list_text_analytics(enriched: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per long text of a record (outer explode plus filter, so nothing is evaluated twice)."""
+    rows = enriched.select(*keys, F.explode_outer("_text_analytics").alias("field", "_stats"))
+    return rows.filter(F.col("field").isNotNull()).select(*keys, "field", "_stats.*")
+
+
 def enrich(
     df: DataFrame,
     fields: list[str],

@@ -175,6 +175,16 @@ def validate(df: DataFrame, rules: list[Rule], out: str = "validation") -> DataF
     ).drop(raw)
 
 
+def list_violations(checked: DataFrame, keys: list[str], validation: str = "validation") -> DataFrame:
+    """One row per violation.
+
+    The outer form of explode plus a filter: for the plain form Spark infers a filter on the array
+    and would evaluate every rule twice.
+    """
+    rows = checked.select(*keys, F.explode_outer(f"{validation}.violations").alias("_v"))
+    return rows.filter(F.col("_v").isNotNull()).select(*keys, "_v.*")
+
+
 def rule_route(validation: Column) -> Column:
     """Errors block loading, warnings ask for review."""
     return (

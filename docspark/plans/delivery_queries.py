@@ -15,7 +15,7 @@ from docspark.operators.quality import LOAD, THRESHOLDS
 from docspark.plans.flow import DocumentFlow, FlowResult
 from docspark.plans.quality_queries import SQL_JUDGED, SQL_PAGES, checked_pages, judged
 from docspark.plans.registry import query, table
-from docspark.session import scratch_dir
+from docspark.session import materialize, scratch_dir
 from docspark.sinks.records import api_payload as payload, load_log as log_of, skipped, table_rows as rows_of
 from docspark.sinks.targets import FunctionSink, JsonSink
 from docspark.sources.documents import as_documents
@@ -99,7 +99,7 @@ def sink_table_rows(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sink_json(spark: SparkSession, sf: str) -> DataFrame:
     """Passed records written as JSON lines and read back, beside the log of all records."""
-    done = judged(spark, sf).withColumn("document_id", F.col("doc_id").cast("string"))
+    done = materialize(judged(spark, sf).withColumn("document_id", F.col("doc_id").cast("string")), "judged")
     path = scratch_dir(spark, "json")
     sink = JsonSink(path, ["lang", "text"])
     log = sink.write(done.filter(F.col("route") == LOAD), "0").unionByName(skipped(done.filter(F.col("route") != LOAD)))

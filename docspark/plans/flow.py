@@ -55,8 +55,8 @@ class DocumentFlow:
     def run(self, documents: DataFrame, sink: Sink | None = None, run_id: str = "run") -> FlowResult:
         """Run all stages on a documents table (see ``sources.documents.as_documents``).
 
-        Model replies are written once each, so the report, the log and any later action reuse
-        them. Documents whose extraction failed skip the transforms and the judge but stay in
+        What the models return is parsed and written once, so the report, the log and any later
+        action reuse it. Documents whose extraction failed skip the transforms and the judge but stay in
         the result.
         """
         parsed = parse(documents, text_passthrough=self.text_passthrough)
@@ -66,8 +66,9 @@ class DocumentFlow:
             extraction_prompt(F.col("raw_content"), self.schema).alias("prompt"),
         )
         keep = ("document_id", "format", "metadata", "parse_error", "source_text")
-        replies = materialize(call_model(asked, self.model, keep=keep, settings=self.settings, tasks=self.tasks), f"{run_id}-replies")
-        extracted = typed_fields(parse_reply(replies), self.schema.columns).drop("extracted", "reply")
+        replies = call_model(asked, self.model, keep=keep, settings=self.settings, tasks=self.tasks)
+        parsed_replies = typed_fields(parse_reply(replies), self.schema.columns).drop("extracted", "reply")
+        extracted = materialize(parsed_replies, f"{run_id}-extracted")
 
         good, fields = self._transform(extracted.filter("success"))
         bad = extracted.filter("not success").select(*keep, "success", "extract_error", "call_ms")

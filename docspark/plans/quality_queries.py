@@ -12,7 +12,7 @@ from docspark.operators.extract import (
 )
 from docspark.operators.quality import THRESHOLDS, extract_response as respond
 from docspark.operators.quality import judge, passes, quality_report as report, skip_judging
-from docspark.operators.rules import INFO, WARNING, Rule, in_range, matches, required, rule_route, validate
+from docspark.operators.rules import INFO, WARNING, Rule, in_range, list_violations, matches, required, rule_route, validate
 from docspark.plans.parse_queries import SQL_LINKS, SQL_TITLE, sql_html_text
 from docspark.plans.record_queries import SQL_SPARSE, sparse_customers
 from docspark.plans.registry import query, sql_float, sql_strip, table
@@ -22,7 +22,7 @@ from docspark.sources import html
 
 
 def found(df: DataFrame, rules: list[Rule], key: str) -> DataFrame:
-    return validate(df, rules).select(key, F.explode("validation.violations").alias("v")).select(key, "v.*")
+    return list_violations(validate(df, rules), [key])
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators.clean import FieldRule, clean, clean_summary
-from docspark.operators.enrich import SetWhen, enrich
+from docspark.operators.enrich import SetWhen, enrich, list_text_analytics
 from docspark.operators.normalize import coerce, fill_defaults, normalize, rename
 from docspark.plans.parse_queries import sql_collapse
 from docspark.plans.registry import query, sql_float, sql_strip, table
@@ -377,4 +377,4 @@ def text_analytics(spark: SparkSession, sf: str) -> DataFrame:
     )
     docs = table(spark, sf, "documents", spread=True).select("doc_id", "text", "lang", contact.alias("contact"))
     done = enrich(docs, ["text", "lang", "contact"])
-    return done.select("doc_id", F.explode("_text_analytics").alias("field", "stats")).select("doc_id", "field", "stats.*")
+    return list_text_analytics(done, ["doc_id"])

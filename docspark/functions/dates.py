@@ -25,7 +25,7 @@ DATE_SPELLINGS = [
 
 # --- Fixed values: strftime directives and their Spark letters ---
 DIRECTIVES = {
-    "Y": "yyyy", "m": "MM", "d": "dd", "H": "HH", "M": "mm", "S": "ss", "y": "yy",
+    "Y": "y", "m": "MM", "d": "dd", "H": "HH", "M": "mm", "S": "ss", "y": "yy",
     "B": "MMMM", "b": "MMM", "A": "EEEE", "a": "EEE", "I": "hh", "p": "a", "j": "DDD", "f": "SSSSSS",
 }
 

@@ -44,7 +44,8 @@ def _text_steps(rule: FieldRule) -> list[Callable[[Column], Column]]:
     if rule.date_format:
         steps.append(lambda c: reformat_date(c, rule.date_format))
     if rule.pattern:
-        steps.append(lambda c: F.coalesce(F.regexp_substr(c, F.lit(java_regex(rule.pattern))), c))
+        pattern = java_regex(rule.pattern)
+        steps.append(lambda c: F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 0)).otherwise(c))
     steps.append(lambda c: F.when(c != "", c))
     return steps
 

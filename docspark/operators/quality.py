@@ -90,17 +90,23 @@ def quality_report(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Counts, mean scores and pass rate over all records, or per group of ``by``.
 
     Plain sums and counts: partial results are combined before the shuffle, so a group of any
-    size costs one row per task.
+    size costs one row per task. Scores are summed as decimals, so the means do not depend on how
+    the rows are spread.
     """
     total = F.count("*")
     passed, flagged = F.col("passed"), F.col("flagged")
+
+    def mean(score: str) -> Column:
+        total_score = F.sum(F.col(score).cast("decimal(18,17)")).cast("double")
+        return F.bround(F.coalesce(total_score / F.nullif(total, F.lit(0)), F.lit(0.0)), 3)
+
     agg = df.groupBy(*(by or [])).agg(
         total.alias("total_documents"),
         F.count_if(passed).alias("passed_count"),
         F.count_if(~passed & ~flagged).alias("failed_count"),
         F.count_if(flagged).alias("flagged_count"),
-        F.bround(F.coalesce(F.avg("completeness"), F.lit(0.0)), 3).alias("average_completeness"),
-        F.bround(F.coalesce(F.avg("accuracy"), F.lit(0.0)), 3).alias("average_accuracy"),
+        mean("completeness").alias("average_completeness"),
+        mean("accuracy").alias("average_accuracy"),
     )
     rate = F.when(F.col("total_documents") > 0, F.col("passed_count") / F.col("total_documents"))
     return agg.withColumn("pass_rate", F.coalesce(rate, F.lit(0.0)))

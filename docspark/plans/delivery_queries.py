@@ -271,7 +271,8 @@ def flow_records(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "flow_report",
     f"""{SQL_NOTES} SELECT count(*) AS total_documents, count(*) FILTER (passed) AS passed_count, count(*) FILTER (NOT passed AND NOT flagged) AS failed_count,
-          count(*) FILTER (flagged) AS flagged_count, round_even(avg(completeness), 3) AS average_completeness, round_even(avg(accuracy), 3) AS average_accuracy,
+          count(*) FILTER (flagged) AS flagged_count, round_even(sum(completeness::DECIMAL(18,17))::DOUBLE / count(*), 3) AS average_completeness,
+          round_even(sum(accuracy::DECIMAL(18,17))::DOUBLE / count(*), 3) AS average_accuracy,
           count(*) FILTER (passed) / count(*) AS pass_rate, count(*) FILTER (success) AS successful_extractions, count(*) FILTER (NOT success) AS failed_extractions, 'completed' AS status FROM r""",
 )
 def flow_report(spark: SparkSession, sf: str) -> DataFrame:

@@ -347,8 +347,8 @@ def quality_skip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_REPORT = """count(*) AS total_documents, count(*) FILTER (passed) AS passed_count, count(*) FILTER (NOT passed AND NOT flagged) AS failed_count,
-  count(*) FILTER (flagged) AS flagged_count, round_even(coalesce(avg(completeness), 0), 3) AS average_completeness,
-  round_even(coalesce(avg(accuracy), 0), 3) AS average_accuracy, coalesce(count(*) FILTER (passed) / nullif(count(*), 0), 0.0) AS pass_rate"""
+  count(*) FILTER (flagged) AS flagged_count, round_even(coalesce(sum(completeness::DECIMAL(18,17))::DOUBLE / nullif(count(*), 0), 0), 3) AS average_completeness,
+  round_even(coalesce(sum(accuracy::DECIMAL(18,17))::DOUBLE / nullif(count(*), 0), 0), 3) AS average_accuracy, coalesce(count(*) FILTER (passed) / nullif(count(*), 0), 0.0) AS pass_rate"""
 
 
 @query("quality_report", f"SELECT {SQL_REPORT} FROM ({SQL_JUDGED})")

@@ -47,11 +47,14 @@ JUDGE_SETTINGS = CallSettings(max_tokens=512, temperature=0.1)
 
 @dataclass(frozen=True)
 class ExtractionSchema:
-    """What to extract: ``fields`` goes into the prompt, ``columns`` are the typed result columns."""
+    """What to extract: ``fields`` goes into the prompt, ``columns`` are the typed result columns.
+
+    Without ``columns`` they are inferred from the replies (see ``infer_columns``).
+    """
 
     name: str
     fields: Mapping[str, Any]
-    columns: Mapping[str, str]
+    columns: Mapping[str, str] | None = None
     instructions: str = ""
     version: str = "1.0"
     examples: tuple[Mapping[str, Any], ...] = ()
@@ -156,6 +159,32 @@ def parse_reply(df: DataFrame, reply: str = "reply") -> DataFrame:
     return df.withColumns({"success": success, "extract_error": error}).drop("_json", "_item")
 
 
+def infer_columns(df: DataFrame, extracted: str = "extracted") -> dict[str, str]:
+    """Field names and types found in the parsed replies.
+
+    The types are merged by an aggregation; one row comes to the driver. Numbers with a fraction
+    are doubles, fields of mixed types are text.
+    """
+    records = df.filter(F.size(extracted) > 0).select(F.to_variant_object(extracted).alias("v"))
+    found = records.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
+        return {}
+    merged = T.StructType.fromDDL(f"r {found.replace('OBJECT<', 'STRUCT<')}")["r"].dataType
+    return {f.name: _plain_type(f.dataType).simpleString() for f in merged.fields}
+
+
+def _plain_type(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(dtype, (T.VariantType, T.NullType)):
+        return T.StringType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_plain_type(dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain_type(f.dataType)) for f in dtype.fields])
+    return dtype
+
+
 def typed_fields(df: DataFrame, columns: Mapping[str, str], extracted: str = "extracted") -> DataFrame:
     """One typed column per declared field of the parsed reply; a value of another type gives null."""
     return df.withColumns(

@@ -87,7 +87,7 @@ def api_payload(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sink_table_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows as the SQL target stores them (the JDBC write itself needs a database)."""
-    done = judged(spark, sf).filter("passed").withColumns(
+    done = materialize(judged(spark, sf), "judged").filter("passed").withColumns(
         {"document_id": F.col("doc_id").cast("string"), "metadata": F.create_map(F.lit("lang"), F.col("lang"))}
     )
     return rows_of(done, ["lang", "doc_id"], "note").drop("loaded_at")
@@ -142,7 +142,7 @@ def flaky_target():
 def sink_function(spark: SparkSession, sf: str) -> DataFrame:
     """Every customer handed to a caller's function, with retries; outcome per record."""
     customers = table(spark, sf, "customer", spread=True).select(F.col("c_custkey").cast("string").alias("document_id"), "c_name")
-    sink = FunctionSink(flaky_target, ["c_name"], "target", delay=0.0, rate_per_second=0.0)
+    sink = FunctionSink(flaky_target, "target", ["c_name"], delay=0.0, rate_per_second=0.0)
     return sink.write(customers, "0")
 
 
@@ -263,7 +263,7 @@ SQL_NOTES = r"""WITH t AS (SELECT doc_id, doc_id % 5 = 4 AS bad, substr(regexp_r
 def flow_records(spark: SparkSession, sf: str) -> DataFrame:
     """Parse, extract, clean, normalize, enrich, judge and route every document."""
     return run_notes(spark, sf).records.select(
-        "document_id", "success", "heading", "size", "kind", F.col("_source.format").alias("source_format"), "extract_error",
+        "document_id", "success", "data.heading", "data.size", "data.kind", F.col("data._source.format").alias("source_format"), "extract_error",
         "completeness", "accuracy", "overall", "route",
     )
 
@@ -286,5 +286,5 @@ def flow_report(spark: SparkSession, sf: str) -> DataFrame:
 )
 def flow_load_log(spark: SparkSession, sf: str) -> DataFrame:
     """The flow with a JSON sink: one log row per document."""
-    sink = JsonSink(scratch_dir(spark, "notes"), ["heading", "size", "kind"])
+    sink = JsonSink(scratch_dir(spark, "notes"))
     return run_notes(spark, sf, sink).load_log.drop("destination")

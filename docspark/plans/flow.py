@@ -12,22 +12,24 @@ from pyspark.sql import functions as F
 from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import SetWhen, enrich
 from docspark.operators.extract import (
-    JUDGE_CHARS, JUDGE_SETTINGS, CallSettings, ExtractionSchema, call_model, extraction_prompt, judge_prompt,
-    parse_reply, typed_fields,
+    JUDGE_CHARS, JUDGE_SETTINGS, CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns,
+    judge_prompt, parse_reply, typed_fields,
 )
 from docspark.operators.normalize import normalize
 from docspark.operators.quality import LOAD, Thresholds, judge, quality_report, skip_judging
 from docspark.session import materialize
 from docspark.sinks.records import skipped
 from docspark.sinks.targets import Sink
-from docspark.sources.documents import parse
+from docspark.sources.documents import PARSERS, parse
+
+ASIDE = "__doc_"
 
 Model = Callable[[], Callable[[str, CallSettings], str]]
 
 
 class FlowResult(NamedTuple):
     parsed: DataFrame  # documents with their text
-    records: DataFrame  # one row per document: fields, scores, route
+    records: DataFrame  # one row per document: its data, scores and route
     report: DataFrame  # quality report, one row
     summary: DataFrame  # run result, one row
     load_log: DataFrame | None  # one row per document when a sink was given
@@ -49,6 +51,7 @@ class DocumentFlow:
     thresholds: Thresholds = Thresholds()
     settings: CallSettings = CallSettings()
     text_passthrough: bool = False
+    formats: tuple[str, ...] = tuple(PARSERS)
     tasks: int | None = None
     stamp: bool = True
 
@@ -59,7 +62,7 @@ class DocumentFlow:
         action reuse it. Documents whose extraction failed skip the transforms and the judge but stay in
         the result.
         """
-        parsed = parse(documents, text_passthrough=self.text_passthrough)
+        parsed = parse(documents, text_passthrough=self.text_passthrough, formats=self.formats)
         asked = parsed.select(
             "document_id", "format", "metadata", "parse_error",
             F.substring("raw_content", 1, JUDGE_CHARS).alias("source_text"),
@@ -67,11 +70,11 @@ class DocumentFlow:
         )
         keep = ("document_id", "format", "metadata", "parse_error", "source_text")
         replies = call_model(asked, self.model, keep=keep, settings=self.settings, tasks=self.tasks)
-        parsed_replies = typed_fields(parse_reply(replies), self.schema.columns).drop("extracted", "reply")
-        extracted = materialize(parsed_replies, f"{run_id}-extracted")
+        extracted = materialize(parse_reply(replies).drop("reply"), f"{run_id}-extracted")
+        columns = self.schema.columns or infer_columns(extracted)
 
-        good, fields = self._transform(extracted.filter("success"))
-        bad = extracted.filter("not success").select(*keep, "success", "extract_error", "call_ms")
+        good, fields = self._transform(extracted.filter("success"), columns)
+        bad = extracted.filter("not success").drop("extracted")
         judged = self._judge(good, bad, fields, run_id)
 
         report = quality_report(judged)
@@ -88,25 +91,32 @@ class DocumentFlow:
             )
         return FlowResult(parsed, judged, report, summary, log)
 
-    def _transform(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
-        """Clean, normalize and enrich the extracted fields; returns the final field names too."""
-        before = [c for c in df.columns if c not in self.schema.columns]
-        df = clean(df, self.clean_rules, list(self.schema.columns))
+    def _transform(self, df: DataFrame, columns: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
+        """Clean, normalize and enrich the extracted fields into a ``data`` struct; returns the field names too.
+
+        The document's own columns step aside meanwhile, so a field may have any name.
+        """
+        own = [c for c in df.columns if c != "extracted"]
+        df = df.select("extracted", *[F.col(c).alias(ASIDE + c) for c in own])
+        df = typed_fields(df.withColumnRenamed("extracted", f"{ASIDE}extracted"), columns, f"{ASIDE}extracted")
+        df = clean(df.drop(f"{ASIDE}extracted"), self.clean_rules, list(columns))
         df = normalize(df, self.mapping, self.types, defaults=self.defaults)
-        fields = [c for c in df.columns if c not in before and not c.endswith("_raw")]
-        df = enrich(df, fields, metadata="metadata", computed=self.computed, rules=list(self.set_rules), stamp=self.stamp)
-        return df, fields
+        kept_text = {f"{t}_raw" for t in self.types}
+        fields = [c for c in df.columns if not c.startswith(ASIDE) and c not in kept_text]
+        df = enrich(df, fields, metadata=f"{ASIDE}metadata", computed=self.computed, rules=list(self.set_rules), stamp=self.stamp)
+        data = F.struct(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(ASIDE)])
+        return df.select(*[F.col(ASIDE + c).alias(c) for c in own], data.alias("data")), fields
 
     def _judge(self, good: DataFrame, bad: DataFrame, fields: list[str], run_id: str) -> DataFrame:
+        bad = bad.drop("source_text")
         if self.judge_model is None:
-            both = good.unionByName(bad, allowMissingColumns=True)
+            both = good.drop("source_text").unionByName(bad, allowMissingColumns=True)
             return materialize(skip_judging(both), f"{run_id}-judged")
-        record = {f: (F.col(f"`{f}`"), good.schema[f].dataType) for f in fields}
+        record = {f: (F.col("data")[f], good.schema["data"].dataType[f].dataType) for f in fields}
         asked = good.withColumn("prompt", judge_prompt(F.col("source_text"), record))
-        keep = tuple(good.columns)
-        replies = call_model(asked.drop("call_ms", "call_error"), self.judge_model,
-                             keep=tuple(c for c in keep if c not in ("call_ms", "call_error")),
-                             settings=JUDGE_SETTINGS, tasks=self.tasks)
+        asked = asked.withColumnsRenamed({"call_ms": "extract_ms"}).drop("source_text", "call_error")
+        keep = tuple(c for c in asked.columns if c != "prompt")
+        replies = call_model(asked, self.judge_model, keep=keep, settings=JUDGE_SETTINGS, tasks=self.tasks)
         replies = replies.withColumnsRenamed({"reply": "judge_reply", "call_error": "judge_error", "call_ms": "judge_ms"})
-        both = replies.unionByName(bad.drop("call_ms"), allowMissingColumns=True)
+        both = replies.unionByName(bad.withColumnsRenamed({"call_ms": "extract_ms"}), allowMissingColumns=True)
         return materialize(judge(both, "judge_reply", self.thresholds), f"{run_id}-judged")

@@ -98,7 +98,6 @@ def email_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 def multipart_mails(conversations: DataFrame) -> DataFrame:
     """Multipart messages: plain + HTML, HTML first, HTML only, base64, nested, with and without files."""
-    c = "text"
     html_part = "concat('Content-Type: text/html; charset=utf-8\\n\\n<p>', role, ' &amp; <b>', text, '</b></p>')"
     plain_part = "concat('Content-Type: text/plain; charset=\"utf-8\"\\n\\n', text)"
     base64_part = (
@@ -275,3 +274,28 @@ def parse_preview(spark: SparkSession, sf: str) -> DataFrame:
     shown = documents.preview(documents.parse(documents.as_documents(pages, id="page_id")))
     meta = {n: F.col("metadata")[n].alias(n) for n in ("title", "links_count", "parser", "filename")}
     return shown.select("document_id", "text_length", "preview", *meta.values())
+
+
+# ---- request bodies ----
+
+
+def request_bodies(conversations: DataFrame) -> DataFrame:
+    """One JSON request per turn: the text as HTML and as an unknown format, every fourth without any document."""
+    body = (
+        "to_json(named_struct('documents', if(turn % 4 = 3, cast(array() as array<struct<text:string,format:string>>), array("
+        "named_struct('text', concat('<li>', text), 'format', 'html'), named_struct('text', role, 'format', if(conv_id % 2 = 0, 'docx', null))))))"
+    )
+    return conversations.select("conv_id", "turn", F.expr(body).alias("body"))
+
+
+@query(
+    "request_documents",
+    f"""WITH d AS (SELECT 'html' AS format, '<li>' || text AS content FROM conversations WHERE turn % 4 <> 3
+                   UNION ALL SELECT 'text', role FROM conversations WHERE turn % 4 <> 3)
+        SELECT sha256(content) AS document_id, format, CASE WHEN format = 'html' THEN {sql_html_text('content')}
+          ELSE '(parse error: No parser available for format: text)' END AS raw_content FROM d""",
+)
+def request_documents(spark: SparkSession, sf: str) -> DataFrame:
+    bodies = request_bodies(table(spark, sf, "conversations", spread=True))
+    parsed = bodies.select(F.from_json("body", documents.REQUEST).alias("body")).select("body.*")
+    return documents.parse(documents.request_documents(parsed)).select("document_id", "format", "raw_content")

@@ -149,7 +149,7 @@ def rules_suite(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- prompts ----
 
-INVOICE = ExtractionSchema(
+NOTE_SCHEMA = ExtractionSchema(
     name="note",
     fields={"type": "object", "properties": {"title": {"type": "string"}, "words": {"type": "integer"}}},
     columns={"title": "string", "words": "bigint"},
@@ -176,14 +176,14 @@ Respond with ONLY valid JSON matching the schema.'"""
 
 @query("prompt_build", f"SELECT doc_id, {SQL_EXTRACT_PROMPT} AS prompt FROM documents")
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents", spread=True).select("doc_id", extraction_prompt(F.col("text"), INVOICE).alias("prompt"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", extraction_prompt(F.col("text"), NOTE_SCHEMA).alias("prompt"))
 
 
 @query("prompt_first_batch", f"SELECT doc_id, {SQL_EXTRACT_PROMPT} AS prompt FROM documents ORDER BY doc_id LIMIT 10")
 def prompt_first_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The cap of a single batch call: its first ``batch_size`` documents and no more."""
     first = first_documents(table(spark, sf, "documents"), 10, "doc_id")
-    return first.select("doc_id", extraction_prompt(F.col("text"), INVOICE).alias("prompt"))
+    return first.select("doc_id", extraction_prompt(F.col("text"), NOTE_SCHEMA).alias("prompt"))
 
 
 @query(

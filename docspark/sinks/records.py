@@ -12,24 +12,25 @@ FAILED_QUALITY = "Quality validation failed"
 LOG = ["document_id", "destination", "success", "records_written", "error"]
 
 
-def data_struct(fields: list[str]) -> Column:
-    return F.struct(*[F.col(f"`{f}`") for f in fields])
+def record_data(fields: list[str] | None) -> Column:
+    """The record as a struct: the given columns, or the ``data`` column of a finished flow."""
+    return F.struct(*[F.col(f"`{f}`") for f in fields]) if fields else F.col("data")
 
 
-def envelope(df: DataFrame, fields: list[str], loaded_at: Column | None = None) -> DataFrame:
+def envelope(df: DataFrame, fields: list[str] | None = None, loaded_at: Column | None = None) -> DataFrame:
     """document_id, data and loaded_at, as stored in JSON files."""
     stamp = loaded_at if loaded_at is not None else F.current_timestamp()
-    return df.select("document_id", data_struct(fields).alias("data"), stamp.alias("loaded_at"))
+    return df.select("document_id", record_data(fields).alias("data"), stamp.alias("loaded_at"))
 
 
-def table_rows(df: DataFrame, fields: list[str], schema_name: str = "", loaded_at: Column | None = None) -> DataFrame:
+def table_rows(df: DataFrame, fields: list[str] | None = None, schema_name: str = "", loaded_at: Column | None = None) -> DataFrame:
     """Rows of the SQL target: the record as JSON text beside its schema name, score and metadata."""
     score = F.col("overall") if "overall" in df.columns else F.lit(0.0)
     meta = F.to_json("metadata") if "metadata" in df.columns else F.lit("{}")
     stamp = loaded_at if loaded_at is not None else F.current_timestamp()
     return df.select(
         "document_id",
-        F.to_json(data_struct(fields)).alias("data"),
+        F.to_json(record_data(fields)).alias("data"),
         F.lit(schema_name).alias("schema_name"),
         score.alias("quality_score"),
         stamp.alias("loaded_at"),
@@ -37,9 +38,9 @@ def table_rows(df: DataFrame, fields: list[str], schema_name: str = "", loaded_a
     )
 
 
-def api_payload(fields: list[str]) -> Column:
+def api_payload(fields: list[str] | None = None) -> Column:
     """One request body per record."""
-    return F.to_json(F.struct(F.col("document_id"), data_struct(fields).alias("data")))
+    return F.to_json(F.struct(F.col("document_id"), record_data(fields).alias("data")))
 
 
 def written(df: DataFrame, destination: str | Column) -> DataFrame:

@@ -32,7 +32,7 @@ class JsonSink:
     """
 
     path: str
-    fields: list[str]
+    fields: list[str] | None = None
     per_document: bool = False
 
     def write(self, df: DataFrame, batch_id: str) -> DataFrame:
@@ -55,7 +55,7 @@ class JdbcSink:
 
     url: str
     table: str
-    fields: list[str]
+    fields: list[str] | None = None
     schema_name: str = ""
     properties: dict[str, str] = field(default_factory=dict)
     batch_size: int = 1000
@@ -79,8 +79,8 @@ class FunctionSink:
     """
 
     make: Callable[[], Callable[[str], tuple[int | None, str | None]]]
-    fields: list[str]
     destination: str
+    fields: list[str] | None = None
     max_retries: int = MAX_RETRIES
     delay: float = RETRY_DELAY
     tasks: int | None = None

@@ -13,6 +13,7 @@ from docspark.sources import csv, email, html, pdf
 FORMATS = ["pdf", "email", "html", "csv", "text"]
 PREVIEW_CHARS = 500
 META = "map<string,string>"
+REQUEST = "documents array<struct<text:string,format:string>>"
 
 
 def read_files(spark: SparkSession, path: str, format: str, glob: str | None = None) -> DataFrame:
@@ -26,13 +27,15 @@ def read_files(spark: SparkSession, path: str, format: str, glob: str | None = N
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """JSON request bodies ``{"documents": [{"text", "format"}]}`` as documents; unknown formats are text."""
-    body = spark.read.schema("documents array<struct<text:string,format:string>>").json(path)
+    body = spark.read.schema(REQUEST).json(path)
     return request_documents(body)
 
 
 def request_documents(body: DataFrame) -> DataFrame:
+    """The documents of parsed request bodies."""
     items = body.select(F.explode("documents").alias("d"))
-    return as_documents(items.select(F.coalesce("d.text", F.lit("")).alias("content"), known_format(F.col("d.format")).alias("format")))
+    content = F.coalesce("d.text", F.lit(""))
+    return as_documents(items.select(content.alias("content"), known_format(F.col("d.format")).alias("format")))
 
 
 def known_format(c: Column) -> Column:
@@ -64,14 +67,20 @@ def as_documents(df: DataFrame, id: str | None = None) -> DataFrame:
 PARSERS = {"html": html.parse, "email": email.parse, "csv": csv.parse, "pdf": pdf.parse}
 
 
-def parse(df: DataFrame, text_passthrough: bool = False, max_size_mb: float | None = None) -> DataFrame:
+def parse(
+    df: DataFrame,
+    text_passthrough: bool = False,
+    max_size_mb: float | None = None,
+    formats: tuple[str, ...] = tuple(PARSERS),
+) -> DataFrame:
     """Documents to ``raw_content`` and metadata, each format by its own expressions.
 
     One pass over the input and no shuffle: every parser sees the content of its own format and
     null elsewhere. A document that cannot be parsed stays, with the reason in ``parse_error``,
-    in its metadata and as its text.
+    in its metadata and as its text. ``formats`` names the parsers to plan for; naming only those
+    in use keeps the plan small.
     """
-    known = [*PARSERS, *(["text"] if text_passthrough else [])]
+    known = [*formats, *(["text"] if text_passthrough else [])]
     error = F.when(~F.col("format").isin(known), F.concat(F.lit("No parser available for format: "), F.col("format")))
     if max_size_mb:
         limit = int(max_size_mb * 1024 * 1024)
@@ -79,7 +88,8 @@ def parse(df: DataFrame, text_passthrough: bool = False, max_size_mb: float | No
     base = df.columns
     df = df.withColumn("parse_error", error)
     texts, metas = [], []
-    for name, parser in PARSERS.items():
+    for name in formats:
+        parser = PARSERS[name]
         own = f"_{name}_"
         mine = F.col("parse_error").isNull() & (F.col("format") == name)
         df = parser(df.withColumn(own, F.when(mine, F.col("content"))), own, own)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docspark.operators.batches import batch_results, delivery_outcome, progress
-from docspark.operators.extract import CallSettings, ExtractionSchema, call_model, extraction_prompt, join_replies, parse_reply, typed_fields
+from docspark.operators.extract import CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns, join_replies, parse_reply, typed_fields
 from docspark.operators.quality import Thresholds, judge, passes, quality_report
 from docspark.plans.flow import DocumentFlow
 from docspark.session import materialize
@@ -31,6 +31,16 @@ def test_reply_parsing(spark):
     assert [r.i for r in got if r.extract_error] == [4, 10, 13]
 
 
+def test_inferred_columns(spark):
+    rows = [('{"a": 1, "b": "x", "c": {"d": [1, 2.5]}, "e f": true}',), ('{"a": 2.5, "b": 3, "g": null}',), ("nope",)]
+    parsed = parse_reply(spark.createDataFrame(rows, "reply string"))
+    columns = infer_columns(parsed)
+    assert columns == {"a": "double", "b": "string", "c": "struct<d:array<double>>", "e f": "boolean", "g": "string"}
+    got = typed_fields(parsed, columns).select("a", "b", "c", "`e f`", "g").collect()
+    assert [tuple(r) for r in got] == [(1.0, "x", (([1.0, 2.5]),), True, None), (2.5, "3", None, None, None), (None,) * 5]
+    assert infer_columns(parsed.filter("not success")) == {}
+
+
 def judged(spark, rows, **kw):
     return judge(spark.createDataFrame(rows, "judge_reply string, success boolean"), **kw).collect()
 
@@ -118,7 +128,7 @@ def test_function_sink(spark):
         return send
 
     df = spark.createDataFrame([("1", 1), ("2", 2), ("3", 3)], "document_id string, v int")
-    sink = FunctionSink(make, ["v"], "http://target", delay=0.0, rate_per_second=0.0, tasks=2)
+    sink = FunctionSink(make, "http://target", ["v"], delay=0.0, rate_per_second=0.0, tasks=2)
     got = {r.document_id: (r.success, r.error) for r in sink.write(df, "x").collect()}
     assert got == {"1": (True, None), "2": (False, "net down"), "3": (False, "HTTP 400: bad request")}
 
@@ -128,30 +138,35 @@ def test_materialized_table_is_fixed(spark):
     assert df.collect() == df.collect()
 
 
-@pytest.mark.parametrize("judging", [True, False])
-def test_flow(spark, tmp_path, judging):
+@pytest.mark.parametrize("judging,declared", [(True, True), (False, True), (True, False)])
+def test_flow(spark, tmp_path, judging, declared):
     def model():
-        return lambda prompt, settings: json.dumps({"Name": " ann ", "Age": "1,200", "note": ""}) if "Ann" in prompt else "?"
+        return lambda prompt, settings: json.dumps({"Name": " ann ", "Age": "1,200", "note": "", "success": "no", "format": "x"}) if "Ann" in prompt else "?"
 
     def judge_model():
         def call(prompt, settings):
-            assert settings.max_tokens == 512 and "{'name': 'ann', 'age': 1200, 'city': 'n/a'}" in prompt
+            assert settings.max_tokens == 512
+            assert all(x in prompt for x in ("'name': 'ann'", "'age': 1200", "'city': 'n/a'}", "'success': 'no'", "'format': 'x'")) and "note" not in prompt
             return "COMPLETENESS: 0.9\nACCURACY: 0.95\nISSUES: none"
 
         return call
 
+    names = {n: "string" for n in ("Name", "Age", "note", "success", "format")}
     flow = DocumentFlow(
-        ExtractionSchema("p", {}, {"Name": "string", "Age": "string", "note": "string"}), model, judge_model if judging else None,
+        ExtractionSchema("p", {}, names if declared else None), model, judge_model if judging else None,
         mapping={"Name": "name", "Age": "age"}, types={"age": "int"}, defaults={"city": "n/a"},
     )
     docs = spark.createDataFrame([("a", "<p>Ann</p>", "html"), ("b", "<p>Bob</p>", "html"), ("c", "Ann", "text")], "k string, content string, format string")
-    sink = JsonSink(str(tmp_path / "out"), ["name", "age", "city"])
+    sink = JsonSink(str(tmp_path / "out"))
     result = flow.run(as_documents(docs, id="k"), sink=sink)
     rows = {r.document_id: r for r in result.records.collect()}
-    assert (rows["a"].name, rows["a"].age, rows["a"].city, rows["a"]["_source"]["format"]) == ("ann", 1200, "n/a", "html")
-    assert not rows["b"].success and not rows["c"].success and rows["c"].parse_error
-    assert rows["b"].city is None and rows["b"]["_enrichment"] is None
+    data = rows["a"].data
+    assert (data.name, data.age, data.city, data["_source"]["format"], data.success, data.format) == ("ann", 1200, "n/a", "html", "no", "x")
+    assert data["_enrichment"]["field_count"] == 5 and rows["a"].success is True and rows["a"].format == "html"
+    assert not rows["b"].success and not rows["c"].success and rows["c"].parse_error and rows["b"].data is None
     assert [rows[k].route for k in "abc"] == (["load", "review", "review"] if judging else ["load"] * 3)
     assert tuple(result.summary.first()) == (3, 1, 2, "completed")
     log = {r.document_id: r.success for r in result.load_log.collect()}
     assert log == ({"a": True, "b": False, "c": False} if judging else {"a": True, "b": True, "c": True})
+    stored = [json.loads(x) for f in (tmp_path / "out").rglob("*.json") for x in f.read_text().splitlines()]
+    assert [x["data"]["age"] for x in stored if x["document_id"] == "a"] == [1200]

@@ -11,35 +11,15 @@ from pyspark.sql import types as T
 
 def _float_text(c: Column) -> Column:
     """repr() of a double: positional between 1e-4 and 1e16, else d.ddde+XX."""
-    s = c.cast("string")
-    sign = F.when(s.startswith("-"), "-").otherwise("")
-    digits = F.regexp_replace(F.regexp_extract(s, r"\A-?([0-9.]+)E", 1), r"\.0\z|\.", "")
-    exp = F.regexp_extract(s, r"E(-?[0-9]+)\z", 1).try_cast("int")
-    n = F.length(digits)
-    rest = F.substring(digits, F.lit(2), n)
-    large = F.when(n <= exp + 1, F.concat(F.rpad(digits, exp + 1, F.lit("0")), F.lit(".0"))).otherwise(
-        F.concat(F.substring(digits, F.lit(1), exp + 1), F.lit("."), F.substring(digits, exp + 2, n))
-    )
-    science = F.concat(
-        F.substring(digits, 1, 1),
-        F.when(n > 1, F.concat(F.lit("."), rest)).otherwise(""),
-        F.when(exp < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exp).cast("string"), F.greatest(F.length(F.abs(exp).cast("string")), F.lit(2)), F.lit("0")),
-    )
-    size = F.abs(c)
+    s, size = c.cast("string"), F.abs(c)
+    positional = F.regexp_replace(c.cast("decimal(38,22)").cast("string"), r"(\.[0-9]+?)0*\z", "$1")
+    science = F.regexp_replace(F.regexp_replace(s, r"(?:\.0)?E(?=[0-9])", "e+"), r"(?:\.0)?E-", "e-")
     return (
         F.when((c == 0) | ((size >= 1e-3) & (size < 1e7)), s)  # no exponent in either language
         .when(F.isnan(c), "nan")
-        .when(s == "Infinity", "inf")
-        .when(s == "-Infinity", "-inf")
-        .otherwise(
-            F.concat(
-                sign,
-                F.when(exp.between(0, 15), large)
-                .when(exp == -4, F.concat(F.lit("0.000"), digits))
-                .otherwise(science),
-            )
-        )
+        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
+        .when((size >= 1e-4) & (size < 1e16), positional)
+        .otherwise(F.regexp_replace(science, r"e([+-])([0-9])\z", "e$10$2"))
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docspark.functions.rows import row_hash
 from docspark.session import materialize
 
 # --- Fixed values ---
@@ -24,8 +25,7 @@ def assign_batches(df: DataFrame, size: int, order: list[str], partitions: int |
     repeated key still spreads over tasks), sorted inside each partition and written once with
     their partition and position; one count per partition then gives the offsets.
     """
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ranged = df.withColumn("_tie", tie)
+    ranged = df.withColumn("_tie", row_hash(df))
     keys = [*order, "_tie"]
     ranged = ranged.repartitionByRange(partitions, *keys) if partitions else ranged.repartitionByRange(*keys)
     placed = materialize(

@@ -2,35 +2,60 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A key with more rows than this on the left is spread over SALTS tasks.
+from docspark.functions.rows import row_hash
+
+# A key is hot with more rows than this and a larger share of all rows than SHARE.
 HOT_ROWS = 1_000_000
+SHARE = 1e-4
 SALTS = 64
 
 
-def left_join_unique(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, share: float = SHARE) -> list[Any]:
+    """Keys that own more than ``rows`` rows and ``share`` of the table: at most 1 / share of them.
+
+    A frequent-item sketch names the candidates and only those are counted, so no pass shuffles
+    the keys of the whole table. A table of no more than ``rows`` rows needs no such pass.
+    """
+    if df.select(key).count() <= rows:
+        return []
+    candidates = [k for k in df.select(key).freqItems([key], share).first()[0] if k is not None]
+    if not candidates:
+        return []
+    table = _key_table(df, key, candidates)
+    counted = df.select(key).join(F.broadcast(table), key, "left_semi").groupBy(key).count()
+    return [r[0] for r in counted.filter(F.col("count") > rows).collect()]
+
+
+def _key_table(df: DataFrame, key: str, keys: list[Any]) -> DataFrame:
+    return df.sparkSession.createDataFrame([(k,) for k in keys], df.select(key).schema)
+
+
+def left_join_unique(left: DataFrame, right: DataFrame, key: str, rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Left join to a table with at most one row per key; hot left keys are split.
 
     Content-derived ids repeat for exact copies, so one id may own a large share of the left side.
-    Such ids are found with a counting pass over the key column alone; there are at most
-    rows / hot_rows of them, so marking them is a small broadcast. Their rows get a salt and the
-    matching right rows one copy per salt. Null keys match nothing and are spread the same way.
-    The salt is a hash of the row, so a re-run task sends each row to the same place.
+    Rows of such an id get a salt and the matching right rows one copy per salt. Rows without a
+    key match nothing and are spread the same way. The salt is a hash of the row, so a re-run task
+    sends each row to the same place.
     """
-    hot = (
-        left.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select("_hot")
-    )
-    plain = [f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType, T.StructType, T.ArrayType))]
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in plain]), F.lit(salts)).cast("int")
-    marked = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), spread).otherwise(F.lit(0))
-    )
-    copies = (
-        right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return marked.drop("_hot").join(copies, [key, "_salt"], "left").drop("_salt")
+    hot = hot_keys(left, key, rows)
+    spread = F.pmod(row_hash(left), F.lit(salts)).cast("int")
+    salt = F.when(F.col(key).isNull(), spread).otherwise(F.lit(0))
+    copies = right.withColumn("_salt", F.lit(0))
+    if hot:
+        table = _key_table(left, key, hot).withColumn("_hot", F.lit(True))  # at most 1 / SHARE rows
+        left = left.join(F.broadcast(table), key, "left")
+        salt = F.when(F.col(key).isNull() | F.col("_hot"), spread).otherwise(F.lit(0))
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        copies = (
+            right.join(F.broadcast(table), key, "left")
+            .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
+            .drop("_hot")
+        )
+    marked = left.withColumn("_salt", salt).drop("_hot")
+    return marked.join(copies, [key, "_salt"], "left").drop("_salt")

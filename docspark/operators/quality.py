@@ -124,3 +124,11 @@ def extract_response(df: DataFrame, reply: str = "judge_reply", t: Thresholds =
             "error": F.when(~ok, "Extraction produced no results"),
         }
     ).drop("_completeness", "_accuracy", "_issues")
+
+
+def batch_responses(judged: DataFrame) -> DataFrame:
+    """Answers to a batch request, one per document, with the record itself (``quality_report`` has the summary)."""
+    data = [F.col("data").alias("extracted_data")] if "data" in judged.columns else []
+    return judged.select(
+        "document_id", *data, F.col("overall").alias("quality_score"), F.col("passed").alias("passed_validation"), "issues"
+    )

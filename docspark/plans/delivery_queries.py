@@ -19,6 +19,7 @@ from docspark.session import materialize, scratch_dir
 from docspark.sinks.records import api_payload as payload, load_log as log_of, skipped, table_rows as rows_of
 from docspark.sinks.targets import FunctionSink, JsonSink
 from docspark.sources.documents import as_documents
+from docspark.sources.tables import spread
 from docspark.streaming.ingest import file_stream, ingest, read_records, read_reports
 
 # ---- batches ----
@@ -180,7 +181,7 @@ def stream_pages(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "stream")
     source = file_stream(spark, sf, "page_id bigint, url string, html string", pathGlobFilter="pages.parquet")
     shown = ["page_id", "host", "title", "links_count", "success", "route"]
-    ingest(source, lambda df: checked_pages(df).select(*shown), f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    ingest(source, lambda df: checked_pages(spread(df)).select(*shown), f"{work}/out", f"{work}/checkpoint").awaitTermination()
     done = read_records(spark, f"{work}/out", "page_id bigint, host string, title string, links_count int, success boolean, route string")
     return done.select("page_id", "host", "title", "links_count", "route")
 
@@ -272,12 +273,19 @@ def flow_records(spark: SparkSession, sf: str) -> DataFrame:
     "flow_report",
     f"""{SQL_NOTES} SELECT count(*) AS total_documents, count(*) FILTER (passed) AS passed_count, count(*) FILTER (NOT passed AND NOT flagged) AS failed_count,
           count(*) FILTER (flagged) AS flagged_count, round_even(sum(completeness::DECIMAL(18,17))::DOUBLE / count(*), 3) AS average_completeness,
-          round_even(sum(accuracy::DECIMAL(18,17))::DOUBLE / count(*), 3) AS average_accuracy,
-          count(*) FILTER (passed) / count(*) AS pass_rate, count(*) FILTER (success) AS successful_extractions, count(*) FILTER (NOT success) AS failed_extractions, 'completed' AS status FROM r""",
+          round_even(sum(accuracy::DECIMAL(18,17))::DOUBLE / count(*), 3) AS average_accuracy, count(*) FILTER (passed) / count(*) AS pass_rate FROM r""",
 )
 def flow_report(spark: SparkSession, sf: str) -> DataFrame:
-    result = run_notes(spark, sf)
-    return result.report.crossJoin(result.summary.drop("total_documents"))  # one row each
+    return run_notes(spark, sf).report
+
+
+@query(
+    "flow_summary",
+    f"""{SQL_NOTES} SELECT count(*) AS total_documents, count(*) FILTER (success) AS successful_extractions,
+          count(*) FILTER (NOT success) AS failed_extractions, 'completed' AS status FROM r""",
+)
+def flow_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return run_notes(spark, sf).summary
 
 
 @query(

@@ -11,7 +11,7 @@ from docspark.operators.extract import (
     ExtractionSchema, extraction_prompt, first_documents, join_replies, judge_prompt, parse_judgement, parse_reply, typed_fields,
 )
 from docspark.operators.quality import THRESHOLDS, extract_response as respond
-from docspark.operators.quality import judge, passes, quality_report as report, skip_judging
+from docspark.operators.quality import batch_responses, judge, passes, quality_report as report, skip_judging
 from docspark.operators.rules import INFO, WARNING, Rule, in_range, list_violations, matches, required, rule_route, validate
 from docspark.plans.parse_queries import SQL_LINKS, SQL_TITLE, sql_html_text
 from docspark.plans.record_queries import SQL_SPARSE, sparse_customers
@@ -371,6 +371,18 @@ def extract_response(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "quality_score", "passed_validation", F.get("issues", F.lit(0)).alias("issues"), "error")
 
 
+@query(
+    "batch_response",
+    f"SELECT doc_id::VARCHAR AS document_id, lang AS extracted_lang, overall AS quality_score, passed AS passed_validation, issues FROM ({SQL_JUDGED})",
+)
+def batch_response(spark: SparkSession, sf: str) -> DataFrame:
+    done = judged(spark, sf).withColumns({"document_id": F.col("doc_id").cast("string"), "data": F.struct("lang")})
+    return batch_responses(done).select(
+        "document_id", F.col("extracted_data.lang").alias("extracted_lang"), "quality_score", "passed_validation",
+        F.get("issues", F.lit(0)).alias("issues"),
+    )
+
+
 @query(
     "join_responses",
     """WITH r AS (SELECT user_id, arg_max(event_type || ' ' || value, event_id) AS reply FROM events GROUP BY user_id)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +20,9 @@ from docspark.session import materialize
 from docspark.sinks.records import api_payload, envelope, table_rows, written
 
 
+ATTEMPTS = pa.schema([("document_id", pa.string()), ("attempt", pa.int32()), ("status", pa.int32()), ("error", pa.string())])
+
+
 class Sink(Protocol):
     def write(self, df: DataFrame, batch_id: str) -> DataFrame: ...
 
@@ -94,27 +97,27 @@ class FunctionSink:
         at_once = min(self.tasks, at_once) if self.tasks else at_once
         pause = at_once / self.rate_per_second if self.rate_per_second else 0.0
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             send, last = make(), 0.0
             for batch in batches:
                 log = []
-                for doc, payload in zip(batch["document_id"], batch["payload"]):
+                for doc, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     for attempt in range(retries):
-                        time.sleep(max(0.0, last + pause - time.monotonic()))
-                        last = time.monotonic()
+                        if pause:
+                            time.sleep(max(0.0, last + pause - time.monotonic()))
+                            last = time.monotonic()
                         try:
                             status, text = send(payload)
                         except Exception as e:  # a transport error counts as an attempt
                             status, text = None, str(e)
-                        log.append((doc, attempt, status, text))
+                        log.append({"document_id": doc, "attempt": attempt, "status": status, "error": text})
                         retry = status is None or status == 429 or status >= 500
                         if not retry or attempt == retries - 1:
                             break
                         time.sleep(delay * 2**attempt)
-                out = pd.DataFrame(log, columns=["document_id", "attempt", "status", "error"])
-                yield out.astype({"attempt": "int32", "status": "Int32"})
+                yield pa.RecordBatch.from_pylist(log, schema=ATTEMPTS)
 
-        return rows.mapInPandas(run, "document_id string, attempt int, status int, error string")
+        return rows.mapInArrow(run, "document_id string, attempt int, status int, error string")
 
     def write(self, df: DataFrame, batch_id: str) -> DataFrame:
         log = materialize(self.attempts(df), f"attempts-{batch_id}")

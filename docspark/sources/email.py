@@ -10,14 +10,16 @@ from docspark.functions.text import strip, tags_to_blanks
 # --- Fixed values: message syntax ---
 NEWLINE = r"(?:\r\n|\r|\n)"
 HEADER_BLOCK = rf"\A(?:(?:From |[!-9;-~]*:|[ \t])[^\r\n]*+(?:\r\n|\r|\n|\z))*+"
+NODES = "array<struct<head:string,body:string,open:boolean>>"
 HEADERS = ["from", "to", "subject", "date", "cc"]
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 MAIL_DATE = (
     r"(?i)\A(?:[a-z]{3},?[ \t]+)?([0-9]{1,2})[ \t]+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[ \t]+"
     r"([0-9]{4})[ \t]+([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}))?[ \t]+([+-][0-9]{4})\z"
 )
-# nested multipart messages are followed this deep
-DEPTH = 3
+# header lines that open a level of parts, and types whose body is a message of its own
+CONTAINER = rf"(?im)^content-type:\s*(?:multipart/|message/)"
+STATUS_REPORT = "message/delivery-status"
 
 
 def _entity(text: Column) -> Column:
@@ -58,15 +60,43 @@ def _boundary(head: Column) -> Column:
     return F.when(is_multipart, F.nullif(F.rtrim(_param(head, "content-type", "boundary")), F.lit("")))
 
 
+def _kind(head: Column) -> Column:
+    kind = F.lower(F.trim(F.regexp_extract(head, r"(?imd)^content-type:([^;\n]*)", 1)))
+    return F.when(kind.rlike(r"\A[^/]+/[^/]+\z"), kind).otherwise("text/plain")
+
+
 def _parts(head: Column, body: Column) -> Column:
-    """Entities of a multipart body: no preamble, nothing after the closing line; null for other bodies."""
+    """Texts of the parts of a multipart body: no preamble, nothing after the closing line."""
     mark = F.concat(F.lit(rf"{NEWLINE}--\Q"), _boundary(head), F.lit(r"\E"))
     closing = F.concat(F.lit("(?s)"), mark, F.lit(r"--[ \t]*(?:[\r\n].*)?\z"))
     opening = F.concat(mark, F.lit(r"[ \t]*(?=[\r\n]|\z)"))
     pieces = F.split(F.regexp_replace(F.concat(F.lit("\n"), body), closing, F.lit("")), opening)
-    texts = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    entities = F.transform(texts, lambda t: _entity(F.regexp_replace(t, rf"\A{NEWLINE}", "")))
-    return F.when(F.size(entities) > 0, entities)
+    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+
+def _node(text: Column) -> Column:
+    """A part that has not been looked into yet."""
+    entity = _entity(text)
+    return F.struct(entity["head"].alias("head"), entity["body"].alias("body"), F.lit(True).alias("open"))
+
+
+def _expand(node: Column) -> Column:
+    """The node itself, closed, followed by its parts when it is a multipart or an enclosed message."""
+    head, body = node["head"], node["body"]
+    closed = F.array(F.struct(head.alias("head"), body.alias("body"), F.lit(False).alias("open")))
+    enclosed = _kind(head).startswith("message/") & (_kind(head) != STATUS_REPORT)
+    texts = F.when(_boundary(head).isNotNull(), _parts(head, body)).when(enclosed, F.array(body))
+    inner = F.transform(texts, lambda t: _node(F.regexp_replace(t, rf"\A{NEWLINE}", "")))
+    return F.when(node["open"], F.concat(closed, F.coalesce(inner, F.array().cast(NODES)))).otherwise(F.array(node))
+
+
+def _walk(root: Column, text: Column) -> Column:
+    """All parts of a message, depth first.
+
+    One round opens one more level; a message cannot be deeper than it has container headers.
+    """
+    rounds = F.array_repeat(F.lit(1), F.regexp_count(text, F.lit(CONTAINER)))
+    return F.aggregate(rounds, F.array(root).cast(NODES), lambda nodes, _: F.flatten(F.transform(nodes, _expand)).cast(NODES))
 
 
 def _decode(head: Column, body: Column) -> Column:
@@ -95,28 +125,14 @@ def _unquote(body: Column) -> Column:
     )
 
 
-def _leaf(entity: Column) -> Column:
+def _leaf(node: Column) -> Column:
     """Type, decoded text and file name of one part."""
-    head = entity["head"]
-    kind = F.lower(F.trim(F.regexp_extract(head, r"(?imd)^content-type:([^;\n]*)", 1)))
+    head = node["head"]
     name = F.coalesce(
         F.nullif(_param(head, "content-disposition", "filename"), F.lit("")),
         F.nullif(_param(head, "content-type", "name"), F.lit("")),
     )
-    return F.struct(
-        F.when(kind.rlike(r"\A[^/]+/[^/]+\z"), kind).otherwise("text/plain").alias("kind"),
-        _decode(head, entity["body"]).alias("text"),
-        name.alias("file"),
-    )
-
-
-def _leaves(parts: Column) -> Column:
-    """Parts of a multipart message, depth first, with nested multiparts replaced by their own parts."""
-    for _ in range(DEPTH - 1):
-        parts = F.flatten(
-            F.transform(parts, lambda e: F.coalesce(F.when(_boundary(e["head"]).isNotNull(), _parts(e["head"], e["body"])), F.array(e)))
-        )
-    return F.transform(parts, _leaf)
+    return F.struct(_kind(head).alias("kind"), _decode(head, node["body"]).alias("text"), name.alias("file"))
 
 
 def _chosen_text(leaves: Column) -> Column:
@@ -133,14 +149,14 @@ def parse(df: DataFrame, content: str = "content", prefix: str = "") -> DataFram
     Each value is computed in its own projection and then referred to by name, so no pattern runs twice.
     """
     p = prefix
-    entity, parts, leaves, files, body = (f"{p}_{n}" for n in ("entity", "parts", "leaves", "files", "body"))
-    head = F.col(f"{entity}.head")
-    df = df.withColumn(entity, F.when(F.col(content).isNotNull(), _entity(F.col(content))))
-    df = df.withColumn(parts, F.when(_boundary(head).isNotNull(), _parts(head, F.col(f"{entity}.body"))))
-    df = df.withColumn(leaves, _leaves(F.col(parts)))
+    root, nodes, leaves, files, body = (f"{p}_{n}" for n in ("root", "nodes", "leaves", "files", "body"))
+    raw, head = F.col(content), F.col(f"{root}.head")
+    df = df.withColumn(root, F.when(raw.isNotNull(), _node(raw)))
+    df = df.withColumn(nodes, F.when(raw.isNotNull(), _walk(F.col(root), raw)))
+    df = df.withColumn(leaves, F.when(F.size(nodes) > 1, F.transform(F.col(nodes), _leaf)))
     df = df.withColumns(
         {
-            body: F.coalesce(_chosen_text(F.col(leaves)), _decode(head, F.col(f"{entity}.body"))),
+            body: F.coalesce(_chosen_text(F.col(leaves)), _decode(head, F.col(f"{root}.body"))),
             files: F.coalesce(
                 F.filter(F.transform(F.col(leaves), lambda x: x["file"]), lambda f: f.isNotNull()),
                 F.array().cast("array<string>"),
@@ -157,4 +173,4 @@ def parse(df: DataFrame, content: str = "content", prefix: str = "") -> DataFram
         F.when(F.size(files) > 0, listed).otherwise(""),
     )
     df = df.withColumns({f"{p}raw_content": text, f"{p}meta_attachment_count": F.size(files)})
-    return df.drop(entity, parts, leaves, files, body)
+    return df.drop(root, nodes, leaves, files, body)

@@ -175,12 +175,16 @@ def test_csv_documents(spark):
 
 
 def random_part(depth):
-    kind = rng.choice(["text/plain", "text/html", "application/pdf", "multipart" if depth < 2 else "text/plain"])
+    deep = ["multipart", "multipart", "message/rfc822"] if depth < 6 else []
+    kind = rng.choice(["text/plain", "text/html", "application/pdf", *deep[: 1 + (depth > 1) * 2]])
     body = rng.choice(["hello\nworld", "<p>x &amp; <b>y</b>\n</p>", "", "a = b", "--not a mark\n\n--"])
     if kind == "multipart":
         mark = f"m{depth}.{rng.randint(0, 9)}"
         inner = "".join(f"\n--{mark}\n{random_part(depth + 1)}" for _ in range(rng.randint(1, 3)))
         return f'Content-Type: multipart/mixed; boundary="{mark}"\n\n{rng.choice(["", "pre"])}{inner}\n--{mark}--{rng.choice(["", chr(10) + "post"])}'
+    if kind == "message/rfc822":
+        name = rng.choice(["", "Content-Disposition: attachment; filename=mail.eml\n"])
+        return f"Content-Type: message/rfc822\n{name}\nSubject: inner\n" + random_part(depth + 1)
     head = rng.choice([f"Content-Type: {kind}; charset=utf-8\n", f"content-type: {kind}\n", ""])
     if rng.random() < 0.3:
         head += rng.choice(['Content-Disposition: attachment;\n filename="a b.txt"\n', "Content-Disposition: attachment; filename=c.txt\n"])
@@ -188,6 +192,8 @@ def random_part(depth):
         import base64
 
         return head + "Content-Transfer-Encoding: base64\n\n" + base64.b64encode(body.encode()).decode()
+    if rng.random() < 0.2:
+        return head + "Content-Transfer-Encoding: Quoted-Printable\n\n" + rng.choice(["caf=C3=A9=20=E2=82=AC", "a =3D b=\nc", "x=3D\n=C3=A9", "plain"])
     return head + "\n" + body
 
 
@@ -221,6 +227,7 @@ def test_mails(spark):
         lead = rng.choice(["From: a@b.com\nTo: c@d.com\n", "Subject: one\n two\n", "Date: Mon, 1 Jan 2024 12:00:00 +0000\n", ""])
         text = lead + random_part(0)
         values.append(text.replace("\n", "\r\n") if i % 4 == 0 else text)
+    assert max(v.lower().count("content-type: mu") + v.count("message/") for v in values) > 6
     df = spark.createDataFrame(list(enumerate(values)), "i long, content string")
     for r in mails.parse(df).collect():
         raw = values[r["i"]]

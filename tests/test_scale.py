@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from docspark.operators.batches import assign_batches
-from docspark.operators.joins import left_join_unique
+from docspark.functions.rows import row_hash
+from docspark.operators.joins import hot_keys, left_join_unique
 from docspark.plans import catalogue
 from docspark.session import SETTINGS, scratch_dir
 from docspark.sources.csv import first_rows, table_text
@@ -14,7 +15,7 @@ from docspark.sources.tables import spread
 SF = "/root/testdata/sf0.001"
 
 # queries that hand rows to a caller's Python function
-WITH_PYTHON = {"sink_function", "flow_records", "flow_report", "flow_load_log"}
+WITH_PYTHON = {"sink_function", "flow_records", "flow_report", "flow_summary", "flow_load_log"}
 # queries that write tables while they are being built
 WITH_JOBS = WITH_PYTHON | {"sink_json", "stream_pages", "stream_report", "batch_assign", "batch_report", "batch_progress"}
 
@@ -66,12 +67,19 @@ def test_hot_keys_are_split_in_joins(spark):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.col("id").cast("string")).alias("document_id"), F.col("id").alias("n")
     )
     right = left.select("document_id").distinct().filter("document_id is not null").withColumn("v", F.length("document_id"))
-    got = left_join_unique(left, right, "document_id", hot_rows=1000, salts=16)
+    assert hot_keys(left, "document_id", rows=1000) == ["hot"] and hot_keys(left, "document_id") == []
+    got = left_join_unique(left, right, "document_id", rows=1000, salts=16)
     want = left.join(right, "document_id", "left")
     assert sorted(map(tuple, got.select("n", "v").collect())) == sorted(map(tuple, want.select("n", "v").collect()))
-    # the salt spreads the hot key: join keys seen by the shuffle
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64("document_id", "n"), F.lit(16))).filter("document_id = 'hot'")
-    assert salted.groupBy("_salt").count().count() == 16
+    plain = left_join_unique(left, right, "document_id")
+    assert sorted(map(tuple, plain.select("n", "v").collect())) == sorted(map(tuple, want.select("n", "v").collect()))
+    salts = left.filter("document_id = 'hot'").groupBy(F.pmod(row_hash(left), F.lit(16))).count().collect()
+    assert len(salts) == 16 and max(r["count"] for r in salts) < 1000
+
+
+def test_row_hash_takes_every_type(spark):
+    df = spark.sql("select 1 a, map('k', 1) m, parse_json('[1]') v, named_struct('m', map('x', array(1))) s")
+    assert df.select(row_hash(df)).first()[0] is not None
 
 
 @pytest.mark.parametrize("partitions", [1, 7])

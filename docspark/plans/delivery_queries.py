@@ -235,15 +235,19 @@ def note_flow() -> DocumentFlow:
     return DocumentFlow(
         schema=NOTE, model=first_line_reader, judge_model=length_judge, clean_rules={"heading": FieldRule(uppercase=True)},
         mapping={"letters": "size"}, types={"size": "int"}, defaults={"kind": "note"}, thresholds=THRESHOLDS["development"],
-        text_passthrough=False, stamp=False,
+        formats=("pdf",), stamp=False,
     )
 
 
-def run_notes(spark: SparkSession, sf: str, sink=None) -> FlowResult:
+def note_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", spread=True).select(
         "doc_id", F.when(F.col("doc_id") % 5 == 4, "text").otherwise("pdf").alias("format"), F.translate("text", "\t", " ").alias("content")
     )
-    return note_flow().run(as_documents(docs, id="doc_id"), sink=sink)
+    return as_documents(docs, id="doc_id")
+
+
+def run_notes(spark: SparkSession, sf: str, sink=None) -> FlowResult:
+    return note_flow().run(note_documents(spark, sf), sink=sink)
 
 
 SQL_NOTES = r"""WITH t AS (SELECT doc_id, doc_id % 5 = 4 AS bad, substr(regexp_replace(text, '[^\x20-\x7E\n\t]', ' ', 'g'), 1, 6000) AS t FROM documents),
@@ -285,7 +289,17 @@ def flow_report(spark: SparkSession, sf: str) -> DataFrame:
           count(*) FILTER (NOT success) AS failed_extractions, 'completed' AS status FROM r""",
 )
 def flow_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return run_notes(spark, sf).summary
+    return run_notes(spark, sf).summary.drop("run_id")
+
+
+@query(
+    "flow_batches",
+    f"""{SQL_NOTES}, b AS (SELECT *, (row_number() OVER (ORDER BY doc_id::VARCHAR) - 1) // 50 AS batch_id FROM r)
+        SELECT batch_id, count(*) AS total_documents, count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed, 'completed' AS status FROM b GROUP BY batch_id""",
+)
+def flow_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The flow over numbered batches of 50 documents: one result row per batch."""
+    return note_flow().run_batches(note_documents(spark, sf), 50, ["document_id"]).summary
 
 
 @query(

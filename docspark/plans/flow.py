@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docspark.operators.batches import assign_batches, batch_results
 from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import SetWhen, enrich
 from docspark.operators.extract import (
@@ -30,8 +31,8 @@ Model = Callable[[], Callable[[str, CallSettings], str]]
 class FlowResult(NamedTuple):
     parsed: DataFrame  # documents with their text
     records: DataFrame  # one row per document: its data, scores and route
-    report: DataFrame  # quality report, one row
-    summary: DataFrame  # run result, one row
+    report: DataFrame  # quality report, one row per run or batch
+    summary: DataFrame  # run result, one row per run or batch
     load_log: DataFrame | None  # one row per document when a sink was given
 
 
@@ -52,6 +53,7 @@ class DocumentFlow:
     settings: CallSettings = CallSettings()
     text_passthrough: bool = False
     formats: tuple[str, ...] = tuple(PARSERS)
+    carry: tuple[str, ...] = ()  # further document columns to keep
     tasks: int | None = None
     stamp: bool = True
 
@@ -59,37 +61,42 @@ class DocumentFlow:
         """Run all stages on a documents table (see ``sources.documents.as_documents``).
 
         What the models return is parsed and written once, so the report, the log and any later
-        action reuse it. Documents whose extraction failed skip the transforms and the judge but stay in
-        the result.
+        action reuse it. Documents whose extraction failed skip the transforms and the judge but
+        stay in the result.
         """
         parsed = parse(documents, text_passthrough=self.text_passthrough, formats=self.formats)
-        asked = parsed.select(
-            "document_id", "format", "metadata", "parse_error",
-            F.substring("raw_content", 1, JUDGE_CHARS).alias("source_text"),
-            extraction_prompt(F.col("raw_content"), self.schema).alias("prompt"),
+        keep = ("document_id", "format", "metadata", "parse_error", *self.carry, "source_text")
+        asked = parsed.withColumns(
+            {
+                "source_text": F.substring("raw_content", 1, JUDGE_CHARS),
+                "prompt": extraction_prompt(F.col("raw_content"), self.schema),
+            }
         )
-        keep = ("document_id", "format", "metadata", "parse_error", "source_text")
         replies = call_model(asked, self.model, keep=keep, settings=self.settings, tasks=self.tasks)
-        extracted = materialize(parse_reply(replies).drop("reply"), f"{run_id}-extracted")
+        answered = parse_reply(replies).drop("reply", "call_error").withColumnRenamed("call_ms", "extract_ms")
+        extracted = materialize(answered, f"{run_id}-extracted")
         columns = self.schema.columns or infer_columns(extracted)
 
         good, fields = self._transform(extracted.filter("success"), columns)
         bad = extracted.filter("not success").drop("extracted")
-        judged = self._judge(good, bad, fields, run_id)
-
-        report = quality_report(judged)
-        summary = judged.agg(
-            F.count("*").alias("total_documents"),
-            F.count_if("success").alias("successful_extractions"),
-            F.count_if(~F.col("success")).alias("failed_extractions"),
-            F.lit("completed").alias("status"),
-        )
+        judged = materialize(self._judge(good, bad, fields), f"{run_id}-judged")
+
         log = None
         if sink is not None:
             log = sink.write(judged.filter(F.col("route") == LOAD), run_id).unionByName(
                 skipped(judged.filter(F.col("route") != LOAD))
             )
-        return FlowResult(parsed, judged, report, summary, log)
+        return FlowResult(parsed, judged, quality_report(judged), run_summary(judged, run_id), log)
+
+    def run_batches(self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str = "run") -> FlowResult:
+        """The same over numbered batches of ``size`` documents; report and summary have one row per batch.
+
+        The batches are labels on one job, not jobs of their own: tasks follow the partitions.
+        """
+        flow = replace(self, carry=(*self.carry, "batch_id"))
+        result = flow.run(assign_batches(documents, size, order), sink, run_id)
+        summary = batch_results(result.records)
+        return result._replace(report=quality_report(result.records, ["batch_id"]), summary=summary)
 
     def _transform(self, df: DataFrame, columns: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
         """Clean, normalize and enrich the extracted fields into a ``data`` struct; returns the field names too.
@@ -107,16 +114,24 @@ class DocumentFlow:
         data = F.struct(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(ASIDE)])
         return df.select(*[F.col(ASIDE + c).alias(c) for c in own], data.alias("data")), fields
 
-    def _judge(self, good: DataFrame, bad: DataFrame, fields: list[str], run_id: str) -> DataFrame:
+    def _judge(self, good: DataFrame, bad: DataFrame, fields: list[str]) -> DataFrame:
         bad = bad.drop("source_text")
         if self.judge_model is None:
-            both = good.drop("source_text").unionByName(bad, allowMissingColumns=True)
-            return materialize(skip_judging(both), f"{run_id}-judged")
+            return skip_judging(good.drop("source_text").unionByName(bad, allowMissingColumns=True))
         record = {f: (F.col("data")[f], good.schema["data"].dataType[f].dataType) for f in fields}
-        asked = good.withColumn("prompt", judge_prompt(F.col("source_text"), record))
-        asked = asked.withColumnsRenamed({"call_ms": "extract_ms"}).drop("source_text", "call_error")
+        asked = good.withColumn("prompt", judge_prompt(F.col("source_text"), record)).drop("source_text")
         keep = tuple(c for c in asked.columns if c != "prompt")
         replies = call_model(asked, self.judge_model, keep=keep, settings=JUDGE_SETTINGS, tasks=self.tasks)
         replies = replies.withColumnsRenamed({"reply": "judge_reply", "call_error": "judge_error", "call_ms": "judge_ms"})
-        both = replies.unionByName(bad.withColumnsRenamed({"call_ms": "extract_ms"}), allowMissingColumns=True)
-        return materialize(judge(both, "judge_reply", self.thresholds), f"{run_id}-judged")
+        return judge(replies.unionByName(bad, allowMissingColumns=True), "judge_reply", self.thresholds)
+
+
+def run_summary(records: DataFrame, run_id: str) -> DataFrame:
+    """One row on a finished run."""
+    return records.agg(
+        F.lit(run_id).alias("run_id"),
+        F.count("*").alias("total_documents"),
+        F.count_if("success").alias("successful_extractions"),
+        F.count_if(~F.col("success")).alias("failed_extractions"),
+        F.lit("completed").alias("status"),
+    )

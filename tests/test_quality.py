@@ -165,8 +165,11 @@ def test_flow(spark, tmp_path, judging, declared):
     assert data["_enrichment"]["field_count"] == 5 and rows["a"].success is True and rows["a"].format == "html"
     assert not rows["b"].success and not rows["c"].success and rows["c"].parse_error and rows["b"].data is None
     assert [rows[k].route for k in "abc"] == (["load", "review", "review"] if judging else ["load"] * 3)
-    assert tuple(result.summary.first()) == (3, 1, 2, "completed")
+    assert tuple(result.summary.first()) == ("run", 3, 1, 2, "completed")
     log = {r.document_id: r.success for r in result.load_log.collect()}
     assert log == ({"a": True, "b": False, "c": False} if judging else {"a": True, "b": True, "c": True})
+    batches = flow.run_batches(as_documents(docs, id="k"), 2, ["document_id"])
+    assert sorted(tuple(r) for r in batches.summary.collect()) == [(0, 2, 1, 1, "completed"), (1, 1, 0, 1, "completed")]
+    assert sorted((r.batch_id, r.total_documents, r.passed_count) for r in batches.report.collect()) == [(0, 2, 1 if judging else 2), (1, 1, 0 if judging else 1)]
     stored = [json.loads(x) for f in (tmp_path / "out").rglob("*.json") for x in f.read_text().splitlines()]
     assert [x["data"]["age"] for x in stored if x["document_id"] == "a"] == [1200]

@@ -19,7 +19,7 @@ from docspark.operators.extract import (
 from docspark.operators.normalize import normalize
 from docspark.operators.quality import LOAD, Thresholds, judge, quality_report, skip_judging
 from docspark.session import materialize
-from docspark.sinks.records import skipped
+from docspark.sinks.records import failed, skipped
 from docspark.sinks.targets import Sink
 from docspark.sources.documents import PARSERS, parse
 
@@ -56,6 +56,7 @@ class DocumentFlow:
     carry: tuple[str, ...] = ()  # further document columns to keep
     tasks: int | None = None
     stamp: bool = True
+    log_sink_errors: bool = False
 
     def run(self, documents: DataFrame, sink: Sink | None = None, run_id: str = "run") -> FlowResult:
         """Run all stages on a documents table (see ``sources.documents.as_documents``).
@@ -81,11 +82,7 @@ class DocumentFlow:
         bad = extracted.filter("not success").drop("extracted")
         judged = materialize(self._judge(good, bad, fields), f"{run_id}-judged")
 
-        log = None
-        if sink is not None:
-            log = sink.write(judged.filter(F.col("route") == LOAD), run_id).unionByName(
-                skipped(judged.filter(F.col("route") != LOAD))
-            )
+        log = self._load(judged, sink, run_id) if sink is not None else None
         return FlowResult(parsed, judged, quality_report(judged), run_summary(judged, run_id), log)
 
     def run_batches(self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str = "run") -> FlowResult:
@@ -98,6 +95,17 @@ class DocumentFlow:
         summary = batch_results(result.records)
         return result._replace(report=quality_report(result.records, ["batch_id"]), summary=summary)
 
+    def _load(self, judged: DataFrame, sink: Sink, run_id: str) -> DataFrame:
+        """Write what passed and log every document; with ``log_sink_errors`` a failed write is logged, not raised."""
+        ready = judged.filter(F.col("route") == LOAD)
+        try:
+            done = sink.write(ready, run_id)
+        except Exception as e:
+            if not self.log_sink_errors:
+                raise
+            done = failed(ready, str(e)[:1000])
+        return done.unionByName(skipped(judged.filter(F.col("route") != LOAD)))
+
     def _transform(self, df: DataFrame, columns: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
         """Clean, normalize and enrich the extracted fields into a ``data`` struct; returns the field names too.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # --- Fixed values: load log texts ---
 SKIPPED = "skipped"
+FAILED_WRITE = "error"
 FAILED_QUALITY = "Quality validation failed"
 
 LOG = ["document_id", "destination", "success", "records_written", "error"]
@@ -66,6 +67,17 @@ def skipped(df: DataFrame) -> DataFrame:
     )
 
 
+def failed(df: DataFrame, message: str) -> DataFrame:
+    """Load log of records whose sink failed."""
+    return df.select(
+        "document_id",
+        F.lit(FAILED_WRITE).alias("destination"),
+        F.lit(False).alias("success"),
+        F.lit(0).alias("records_written"),
+        F.lit(message).alias("error"),
+    )
+
+
 def load_log(judged: DataFrame, destination: str) -> DataFrame:
     """Load log of a whole judged batch in one projection: written where passed, skipped elsewhere."""
     ok = F.col("passed")

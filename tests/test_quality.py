@@ -2,6 +2,7 @@
 
 import json
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,3 +174,17 @@ def test_flow(spark, tmp_path, judging, declared):
     assert sorted((r.batch_id, r.total_documents, r.passed_count) for r in batches.report.collect()) == [(0, 2, 1 if judging else 2), (1, 1, 0 if judging else 1)]
     stored = [json.loads(x) for f in (tmp_path / "out").rglob("*.json") for x in f.read_text().splitlines()]
     assert [x["data"]["age"] for x in stored if x["document_id"] == "a"] == [1200]
+
+
+class BrokenSink:
+    def write(self, df, batch_id):
+        raise OSError("disk full")
+
+
+def test_sink_failures(spark):
+    flow = DocumentFlow(ExtractionSchema("p", {}, {"a": "string"}), lambda: lambda prompt, settings: '{"a": "x"}', formats=("pdf",))
+    docs = as_documents(spark.createDataFrame([("1", "text", "pdf")], "k string, content string, format string"), id="k")
+    with pytest.raises(OSError):
+        flow.run(docs, sink=BrokenSink())
+    log = replace(flow, log_sink_errors=True).run(docs, sink=BrokenSink()).load_log.collect()
+    assert [tuple(r) for r in log] == [("1", "error", False, 0, "disk full")]

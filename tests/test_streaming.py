@@ -1,8 +1,13 @@
 """The stream gives what the batch gives, once, and survives bad batches."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
+from docspark.operators.extract import ExtractionSchema
+from docspark.plans.flow import DocumentFlow
+from docspark.sources.documents import as_documents
 from docspark.plans.quality_queries import checked_pages
 from docspark.streaming.ingest import file_stream, ingest, read_records, read_reports
 
@@ -44,6 +49,23 @@ def test_stream_equals_batch_and_continues(spark, pages):
     assert read_records(spark, f"{tmp}/out", SCHEMA).count() == df.count() + 3
 
 
+def test_the_whole_flow_on_a_stream(spark, pages):
+    df, folder, tmp = pages
+
+    def titles():
+        return lambda prompt, settings: json.dumps({"start": prompt.split("Text:\n")[1][:20]})
+
+    flow = DocumentFlow(ExtractionSchema("t", {}, {"start": "string"}), titles, formats=("html",))
+
+    def process_documents(batch):
+        docs = as_documents(batch.select("page_id", F.col("html").alias("content"), F.lit("html").alias("format")), id="page_id")
+        return flow.run(docs).records.select("document_id", "success", "route", "data.start")
+
+    ingest(file_stream(spark, folder, PAGES, files_per_batch=3), process_documents, f"{tmp}/out", f"{tmp}/cp").awaitTermination()
+    done = read_records(spark, f"{tmp}/out", "document_id string, success boolean, start string, route string")
+    assert done.filter("success and route = 'load' and start is not null").select("document_id").distinct().count() == df.count()
+
+
 def test_bad_batches_are_kept_and_reported(spark, pages):
     df, folder, tmp = pages
 

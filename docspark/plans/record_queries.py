@@ -11,7 +11,6 @@ from docspark.operators.normalize import coerce, fill_defaults, normalize, renam
 from docspark.plans.parse_queries import sql_collapse
 from docspark.plans.registry import query, sql_float, sql_strip, table
 
-
 # ---- cleaning ----
 
 DIRTY = "concat('\\t ', replace(text, 'e ', 'e\\t\\r  '), char(1), char(31), ' \\n')"

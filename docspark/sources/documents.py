@@ -81,7 +81,8 @@ def parse(
     in use keeps the plan small.
     """
     known = [*formats, *(["text"] if text_passthrough else [])]
-    error = F.when(~F.col("format").isin(known), F.concat(F.lit("No parser available for format: "), F.col("format")))
+    no_parser = F.concat(F.lit("No parser available for format: "), F.coalesce("format", F.lit("None")))
+    error = F.when(F.col("format").isNull() | ~F.col("format").isin(known), no_parser)
     if max_size_mb:
         limit = int(max_size_mb * 1024 * 1024)
         error = F.when(F.col("size_bytes") > limit, f"Document exceeds {max_size_mb} MB").otherwise(error)

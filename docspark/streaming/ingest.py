@@ -71,6 +71,12 @@ def ingest(
     )
 
 
+def append_json(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of a stream to JSON lines files, each exactly once."""
+    writer = rows.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start(path)
+
+
 def read_reports(spark: SparkSession, out: str) -> DataFrame:
     """The report rows of all batches so far."""
     return spark.read.schema(REPORT).parquet(f"{out}/reports")

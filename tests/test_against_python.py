@@ -71,6 +71,13 @@ def test_parse_float(spark):
         assert got is None or got == want or (got != got and want != want), repr(v)
 
 
+def test_broken_utf8(spark):
+    pieces = [0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0xED, 0xA0, 0x41, 0xC0, 0xF5]
+    values = [bytes(rng.choice([rng.randrange(256), *pieces]) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    got = apply(spark, values, T.BinaryType(), lambda c: F.make_valid_utf8(c.cast("string")))
+    assert [g[0] for g in got] == [v.decode("utf-8", "replace") for v in values]
+
+
 def test_floats_and_other_values_as_text(spark):
     values = [0.0, -0.0, 1.0, 100.0, 0.1, 1e7, 12345678.9, 1e15, 123456789012345680.0, 1e16, 1.5e16, 1e-4, 0.00012, 1e-5, 1.5e-7, -2.5e20, 1e300,
               float("nan"), float("inf"), float("-inf"), *[rng.uniform(-1, 1) * 10 ** rng.randint(-8, 20) for _ in range(2000)]]

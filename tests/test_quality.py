@@ -12,7 +12,7 @@ from docspark.operators.extract import CallSettings, ExtractionSchema, call_mode
 from docspark.operators.quality import Thresholds, judge, passes, quality_report
 from docspark.plans.flow import DocumentFlow
 from docspark.session import materialize
-from docspark.sinks.targets import FunctionSink, JsonSink
+from docspark.sinks.targets import FunctionSink, JdbcSink, JsonSink
 from docspark.sources.documents import as_documents
 
 
@@ -188,3 +188,23 @@ def test_sink_failures(spark):
         flow.run(docs, sink=BrokenSink())
     log = replace(flow, log_sink_errors=True).run(docs, sink=BrokenSink()).load_log.collect()
     assert [tuple(r) for r in log] == [("1", "error", False, 0, "disk full")]
+
+
+def test_jdbc_options(spark, monkeypatch):
+    """Without a database: what is handed to the JDBC writer, and the log that follows."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = {}
+
+    def options(self, **given):
+        seen.update(given)
+        return self
+
+    monkeypatch.setattr(DataFrameWriter, "options", options)
+    monkeypatch.setattr(DataFrameWriter, "format", lambda self, name: seen.update(format=name) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(columns=self._df.columns))
+    df = spark.createDataFrame([("1", {"v": 3}, 0.9)], "document_id string, data struct<v:int>, overall double")
+    log = JdbcSink("jdbc:postgresql://u@db/x", "records", schema_name="s", properties={"driver": "d"}).write(df, "b").collect()
+    assert seen["format"] == "jdbc" and seen["dbtable"] == "records" and seen["url"].endswith("db/x") and seen["driver"] == "d"
+    assert seen["columns"] == ["document_id", "data", "schema_name", "quality_score", "loaded_at", "metadata"]
+    assert [tuple(r) for r in log] == [("1", "records@db/x", True, 1, None)]

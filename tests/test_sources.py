@@ -72,6 +72,11 @@ def test_unknown_format_keeps_the_row(spark):
     assert "must not be empty" in one(spark, "   ", "text", text_passthrough=True).parse_error
 
 
+def test_missing_format_or_content(spark):
+    rows = parsed(spark, [("x", None), (None, "html")])
+    assert [r.parse_error for r in rows] == ["No parser available for format: None", "Document raw_content must not be empty"]
+
+
 def test_size_limit(spark):
     rows = parsed(spark, [("x" * 2000, "pdf"), ("x", "pdf")], max_size_mb=0.001)
     assert [r.parse_error is None for r in rows] == [False, True]

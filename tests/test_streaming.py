@@ -9,7 +9,7 @@ from docspark.operators.extract import ExtractionSchema
 from docspark.plans.flow import DocumentFlow
 from docspark.sources.documents import as_documents
 from docspark.plans.quality_queries import checked_pages
-from docspark.streaming.ingest import file_stream, ingest, read_records, read_reports
+from docspark.streaming.ingest import append_json, file_stream, ingest, read_records, read_reports
 
 COLUMNS = ["page_id", "host", "title", "links_count", "success", "route"]
 SCHEMA = "page_id bigint, host string, title string, links_count int, success boolean, route string"
@@ -49,6 +49,14 @@ def test_stream_equals_batch_and_continues(spark, pages):
     assert read_records(spark, f"{tmp}/out", SCHEMA).count() == df.count() + 3
 
 
+def test_json_lines_are_appended_once(spark, pages):
+    df, folder, tmp = pages
+    for _ in range(2):
+        rows = process(file_stream(spark, folder, PAGES)).select("page_id", "route")
+        append_json(rows, f"{tmp}/json", f"{tmp}/cp").awaitTermination()
+    assert spark.read.json(f"{tmp}/json").count() == df.count()
+
+
 def test_the_whole_flow_on_a_stream(spark, pages):
     df, folder, tmp = pages
 

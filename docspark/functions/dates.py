@@ -12,10 +12,11 @@ from docspark.functions.text import WS, strip
 # --- Fixed values: spellings tried in this order (month/day wins over day/month) ---
 _MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
 _MONTHS_SHORT = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
-_YMD, _HMS = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}:\d{1,2}:\d{1,2}"
+_DAY = r"(?:\d{1,2}|\x20\d)"  # a one-digit day may be padded with a blank
+_YMD, _HMS = rf"\d{{4}}-\d{{1,2}}-{_DAY}", r"\d{1,2}:\d{1,2}:\d{1,2}"
 DATE_SPELLINGS = [
     (_YMD, "yyyy-M-d"),
-    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+    (rf"\d{{1,2}}/{_DAY}/\d{{4}}", "M/d/yyyy"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
     (rf"(?:{_MONTHS}) \d{{1,2}}, \d{{4}}", "MMMM d, yyyy"),
     (rf"(?:{_MONTHS_SHORT}) \d{{1,2}}, \d{{4}}", "MMM d, yyyy"),
@@ -53,7 +54,7 @@ def parse_date(c: Column) -> Column:
 
     The guard patterns run on the text itself, which is only rewritten once one of them fits.
     """
-    single_blanks = F.regexp_replace(strip(c), f"[{WS}]+", " ")
+    single_blanks = F.regexp_replace(F.regexp_replace(strip(c), f"[{WS}]+", " "), "([-/]) ", "$1")
     tries = [
         F.when(
             c.rlike(rf"(?i)\A[{WS}]*(?!0000){guard.replace(' ', f'[{WS}]+')}[{WS}]*\z"),

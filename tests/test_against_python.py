@@ -126,14 +126,15 @@ FORMATS = ["%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y", "%B %d, %Y", "%b %d, %Y", "%Y-%m-
 
 def test_dates(spark):
     values = []
-    for _ in range(1500):
+    for _ in range(6000):
         d = datetime(rng.randint(1000, 2100), rng.randint(1, 12), rng.randint(1, 28), rng.randint(0, 23), rng.randint(0, 59), rng.randint(0, 59))
         text = d.strftime(rng.choice(FORMATS))
         if rng.random() < 0.3:
             k = rng.randrange(len(text))
             text = text[:k] + rng.choice("0129/- ,TxM") + text[k + 1:]
         values.append(rng.choice(["", " "]) + text.replace("/0", "/").upper() if rng.random() < 0.3 else text)
-    values += ["2024-02-30", "13/13/2024", "31/12/2024", "1/2/2024", "0000-01-01", "24-01-01", "Sept 1, 2024", "2024-1-1 24:00:00", "2024-01-01T10:20:30Z", "May 5, 2024"]
+    values += ["2024-02-30", "13/13/2024", "31/12/2024", "1/2/2024", "0000-01-01", "24-01-01", "Sept 1, 2024", "2024-1-1 24:00:00", "2024-01-01T10:20:30Z", "May 5, 2024", "2024-01- 5", "1/ 5/2024",
+               "2024- 1-05", "1/  5/2024", "2024-01- 0", "2024-01- 5 1:2:3", "May\n 5,\t2024"]
 
     def slow(v):
         for f in FORMATS:

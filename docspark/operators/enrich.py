@@ -118,18 +118,23 @@ def text_stats(c: Column) -> Column:
     )
 
 
-def text_analytics(df: DataFrame, fields: list[str]) -> Column:
-    """MAP of field name to ``text_stats`` for the long texts of the record; null when there are none."""
+def add_text_analytics(df: DataFrame, fields: list[str], out: str = "_text_analytics") -> DataFrame:
+    """Add a MAP of field name to ``text_stats`` for the long texts of the record; null when there are none.
+
+    The stats get columns of their own first: they run in generated code, and only the assembly
+    of the map, which is cheap, does not.
+    """
     texts = [n for n in fields if isinstance(df.schema[n].dataType, T.StringType) and not n.startswith("_")]
     if not texts:
-        return F.lit(None).cast(f"map<string,{TEXT_STATS}>")
-    longs = [F.length(_col(n)) > LONG_TEXT for n in texts]
+        return df.withColumn(out, F.lit(None).cast(f"map<string,{TEXT_STATS}>"))
+    stats = {f"_stats_{i}": F.when(F.length(_col(n)) > LONG_TEXT, text_stats(_col(n))) for i, n in enumerate(texts)}
+    df = df.withColumns(stats)
     entries = [
-        F.when(is_long, F.struct(F.lit(n).alias("key"), text_stats(_col(n)).alias("value")))
-        for n, is_long in zip(texts, longs)
+        F.when(F.col(s).isNotNull(), F.struct(F.lit(n).alias("key"), F.col(s).alias("value")))
+        for s, n in zip(stats, texts)
     ]
-    some = reduce(lambda a, b: a | b, [F.coalesce(is_long, F.lit(False)) for is_long in longs])
-    return F.when(some, F.map_from_entries(F.array_compact(F.array(*entries))))
+    some = F.coalesce(*stats).isNotNull()
+    return df.withColumn(out, F.when(some, F.map_from_entries(F.array_compact(F.array(*entries))))).drop(*stats)
 
 
 def list_text_analytics(enriched: DataFrame, keys: list[str]) -> DataFrame:
@@ -167,4 +172,4 @@ def enrich(
     before = set(df.columns)
     df = set_when(df.withColumns(new), rules or [], presence)
     added = [n for n in df.columns if n not in before and n not in fields]
-    return df.withColumn("_text_analytics", text_analytics(df, [*fields, *added]))
+    return add_text_analytics(df, [*fields, *added])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,34 +144,34 @@ def _cross_field(rule: Rule, record: _Record) -> Column | None:
 CHECKS = {"required": _required, "format": _format, "range": _range, "custom": _custom, "cross_field": _cross_field}
 
 
-def violations(df: DataFrame, rules: list[Rule]) -> Column:
-    """ARRAY of violations in rule order; unknown checks are ignored."""
+def violations(df: DataFrame, rules: list[Rule]) -> list[Column]:
+    """One nullable violation per rule, in rule order; rules with an unknown check are ignored."""
     record = _Record(df)
     found = [CHECKS[r.check](r, record) for r in rules if r.check in CHECKS]
-    found = [v for v in found if v is not None]
-    if not found:
-        return F.array().cast(f"array<{VIOLATION}>")
-    return F.array_compact(F.array(*found))
-
-
-def count_severity(violations: Column, severity: str) -> Column:
-    return F.size(F.filter(violations, lambda v: v["severity"] == severity))
+    return [v for v in found if v is not None]
 
 
 def validate(df: DataFrame, rules: list[Rule], out: str = "validation") -> DataFrame:
-    """Add a struct ``out`` of valid, error_count, warning_count and violations."""
-    raw = f"_{out}_violations"
-    df = df.withColumn(raw, violations(df, rules))
-    errors = count_severity(F.col(raw), ERROR)
-    return df.withColumn(
-        out,
-        F.struct(
-            (errors == 0).alias("valid"),
-            errors.alias("error_count"),
-            count_severity(F.col(raw), WARNING).alias("warning_count"),
-            F.col(raw).alias("violations"),
-        ),
-    ).drop(raw)
+    """Add a struct ``out`` of valid, error_count, warning_count and violations.
+
+    Each rule gets a column first, so that all checks run once and in generated code; counting
+    and listing only look at those columns.
+    """
+    checks = {f"_{out}_{i}": v for i, v in enumerate(violations(df, rules))}
+    df = df.withColumns(checks)
+
+    def count(severity: str) -> Column:
+        hits = [F.coalesce((F.col(c)["severity"] == severity).cast("int"), F.lit(0)) for c in checks]
+        return reduce(lambda a, b: a + b, hits, F.lit(0))
+
+    listed = F.array_compact(F.array(*checks)) if checks else F.array().cast(f"array<{VIOLATION}>")
+    verdict = F.struct(
+        (count(ERROR) == 0).alias("valid"),
+        count(ERROR).alias("error_count"),
+        count(WARNING).alias("warning_count"),
+        listed.alias("violations"),
+    )
+    return df.withColumn(out, verdict).drop(*checks)
 
 
 def list_violations(checked: DataFrame, keys: list[str], validation: str = "validation") -> DataFrame:

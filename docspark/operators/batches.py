@@ -16,6 +16,8 @@ DELIVERED = [200, 201, 202]
 MAX_RETRIES = 3
 RETRY_DELAY = 1.0
 ERROR_CHARS = 200
+RETRIES_USED_UP = "Max retries exceeded"
+HTTP_ERROR = "HTTP {}: {}"
 
 
 def assign_batches(df: DataFrame, size: int, order: list[str], partitions: int | None = None) -> DataFrame:
@@ -132,13 +134,12 @@ def delivery_outcome(
         text = F.when(F.col("_first") == i, F.col(f"_a{i}.error")).otherwise(text)
     df = df.withColumns({"_status": code, "_text": text})
     delivered = F.coalesce(F.col("_status").isin(DELIVERED), F.lit(False))
-    http = F.concat(
-        F.lit("HTTP "), F.col("_status").cast("string"), F.lit(": "),
-        F.substring(F.coalesce(F.col("_text"), F.lit("")), 1, ERROR_CHARS),
-    )
+    before, between, _ = HTTP_ERROR.split("{}")
+    answer = F.substring(F.coalesce(F.col("_text"), F.lit("")), 1, ERROR_CHARS)
+    http = F.concat(F.lit(before), F.col("_status").cast("string"), F.lit(between), answer)
     error = (
         F.when(delivered, F.lit(None))
-        .when(F.col("_first").isNull(), "Max retries exceeded")
+        .when(F.col("_first").isNull(), RETRIES_USED_UP)
         .when(F.col("_status").isNull(), F.col("_text"))
         .otherwise(http)
     )

@@ -11,6 +11,10 @@ from docspark.operators.extract import parse_judgement
 
 LOAD, REVIEW, REJECT = "load", "review", "reject"
 
+# --- Fixed values ---
+NO_RESULTS = "Extraction produced no results"
+REVIEW_ABOVE = 0.5
+
 
 @dataclass(frozen=True)
 class Thresholds:
@@ -61,7 +65,7 @@ def judge(df: DataFrame, reply: str = "judge_reply", t: Thresholds = Thresholds(
             "passed": ok & passes(F.col("completeness"), F.col("accuracy"), t),
         }
     )
-    df = df.withColumn("flagged", ~F.col("passed") & (~ok | (F.col("overall") > 0.5)))
+    df = df.withColumn("flagged", ~F.col("passed") & (~ok | (F.col("overall") > REVIEW_ABOVE)))
     return df.withColumn("route", route(F.col("passed"), F.col("flagged"))).drop(
         "_completeness", "_accuracy", "_issues", "_usable"
     )
@@ -121,7 +125,7 @@ def extract_response(df: DataFrame, reply: str = "judge_reply", t: Thresholds =
             "quality_score": F.when(ok, (F.col("_completeness") + F.col("_accuracy")) / 2),
             "passed_validation": F.when(ok, passes(F.col("_completeness"), F.col("_accuracy"), t)),
             "issues": F.when(ok, F.col("_issues")).otherwise(F.array().cast("array<string>")),
-            "error": F.when(~ok, "Extraction produced no results"),
+            "error": F.when(~ok, NO_RESULTS),
         }
     ).drop("_completeness", "_accuracy", "_issues")
 

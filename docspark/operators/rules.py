@@ -14,7 +14,18 @@ from docspark.functions.render import py_str
 from docspark.functions.text import is_blank, java_regex, parse_float
 from docspark.operators.normalize import truthy
 
+# --- Fixed values: severities and messages ---
 ERROR, WARNING, INFO = "error", "warning", "info"
+IS_REQUIRED = "Field '{}' is required"
+BAD_FORMAT = "Field '{}' does not match expected format"
+OUT_OF_RANGE = "Field '{}' is out of expected range"
+NOT_NUMERIC = "Field '{}' is not numeric"
+BELOW_MINIMUM = "below minimum"
+ABOVE_MAXIMUM = "above maximum"
+MUST_EQUAL = "'{}' must equal '{}'"
+MUST_BE_GREATER = "'{}' must be greater than '{}'"
+REQUIRED_WHEN_SET = "'{}' required when '{}' is set"
+CUSTOM_ERROR = "Custom validation error"
 
 
 @dataclass(frozen=True)
@@ -35,16 +46,16 @@ class Rule:
 
 
 def required(field: str, message: str = "", severity: str = ERROR) -> Rule:
-    return Rule(f"required_{field}", field, "required", severity, message or f"Field '{field}' is required")
+    return Rule(f"required_{field}", field, "required", severity, message or IS_REQUIRED.format(field))
 
 
 def matches(field: str, pattern: str, message: str = "", severity: str = ERROR) -> Rule:
-    message = message or f"Field '{field}' does not match expected format"
+    message = message or BAD_FORMAT.format(field)
     return Rule(f"format_{field}", field, "format", severity, message, pattern=pattern)
 
 
 def in_range(field: str, min: float | None = None, max: float | None = None, message: str = "", severity: str = ERROR) -> Rule:
-    message = message or f"Field '{field}' is out of expected range"
+    message = message or OUT_OF_RANGE.format(field)
     return Rule(f"range_{field}", field, "range", severity, message, min=min, max=max)
 
 
@@ -96,11 +107,11 @@ def _range(rule: Rule, record: _Record) -> Column:
     else:
         number = F.lit(None).cast("double")
     out = F.when(
-        c.isNotNull() & number.isNull(), _violation(rule, f"Field '{rule.field}' is not numeric", actual)
+        c.isNotNull() & number.isNull(), _violation(rule, NOT_NUMERIC.format(rule.field), actual)
     )
     shown = py_str(number, T.DoubleType())
-    for bound, outside, word in ((rule.min, number < F.lit(rule.min), "below minimum"),
-                                 (rule.max, number > F.lit(rule.max), "above maximum")):
+    for bound, outside, word in ((rule.min, number < F.lit(rule.min), BELOW_MINIMUM),
+                                 (rule.max, number > F.lit(rule.max), ABOVE_MAXIMUM)):
         if bound is not None:
             message = rule.message or F.concat(F.lit("Value "), shown, F.lit(f" {word} {bound}"))
             # not-a-number compares as largest in Spark but is never out of range
@@ -114,7 +125,7 @@ def _custom(rule: Rule, record: _Record) -> Column | None:
     c, dtype = record.get(rule.field)
     ok = rule.predicate(c)
     actual = py_str(c, dtype)
-    return F.when(ok.isNull(), _violation(rule, "Custom validation error", actual, WARNING)).when(
+    return F.when(ok.isNull(), _violation(rule, CUSTOM_ERROR, actual, WARNING)).when(
         ~ok, _violation(rule, rule.message, actual)
     )
 
@@ -124,7 +135,7 @@ def _cross_field(rule: Rule, record: _Record) -> Column | None:
         return None
     (a, a_type), (b, b_type) = record.get(rule.field), record.get(rule.other)
     if rule.condition == "equals":
-        message = rule.message or f"'{rule.field}' must equal '{rule.other}'"
+        message = rule.message or MUST_EQUAL.format(rule.field, rule.other)
         both = F.concat(
             F.coalesce(py_str(a, a_type), F.lit("None")), F.lit(" vs "), F.coalesce(py_str(b, b_type), F.lit("None"))
         )
@@ -132,11 +143,11 @@ def _cross_field(rule: Rule, record: _Record) -> Column | None:
         same = a.isNull() & b.isNull() if mixed else a.eqNullSafe(b)  # text never equals a number
         return F.when(~same, _violation(rule, message, both))
     if rule.condition == "greater_than":
-        message = rule.message or f"'{rule.field}' must be greater than '{rule.other}'"
+        message = rule.message or MUST_BE_GREATER.format(rule.field, rule.other)
         both = F.concat(py_str(a, a_type), F.lit(" vs "), py_str(b, b_type))
         return F.when(~(a > b), _violation(rule, message, both))
     if rule.condition == "not_empty_if":
-        message = rule.message or f"'{rule.other}' required when '{rule.field}' is set"
+        message = rule.message or REQUIRED_WHEN_SET.format(rule.other, rule.field)
         return F.when(truthy(a, a_type) & ~truthy(b, b_type), _violation(rule, message, py_str(b, b_type)))
     return None
 

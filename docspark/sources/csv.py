@@ -10,6 +10,8 @@ from docspark.functions.text import or_placeholder
 # --- Fixed values ---
 SHOWN_ROWS = 50
 EMPTY_CSV = "(empty CSV)"
+COLUMNS, TOTAL_ROWS, ROW, EXTRA_COLUMN = "Columns: ", "Total rows: ", "Row ", "col_"
+MORE_ROWS = "... ({} more rows)"
 # one field: quoted (an open quote runs to the end), plain, or empty; then one record
 FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'
 RECORD = rf"({FIELD}(?:,{FIELD})*+)(?:\r\n|\r|\n|\z)"
@@ -31,16 +33,17 @@ def _fields(record: Column) -> Column:
 
 def _row_text(head: Column, cells: Column, number: Column) -> Column:
     def pair(cell: Column, j: Column) -> Column:
-        name = F.coalesce(F.get(head, j), F.concat(F.lit("col_"), j.cast("string")))
+        name = F.coalesce(F.get(head, j), F.concat(F.lit(EXTRA_COLUMN), j.cast("string")))
         return F.concat(name, F.lit(": "), cell)
 
-    return F.concat(F.lit("Row "), number.cast("string"), F.lit(": "), F.array_join(F.transform(cells, pair), " | "))
+    return F.concat(F.lit(ROW), number.cast("string"), F.lit(": "), F.array_join(F.transform(cells, pair), " | "))
 
 
 def _full_text(names: Column, rows: Column, shown: Column) -> Column:
-    more = F.concat(F.lit("\n... ("), (rows - SHOWN_ROWS).cast("string"), F.lit(" more rows)"))
+    before, after = MORE_ROWS.split("{}")
+    more = F.concat(F.lit("\n" + before), (rows - SHOWN_ROWS).cast("string"), F.lit(after))
     return F.concat(
-        F.lit("Columns: "), names, F.lit("\nTotal rows: "), rows.cast("string"), F.lit("\n"),
+        F.lit(COLUMNS), names, F.lit("\n" + TOTAL_ROWS), rows.cast("string"), F.lit("\n"),
         F.when(rows > 0, F.concat(F.lit("\n"), shown)).otherwise(""),
         F.when(rows > SHOWN_ROWS, more).otherwise(""),
     )

@@ -12,6 +12,9 @@ from docspark.sources import csv, email, html, pdf
 # --- Fixed values ---
 FORMATS = ["pdf", "email", "html", "csv", "text"]
 PREVIEW_CHARS = 500
+NO_PARSER = "No parser available for format: "
+BLANK_CONTENT = "Document raw_content must not be empty"
+PARSE_ERROR = "(parse error: {})"
 META = "map<string,string>"
 REQUEST = "documents array<struct<text:string,format:string>>"
 
@@ -81,7 +84,7 @@ def parse(
     in use keeps the plan small.
     """
     known = [*formats, *(["text"] if text_passthrough else [])]
-    no_parser = F.concat(F.lit("No parser available for format: "), F.coalesce("format", F.lit("None")))
+    no_parser = F.concat(F.lit(NO_PARSER), F.coalesce("format", F.lit("None")))
     error = F.when(F.col("format").isNull() | ~F.col("format").isin(known), no_parser)
     if max_size_mb:
         limit = int(max_size_mb * 1024 * 1024)
@@ -117,10 +120,11 @@ def mark_errors(df: DataFrame) -> DataFrame:
     """Blank content is an error too; erroneous rows carry the message as their text."""
     blank = F.coalesce(is_blank(F.col("raw_content")), F.lit(True))
     df = df.withColumn(
-        "parse_error", F.coalesce("parse_error", F.when(blank, "Document raw_content must not be empty"))
+        "parse_error", F.coalesce("parse_error", F.when(blank, BLANK_CONTENT))
     )
     failed = F.col("parse_error").isNotNull()
-    message = F.concat(F.lit("(parse error: "), F.col("parse_error"), F.lit(")"))
+    before, after = PARSE_ERROR.split("{}")
+    message = F.concat(F.lit(before), F.col("parse_error"), F.lit(after))
     return df.withColumns(
         {
             "raw_content": F.when(failed, message).otherwise(F.col("raw_content")),

@@ -11,6 +11,8 @@ from docspark.functions.text import strip, tags_to_blanks
 NEWLINE = r"(?:\r\n|\r|\n)"
 HEADER_BLOCK = rf"\A(?:(?:From |[!-9;-~]*:|[ \t])[^\r\n]*+(?:\r\n|\r|\n|\z))*+"
 NODES = "array<struct<head:string,body:string,open:boolean>>"
+ATTACHMENTS = "[Attachments: {}]"
+SHOWN_HEADERS = ["From", "To", "Subject", "Date"]
 HEADERS = ["from", "to", "subject", "date", "cc"]
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 MAIL_DATE = (
@@ -166,11 +168,12 @@ def parse(df: DataFrame, content: str = "content", prefix: str = "") -> DataFram
     )
     meta = {h: F.col(f"{p}meta_{h}") for h in HEADERS}
     df = df.withColumn(f"{p}meta_date", _date(meta["date"]))
-    listed = F.concat(F.lit("\n\n[Attachments: "), F.array_join(files, ", "), F.lit("]"))
+    before, after = ATTACHMENTS.split("{}")
+    listed = F.concat(F.lit("\n\n" + before), F.array_join(files, ", "), F.lit(after))
+    shown = [F.concat(F.lit(f"{h}: "), meta[h.lower()]) for h in SHOWN_HEADERS]
     text = F.concat(
-        F.lit("From: "), meta["from"], F.lit("\nTo: "), meta["to"], F.lit("\nSubject: "), meta["subject"],
-        F.lit("\nDate: "), meta["date"], F.lit("\n\n"), F.col(body),
-        F.when(F.size(files) > 0, listed).otherwise(""),
+        F.concat_ws("\n", *shown, F.lit(""), F.col(body)), F.when(F.size(files) > 0, listed).otherwise("")
     )
+    text = F.when(raw.isNotNull(), text)
     df = df.withColumns({f"{p}raw_content": text, f"{p}meta_attachment_count": F.size(files)})
     return df.drop(root, nodes, leaves, files, body)

@@ -49,14 +49,20 @@ REPR_SHORT = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
 
 
 def _json_string(c: Column) -> Column:
-    """A JSON string in ASCII: other characters as UTF-16 escapes."""
-    short = _short_escapes(c, JSON_SHORT)
+    """A JSON string in ASCII: other characters as UTF-16 escapes, in lower case.
+
+    Spark's own JSON writer does the common escapes; the few control characters it writes in
+    upper case take the longer way.
+    """
+    quoted = F.to_json(F.array(c))
+    body = F.substring(quoted, F.lit(3), F.length(quoted) - 4)
     body = (
         F.when(~c.rlike(r'[^ !#-\[\]-~]'), c)
-        .when(~c.rlike(r"[^ -~\n\r\t\f\x08]"), short)
-        .otherwise(_escape_runs(short, "[^ -~]", "[ -~]", _utf16_escapes))
+        .when(c.rlike(r"[\x0b\x0e\x0f\x1a-\x1f]"), _escape_runs(_short_escapes(c, JSON_SHORT), "[^ -~]", "[ -~]", _utf16_escapes))
+        .when(~c.rlike(r"[^\x00-~]"), body)
+        .otherwise(_escape_runs(body, "[^ -~]", "[ -~]", _utf16_escapes))
     )
-    return F.concat(F.lit('"'), body, F.lit('"'))
+    return F.when(c.isNotNull(), F.concat(F.lit('"'), body, F.lit('"')))
 
 
 def _repr_string(c: Column) -> Column:

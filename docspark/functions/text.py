@@ -71,7 +71,7 @@ def html_to_text(c: Column) -> Column:
     c = F.regexp_replace(c, ANY_TAG, " ")
     for entity, char in ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
-    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
+    c = F.regexp_replace(c, r"[ \t]+", " ")
     return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from typing import Any, NamedTuple
@@ -58,13 +59,15 @@ class DocumentFlow:
     stamp: bool = True
     log_sink_errors: bool = False
 
-    def run(self, documents: DataFrame, sink: Sink | None = None, run_id: str = "run") -> FlowResult:
+    def run(self, documents: DataFrame, sink: Sink | None = None, run_id: str | None = None) -> FlowResult:
         """Run all stages on a documents table (see ``sources.documents.as_documents``).
 
         What the models return is parsed and written once, so the report, the log and any later
         action reuse it. Documents whose extraction failed skip the transforms and the judge but
-        stay in the result.
+        stay in the result. Sinks file their output under ``run_id``: give the same one to replace
+        the output of an earlier run, none to add to it.
         """
+        run_id = run_id or uuid.uuid4().hex
         parsed = parse(documents, text_passthrough=self.text_passthrough, formats=self.formats)
         keep = ("document_id", "format", "metadata", "parse_error", *self.carry, "source_text")
         asked = parsed.withColumns(
@@ -85,7 +88,9 @@ class DocumentFlow:
         log = self._load(judged, sink, run_id) if sink is not None else None
         return FlowResult(parsed, judged, quality_report(judged), run_summary(judged, run_id), log)
 
-    def run_batches(self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str = "run") -> FlowResult:
+    def run_batches(
+        self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str | None = None
+    ) -> FlowResult:
         """The same over numbered batches of ``size`` documents; report and summary have one row per batch.
 
         The batches are labels on one job, not jobs of their own: tasks follow the partitions.

@@ -32,8 +32,9 @@ def ingest(
     """Run ``process`` on each micro-batch and write its rows by route, then a report row.
 
     Rows go to ``out/records/batch_id=N/<route>=...`` and the report to ``out/reports/batch_id=N``;
-    a batch that runs again after a failure replaces its own folders. The report is counted from
-    what was written, so ``process`` runs once. With ``keep_going`` a batch that fails is stored
+    a batch that runs again after a failure replaces its own folders. ``out`` and ``checkpoint``
+    belong together: a new checkpoint numbers its batches from 0 and needs a new ``out``. The
+    report is counted from what was written, so ``process`` runs once. With ``keep_going`` a batch that fails is stored
     as it came under ``out/failed`` and reported, and the stream moves on.
     """
 

@@ -159,7 +159,7 @@ def test_flow(spark, tmp_path, judging, declared):
     )
     docs = spark.createDataFrame([("a", "<p>Ann</p>", "html"), ("b", "<p>Bob</p>", "html"), ("c", "Ann", "text")], "k string, content string, format string")
     sink = JsonSink(str(tmp_path / "out"))
-    result = flow.run(as_documents(docs, id="k"), sink=sink)
+    result = flow.run(as_documents(docs, id="k"), sink=sink, run_id="run")
     rows = {r.document_id: r for r in result.records.collect()}
     data = rows["a"].data
     assert (data.name, data.age, data.city, data["_source"]["format"], data.success, data.format) == ("ann", 1200, "n/a", "html", "no", "x")
@@ -172,8 +172,11 @@ def test_flow(spark, tmp_path, judging, declared):
     batches = flow.run_batches(as_documents(docs, id="k"), 2, ["document_id"])
     assert sorted(tuple(r) for r in batches.summary.collect()) == [(0, 2, 1, 1, "completed"), (1, 1, 0, 1, "completed")]
     assert sorted((r.batch_id, r.total_documents, r.passed_count) for r in batches.report.collect()) == [(0, 2, 1 if judging else 2), (1, 1, 0 if judging else 1)]
+    flow.run(as_documents(docs, id="k"), sink=sink)  # another run adds, the same run id replaces
+    flow.run(as_documents(docs, id="k"), sink=sink, run_id="run")
+    assert len(list((tmp_path / "out").iterdir())) == 2
     stored = [json.loads(x) for f in (tmp_path / "out").rglob("*.json") for x in f.read_text().splitlines()]
-    assert [x["data"]["age"] for x in stored if x["document_id"] == "a"] == [1200]
+    assert [x["data"]["age"] for x in stored if x["document_id"] == "a"] == [1200, 1200]
 
 
 class BrokenSink:

@@ -17,17 +17,17 @@ WS = r"\s\x1c\x1d\x1e\x1f\x{85}\p{Z}"  # the same set inside a regex class
 WORD = r"\p{L}\p{N}_"
 
 # --- Fixed values: the order of the HTML text steps and their patterns ---
-SCRIPT_BLOCK = r"(?is)<script[^>]*>.*?</script>"
-STYLE_BLOCK = r"(?is)<style[^>]*>.*?</style>"
-BLOCK_TAG = r"(?i)<(?:p|div|br|h[1-6]|li|tr)[^>]*>"
-ANY_TAG = r"<[^>]+>"
-TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+SCRIPT_BLOCK = r"(?is)<script[^>]*+>.*?</script>"
+STYLE_BLOCK = r"(?is)<style[^>]*+>.*?</style>"
+BLOCK_TAG = r"(?i)<(?:p|div|br|h[1-6]|li|tr)[^>]*+>"
+ANY_TAG = r"<[^>]++>"
+TITLE = r"(?is)<title[^>]*+>(.*?)</title>"
 LINK = r"(?i)<a[" + WS + "]"
 ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&quot;", '"')]
 EMPTY_HTML = "(empty HTML)"
 
 # --- Fixed values: number syntax accepted by Python's float() ---
-_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
 FLOAT_TEXT = (
     rf"(?i)\A[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
     r"|nan|inf(?:inity)?)\z"

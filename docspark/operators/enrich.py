@@ -16,7 +16,7 @@ from docspark.functions.text import WORD, WS, word_count
 
 # --- Fixed values: what the text analytics look for, and from which length on ---
 LONG_TEXT = 50
-EMAIL = rf"[{WORD}.-]+@[{WORD}.-]+\.[{WORD}]+"
+EMAIL = rf"[{WORD}.-]@[{WORD}.-]+\.[{WORD}]"  # one character each side is enough, and keeps long words linear
 PHONE = rf"\p{{Nd}}(?<![{WORD}]\p{{Nd}})\p{{Nd}}{{2}}[-.]?\p{{Nd}}{{3}}[-.]?\p{{Nd}}{{4}}(?![{WORD}])"
 URL = rf"https?://[^{WS}]"
 HASH_LENGTH = 16

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from docspark.functions.dates import reformat_date
 from docspark.functions.render import py_repr, py_str, sorted_json_fields
-from docspark.functions.text import WHITESPACE, collapse_blanks, java_regex, parse_float, strip, word_count
+from docspark.functions.text import WHITESPACE, collapse_blanks, html_to_text, java_regex, parse_float, strip, tags_to_blanks, word_count
+from docspark.operators.enrich import EMAIL, text_stats
 from docspark.operators.normalize import to_list
 from docspark.sources import csv, email as mails
 
@@ -113,6 +114,23 @@ def test_sorted_json(spark):
         assert r["some"] == json.dumps({k: v for k, v in record.items() if v is not None}, sort_keys=True)
 
 
+def test_long_hostile_texts(spark):
+    """Neither deep recursion nor quadratic time on large inputs."""
+    values = ["1_" * 100_000 + "1", "a" * 500_000 + "@", "<" * 20_000, "a@" * 200_000, "1" * 300_000, "\t " * 200_000]
+    got = apply(spark, values, T.StringType(), parse_float, lambda c: text_stats(c), html_to_text, collapse_blanks, tags_to_blanks)
+    assert got[0][0] == float("inf") and [g[1]["has_email"] for g in got] == [False] * 6
+    assert got[2][2] == values[2] and got[5][3] == "" and got[3][4] == values[3]
+    assert apply(spark, ["x" * 300_000 + "@y.z"], T.StringType(), text_stats)[0][0]["has_email"]
+
+
+def test_emails(spark):
+    import re
+
+    values = texts(3000, 12, "aé_.-@1 \n")
+    got = apply(spark, values, T.StringType(), lambda c: c.rlike(EMAIL))
+    assert [g[0] for g in got] == [bool(re.search(r"[\w.-]+@[\w.-]+\.\w+", v)) for v in values]
+
+
 def test_lists(spark):
     values = texts(2000)
     for v, (got,) in zip(values, apply(spark, values, T.StringType(), lambda c: to_list(c, T.StringType()))):

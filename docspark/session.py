@@ -71,3 +71,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` wrote for ``df``; nothing may read it any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if "/docspark/" in folder.toString():
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

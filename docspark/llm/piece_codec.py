@@ -201,7 +201,7 @@ def encode_decode(docs: DataFrame, model: Callable[[], PieceModel], text: str =
             decoded = codec.decode(list(numbers))
             columns = [
                 batch.column(id),
-                pa.array(map(len, numbers), pa.int64(), len(numbers)),
+                pa.array([len(x) for x in numbers], pa.int64()),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in joined]),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded]),
                 pa.array(decoded, pa.string()),

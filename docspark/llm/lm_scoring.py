@@ -14,11 +14,11 @@ from docspark.llm.arrays import larger, mix, slices
 from docspark.session import materialize
 
 #: Bytes of text that share one dictionary of words while their scores are looked up.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 #: Distinct words whose lattices are worked on at once, those of one length together.
 WORDS = 40_000
 #: Rounds of expectation and maximization that fit the vocabulary's scores to the training words.
-ROUNDS = 3
+ROUNDS = 2
 #: Added to each piece's expected count.
 PRIOR = 0.1
 #: Share of a word's probability that its one segmentation into the whole word has, if training texts hold the word.
@@ -96,7 +96,7 @@ def same_length(words: list[str], most: int = 8000) -> Iterator[tuple[np.ndarray
     cuts = np.flatnonzero(np.diff(sizes[order])) + 1
     for group in np.split(order, cuts):
         n = int(sizes[group[0]]) + 1
-        step = max(1, min(most, (1 << 21) // n))
+        step = max(1, min(most, (1 << 18) // n))  # a slice's edges fit in some MB
         for k in range(0, len(group), step):
             part = group[k : k + step]
             text = "".join([_MARK + words[i] for i in part.tolist()])
@@ -116,13 +116,13 @@ def edges(codes: np.ndarray, v: Vocabulary, start: int) -> Iterator[tuple[int, n
         yield size, piece, score
 
 
-def forward(codes: np.ndarray, v: Vocabulary) -> np.ndarray:
+def forward(codes: np.ndarray, v: Vocabulary, known_edges: list | None = None) -> np.ndarray:
     """Log probability of each beginning of the words, summed over its segmentations, by recursion over the positions."""
     n = codes.shape[1]
     alpha = np.full((len(codes), n + 1), -np.inf)
     alpha[:, 0] = 0
     for i in range(n):
-        for size, _, score in edges(codes, v, i):
+        for size, _, score in known_edges[i] if known_edges else edges(codes, v, i):
             alpha[:, i + size] = np.logaddexp(alpha[:, i + size], alpha[:, i] + score)
     return alpha
 
@@ -130,11 +130,12 @@ def forward(codes: np.ndarray, v: Vocabulary) -> np.ndarray:
 def expected_counts(codes: np.ndarray, times: np.ndarray, v: Vocabulary, pieces: np.ndarray, bytes_: np.ndarray) -> None:
     """Add how often each piece and byte is expected in the words' segmentations."""
     n = codes.shape[1]
-    alpha = forward(codes, v)
+    known_edges = [list(edges(codes, v, i)) for i in range(n)]
+    alpha = forward(codes, v, known_edges)
     beta = np.full((len(codes), n + 1), -np.inf)
     beta[:, n] = 0
     for i in range(n - 1, -1, -1):
-        for size, piece, score in edges(codes, v, i):
+        for size, piece, score in known_edges[i]:
             beta[:, i] = np.logaddexp(beta[:, i], score + beta[:, i + size])
             share = np.exp(alpha[:, i] + score + beta[:, i + size] - alpha[:, n]) * times
             known = piece >= 0
@@ -145,38 +146,61 @@ def expected_counts(codes: np.ndarray, times: np.ndarray, v: Vocabulary, pieces:
 
 
 def word_postings(docs: DataFrame, text: str, id: str, training: Column, block: int = BLOCK_BYTES) -> DataFrame:
-    """Per block of texts one row per distinct word, and one row, without a word, that lists the texts.
+    """Per block of texts one row per distinct word, and one row, without a word, for the block itself.
 
-    Words are `[^\\x20\\x09-\\x0D]+` with A-Z in lower case. Rows (block, word, times, places, counts,
-    ids, train, sizes): times the word occurs in training texts; places of the texts in the block that
-    hold it, and how often, as packed integers; ids, training marks and word counts of the block's texts.
+    Words are `[^\\x20\\x09-\\x0D]+` with A-Z in lower case. A word's row has its number k in the block
+    and how many times it occurs in training texts. The block's row has the ids, training marks and
+    word counts of its texts, the number of words, all words of training texts (as times), and the
+    postings: for each word in turn the places of the texts that hold it (16 bits), and how often
+    (8 bits; more than 255 take more postings); starts says where each word's postings begin.
     """
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"), training.alias("train"), F.spark_partition_id().alias("part"))
+    fields = [("block", pa.int64()), ("word", pa.string()), ("k", pa.int32()), ("times", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
+              ("sizes", pa.list_(pa.int64())), ("starts", pa.binary()), ("places", pa.binary()), ("counts", pa.binary())]
+
+    def rows_of(number: int, ids: list, texts: list[str], train: np.ndarray) -> Iterator[pa.RecordBatch]:
+        split = [t.encode().lower().split() for t in texts]
+        sizes = np.array([len(s) for s in split], np.int64)
+        coded = pa.array([w for s in split for w in s], pa.binary()).dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        n = len(coded.dictionary)
+        pair, count = np.unique(code * len(split) + np.repeat(np.arange(len(split)), sizes), return_counts=True)
+        word, place = pair // len(split), pair % len(split)
+        times = np.bincount(word, count * train[place], n).astype(np.int64)
+        parts = -(-count // 255)
+        word, place = np.repeat(word, parts), np.repeat(place, parts)
+        last = np.cumsum(parts) - 1
+        each = np.full(len(word), 255)
+        each[last] = count - 255 * (parts - 1)
+        starts = np.searchsorted(word, np.arange(n + 1))
+        for at in range(0, n, 50_000):
+            some = min(n - at, 50_000)
+            part = {"block": pa.array(np.full(some, number)), "word": coded.dictionary[at : at + some].cast(pa.string()), "k": pa.array(np.arange(at, at + some, dtype=np.int32)), "times": pa.array(times[at : at + some])}
+            yield pa.RecordBatch.from_arrays([part.get(c, pa.nulls(some, t)) for c, t in fields], [c for c, _ in fields])
+        one = [number, None, n, int(sizes[train].sum()), ids, train.tolist(), sizes.tolist(), starts.astype("<u4").tobytes(), place.astype("<u2").tobytes(), each.astype("u1").tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, (_, t) in zip(one, fields, strict=True)], [c for c, _ in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
-        for batch in slices(batches, "text", block):
-            number += 1
-            key = batch.column("part")[0].as_py() << 32 | number
-            split = [t.encode().lower().split() for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(s) for s in split], np.int64)
-            train = np.array(batch.column("train").to_pylist(), bool)
-            coded = pa.array([w for s in split for w in s], pa.binary()).dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            pair, count = np.unique(code * len(split) + np.repeat(np.arange(len(split)), sizes), return_counts=True)
-            word, place = pair // len(split), pair % len(split)
-            bounds = np.searchsorted(word, np.arange(len(coded.dictionary) + 1))
-            times = np.bincount(word, count * train[place], len(coded.dictionary)).astype(np.int64)
-            n = len(coded.dictionary)
-            none = pa.nulls(n, pa.list_(pa.int64()))
-            packed = [pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((bounds * 4).astype(np.int32).tobytes()), pa.py_buffer(x.astype("<u4").tobytes())]) for x in (place, count)]
-            names = ["block", "word", "times", "places", "counts", "ids", "train", "sizes"]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), coded.dictionary.cast(pa.string()), pa.array(times), *packed, none, pa.nulls(n, pa.list_(pa.bool_())), none], names)
-            one = [[key], [None], [int(sizes[train].sum())], [None], [None], [batch.column("id").to_pylist()], [train.tolist()], [sizes.tolist()]]
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(one, kinds, strict=True)], names)
-
-    return rows.mapInArrow(run, "block long, word string, times long, places binary, counts binary, ids array<long>, train array<boolean>, sizes array<long>")
+        number, held, size = 0, [], 0
+        for batch in slices(batches, "text", block // 8):
+            held.append(batch)
+            size += batch.nbytes
+            if size >= block:
+                number += 1
+                yield from flush(number, held)
+                held, size = [], 0
+        if held:
+            yield from flush(number + 1, held)
+
+    def flush(number: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        for at in range(0, len(table), 1 << 16):  # places have 16 bits
+            part = table.slice(at, 1 << 16)
+            key = part.column("part")[0].as_py() << 40 | number << 16 | at >> 16
+            yield from rows_of(key, part.column("id").to_pylist(), part.column("text").to_pylist(), np.array(part.column("train").to_pylist(), bool))
+
+    schema = "block long, word string, k int, times long, ids array<long>, train array<boolean>, sizes array<long>, starts binary, places binary, counts binary"
+    return rows.mapInArrow(run, schema)
 
 
 def fit_scores(words: DataFrame, vocabulary: Vocabulary, texts: int, rounds: int = ROUNDS) -> Vocabulary:
@@ -253,22 +277,26 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(out / np.log(10))], ["word", "seen", "logp"])
 
     weighed = words.mapInArrow(weigh, "word string, seen long, logp double")
-    rows = held.select("block", "word", "places", "counts").join(weighed, "word").select("block", "seen", "logp", "places", "counts")
-    empty = [F.lit(None).cast(t).alias(c) for c, t in (("seen", "long"), ("logp", "double"), ("places", "binary"), ("counts", "binary"))]
-    rows = rows.withColumns({"ids": F.lit(None).cast("array<long>"), "train": F.lit(None).cast("array<boolean>"), "sizes": F.lit(None).cast("array<long>")})
-    rows = rows.unionByName(listed.select("block", *empty, "ids", "train", "sizes"))
+    rows = held.select("block", "word", "k").join(weighed, "word").select("block", "k", "seen", "logp")
+    whole = ["ids", "train", "sizes", "starts", "places", "counts"]
+    rows = rows.withColumns({c: F.lit(None).cast(listed.schema[c].dataType) for c in whole})
+    rows = rows.unionByName(listed.select("block", "k", F.lit(None).cast("long").alias("seen"), F.lit(None).cast("double").alias("logp"), *whole))
     rows = rows.repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
     floor = float(tokens + distinct + 1)
     end = vocabulary.end / np.log(10)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None
+        state = None  # block, its row, and per word whether and how often it was seen, and its score
 
         def done() -> pa.RecordBatch:
-            _, ids, train, sizes, n_known, base, score = state
-            n = len(ids)
-            base = base + np.log10((texts + 1) / floor)
-            arrays = [ids, train, sizes + 1, n_known + (texts > 0), np.full(n, tokens), base, score + end]
+            _, row, seen, logp = state
+            n = len(row["ids"])
+            each = np.diff(np.frombuffer(row["starts"], "<u4").astype(np.int64))
+            place, count = np.frombuffer(row["places"], "<u2"), np.frombuffer(row["counts"], "u1").astype(np.float64)
+            add = lambda x: np.bincount(place, count * np.repeat(x, each), n)
+            known = add((seen > 0).astype(float)).round().astype(np.int64) + (texts > 0)
+            base = add(np.log10((seen + 1) / floor)) + np.log10((texts + 1) / floor)
+            arrays = [row["ids"], row["train"], np.array(row["sizes"], np.int64) + 1, known, np.full(n, tokens), base, add(logp) + end]
             kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(arrays, kinds, strict=True)], names)
@@ -280,20 +308,14 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
                 if state is None or state[0] != blocks[a]:
                     if state is not None:
                         yield done()
-                    ids, train, sizes = (batch.column(c)[a].as_py() for c in ("ids", "train", "sizes"))
-                    state = (blocks[a], ids, train, np.array(sizes, np.int64), np.zeros(len(ids), np.int64), np.zeros(len(ids)), np.zeros(len(ids)))
+                    row = {c: batch.column(c)[a].as_py() for c in whole}
+                    words_here = batch.column("k")[a].as_py()
+                    state = (blocks[a], row, np.zeros(words_here, np.int64), np.zeros(words_here))
                     a += 1
                 part = batch.slice(a, b - a)
-                if not len(part):
-                    continue
-                lists = [part.column(c).to_pylist() for c in ("places", "counts")]
-                place, count = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in lists)
-                each = np.array([len(x) // 4 for x in lists[0]])
-                seen = np.repeat(part.column("seen").to_numpy(zero_copy_only=False), each)
-                logp = np.repeat(part.column("logp").to_numpy(zero_copy_only=False), each)
-                np.add.at(state[4], place, count * (seen > 0))
-                np.add.at(state[5], place, count * np.log10((seen + 1) / floor))
-                np.add.at(state[6], place, count * logp)
+                k = part.column("k").to_numpy(zero_copy_only=False)
+                state[2][k] = part.column("seen").to_numpy(zero_copy_only=False)
+                state[3][k] = part.column("logp").to_numpy(zero_copy_only=False)
         if state is not None:
             yield done()
 

@@ -119,16 +119,24 @@ def found_in(texts: list[str], items: Items, q: int) -> Iterator[tuple[int, int,
     stride = items.edits[item] + 1
     band = (spot - items.place[pick] + (1 << 20)) // stride
     doc = np.searchsorted(begins, spot, "right") - 1
-    # each diagonal is in two bands of twice the stride, so the k + 1 diagonals of an occurrence are all in one
-    key = np.concatenate([doc, doc]), np.concatenate([item, item]), np.concatenate([band, band - 1])
-    order = np.lexsort(key[::-1])
-    d, i, b = (x[order] for x in key)
-    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])]))
-    count = np.diff(np.append(first, len(d)))
-    for f in first[count >= items.least[i[first]]].tolist():
-        text, one = int(d[f]), int(i[f])
+    # each diagonal is in two bands of twice the stride, so the k + 1 diagonals of an occurrence are all in one;
+    # the q-grams that an occurrence keeps stand in different places of the item, so repeats of one place count once
+    bands = int(band.max(initial=0)) + 1
+    key = (doc * len(items.ids) + item) * bands
+    key, place = np.concatenate([key + band, key + np.maximum(band - 1, 0)]), np.tile(items.place[pick], 2)
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])])[: len(key)]
+    key = key[new]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    count = np.diff(np.append(first, len(key)))
+    group = key[first]
+    one_of = group // bands
+    good = count >= items.least[one_of % len(items.ids)]
+    for f, g in zip(one_of[good].tolist(), (group[good] % bands).tolist(), strict=True):
+        text, one = divmod(f, len(items.ids))
         k = int(items.edits[one])
-        low = int(b[f]) * (k + 1) - (1 << 20) - int(begins[text])
+        low = g * (k + 1) - (1 << 20) - int(begins[text])
         pattern = items.texts[one]
         exact = texts[text].find(pattern, max(low, 0), max(low, 0) + len(pattern) + 2 * (k + 1))
         if exact >= 0:

@@ -81,11 +81,6 @@ def judge_prompt(source: Column, record: dict[str, tuple[Column, T.DataType]]) -
     )
 
 
-def first_documents(df: DataFrame, n: int, order: str) -> DataFrame:
-    """Only the first ``n`` documents: the opt-in cap of a single extraction call."""
-    return df.orderBy(order).limit(n)
-
-
 def call_model(
     df: DataFrame,
     make: Callable[[], Callable[[str, CallSettings], str]],
@@ -195,24 +190,28 @@ def typed_fields(df: DataFrame, columns: Mapping[str, str], extracted: str = "ex
     )
 
 
-def _last_line(reply: Column, key: str, parse: Callable[[Column], Column]) -> Column:
-    """Value after ``key:`` on the last line where it can be read."""
+def _lines_of(reply: Column, key: str, parse: Callable[[Column], Column]) -> Column:
+    """Values after ``key:`` of all lines where one can be read."""
     lines = F.split(reply, "\n")
     values = F.transform(
         F.filter(lines, lambda line: strip(F.upper(line)).startswith(f"{key}:")),
         lambda line: parse(strip(F.regexp_replace(line, r"(?s)\A[^:]*:", ""))),
     )
-    return F.try_element_at(F.array_compact(values), F.lit(-1))
+    return F.array_compact(values)
+
+
+def _last_line(reply: Column, key: str, parse: Callable[[Column], Column]) -> Column:
+    """The last of them."""
+    return F.try_element_at(_lines_of(reply, key, parse), F.lit(-1))
 
 
 def parse_judgement(reply: Column) -> dict[str, Column]:
-    """completeness, accuracy (0.5 unless given) and issues of a judge's reply."""
+    """completeness, accuracy (0.5 unless given) and all issues of a judge's reply."""
     reply = F.coalesce(reply, F.lit(""))
-    issues = _last_line(reply, "ISSUES", lambda c: c)
     return {
         "completeness": F.coalesce(_last_line(reply, "COMPLETENESS", parse_float), F.lit(DEFAULT_SCORE)),
         "accuracy": F.coalesce(_last_line(reply, "ACCURACY", parse_float), F.lit(DEFAULT_SCORE)),
-        "issues": F.when(issues.isNotNull(), F.array(issues)).otherwise(F.array().cast("array<string>")),
+        "issues": _lines_of(reply, "ISSUES", lambda c: c),
     }
 
 

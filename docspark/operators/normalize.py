@@ -37,10 +37,10 @@ def to_int(c: Column, dtype: T.DataType) -> Column:
 
 
 def to_bool(c: Column, dtype: T.DataType) -> Column:
-    """BOOLEAN; for text only the listed words are true, other values by being non-empty."""
+    """BOOLEAN; for text only the listed words are true, other values by being non-empty; null stays null."""
     if isinstance(dtype, T.StringType):
         return strip(F.lower(c)).isin(TRUE_WORDS)
-    return truthy(c, dtype)
+    return F.when(c.isNotNull(), truthy(c, dtype))
 
 
 def to_list(c: Column, dtype: T.DataType) -> Column:

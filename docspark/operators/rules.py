@@ -145,6 +145,8 @@ def _cross_field(rule: Rule, record: _Record) -> Column | None:
     if rule.condition == "greater_than":
         message = rule.message or MUST_BE_GREATER.format(rule.field, rule.other)
         both = F.concat(py_str(a, a_type), F.lit(" vs "), py_str(b, b_type))
+        if isinstance(a_type, T.StringType) != isinstance(b_type, T.StringType):
+            a, b = a.try_cast("double"), b.try_cast("double")  # text that is no number compares with none
         return F.when(~(a > b), _violation(rule, message, both))
     if rule.condition == "not_empty_if":
         message = rule.message or REQUIRED_WHEN_SET.format(rule.other, rule.field)

@@ -108,7 +108,7 @@ class DocumentFlow:
         except Exception as e:
             if not self.log_sink_errors:
                 raise
-            done = failed(ready, str(e)[:1000])
+            done = failed(ready, str(e))
         return done.unionByName(skipped(judged.filter(F.col("route") != LOAD)))
 
     def _transform(self, df: DataFrame, columns: Mapping[str, str]) -> tuple[DataFrame, list[str]]:

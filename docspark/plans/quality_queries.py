@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import enrich
 from docspark.operators.extract import (
-    ExtractionSchema, extraction_prompt, first_documents, join_replies, judge_prompt, parse_judgement, parse_reply, typed_fields,
+    ExtractionSchema, extraction_prompt, join_replies, judge_prompt, parse_judgement, parse_reply, typed_fields,
 )
 from docspark.operators.quality import THRESHOLDS, extract_response as respond
 from docspark.operators.quality import batch_responses, judge, passes, quality_report as report, skip_judging
@@ -179,13 +179,6 @@ def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents", spread=True).select("doc_id", extraction_prompt(F.col("text"), NOTE_SCHEMA).alias("prompt"))
 
 
-@query("prompt_first_batch", f"SELECT doc_id, {SQL_EXTRACT_PROMPT} AS prompt FROM documents ORDER BY doc_id LIMIT 10")
-def prompt_first_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """The cap of a single batch call: its first ``batch_size`` documents and no more."""
-    first = first_documents(table(spark, sf, "documents"), 10, "doc_id")
-    return first.select("doc_id", extraction_prompt(F.col("text"), NOTE_SCHEMA).alias("prompt"))
-
-
 @query(
     "judge_prompt",
     """SELECT doc_id, 'Evaluate the quality of this data extraction.
@@ -288,8 +281,8 @@ def sql_score(key: str) -> str:
     )
 
 
-SQL_ISSUES = f"""list_transform(list_filter(string_split(reply, chr(10)), lambda l: starts_with(upper({sql_strip('l')}), 'ISSUES:')),
-  lambda l: {sql_strip("regexp_replace(l, '^[^:]*:', '')")})[-1]"""
+SQL_ISSUES = f"""array_to_string(list_transform(list_filter(string_split(reply, chr(10)), lambda l: starts_with(upper({sql_strip('l')}), 'ISSUES:')),
+  lambda l: {sql_strip("regexp_replace(l, '^[^:]*:', '')")}), chr(10))"""
 SQL_PARSED = f"SELECT *, {sql_score('COMPLETENESS')} AS pc, {sql_score('ACCURACY')} AS pa, {SQL_ISSUES} AS issue FROM ({SQL_REPLIES})"
 
 
@@ -298,7 +291,7 @@ def judge_parse(spark: SparkSession, sf: str) -> DataFrame:
     scores = parse_judgement(F.col("judge_reply"))
     return judge_replies(spark, sf).select(
         "doc_id", scores["completeness"].alias("completeness"), scores["accuracy"].alias("accuracy"),
-        F.get(scores["issues"], F.lit(0)).alias("issues"),
+        F.array_join(scores["issues"], "\n").alias("issues"),
     )
 
 
@@ -322,7 +315,7 @@ def threshold_gate(spark: SparkSession, sf: str) -> DataFrame:
 SQL_JUDGED = f"""SELECT *, CASE WHEN passed THEN 'load' WHEN flagged THEN 'review' ELSE 'reject' END AS route FROM (
     SELECT *, NOT passed AND (NOT ok OR overall > 0.5) AS flagged FROM (
       SELECT *, ok AND completeness >= 0.7 AND accuracy >= 0.9 AS passed, (completeness + accuracy) / 2 AS overall FROM (
-        SELECT *, CASE WHEN ok THEN pc ELSE 0 END AS completeness, CASE WHEN ok THEN pa ELSE 0 END AS accuracy, CASE WHEN ok THEN issue END AS issues FROM (
+        SELECT *, CASE WHEN ok THEN pc ELSE 0 END AS completeness, CASE WHEN ok THEN pa ELSE 0 END AS accuracy, CASE WHEN ok THEN issue ELSE '' END AS issues FROM (
           SELECT *, success AND NOT isnan(pc) AND NOT isnan(pa) AND pc BETWEEN 0 AND 1 AND pa BETWEEN 0 AND 1 AS ok FROM ({SQL_PARSED})))))"""
 
 
@@ -333,7 +326,7 @@ def judged(spark: SparkSession, sf: str) -> DataFrame:
 @query("quality_route", f"SELECT doc_id, completeness, accuracy, overall, issues, passed, flagged, route FROM ({SQL_JUDGED})")
 def quality_route(spark: SparkSession, sf: str) -> DataFrame:
     return judged(spark, sf).select(
-        "doc_id", "completeness", "accuracy", "overall", F.get("issues", F.lit(0)).alias("issues"), "passed", "flagged", "route"
+        "doc_id", "completeness", "accuracy", "overall", F.array_join("issues", "\n").alias("issues"), "passed", "flagged", "route"
     )
 
 
@@ -364,11 +357,11 @@ def quality_report_by_lang(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "extract_response",
     f"""SELECT doc_id, CASE WHEN success THEN (pc + pa) / 2 END AS quality_score, CASE WHEN success THEN {sql_passes('pc', 'pa', 0.8, 0.9)} END AS passed_validation,
-          CASE WHEN success THEN issue END AS issues, CASE WHEN NOT success THEN 'Extraction produced no results' END AS error FROM ({SQL_PARSED})""",
+          CASE WHEN success THEN issue ELSE '' END AS issues, CASE WHEN NOT success THEN 'Extraction produced no results' END AS error FROM ({SQL_PARSED})""",
 )
 def extract_response(spark: SparkSession, sf: str) -> DataFrame:
     done = respond(judge_replies(spark, sf))
-    return done.select("doc_id", "quality_score", "passed_validation", F.get("issues", F.lit(0)).alias("issues"), "error")
+    return done.select("doc_id", "quality_score", "passed_validation", F.array_join("issues", "\n").alias("issues"), "error")
 
 
 @query(
@@ -379,7 +372,7 @@ def batch_response(spark: SparkSession, sf: str) -> DataFrame:
     done = judged(spark, sf).withColumns({"document_id": F.col("doc_id").cast("string"), "data": F.struct("lang")})
     return batch_responses(done).select(
         "document_id", F.col("extracted_data.lang").alias("extracted_lang"), "quality_score", "passed_validation",
-        F.get("issues", F.lit(0)).alias("issues"),
+        F.array_join("issues", "\n").alias("issues"),
     )
 
 

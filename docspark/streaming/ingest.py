@@ -55,7 +55,7 @@ def ingest(
             report = spark.read.schema(batch.schema).parquet(f"{out}/failed/{folder}").agg(
                 F.lit(batch_id).cast("bigint").alias("batch_id"), n.alias("total_documents"),
                 F.lit(0).cast("bigint").alias("successful"), n.alias("failed"),
-                F.lit("failed").alias("status"), F.lit(str(e)[:1000]).alias("error"),
+                F.lit("failed").alias("status"), F.lit(str(e)).alias("error"),
             )
         report.drop("batch_id").write.mode("overwrite").parquet(f"{out}/reports/{folder}")
         if on_progress:

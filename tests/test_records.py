@@ -188,3 +188,10 @@ def test_many_rules_and_severities(spark):
     got = verdicts(spark, "name string, email string, age int", [("A", "a@b", 3), (None, "bad", -5)], rules)
     assert got[0].valid and got[0].warning_count == 1
     assert not got[1].valid and got[1].error_count == 3 and [v.rule for v in got[1].violations] == ["required_name", "format_email", "range_age", "required_phone"]
+
+
+def test_null_is_no_false(spark):
+    from docspark.operators.normalize import coerce
+
+    df = spark.createDataFrame([(0, None, None), (2, True, "no")], "a int, b boolean, c string")
+    assert [tuple(r) for r in coerce(df, {"a": "bool", "b": "bool", "c": "bool"}).select("a", "b", "c").collect()] == [(False, None, None), (True, True, False)]

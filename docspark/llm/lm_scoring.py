@@ -18,11 +18,9 @@ BLOCK_BYTES = 16 << 20
 #: Distinct words whose lattices are worked on at once, those of one length together.
 WORDS = 40_000
 #: Rounds of expectation and maximization that fit the vocabulary's scores to the training words.
-ROUNDS = 2
+ROUNDS = 1
 #: Added to each piece's expected count.
 PRIOR = 0.1
-#: Share of a word's probability that its one segmentation into the whole word has, if training texts hold the word.
-WHOLE = 0.9
 _MARK, _STEP = "▁", np.uint64(0x5851F42D4C957F2D)
 
 
@@ -203,8 +201,8 @@ def word_postings(docs: DataFrame, text: str, id: str, training: Column, block:
     return rows.mapInArrow(run, schema)
 
 
-def fit_scores(words: DataFrame, vocabulary: Vocabulary, texts: int, rounds: int = ROUNDS) -> Vocabulary:
-    """Scores of the existing pieces, re-estimated from all training words (word, times) and the number of texts.
+def fit_scores(words: DataFrame, vocabulary: Vocabulary, texts: int = 0, rounds: int = ROUNDS) -> Vocabulary:
+    """Scores of the existing pieces, re-estimated from all of the given words (word, times) and the number of texts.
 
     Each round is one pass over the distinct words; a task adds up its expected counts, and one sum per
     piece, so a table of the vocabulary's size, comes to the driver.
@@ -240,9 +238,12 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
     score is the log10 probability of the text under a unigram model of the pieces in the vocabulary
     file ``path``: each word's probability, summed over all its segmentations by the forward recursion
     in log space, and that of the end. The vocabulary is as it is; its scores start from those of the
-    file and are fitted to all ``training`` rows. To a word of the training texts the lattice has one
-    more path, the word whole, with ``WHOLE`` of the probability and the word's frequency as its
-    score; the pieces share the rest. n_tokens counts words and one end; n_known those tokens seen in training;
+    file and are fitted to all words of the ``training`` rows, each by the logarithm of its count:
+    what the pieces have to spell is new words, which are more like the rare ones than the frequent
+    ones. To a word of the training texts the lattice has one
+    more path, the word whole, scored by its frequency; the end of a text is such a token too. The
+    pieces' paths share what the seen tokens leave: distinct tokens / (tokens + distinct tokens), the
+    expected share of new ones (Witten and Bell; copied documents hardly change it). n_tokens counts words and one end; n_known those tokens seen in training;
     train_tokens all training tokens; base_score is the log10 probability under add-one word counts.
 
     Counts and probabilities are looked up by a join on the word, so nothing that grows with the
@@ -258,9 +259,10 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
     known = words.filter("times > 0")
     tokens, texts = (tokens or 0) + (texts or 0), texts or 0
     distinct = known.count() + (texts > 0)
+    fresh = distinct / (tokens + distinct) if tokens else 1.0
     vocabulary = read_vocabulary(path)
     if texts:
-        vocabulary = fit_scores(known, vocabulary, texts, rounds)
+        vocabulary = fit_scores(known.select("word", F.log1p("times").alias("times")), vocabulary, rounds=rounds)
     shared = docs.sparkSession.sparkContext.broadcast(astuple(vocabulary))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +275,7 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
             if tokens:
                 with np.errstate(divide="ignore"):
                     whole = np.log(batch.column("times").to_numpy(zero_copy_only=False) / tokens)
-                out = np.logaddexp(whole + np.log(WHOLE), out + np.log1p(-WHOLE))
+                out = np.logaddexp(whole + np.log1p(-fresh), out + np.log(fresh))
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(out / np.log(10))], ["word", "seen", "logp"])
 
     weighed = words.mapInArrow(weigh, "word string, seen long, logp double")
@@ -283,7 +285,7 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
     rows = rows.unionByName(listed.select("block", "k", F.lit(None).cast("long").alias("seen"), F.lit(None).cast("double").alias("logp"), *whole))
     rows = rows.repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
     floor = float(tokens + distinct + 1)
-    end = vocabulary.end / np.log(10)
+    end = np.log10((1 - fresh) * texts / tokens) if texts else vocabulary.end / np.log(10)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None  # block, its row, and per word whether and how often it was seen, and its score

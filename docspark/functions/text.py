@@ -17,11 +17,13 @@ WS = r"\s\x1c\x1d\x1e\x1f\x{85}\p{Z}"  # the same set inside a regex class
 WORD = r"\p{L}\p{N}_"
 
 # --- Fixed values: the order of the HTML text steps and their patterns ---
-SCRIPT_BLOCK = r"(?is)<script[^>]*+>.*?</script>"
-STYLE_BLOCK = r"(?is)<style[^>]*+>.*?</style>"
-BLOCK_TAG = r"(?i)<(?:p|div|br|h[1-6]|li|tr)[^>]*+>"
-ANY_TAG = r"<[^>]++>"
-TITLE = r"(?is)<title[^>]*+>(.*?)</title>"
+# Each has a second way: what is never closed is taken to the end of the text, as group 1, and put back.
+# So the end is looked for once, not once per opening.
+SCRIPT_BLOCK = r"(?is)<script[^>]*+>.*?</script>|(<script.*+\z)"
+STYLE_BLOCK = r"(?is)<style[^>]*+>.*?</style>|(<style.*+\z)"
+BLOCK_TAG = r"(?i)<(?:p|div|br|h[1-6]|li|tr)[^>]*+>|(<(?:p|div|br|h[1-6]|li|tr)[^>]*+\z)"
+ANY_TAG = r"<[^>]++>|(<[^>]*+\z)"
+TITLE = r"(?is)<title(?:[^>]*+>(.*?)</title>|.*+\z)"
 LINK = r"(?i)<a[" + WS + "]"
 ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&quot;", '"')]
 EMPTY_HTML = "(empty HTML)"
@@ -55,20 +57,20 @@ def collapse_blanks(c: Column) -> Column:
 
 def drop_tags(c: Column) -> Column:
     """Delete tags (nothing put in their place)."""
-    return strip(F.regexp_replace(c, ANY_TAG, ""))
+    return strip(F.regexp_replace(c, ANY_TAG, "$1"))
 
 
 def tags_to_blanks(c: Column) -> Column:
     """Tags to blanks, white space collapsed: the form used for HTML mail parts."""
-    return strip(F.regexp_replace(F.regexp_replace(c, ANY_TAG, " "), f"[{WS}]+", " "))
+    return strip(F.regexp_replace(F.regexp_replace(c, ANY_TAG, "$1 "), f"[{WS}]+", " "))
 
 
 def html_to_text(c: Column) -> Column:
     """Readable text of a page; blank when nothing is left."""
-    c = F.regexp_replace(c, SCRIPT_BLOCK, "")
-    c = F.regexp_replace(c, STYLE_BLOCK, "")
-    c = F.regexp_replace(c, BLOCK_TAG, "\n")
-    c = F.regexp_replace(c, ANY_TAG, " ")
+    c = F.regexp_replace(c, SCRIPT_BLOCK, "$1")
+    c = F.regexp_replace(c, STYLE_BLOCK, "$1")
+    c = F.regexp_replace(c, BLOCK_TAG, "$1\n")  # white space behind what is never closed goes with the last step
+    c = F.regexp_replace(c, ANY_TAG, "$1 ")
     for entity, char in ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
     c = F.regexp_replace(c, r"[ \t]+", " ")

@@ -15,7 +15,6 @@ BATCH_SIZES = {"base": 10, "development": 3, "production": 50}
 DELIVERED = [200, 201, 202]
 MAX_RETRIES = 3
 RETRY_DELAY = 1.0
-ERROR_CHARS = 200
 RETRIES_USED_UP = "Max retries exceeded"
 HTTP_ERROR = "HTTP {}: {}"
 
@@ -87,67 +86,49 @@ def progress(results: DataFrame, total_documents: int | None = None, elapsed: fl
 
 
 def delivery_outcome(
-    attempts: DataFrame,
-    key: str = "document_id",
-    max_retries: int = MAX_RETRIES,
-    delay: float = RETRY_DELAY,
+    attempts: DataFrame, key: str | list[str] = "document_id", max_retries: int | None = None, delay: float = RETRY_DELAY
 ) -> DataFrame:
     """Outcome per document of a delivery log (key, attempt, status, error).
 
     The first terminal attempt decides: 200, 201 and 202 deliver; 429, 5xx and transport errors
     (null status) are retried after ``delay * 2**attempt`` seconds; any other status fails for good.
-    Attempts from ``max_retries`` on never happened. Each document keeps one slot per attempt
-    number, so the aggregation combines before the shuffle however long a log gets.
+    If none is terminal the last one decides. With ``max_retries`` attempts from that number on never
+    happened, and a document whose attempts are used up says so (or has its last transport error).
+    Entries that repeat an attempt count once. Both steps combine before the shuffle, however long a
+    log gets.
     """
-    slot = F.struct(F.col("status"), F.col("error"))
-    slots = [F.min(F.when(F.col("attempt") == i, slot)).alias(f"_a{i}") for i in range(max_retries)]
-    df = attempts.groupBy(key).agg(*slots)
-
-    def status(i: int) -> Column:
-        return F.col(f"_a{i}.status")
-
-    def seen(i: int) -> Column:
-        return F.col(f"_a{i}").isNotNull()
-
-    def retried(i: int) -> Column:
-        return seen(i) & (status(i).isNull() | (status(i) == 429) | (status(i) >= 500))
-
-    def last_transport_error(i: int) -> Column:
-        return status(i).isNull() if i == max_retries - 1 else F.lit(False)
-
-    def terminal(i: int) -> Column:
-        return seen(i) & (~retried(i) | last_transport_error(i))
-
-    first = F.lit(None).cast("int")
-    for i in reversed(range(max_retries)):
-        first = F.when(terminal(i), F.lit(i)).otherwise(first)
-    df = df.withColumn("_first", first)
-    ended = F.coalesce(F.col("_first"), F.lit(max_retries))
-    used = reduce(lambda a, b: a + b, [(seen(i) & (F.lit(i) <= ended)).cast("int") for i in range(max_retries)])
-    waited = reduce(
-        lambda a, b: a + b,
-        [F.when(retried(i) & (F.lit(i) < ended), F.lit(delay * 2**i)).otherwise(0.0) for i in range(max_retries)],
+    keys = [key] if isinstance(key, str) else key
+    if max_retries is not None:
+        attempts = attempts.filter(F.col("attempt") < max_retries)
+    each = attempts.groupBy(*keys, "attempt").agg(F.min(F.struct("status", "error")).alias("_answer"))
+    status = F.col("_answer.status")
+    retried = status.isNull() | (status == 429) | (status >= 500)
+    ends = each.groupBy(*keys).agg(F.min(F.when(~retried, F.col("attempt"))).alias("_first"), F.max("attempt").alias("_last"))
+    ends = ends.withColumn("_ended", F.coalesce("_first", "_last")).withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    seen = each.join(ends, same).filter(F.col("attempt") <= F.col("_ended"))
+    waits = retried if max_retries is not None else retried & (F.col("attempt") < F.col("_ended"))
+    if max_retries is not None:  # no wait behind the last transport error
+        waits = waits & ~(status.isNull() & (F.col("attempt") == max_retries - 1))
+    df = seen.groupBy(*keys).agg(
+        F.count("*").cast("int").alias("_used"),
+        F.sum(F.when(waits, F.pow(F.lit(2.0), F.col("attempt")) * delay).otherwise(0.0)).alias("_waited"),
+        F.max_by("_answer", "attempt").alias("_answer"),
+        F.max(F.col("_first").isNotNull()).alias("_decided"),
+        F.max("_last").alias("_last"),
     )
-    code, text = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for i in range(max_retries):
-        code = F.when(F.col("_first") == i, status(i)).otherwise(code)
-        text = F.when(F.col("_first") == i, F.col(f"_a{i}.error")).otherwise(text)
-    df = df.withColumns({"_status": code, "_text": text})
-    delivered = F.coalesce(F.col("_status").isin(DELIVERED), F.lit(False))
+    delivered = F.coalesce(F.col("_answer.status").isin(DELIVERED), F.lit(False))
     before, between, _ = HTTP_ERROR.split("{}")
-    answer = F.substring(F.coalesce(F.col("_text"), F.lit("")), 1, ERROR_CHARS)
-    http = F.concat(F.lit(before), F.col("_status").cast("string"), F.lit(between), answer)
-    error = (
-        F.when(delivered, F.lit(None))
-        .when(F.col("_first").isNull(), RETRIES_USED_UP)
-        .when(F.col("_status").isNull(), F.col("_text"))
-        .otherwise(http)
-    )
+    http = F.concat(F.lit(before), F.col("_answer.status").cast("string"), F.lit(between), F.coalesce("_answer.error", F.lit("")))
+    last = F.lit(True) if max_retries is None else F.col("_last") == max_retries - 1
+    error = F.when(delivered, F.lit(None)).when(F.col("_answer.status").isNull() & last, F.col("_answer.error"))
+    if max_retries is not None:
+        error = error.when(~F.col("_decided"), RETRIES_USED_UP)
     return df.select(
-        key,
+        *keys,
         delivered.alias("success"),
-        used.alias("attempts"),
-        waited.alias("waited_seconds"),
+        F.col("_used").alias("attempts"),
+        F.col("_waited").alias("waited_seconds"),
         F.when(delivered, 1).otherwise(0).alias("records_written"),
-        error.alias("error"),
+        error.otherwise(http).alias("error"),
     )

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.render import sorted_json_fields
+from docspark.functions.rows import literal
 from docspark.functions.text import WORD, WS, word_count
 
-# --- Fixed values: what the text analytics look for, and from which length on ---
-LONG_TEXT = 50
+# --- Fixed values: what the text analytics look for ---
 EMAIL = rf"[{WORD}.-]@[{WORD}.-]+\.[{WORD}]"  # one character each side is enough, and keeps long words linear
 PHONE = rf"\p{{Nd}}(?<![{WORD}]\p{{Nd}})\p{{Nd}}{{2}}[-.]?\p{{Nd}}{{3}}[-.]?\p{{Nd}}{{4}}(?![{WORD}])"
 URL = rf"https?://[^{WS}]"
-HASH_LENGTH = 16
 
 TEXT_STATS = "struct<length:int,word_count:int,has_email:boolean,has_phone:boolean,has_url:boolean>"
 
@@ -38,10 +37,10 @@ def _col(name: str) -> Column:
 
 
 def record_hash(df: DataFrame, fields: list[str], presence: str = "non_null") -> Column:
-    """First 16 hex digits of the SHA-256 of the record's sorted-key JSON."""
+    """SHA-256 of the record's sorted-key JSON, in hex."""
     columns = {n: (_col(n), df.schema[n].dataType) for n in fields}
     text = sorted_json_fields(columns, drop_null=presence == "non_null")
-    return F.substring(F.sha2(text, 256), 1, HASH_LENGTH)
+    return F.sha2(text, 256)
 
 
 def field_count(fields: list[str], presence: str = "non_null") -> Column:
@@ -88,7 +87,7 @@ def set_when(df: DataFrame, rules: list[SetWhen], presence: str = "non_null") ->
         new = {}
         for target, value in rule.then_set.items():
             if target in df.columns:
-                new[target] = F.when(hit, F.lit(value).cast(df.schema[target].dataType)).otherwise(_col(target))
+                new[target] = F.when(hit, literal(value, df.schema[target].dataType, target)).otherwise(_col(target))
             else:
                 new[target] = F.when(hit, F.lit(value))
         df = df.withColumns(new)
@@ -118,8 +117,10 @@ def text_stats(c: Column) -> Column:
     )
 
 
-def add_text_analytics(df: DataFrame, fields: list[str], out: str = "_text_analytics") -> DataFrame:
-    """Add a MAP of field name to ``text_stats`` for the long texts of the record; null when there are none.
+def add_text_analytics(df: DataFrame, fields: list[str], out: str = "_text_analytics", longer_than: int | None = None) -> DataFrame:
+    """Add a MAP of field name to ``text_stats`` for the texts of the record; null when there are none.
+
+    ``longer_than`` leaves out texts of at most so many characters.
 
     The stats get columns of their own first: they run in generated code, and only the assembly
     of the map, which is cheap, does not.
@@ -127,7 +128,7 @@ def add_text_analytics(df: DataFrame, fields: list[str], out: str = "_text_analy
     texts = [n for n in fields if isinstance(df.schema[n].dataType, T.StringType) and not n.startswith("_")]
     if not texts:
         return df.withColumn(out, F.lit(None).cast(f"map<string,{TEXT_STATS}>"))
-    stats = {f"_stats_{i}": F.when(F.length(_col(n)) > LONG_TEXT, text_stats(_col(n))) for i, n in enumerate(texts)}
+    stats = {f"_stats_{i}": F.when(F.length(_col(n)) > (-1 if longer_than is None else longer_than), text_stats(_col(n))) for i, n in enumerate(texts)}
     df = df.withColumns(stats)
     entries = [
         F.when(F.col(s).isNotNull(), F.struct(F.lit(n).alias("key"), F.col(s).alias("value")))
@@ -138,7 +139,7 @@ def add_text_analytics(df: DataFrame, fields: list[str], out: str = "_text_analy
 
 
 def list_text_analytics(enriched: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per long text of a record (outer explode plus filter, so nothing is evaluated twice)."""
+    """One row per text of a record (outer explode plus filter, so nothing is evaluated twice)."""
     rows = enriched.select(*keys, F.explode_outer("_text_analytics").alias("field", "_stats"))
     return rows.filter(F.col("field").isNotNull()).select(*keys, "field", "_stats.*")
 
@@ -151,6 +152,7 @@ def enrich(
     rules: list[SetWhen] | None = None,
     presence: str = "non_null",
     stamp: bool = True,
+    longer_than: int | None = None,
 ) -> DataFrame:
     """Add ``_enrichment``, ``_source``, computed and conditional fields and ``_text_analytics``.
 
@@ -172,4 +174,4 @@ def enrich(
     before = set(df.columns)
     df = set_when(df.withColumns(new), rules or [], presence)
     added = [n for n in df.columns if n not in before and n not in fields]
-    return add_text_analytics(df, [*fields, *added])
+    return add_text_analytics(df, [*fields, *added], longer_than=longer_than)

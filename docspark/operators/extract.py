@@ -17,7 +17,7 @@ from docspark.functions.render import py_repr_fields
 from docspark.functions.text import parse_float, strip
 from docspark.operators.joins import left_join_unique
 
-# --- Fixed values: prompt texts, caps, call settings, reply keys and fallbacks ---
+# --- Fixed values: prompt texts, call settings, reply keys and fallbacks ---
 EXTRACT_HEAD = "Extract structured data from the following text.\n\n"
 EXTRACT_TAIL = "Respond with ONLY valid JSON matching the schema."
 JUDGE_HEAD = "Evaluate the quality of this data extraction.\n\n"
@@ -28,8 +28,6 @@ JUDGE_TAIL = (
     "3. ISSUES: List any problems found.\n\n"
     "Format:\nCOMPLETENESS: 0.X\nACCURACY: 0.X\nISSUES: list"
 )
-EXTRACT_CHARS = 6000
-JUDGE_CHARS = 2000
 DEFAULT_SCORE = 0.5
 FENCE = "```"
 
@@ -61,26 +59,54 @@ class ExtractionSchema:
 
 
 def extraction_prompt(text: Column, schema: ExtractionSchema) -> Column:
-    """The prompt for one document; everything but the text is a literal."""
+    """The prompt for one document with its whole text; everything but the text is a literal.
+
+    A model with a small window gets its text in parts: see ``split_text`` and ``merge_parts``.
+    """
     instructions = f"Instructions: {schema.instructions}" if schema.instructions else ""
     examples = ""
     if schema.examples:
         examples = "Examples:\n" + "\n".join(json.dumps(e) for e in schema.examples) + "\n\n"
     head = f"{EXTRACT_HEAD}Schema: {json.dumps(schema.fields, indent=2)}\n{instructions}\n\n{examples}Text:\n"
-    return F.concat(F.lit(head), F.substring(text, 1, EXTRACT_CHARS), F.lit("\n\n" + EXTRACT_TAIL))
+    return F.concat(F.lit(head), text, F.lit("\n\n" + EXTRACT_TAIL))
 
 
 def judge_prompt(source: Column, record: dict[str, tuple[Column, T.DataType]]) -> Column:
     """The prompt asking for scores of a record against its source text; null fields are left out."""
     return F.concat(
         F.lit(JUDGE_HEAD + "Source text:\n"),
-        F.substring(source, 1, JUDGE_CHARS),
+        source,
         F.lit("\n\nExtracted data:\n"),
         py_repr_fields(record, drop_null=True),
         F.lit("\n\n" + JUDGE_TAIL),
     )
 
 
+def split_text(df: DataFrame, text: str, chars: int, overlap: int = 0) -> DataFrame:
+    """One row per window of at most ``chars`` characters of ``text``, numbered in ``part`` from 0.
+
+    Windows share ``overlap`` characters with the one before; together they hold the whole text. An
+    empty or null text is one part. Other columns ride along.
+    """
+    if not 0 <= overlap < chars:
+        raise ValueError("overlap must be smaller than the window")
+    step = chars - overlap
+    last = F.greatest(F.ceil((F.length(text) - chars) / step), F.lit(0))
+    parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(last.cast("bigint"), F.lit(0).cast("bigint")))
+    rows = df.withColumn("part", F.explode(parts))
+    return rows.withColumn(text, F.substring(F.col(text), (F.col("part") * step + 1).cast("int"), F.lit(chars)))
+
+
+def merge_parts(parsed: DataFrame, columns: Mapping[str, str], key: str = "document_id", part: str = "part") -> DataFrame:
+    """Typed fields of the parts' replies to one row per document: of each field the value of its first part that has one.
+
+    The aggregation keeps one value per field and document, so it combines before the shuffle.
+    """
+    typed = typed_fields(parsed, columns)
+    first = [F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col(part))).alias(c) for c in columns]
+    return typed.groupBy(key).agg(F.count("*").alias("parts"), F.count_if("success").alias("answered"), *first)
+
+
 def call_model(
     df: DataFrame,
     make: Callable[[], Callable[[str, CallSettings], str]],

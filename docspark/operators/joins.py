@@ -1,4 +1,4 @@
-"""The one join shape needed here: documents with one row of another table each."""
+"""Joins of rows with one row of another table each."""
 
 from __future__ import annotations
 
@@ -9,53 +9,45 @@ from pyspark.sql import functions as F
 
 from docspark.functions.rows import row_hash
 
-# A key is hot with more rows than this and a larger share of all rows than SHARE.
-HOT_ROWS = 1_000_000
-SHARE = 1e-4
+# A key that owns a larger share of the rows than this is split; so there are at most 1 / SHARE such keys.
+SHARE = 1e-3
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS, share: float = SHARE) -> list[Any]:
-    """Keys that own more than ``rows`` rows and ``share`` of the table: at most 1 / share of them.
+def hot_keys(df: DataFrame, key: str, share: float = SHARE) -> list[Any]:
+    """Every key with more than ``share`` of the rows, and maybe some with fewer: at most 1 / ``share`` of them.
 
-    A frequent-item sketch names the candidates and only those are counted, so no pass shuffles
-    the keys of the whole table. A table of no more than ``rows`` rows needs no such pass.
+    A frequent-item sketch over the key column alone finds them; nothing is shuffled.
     """
-    if df.select(key).count() <= rows:
-        return []
-    candidates = [k for k in df.select(key).freqItems([key], share).first()[0] if k is not None]
-    if not candidates:
-        return []
-    table = _key_table(df, key, candidates)
-    counted = df.select(key).join(F.broadcast(table), key, "left_semi").groupBy(key).count()
-    return [r[0] for r in counted.filter(F.col("count") > rows).collect()]
+    return [k for k in df.select(key).freqItems([key], share).first()[0] if k is not None]
 
 
-def _key_table(df: DataFrame, key: str, keys: list[Any]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(k,) for k in keys], df.select(key).schema)
-
-
-def left_join_unique(left: DataFrame, right: DataFrame, key: str, rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Left join to a table with at most one row per key; hot left keys are split.
+def left_join_unique(left: DataFrame, right: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """Left join to a table with at most one row per key, by one plan for all sizes; hot left keys are split.
 
     Content-derived ids repeat for exact copies, so one id may own a large share of the left side.
-    Rows of such an id get a salt and the matching right rows one copy per salt. Rows without a
-    key match nothing and are spread the same way. The salt is a hash of the row, so a re-run task
-    sends each row to the same place.
+    Rows of such an id get a salt and the matching right rows one copy per salt. (The adaptive skew
+    join does not see to it: the right side often comes from an aggregation on the key, whose
+    shuffle the join uses again.) Rows without a key match nothing and are spread the same way. The
+    salt is a hash of the row, so a re-run task sends each row to the same place.
     """
-    hot = hot_keys(left, key, rows)
+    schema = left.select(F.col(key), F.lit(True).alias("_hot")).schema
+    table = left.sparkSession.createDataFrame([(k, True) for k in hot_keys(left, key)], schema)  # at most 1 / SHARE rows
     spread = F.pmod(row_hash(left), F.lit(salts)).cast("int")
-    salt = F.when(F.col(key).isNull(), spread).otherwise(F.lit(0))
-    copies = right.withColumn("_salt", F.lit(0))
-    if hot:
-        table = _key_table(left, key, hot).withColumn("_hot", F.lit(True))  # at most 1 / SHARE rows
-        left = left.join(F.broadcast(table), key, "left")
-        salt = F.when(F.col(key).isNull() | F.col("_hot"), spread).otherwise(F.lit(0))
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        copies = (
-            right.join(F.broadcast(table), key, "left")
-            .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-            .drop("_hot")
-        )
-    marked = left.withColumn("_salt", salt).drop("_hot")
+    hot = F.col(key).isNull() | F.coalesce("_hot", F.lit(False))
+    marked = left.withColumn("_spread", spread).join(F.broadcast(table), key, "left")
+    marked = marked.withColumn("_salt", F.when(hot, F.col("_spread")).otherwise(F.lit(0))).drop("_hot", "_spread")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = right.join(F.broadcast(table), key, "left")
+    copies = copies.withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
     return marked.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def lookup(df: DataFrame, table: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``columns`` of ``table`` beside every row of ``df`` with its key; null where there is none.
+
+    A key that the table holds more than once counts with its smallest row, so no row of ``df`` is
+    multiplied. Which side moves is left to the optimizer.
+    """
+    one = table.groupBy(key).agg(F.min(F.struct(*columns)).alias("_row"))
+    return left_join_unique(df, one.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in columns]), key)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.render import py_str
+from docspark.functions.rows import literal
 from docspark.functions.text import parse_float, strip
 
 # --- Fixed values ---
@@ -129,7 +130,7 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
             new[name] = F.lit(value)
             continue
         c = F.col(f"`{name}`")
-        filled = F.coalesce(c, F.lit(value).cast(df.schema[name].dataType))
+        filled = F.coalesce(c, literal(value, df.schema[name].dataType, name))
         if f"{name}_raw" in df.columns:
             filled = F.when(F.col(f"`{name}_raw`").isNull(), filled)
         new[name] = filled

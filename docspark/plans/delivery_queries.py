@@ -138,7 +138,7 @@ def flaky_target():
 @query(
     "sink_function",
     """SELECT c_custkey::VARCHAR AS document_id, 'target' AS destination, c_custkey % 6 IN (0, 1, 5) AS success, (c_custkey % 6 IN (0, 1, 5))::INT AS records_written,
-         CASE c_custkey % 6 WHEN 2 THEN 'Max retries exceeded' WHEN 3 THEN 'HTTP 404: no such place ' || repeat('x', 186) WHEN 4 THEN 'unreachable' END AS error FROM customer""",
+         CASE c_custkey % 6 WHEN 2 THEN 'Max retries exceeded' WHEN 3 THEN 'HTTP 404: no such place ' || repeat('x', 300) WHEN 4 THEN 'unreachable' END AS error FROM customer""",
 )
 def sink_function(spark: SparkSession, sf: str) -> DataFrame:
     """Every customer handed to a caller's function, with retries; outcome per record."""
@@ -153,16 +153,13 @@ SQL_ATTEMPTS = """SELECT event_id // 4 AS document_id, (event_id % 4)::INT AS at
 
 @query(
     "delivery_outcome",
-    f"""WITH a AS ({SQL_ATTEMPTS}), r AS (SELECT *, (status IS NULL OR status = 429 OR status >= 500) AS retry FROM a WHERE attempt < 3),
-        t AS (SELECT document_id, min(attempt) AS first FROM r WHERE NOT retry OR (status IS NULL AND attempt = 2) GROUP BY document_id),
-        j AS (SELECT r.*, coalesce(t.first, 3) AS ended, t.first FROM r LEFT JOIN t USING (document_id))
-        SELECT document_id, coalesce(max(status) FILTER (attempt = ended), 0) IN (200, 201, 202) AS success, count(*) FILTER (attempt <= ended)::INT AS attempts,
-          coalesce(sum(CASE WHEN retry AND attempt < ended THEN 2.0 ** attempt END), 0.0)::DOUBLE AS waited_seconds,
-          (coalesce(max(status) FILTER (attempt = ended), 0) IN (200, 201, 202))::INT AS records_written,
-          CASE WHEN coalesce(max(status) FILTER (attempt = ended), 0) IN (200, 201, 202) THEN NULL WHEN max(first) IS NULL THEN 'Max retries exceeded'
-            WHEN max(status) FILTER (attempt = ended) IS NULL THEN max(error) FILTER (attempt = ended)
-            ELSE 'HTTP ' || max(status) FILTER (attempt = ended) || ': ' || max(error) FILTER (attempt = ended) END AS error
-        FROM j GROUP BY document_id""",
+    f"""WITH a AS ({SQL_ATTEMPTS}), r AS (SELECT *, (status IS NULL OR status = 429 OR status >= 500) AS retry FROM a),
+        t AS (SELECT document_id, coalesce(min(attempt) FILTER (NOT retry), max(attempt)) AS ended FROM r GROUP BY document_id),
+        j AS (SELECT r.*, ended FROM r JOIN t USING (document_id) WHERE attempt <= ended),
+        o AS (SELECT document_id, count(*)::INT AS attempts, coalesce(sum(CASE WHEN retry AND attempt < ended THEN 2.0 ** attempt END), 0.0)::DOUBLE AS waited_seconds,
+                max(status) FILTER (attempt = ended) AS code, max(error) FILTER (attempt = ended) AS said FROM j GROUP BY document_id)
+        SELECT document_id, coalesce(code, 0) IN (200, 201, 202) AS success, attempts, waited_seconds, (coalesce(code, 0) IN (200, 201, 202))::INT AS records_written,
+          CASE WHEN coalesce(code, 0) IN (200, 201, 202) THEN NULL WHEN code IS NULL THEN said ELSE 'HTTP ' || code || ': ' || said END AS error FROM o""",
 )
 def delivery_outcome(spark: SparkSession, sf: str) -> DataFrame:
     log = table(spark, sf, "events").select(
@@ -250,7 +247,7 @@ def run_notes(spark: SparkSession, sf: str, sink=None) -> FlowResult:
     return note_flow().run(note_documents(spark, sf), sink=sink)
 
 
-SQL_NOTES = r"""WITH t AS (SELECT doc_id, doc_id % 5 = 4 AS bad, substr(regexp_replace(text, '[^\x20-\x7E\n\t]', ' ', 'g'), 1, 6000) AS t FROM documents),
+SQL_NOTES = r"""WITH t AS (SELECT doc_id, doc_id % 5 = 4 AS bad, regexp_replace(text, '[^\x20-\x7E\n\t]', ' ', 'g') AS t FROM documents),
   s AS (SELECT doc_id, bad, length(t) AS n, NOT bad AND length(t) >= 40 AS success,
      nullif(upper(trim(regexp_replace(string_split(t, chr(10))[1], ' {2,}', ' ', 'g'))), '') AS heading FROM t),
   q AS (SELECT *, CASE WHEN success THEN (n % 10) / 10 ELSE 0 END AS completeness, CASE WHEN success THEN CASE WHEN n % 3 <> 0 THEN 1.0 ELSE 0.2 END ELSE 0 END AS accuracy FROM s),

@@ -14,7 +14,7 @@ from docspark.operators.batches import assign_batches, batch_results
 from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import SetWhen, enrich
 from docspark.operators.extract import (
-    JUDGE_CHARS, JUDGE_SETTINGS, CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns,
+    JUDGE_SETTINGS, CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns,
     judge_prompt, parse_reply, typed_fields,
 )
 from docspark.operators.normalize import normalize
@@ -72,7 +72,7 @@ class DocumentFlow:
         keep = ("document_id", "format", "metadata", "parse_error", *self.carry, "source_text")
         asked = parsed.withColumns(
             {
-                "source_text": F.substring("raw_content", 1, JUDGE_CHARS),
+                "source_text": F.col("raw_content"),
                 "prompt": extraction_prompt(F.col("raw_content"), self.schema),
             }
         )

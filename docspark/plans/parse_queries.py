@@ -170,8 +170,7 @@ SQL_CSV_LINES = "list_transform(string_split(text, chr(10)), lambda l, i: 'Row '
     "csv_doc_text",
     f"""WITH r AS (SELECT doc_id, list_append({SQL_CSV_LINES}, 'Row ' || (len(string_split(text, chr(10))) + 1) || ': line: last') AS lines FROM documents)
         SELECT doc_id, 'Columns: line, size, place' || chr(10) || 'Total rows: ' || len(lines) || chr(10) || chr(10)
-          || array_to_string(lines[1:50], chr(10))
-          || CASE WHEN len(lines) > 50 THEN chr(10) || '... (' || (len(lines) - 50) || ' more rows)' ELSE '' END AS raw_content,
+          || array_to_string(lines, chr(10)) AS raw_content,
           len(lines)::INT AS row_count, 3 AS column_count
         FROM r""",
 )
@@ -187,16 +186,15 @@ def csv_doc_text(spark: SparkSession, sf: str) -> DataFrame:
     """WITH r AS (SELECT o_orderpriority AS file, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS i,
                  'o_orderkey: ' || o_orderkey || ' | o_custkey: ' || o_custkey || ' | o_orderstatus: ' || o_orderstatus AS line FROM orders),
             n AS (SELECT file, count(*) AS row_count FROM r GROUP BY file)
-       SELECT n.file, row_count, 3 AS column_count,
+       SELECT n.file, (i - 1) // 1000 AS part, row_count, 3 AS column_count,
          'Columns: o_orderkey, o_custkey, o_orderstatus' || chr(10) || 'Total rows: ' || row_count || chr(10) || chr(10)
-         || string_agg('Row ' || i || ': ' || line, chr(10) ORDER BY i)
-         || CASE WHEN row_count > 50 THEN chr(10) || '... (' || (row_count - 50) || ' more rows)' ELSE '' END AS raw_content
-       FROM n JOIN r ON n.file = r.file WHERE i <= 50 GROUP BY n.file, row_count""",
+         || string_agg('Row ' || i || ': ' || line, chr(10) ORDER BY i) AS raw_content
+       FROM n JOIN r ON n.file = r.file GROUP BY n.file, row_count, part""",
 )
 def csv_table_text(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumn("file", F.col("o_orderpriority"))
     out = csv.table_text(orders, "file", ["o_orderkey"], ["o_orderkey", "o_custkey", "o_orderstatus"])
-    return out.select("file", "row_count", "column_count", "raw_content")
+    return out.select("file", "part", "row_count", "column_count", "raw_content")
 
 
 @query(

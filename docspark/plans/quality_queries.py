@@ -169,7 +169,7 @@ SQL_EXTRACT_PROMPT = """'Extract structured data from the following text.' || ch
 Instructions: Use the first line as title.
 
 Text:
-' || substr(text, 1, 6000) || '
+' || text || '
 
 Respond with ONLY valid JSON matching the schema.'"""
 
@@ -184,7 +184,7 @@ def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT doc_id, 'Evaluate the quality of this data extraction.
 
 Source text:
-' || substr(text, 1, 2000) || '
+' || text || '
 
 Extracted data:
 {''lang'': ''' || lang || ''', ' || CASE WHEN doc_id % 2 = 0 THEN '''source'': "it''s ' || source || '", ' ELSE '' END || '''score'': ' || (n_chars / 4)::VARCHAR

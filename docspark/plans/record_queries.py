@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators.clean import FieldRule, clean, clean_summary
+from docspark.operators.dedup import dedup_records as one_of_each
 from docspark.operators.enrich import SetWhen, enrich, list_text_analytics
+from docspark.operators.joins import lookup
 from docspark.operators.normalize import coerce, fill_defaults, normalize, rename
 from docspark.plans.parse_queries import sql_collapse
 from docspark.plans.registry import query, sql_float, sql_strip, table
@@ -260,9 +262,9 @@ def coerce_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "enrich_hash",
-    f"""SELECT c_custkey, substr(sha256('{{' || array_to_string(list_filter([
+    f"""SELECT c_custkey, sha256('{{' || array_to_string(list_filter([
           '"balance": ' || balance, '"c_nationkey": ' || c_nationkey, '"name": "' || name || '"', '"segment": "' || segment || '"'],
-          lambda x: x IS NOT NULL), ', ') || '}}'), 1, 16) AS record_hash,
+          lambda x: x IS NOT NULL), ', ') || '}}') AS record_hash,
         (1 + (name IS NOT NULL)::INT + (segment IS NOT NULL)::INT + (balance IS NOT NULL)::INT) AS field_count
         FROM ({SQL_SPARSE})""",
 )
@@ -277,7 +279,7 @@ SQL_JSON_TEXT = r"""array_to_string(list_transform(string_split(replace(replace(
 
 @query(
     "enrich_hash_text",
-    f"""SELECT doc_id, substr(sha256('{{"lang": "' || lang || '", "text": "' || {SQL_JSON_TEXT} || '"}}'), 1, 16) AS record_hash FROM documents""",
+    f"""SELECT doc_id, sha256('{{"lang": "' || lang || '", "text": "' || {SQL_JSON_TEXT} || '"}}') AS record_hash FROM documents""",
 )
 def enrich_hash_text(spark: SparkSession, sf: str) -> DataFrame:
     done = enrich(table(spark, sf, "documents", spread=True).select("doc_id", "lang", "text"), ["lang", "text"])
@@ -363,11 +365,12 @@ def sql_stats(x: str) -> str:
 
 @query(
     "text_analytics",
-    f"""SELECT doc_id, 'text' AS field, {sql_stats('text')} FROM documents WHERE length(text) > 50
+    f"""SELECT doc_id, 'text' AS field, {sql_stats('text')} FROM documents WHERE text IS NOT NULL
+        UNION ALL SELECT doc_id, 'lang' AS field, {sql_stats('lang')} FROM documents WHERE lang IS NOT NULL
         UNION ALL SELECT doc_id, 'contact' AS field, {sql_stats('contact')} FROM
           (SELECT doc_id, 'call ' || printf('%03d-%03d.%04d', doc_id % 1000, doc_id % 997, doc_id % 9973) || ' or see http' || CASE WHEN doc_id % 3 = 0 THEN 's' ELSE '' END
              || CASE WHEN doc_id % 2 = 0 THEN '://' ELSE ':/' END || source || ' or write ' || lang || '@' || source || CASE WHEN doc_id % 5 = 0 THEN '' ELSE '.org' END
-             || CASE WHEN doc_id % 7 = 0 THEN '' ELSE ' any time of the day' END AS contact FROM documents) WHERE length(contact) > 50""",
+             || CASE WHEN doc_id % 7 = 0 THEN '' ELSE ' any time of the day' END AS contact FROM documents)""",
 )
 def text_analytics(spark: SparkSession, sf: str) -> DataFrame:
     contact = F.expr(
@@ -377,3 +380,19 @@ def text_analytics(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", spread=True).select("doc_id", "text", "lang", contact.alias("contact"))
     done = enrich(docs, ["text", "lang", "contact"])
     return list_text_analytics(done, ["doc_id"])
+
+
+# ---- equal records, lookups ----
+
+
+@query("dedup_records", "SELECT min(doc_id) AS doc_id, lang, text, count(*) AS copies FROM documents GROUP BY lang, text")
+def dedup_records(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return one_of_each(docs, ["lang", "text"], ["doc_id"]).select("doc_id", "lang", "text", "copies")
+
+
+@query("enrich_lookup", "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0")
+def enrich_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer with the name of its nation; some nations are not known."""
+    nations = table(spark, sf, "nation").filter("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return lookup(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), nations, "c_nationkey", ["n_name"]).select("c_custkey", "n_name")

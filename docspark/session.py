@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a caller's expression that fails on a record (a division by zero, a cast) gives null there, not the end of the job
+    "spark.sql.ansi.enabled": "false",
     # prompts and payloads are long: keep the batches handed to Python at a few MB
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # a repeated key in a JSON reply keeps its last value

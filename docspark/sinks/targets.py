@@ -20,7 +20,7 @@ from docspark.session import materialize
 from docspark.sinks.records import api_payload, envelope, table_rows, written
 
 
-ATTEMPTS = pa.schema([("document_id", pa.string()), ("attempt", pa.int32()), ("status", pa.int32()), ("error", pa.string())])
+ATTEMPTS = pa.schema([("record", pa.int64()), ("document_id", pa.string()), ("attempt", pa.int32()), ("status", pa.int32()), ("error", pa.string())])
 
 
 class Sink(Protocol):
@@ -76,7 +76,8 @@ class FunctionSink:
     """Hand every record to a caller's function, with retries and a cap on the rate.
 
     ``make`` runs once per task and returns ``send(payload) -> (status, text)``. Every attempt is
-    logged and written once; the outcome per document is then an aggregation over that log.
+    logged and written once, under a number that every record has for itself (equal documents share
+    an id); the outcome per record is then an aggregation over that log.
     ``rate_per_second`` is shared out evenly among the tasks that can run at once. A task may run
     twice, so the receiver should treat the document id as a key.
     """
@@ -92,6 +93,7 @@ class FunctionSink:
     def attempts(self, df: DataFrame) -> DataFrame:
         rows = df.select("document_id", api_payload(self.fields).alias("payload"))
         rows = rows.repartition(self.tasks) if self.tasks else rows
+        rows = rows.select(F.monotonically_increasing_id().alias("record"), "document_id", "payload")
         make, retries, delay = self.make, self.max_retries, self.delay
         at_once = df.sparkSession.sparkContext.defaultParallelism
         at_once = min(self.tasks, at_once) if self.tasks else at_once
@@ -101,7 +103,7 @@ class FunctionSink:
             send, last = make(), 0.0
             for batch in batches:
                 log = []
-                for doc, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for record, doc, payload in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                     for attempt in range(retries):
                         if pause:
                             time.sleep(max(0.0, last + pause - time.monotonic()))
@@ -110,18 +112,18 @@ class FunctionSink:
                             status, text = send(payload)
                         except Exception as e:  # a transport error counts as an attempt
                             status, text = None, str(e)
-                        log.append({"document_id": doc, "attempt": attempt, "status": status, "error": text})
+                        log.append({"record": record, "document_id": doc, "attempt": attempt, "status": status, "error": text})
                         retry = status is None or status == 429 or status >= 500
                         if not retry or attempt == retries - 1:
                             break
                         time.sleep(delay * 2**attempt)
                 yield pa.RecordBatch.from_pylist(log, schema=ATTEMPTS)
 
-        return rows.mapInArrow(run, "document_id string, attempt int, status int, error string")
+        return rows.mapInArrow(run, "record long, document_id string, attempt int, status int, error string")
 
     def write(self, df: DataFrame, batch_id: str) -> DataFrame:
         log = materialize(self.attempts(df), f"attempts-{batch_id}")
-        outcome = delivery_outcome(log, max_retries=self.max_retries, delay=self.delay)
+        outcome = delivery_outcome(log, ["record", "document_id"], max_retries=self.max_retries, delay=self.delay)
         return outcome.select(
             "document_id", F.lit(self.destination).alias("destination"), "success", "records_written", "error"
         )

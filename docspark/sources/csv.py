@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docspark.functions.text import or_placeholder
+from docspark.session import materialize
 
 # --- Fixed values ---
-SHOWN_ROWS = 50
 EMPTY_CSV = "(empty CSV)"
 COLUMNS, TOTAL_ROWS, ROW, EXTRA_COLUMN = "Columns: ", "Total rows: ", "Row ", "col_"
-MORE_ROWS = "... ({} more rows)"
 # one field: quoted (an open quote runs to the end), plain, or empty; then one record
 FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'
 RECORD = rf"({FIELD}(?:,{FIELD})*+)(?:\r\n|\r|\n|\z)"
 QUOTED = r'(?s)\A"([^"]*+(?:""[^"]*+)*+)"?+(.*)\z'
 
+# Not fixed: the default number of rows in one part of a table's text
+PART_ROWS = 1000
 SALTS = 64
 
 
@@ -40,12 +41,9 @@ def _row_text(head: Column, cells: Column, number: Column) -> Column:
 
 
 def _full_text(names: Column, rows: Column, shown: Column) -> Column:
-    before, after = MORE_ROWS.split("{}")
-    more = F.concat(F.lit("\n" + before), (rows - SHOWN_ROWS).cast("string"), F.lit(after))
     return F.concat(
         F.lit(COLUMNS), names, F.lit("\n" + TOTAL_ROWS), rows.cast("string"), F.lit("\n"),
         F.when(rows > 0, F.concat(F.lit("\n"), shown)).otherwise(""),
-        F.when(rows > SHOWN_ROWS, more).otherwise(""),
     )
 
 
@@ -59,7 +57,7 @@ def parse(df: DataFrame, content: str = "content", prefix: str = "") -> DataFram
     df = df.withColumn(head, _fields(F.get(records, F.lit(0))))
     rows = F.greatest(F.size(records) - 1, F.lit(0))
     shown = F.transform(
-        F.slice(F.col(records), 2, SHOWN_ROWS), lambda r, i: _row_text(F.col(head), _fields(r), i + 1)
+        F.slice(F.col(records), F.lit(2), F.greatest(rows, F.lit(1))), lambda r, i: _row_text(F.col(head), _fields(r), i + 1)
     )
     text = _full_text(F.array_join(head, ", "), rows, F.array_join(shown, "\n"))
     df = df.withColumns(
@@ -85,7 +83,7 @@ def counts(df: DataFrame, file: str, columns: list[str]) -> DataFrame:
     return df.groupBy(file).agg(F.count("*").alias("row_count")).withColumn("column_count", F.lit(len(columns)))
 
 
-def first_rows(df: DataFrame, file: str, order: list[str], n: int = SHOWN_ROWS, salts: int = SALTS) -> DataFrame:
+def first_rows(df: DataFrame, file: str, order: list[str], n: int, salts: int = SALTS) -> DataFrame:
     """The first ``n`` rows of every file, numbered in ``row``; no task gathers a whole file.
 
     First the leading rows of each salted slice of a file, then the leading rows of those. Spark
@@ -99,19 +97,38 @@ def first_rows(df: DataFrame, file: str, order: list[str], n: int = SHOWN_ROWS,
     return lead.withColumn("row", F.row_number().over(files)).filter(F.col("row") <= n).drop("_salt")
 
 
-def table_text(df: DataFrame, file: str, order: list[str], columns: list[str]) -> DataFrame:
-    """One text per file of a (file, ordinal, columns) table: header, row count, first rows.
+def numbered_rows(df: DataFrame, file: str, order: list[str]) -> DataFrame:
+    """All rows with their number in their file in ``row``, from 1; no task gathers a whole file.
 
-    Counts come from a plain aggregation, the rows from ``first_rows``; what is collected per file
-    is at most 50 short lines.
+    Rows are range-partitioned by file and order and written once with their place; one count per
+    partition and file, summed up in a window over at most as many rows per file as there are
+    partitions, says where each partition's share of a file begins.
     """
-    lead = first_rows(df.select(file, *order, *[c for c in columns if c not in (file, *order)]), file, order)
+    keys = [file, *order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("_slice", F.shiftrightunsigned("_at", 33)), "csv-rows")
+    slices = placed.groupBy(F.col(file).alias("_file"), "_slice").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumnRenamed("_slice", "_s")
+    own = F.col(file).eqNullSafe(F.col("_file")) & (F.col("_slice") == F.col("_s"))
+    row = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return placed.join(slices, own).withColumn("row", row).drop("_at", "_slice", "_file", "_s", "_first", "_n", "_before")
+
+
+def table_text(df: DataFrame, file: str, order: list[str], columns: list[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """The text of all rows of each file of a (file, ordinal, columns) table, in numbered parts.
+
+    A part has the header, the file's row count and up to ``part_rows`` rows, so what is collected in
+    one place does not grow with the file.
+    """
+    rows = numbered_rows(df.select(file, *order, *[c for c in columns if c not in (file, *order)]), file, order)
     cells = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
     head = F.array(*[F.lit(c) for c in columns])
-    line = _row_text(head, cells, F.col("row"))
-    shown = lead.groupBy(file).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", line.alias("line")))), lambda x: x["line"]), "\n").alias("_shown")
+    line = F.struct("row", _row_text(head, cells, F.col("row")).alias("line"))
+    part = F.floor((F.col("row") - 1) / part_rows).cast("bigint")
+    shown = rows.groupBy(file, part.alias("part")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n").alias("_shown")
     )
-    joined = counts(df, file, columns).join(shown, file, "left")
+    joined = counts(df, file, columns).join(shown, file)
     names = F.lit(", ".join(columns))
     return joined.withColumn("raw_content", _full_text(names, F.col("row_count"), F.col("_shown"))).drop("_shown")

@@ -182,10 +182,8 @@ def slow_csv(text):
         return "(empty CSV)", 0, 0
     head, data = rows[0], rows[1:]
     out = ["Columns: " + ", ".join(head), f"Total rows: {len(data)}", ""]
-    for i, row in enumerate(data[:50], 1):
+    for i, row in enumerate(data, 1):
         out.append(f"Row {i}: " + " | ".join((head[j] if j < len(head) else f"col_{j}") + f": {v}" for j, v in enumerate(row)))
-    if len(data) > 50:
-        out.append(f"... ({len(data) - 50} more rows)")
     return "\n".join(out), len(data), len(head)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docspark.operators.batches import batch_results, delivery_outcome, progress
-from docspark.operators.extract import CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns, join_replies, parse_reply, typed_fields
+from docspark.operators.extract import CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns, join_replies, merge_parts, parse_reply, split_text, typed_fields
 from docspark.operators.quality import Thresholds, judge, passes, quality_report
 from docspark.plans.flow import DocumentFlow
 from docspark.session import materialize
@@ -60,10 +60,10 @@ def test_report(spark):
     assert tuple(quality_report(df.filter("false")).first()) == (0, 0, 0, 0, 0.0, 0.0, 0.0)
 
 
-def test_prompt_has_examples_and_cap(spark):
+def test_prompt_has_examples_and_the_whole_text(spark):
     schema = ExtractionSchema("s", {"type": "object"}, {}, examples=({"a": 1},))
     text = spark.createDataFrame([("x" * 7000,)], "t string").select(extraction_prompt(F.col("t"), schema).alias("p")).first().p
-    assert "x" * 6000 in text and "x" * 6001 not in text and '{"a": 1}' in text and "Instructions" not in text
+    assert "x" * 7000 in text and '{"a": 1}' in text and "Instructions" not in text
 
 
 def test_model_calls_isolate_errors(spark):
@@ -100,10 +100,12 @@ def test_delivery(spark):
     log = [("ok", 0, 201, None), ("late", 0, 503, "x"), ("late", 1, 429, "x"), ("late", 2, 200, None), ("never", 0, 500, "x"), ("never", 1, 500, "x"), ("never", 2, 500, "x"),
            ("gone", 0, 404, "y" * 300), ("net", 0, None, "a"), ("net", 1, None, "b"), ("net", 2, None, "c"), ("over", 0, 500, "x"), ("over", 5, 200, None)]
     df = spark.createDataFrame(log, "document_id string, attempt int, status int, error string")
-    got = {r.document_id: tuple(r)[1:] for r in delivery_outcome(df).collect()}
+    free = {r.document_id: tuple(r)[1:] for r in delivery_outcome(df).collect()}
+    assert free["over"] == (True, 2, 1.0, 1, None) and free["never"] == (False, 3, 3.0, 0, "HTTP 500: x") and free["net"] == (False, 3, 3.0, 0, "c")
+    got = {r.document_id: tuple(r)[1:] for r in delivery_outcome(df, max_retries=3).collect()}
     assert got == {
         "ok": (True, 1, 0.0, 1, None), "late": (True, 3, 3.0, 1, None), "never": (False, 3, 7.0, 0, "Max retries exceeded"),
-        "gone": (False, 1, 0.0, 0, "HTTP 404: " + "y" * 200), "net": (False, 3, 3.0, 0, "c"), "over": (False, 1, 1.0, 0, "Max retries exceeded"),
+        "gone": (False, 1, 0.0, 0, "HTTP 404: " + "y" * 300), "net": (False, 3, 3.0, 0, "c"), "over": (False, 1, 1.0, 0, "Max retries exceeded"),
     }
 
 
@@ -211,3 +213,26 @@ def test_jdbc_options(spark, monkeypatch):
     assert seen["format"] == "jdbc" and seen["dbtable"] == "records" and seen["url"].endswith("db/x") and seen["driver"] == "d"
     assert seen["columns"] == ["document_id", "data", "schema_name", "quality_score", "loaded_at", "metadata"]
     assert [tuple(r) for r in log] == [("1", "records@db/x", True, 1, None)]
+
+
+def test_long_texts_in_parts(spark):
+    text = "a" * 2_000_000 + "\nthe last line"
+    docs = spark.createDataFrame([("1", text), ("2", ""), ("3", None), ("4", "x" * 1000)], "document_id string, text string")
+    parts = split_text(docs, "text", 1000, 100)
+    got = parts.groupBy("document_id").agg(F.count("*").alias("n"), F.max("part").alias("last"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))),
+        lambda p: F.when(p["part"] == 0, p["text"]).otherwise(F.substring(p["text"], 101, 900))), "").alias("text")).collect()
+    assert {r.document_id: r.text for r in got} == {"1": text, "2": "", "3": "", "4": "x" * 1000}
+    assert {r.document_id: r.last + 1 for r in got} == {r.document_id: r.n for r in got} and min(r.n for r in got) == 1
+    replies = parts.select("document_id", "part", F.when(F.col("text").contains("last line"), '{"end": "found"}').when(F.col("part") == 0, '{"start": 1}').alias("reply"))
+    done = {r.document_id: (r.start, r.end) for r in merge_parts(parse_reply(replies), {"start": "int", "end": "string"}).collect()}
+    assert done["1"] == (1, "found") and done["2"] == (1, None)
+
+
+def test_equal_documents_have_outcomes_of_their_own(spark):
+    def make():
+        answers = iter([200, 404, 200])
+        return lambda payload: (next(answers), "no")
+
+    df = spark.createDataFrame([("same",), ("same",), ("other",)], "document_id string").coalesce(1).withColumn("v", F.lit(1))
+    rows = FunctionSink(make, "t", ["v"], delay=0.0, rate_per_second=0.0).write(df, "x").collect()
+    assert sorted((r.document_id, r.success) for r in rows) == [("other", True), ("same", False), ("same", True)]

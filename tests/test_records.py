@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from docspark.functions.dates import spark_format
 from docspark.operators.clean import FieldRule, clean, clean_summary
+from docspark.operators.dedup import dedup_records
 from docspark.operators.enrich import SetWhen, enrich
+from docspark.operators.joins import lookup
 from docspark.operators.normalize import coerce, fill_defaults, normalize, rename, to_bool
 from docspark.operators.rules import WARNING, Rule, in_range, matches, required, validate
 
@@ -104,7 +106,7 @@ def test_empty_text_is_no_missing_value(spark):
 
 def test_enrichment_block(spark):
     r = enrich(frame(spark, "name string, email string", ("Alice", "alice@example.com")), ["name", "email"]).first()
-    want = hashlib.sha256(json.dumps({"name": "Alice", "email": "alice@example.com"}, sort_keys=True).encode()).hexdigest()[:16]
+    want = hashlib.sha256(json.dumps({"name": "Alice", "email": "alice@example.com"}, sort_keys=True).encode()).hexdigest()
     assert r["_enrichment"]["record_hash"] == want and r["_enrichment"]["field_count"] == 2 and r["_enrichment"]["processed_at"]
 
 
@@ -134,10 +136,11 @@ def test_source_info(spark):
 def test_text_analytics_only_for_long_texts(spark):
     long = "mail me at a.b@c.org or 555-123-4567, see https://x.org now please"
     df = frame(spark, "a string, _b string, c string", (long, long, "x" * 50), ("short", long, "x" * 51))
-    first, second = [r["_text_analytics"] for r in enrich(df, df.columns, computed={"d": "concat(a, ' ')"}).collect()]
+    first, second = [r["_text_analytics"] for r in enrich(df, df.columns, computed={"d": "concat(a, ' ')"}, longer_than=50).collect()]
     assert set(first) == {"a", "d"} and tuple(first["a"]) == (len(long), len(long.split()), True, True, True)
     assert set(second) == {"c"} and tuple(second["c"]) == (51, 1, False, False, False)
-    assert enrich(frame(spark, "a string", ("short",)), ["a"]).first()["_text_analytics"] is None
+    assert enrich(frame(spark, "a string", ("short",)), ["a"], longer_than=50).first()["_text_analytics"] is None
+    assert tuple(enrich(frame(spark, "a string", ("",)), ["a"]).first()["_text_analytics"]["a"]) == (0, 0, False, False, False)
 
 
 # ---- rules ----
@@ -195,3 +198,28 @@ def test_null_is_no_false(spark):
 
     df = spark.createDataFrame([(0, None, None), (2, True, "no")], "a int, b boolean, c string")
     assert [tuple(r) for r in coerce(df, {"a": "bool", "b": "bool", "c": "bool"}).select("a", "b", "c").collect()] == [(False, None, None), (True, True, False)]
+
+
+def test_constants_that_do_not_fit_fail_the_plan(spark):
+    df = frame(spark, "a int, b string", (1, "x"), (None, None))
+    for value in ("n/a", 1 << 40, 2.5):
+        with pytest.raises(ValueError, match="a is of type int"):
+            fill_defaults(df, {"a": value})
+    with pytest.raises(ValueError, match="a is of type int"):
+        enrich(df, ["a"], rules=[SetWhen("b", "x", {"a": "high"})])
+    assert [tuple(r) for r in fill_defaults(df, {"a": 7, "b": 3}).collect()] == [(1, "x"), (7, "3")]
+
+
+def test_failing_expressions_leave_their_record_alone(spark):
+    df = frame(spark, "a int, b string", (0, "x"), (5, "3"))
+    got = enrich(df, ["a"], computed={"c": "10 / a", "d": "cast(b as int)"}).collect()
+    assert [(r.c, r.d) for r in got] == [(None, None), (2.0, 3)]
+
+
+def test_equal_records_and_lookups(spark):
+    df = frame(spark, "k int, a string, b int", (3, "x", 1), (1, "x", 1), (2, "x", None), (4, None, None), (5, None, None))
+    got = sorted((r.k, r.copies) for r in dedup_records(df, ["a", "b"], ["k"]).collect())
+    assert got == [(1, 2), (2, 1), (4, 2)] and all(len(r.record_hash) == 64 for r in dedup_records(df, ["a"], ["k"]).collect())
+    assert dedup_records(df.filter("false"), ["a"], ["k"]).count() == 0
+    names = frame(spark, "b int, n string", (1, "q"), (1, "p"), (None, "z"))
+    assert sorted(((r.k, r.n) for r in lookup(df, names, "b", ["n"]).collect())) == [(1, "p"), (2, None), (3, "p"), (4, None), (5, None)]

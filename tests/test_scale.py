@@ -44,22 +44,24 @@ def test_unused_outputs_are_not_computed(spark):
 
 def test_patterns_run_once_per_value(spark):
     text = plan(catalogue.QUERIES["html_text"](spark, SF))
-    assert text.count("<script") == 1
+    assert text.count("</script>") == 1
     assert plan(catalogue.QUERIES["rules_suite"](spark, SF)).count("[A-Z]+") == 1
     assert plan(catalogue.QUERIES["text_analytics"](spark, SF)).count(r"\p{Nd}{4}") == 3  # one per text field
 
 
 def test_first_rows_are_cut_before_the_shuffle(spark):
     df = spark.range(100_000).select(F.lit("hot").alias("file"), F.col("id").alias("ordinal"), F.col("id").cast("string").alias("v"))
-    lead = first_rows(df, "file", ["ordinal"])
+    lead = first_rows(df, "file", ["ordinal"], 50)
     assert plan(lead).count("WindowGroupLimit") >= 2
     assert [r.ordinal for r in lead.orderBy("row").collect()] == list(range(50))
 
 
 def test_table_text_of_a_hot_file(spark):
     df = spark.range(60_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 100)).alias("file"), F.col("id").alias("ordinal"))
-    out = {r.file: r for r in table_text(df, "file", ["ordinal"], ["ordinal"]).collect()}
-    assert out["hot"].row_count == 40_000 and out["hot"].raw_content.count("\n") == 53 and len(out) == 101
+    out = table_text(df, "file", ["ordinal"], ["ordinal"]).collect()
+    hot = sorted((r for r in out if r.file == "hot"), key=lambda r: r.part)
+    assert [r.part for r in hot] == list(range(40)) and all(r.row_count == 40_000 and r.raw_content.count("\n") == 1002 for r in hot)
+    assert hot[-1].raw_content.endswith("Row 40000: ordinal: 59999") and len({r.file for r in out}) == 101
 
 
 def test_hot_keys_are_split_in_joins(spark):
@@ -67,12 +69,10 @@ def test_hot_keys_are_split_in_joins(spark):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.col("id").cast("string")).alias("document_id"), F.col("id").alias("n")
     )
     right = left.select("document_id").distinct().filter("document_id is not null").withColumn("v", F.length("document_id"))
-    assert hot_keys(left, "document_id", rows=1000) == ["hot"] and hot_keys(left, "document_id") == []
-    got = left_join_unique(left, right, "document_id", rows=1000, salts=16)
+    assert "hot" in hot_keys(left, "document_id") and len(hot_keys(left, "document_id")) <= 1000
+    got = left_join_unique(left, right, "document_id", salts=16)
     want = left.join(right, "document_id", "left")
-    assert sorted(map(tuple, got.select("n", "v").collect())) == sorted(map(tuple, want.select("n", "v").collect()))
-    plain = left_join_unique(left, right, "document_id")
-    assert sorted(map(tuple, plain.select("n", "v").collect())) == sorted(map(tuple, want.select("n", "v").collect()))
+    assert sorted(map(tuple, got.select("n", "v").collect()), key=str) == sorted(map(tuple, want.select("n", "v").collect()), key=str)
     salts = left.filter("document_id = 'hot'").groupBy(F.pmod(row_hash(left), F.lit(16))).count().collect()
     assert len(salts) == 16 and max(r["count"] for r in salts) < 1000
 

@@ -1,6 +1,7 @@
 """Parsers on small known documents, files and request bodies."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def test_csv_counts_and_cut(spark):
     r = one(spark, "name,age,city\nAlice,30,NYC\nBob,25,LA", "csv")
     assert "Alice" in r.raw_content and r.metadata["row_count"] == "2" and r.metadata["column_count"] == "3"
     r = one(spark, "col1,col2\n" + "\n".join(f"val{i},data{i}" for i in range(100)), "csv")
-    assert r.raw_content.endswith("... (50 more rows)") and r.metadata["row_count"] == "100"
+    assert r.raw_content.count("\nRow ") == 100 and r.metadata["row_count"] == "100"
 
 
 def test_csv_long_record_does_not_overflow(spark):
@@ -125,7 +126,7 @@ def test_csv_files_as_rows_and_text(spark, csv_folder):
     assert out["one.csv"].row_count == 120 and out["two.csv"].row_count == 3
     lines = out["one.csv"].raw_content.split("\n")
     assert lines[:4] == ["Columns: id, label", "Total rows: 120", "", "Row 1: id: 0 | label: one, 0"]
-    assert lines[-2:] == ["Row 50: id: 49 | label: one, 49", "... (70 more rows)"]
+    assert lines[-1] == "Row 120: id: 119 | label: one, 119"
     assert out["two.csv"].raw_content.endswith("Row 3: id: 2 | label: two, 2")
 
 
@@ -136,8 +137,21 @@ def test_csv_file_split_over_tasks_keeps_its_order(spark, csv_folder):
     try:
         rows = csv.read_rows(spark, csv_folder, ["id", "label"])
         assert rows.rdd.getNumPartitions() > 4
-        lead = csv.first_rows(rows, "file", ["ordinal"]).filter(F.col("file").endswith("one.csv"))
+        lead = csv.first_rows(rows, "file", ["ordinal"], 50).filter(F.col("file").endswith("one.csv"))
         assert [r.id for r in lead.orderBy("row").collect()] == [str(i) for i in range(50)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("unit", ["<script>x", "<", "<p", "<title>", "<style>"])
+def test_unclosed_tags_take_linear_time(spark, unit):
+    page = "<b>a</b>" + unit * (1_000_000 // len(unit))
+    start = time.perf_counter()
+    r = one(spark, page, "html")
+    assert time.perf_counter() - start < 20 and r.raw_content.startswith("a")
+
+
+def test_long_csv_is_whole(spark):
+    r = one(spark, "n,m\n" + "\n".join(f"{i},x" for i in range(10_000)), "csv")
+    assert r.raw_content.endswith("Row 10000: n: 9999 | m: x")

@@ -18,7 +18,7 @@ BLOCK_BYTES = 16 << 20
 #: Distinct words whose lattices are worked on at once, those of one length together.
 WORDS = 40_000
 #: Rounds of expectation and maximization that fit the vocabulary's scores to the training words.
-ROUNDS = 1
+ROUNDS = 2
 #: Added to each piece's expected count.
 PRIOR = 0.1
 _MARK, _STEP = "▁", np.uint64(0x5851F42D4C957F2D)
@@ -238,9 +238,7 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
     score is the log10 probability of the text under a unigram model of the pieces in the vocabulary
     file ``path``: each word's probability, summed over all its segmentations by the forward recursion
     in log space, and that of the end. The vocabulary is as it is; its scores start from those of the
-    file and are fitted to all words of the ``training`` rows, each by the logarithm of its count:
-    what the pieces have to spell is new words, which are more like the rare ones than the frequent
-    ones. To a word of the training texts the lattice has one
+    file and are fitted to all words of the ``training`` rows. To a word of the training texts the lattice has one
     more path, the word whole, scored by its frequency; the end of a text is such a token too. The
     pieces' paths share what the seen tokens leave: distinct tokens / (tokens + distinct tokens), the
     expected share of new ones (Witten and Bell; copied documents hardly change it). n_tokens counts words and one end; n_known those tokens seen in training;
@@ -262,7 +260,7 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
     fresh = distinct / (tokens + distinct) if tokens else 1.0
     vocabulary = read_vocabulary(path)
     if texts:
-        vocabulary = fit_scores(known.select("word", F.log1p("times").alias("times")), vocabulary, rounds=rounds)
+        vocabulary = fit_scores(known, vocabulary, rounds=rounds)
     shared = docs.sparkSession.sparkContext.broadcast(astuple(vocabulary))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

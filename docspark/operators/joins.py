@@ -27,8 +27,8 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, salts: int = S
 
     Content-derived ids repeat for exact copies, so one id may own a large share of the left side.
     Rows of such an id get a salt and the matching right rows one copy per salt. (The adaptive skew
-    join does not see to it: the right side often comes from an aggregation on the key, whose
-    shuffle the join uses again.) Rows without a key match nothing and are spread the same way. The
+    join did not see to it in a test, likely because the right side came from an aggregation on the
+    key.) Rows without a key match nothing and are spread the same way. The
     salt is a hash of the row, so a re-run task sends each row to the same place.
     """
     schema = left.select(F.col(key), F.lit(True).alias("_hot")).schema

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,8 +105,25 @@ THIS SOFTWARE.""",
 #: Read alike by Java and RE2: a copyright line (lower case), and what is not a letter or digit.
 COPYRIGHT_LINE = r"^[^\p{L}\p{N}]*(copyright|\(c\)|©)[^\n]*[0-9]|^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*\z"
 NO_WORD = r"[^\p{L}\p{N}]+"
-
-
+#: Full texts as published, one file each, named by its licence.
+TEXTS = Path(__file__).with_name("license_texts")
+#: Where the appendix of a full text starts that copies often leave out (lines as plain_lines makes them).
+APPENDICES = ("appendix how to apply", "how to apply these terms")
+_NAMES = [
+    "license", "mit license", "mit license mit", "expat license", "isc license", "isc license isc", "zero clause bsd license", "bsd zero clause license",
+    "bsd zero clause license 0bsd", "0bsd", "0bsd license", "bsd license", "new bsd license", "modified bsd license", "revised bsd license", "simplified bsd license",
+    "bsd 2 clause license", "bsd 2 clause simplified license", "2 clause bsd license", "bsd 3 clause license", "bsd 3 clause new or revised license", "3 clause bsd license",
+    "apache license", "apache license 2 0", "apache license version 2 0", "apache license version 2 0 january 2004",
+    "gnu general public license", "gnu lesser general public license", "gnu library general public license", "gnu affero general public license",
+    "mozilla public license", "mozilla public license 2 0", "mozilla public license version 2 0", "mozilla public license version 1 1", "unlicense",
+]
+_REST = [
+    "version 2 0", "version 2 0 january 2004", "http www apache org licenses", "https www apache org licenses", "version 1 february 1989", "version 2 june 1991",
+    "version 2 1 february 1999", "version 3 29 june 2007", "version 3 19 november 2007", "version 1 1", "creative commons legal code", "cc0 1 0 universal",
+    "creative commons cc0 1 0 universal", "attribution 4 0 international", "attribution sharealike 4 0 international", "attribution noncommercial 4 0 international",
+]
+#: Lines that are a licence's title, as plain_lines makes them.
+TITLES = sorted({new for name in _NAMES for full in (name, f"the {name}") for new in (full, full.replace("license", "licence"))} | set(_REST))
 
 
 def plain_lines(text: Column) -> Column:
@@ -124,21 +142,49 @@ def one_spelling(padded: Column) -> Column:
     return F.when(found, F.replace(new, F.lit("  "), F.lit(" "))).otherwise(padded)
 
 
+def without_head(lines: Column) -> Column:
+    """The lines from the first on that is no title, no copyright statement and not empty; no lines if only empty ones go.
+
+    Before the body of a licence any line that starts with the word copyright states one, with or
+    without a year; within it such a line may be running text, so that the others stay.
+    """
+    head = lambda x: (x == "") | x.isin(TITLES) | x.rlike("^(c )?copyright( |$)|^c ")
+    first = F.array_position(F.transform(lines, head), F.lit(False)).cast("int")
+    says = F.exists(F.slice(lines, 1, F.greatest(first - 1, F.lit(0))), lambda x: x != "")
+    return F.when(says, F.slice(lines, F.greatest(first, F.lit(1)), F.size(lines))).otherwise(F.array().cast("array<string>"))
+
+
 def digests(lines: Column) -> Column:
-    """SHA-256 of the canonical entire text, then of each line; null where no word is left.
+    """SHA-256 of the canonical entire text, of it without its head (if it has one), then of each line; null where no word is left.
 
     Each step is a transform of its own: a lambda works its argument out once, however often it is named.
     """
-    units = F.concat(F.array(F.array_join(F.filter(lines, lambda x: x != ""), " ")), lines)
+    joined = lambda x: F.array_join(F.filter(x, lambda y: y != ""), " ")
+    units = F.get(F.transform(F.array(lines), lambda x: F.concat(F.array(joined(x), joined(without_head(x))), x)), F.lit(0))
     padded = F.transform(units, lambda x: F.concat(F.lit(" "), x, F.lit(" ")))
     words = F.transform(padded, lambda x: F.trim(one_spelling(x)))
     return F.transform(words, lambda x: F.unhex(F.sha2(F.nullif(x, F.lit("")), 256)))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """Rows (digest, license), one per digest (the first name by the alphabet): the table of known licence texts."""
-    table = spark.createDataFrame(known, "license string, text string")
-    table = table.select(digests(plain_lines(F.col("text")))[0].alias("digest"), "license")
+def full_texts(folder: str | Path = TEXTS) -> list[tuple[str, str]]:
+    """(license, text) of each file of a folder on the driver, named <license>.txt."""
+    return [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(Path(folder).glob("*.txt"))]
+
+
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
+    """Rows (digest, license), one per digest (the first name by the alphabet) of the known licence texts.
+
+    ``known``: pairs, or a table, of license and text, titles included or not. Each text counts with and
+    without its head, its appendix on how to apply it, and the copyright line to be filled in there.
+    """
+    table = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license string, text string")
+    table = table.select("license", plain_lines(F.col("text")).alias("lines"))
+    starts = lambda x: reduce(lambda a, b: a | b, [x.contains(m) for m in APPENDICES])
+    at = F.array_position(F.transform("lines", starts), F.lit(True)).cast("int")
+    short = F.when(at > 1, F.slice("lines", 1, F.greatest(at - 1, F.lit(0)))).otherwise(F.col("lines"))
+    blank = F.filter("lines", lambda x: ~x.rlike("^copyright (c )?(yyyy|year) "))
+    table = table.select("license", F.explode(F.array("lines", short, blank)).alias("lines"))
+    table = table.select("license", F.explode(F.slice(digests(F.col("lines")), 1, 2)).alias("digest"))
     return table.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("license").alias("license"))
 
 
@@ -146,7 +192,8 @@ def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text", id: str
     """Rows (id, license, line_licenses), one per row of ``docs``: what each text is, and what its lines are.
 
     license is the licence (string) whose text the entire document is, by the digest of the canonical
-    text: lower case, no copyright lines, no punctuation, one of several equivalent spellings. A line
+    text: lower case, no copyright lines, no punctuation, one of several equivalent spellings; if that
+    is not known, by the digest without title and copyright lines at the beginning. A line
     of a document may be a licence notice as a whole; line_licenses (sorted strings) has the licences
     whose text is that of one line. Both are equality joins of digests to ``known`` (digest, license;
     unique digests), whose size Spark checks before it broadcasts it; only ids, hashes and digests move.
@@ -157,14 +204,16 @@ def scan_licenses(docs: DataFrame, known: DataFrame, text: str = "text", id: str
     key = [F.col(id).alias("id"), F.xxhash64(text).alias("version")]
     # one pass over the texts leaves a narrow table, which both lookups read
     made = materialize(docs.select(*key, digests(plain_lines(F.col(text))).alias("digests")), "digests")
-    lines = F.array_distinct(F.expr("slice(digests, 2, size(digests))"))
+    lines = F.array_distinct(F.expr("slice(digests, 3, size(digests))"))
     found = made.select("id", "version", F.explode(lines).alias("digest")).join(known, "digest")
     found = found.groupBy("id", "version").agg(F.array_sort(F.collect_set("license")).alias("found"))
     found = found.select(F.col("id").alias("_id"), F.col("version").alias("_version"), "found")
-    rows = made.select("id", "version", F.get("digests", F.lit(0)).alias("digest")).join(known, "digest", "left")
+    body = known.select(F.col("digest").alias("_body"), F.col("license").alias("_license"))
+    rows = made.select("id", "version", F.get("digests", F.lit(0)).alias("digest"), F.get("digests", F.lit(1)).alias("_body"))
+    rows = rows.join(known, "digest", "left").join(body, "_body", "left")
     rows = rows.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left")
     none = F.array().cast("array<string>")
-    return rows.select(F.col("id").alias(id), "license", F.coalesce("found", none).alias("line_licenses"))
+    return rows.select(F.col("id").alias(id), F.coalesce("license", "_license").alias("license"), F.coalesce("found", none).alias("line_licenses"))
 
 
 def _sql_digest(text: str) -> str:

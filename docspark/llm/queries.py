@@ -81,7 +81,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_license_scan", licenses.ORACLE)
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark, licenses.KNOWN + licenses.full_texts()))
 
 
 @query("op9_embedding_dedup")

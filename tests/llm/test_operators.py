@@ -259,6 +259,37 @@ def test_licenses(spark, docs, empty):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_licenses_as_published(spark):
+    texts = dict(licenses.full_texts())
+    known = licenses.known_digests(spark, licenses.KNOWN + licenses.full_texts())
+    full = {name: next(t for k, t in licenses.KNOWN if k == name and len(t) > 300) for name in ("MIT", "ISC", "0BSD")}
+    rows, expected = [], []
+
+    def add(text, license):
+        rows.append((len(rows), text))
+        expected.append(license)
+
+    for name, text in texts.items():
+        add(text, name)
+    add("The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\n\n" + full["MIT"], "MIT")
+    add("# MIT License\n\nCopyright (c) The Authors\nCopyright A. Person and others\n" + full["MIT"], "MIT")
+    add("ISC License\n\nCopyright (c) Isaac Z. Schlueter and Contributors\n\n" + full["ISC"], "ISC")
+    add("Copyright (c) <year> <owner>\nAll rights reserved.\n\n" + "\n".join(texts["BSD-3-Clause"].split("\n")[1:]), "BSD-3-Clause")
+    add("BSD 2-Clause License\n\nCopyright (c) 2019, A. Person\n" + texts["BSD-2-Clause"], "BSD-2-Clause")
+    add(texts["Apache-2.0"].split("APPENDIX")[0], "Apache-2.0")
+    add(texts["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2021 A. Person"), "Apache-2.0")
+    add("\n".join(texts["GPL-3.0"].split("\n")[2:]), "GPL-3.0")
+    add(texts["GPL-2.0"].split("How to Apply")[0], "GPL-2.0")
+    add("MIT License\n\nCopyright (c) The Authors\n", None)
+    add("The story\n" + full["MIT"], None)
+    add(full["MIT"].replace("The above copyright notice", "MIT License\nThe above copyright notice"), None)
+    out = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    assert {r.doc_id: r.license for r in out} == dict(enumerate(expected))
+    table = spark.createDataFrame([("Mine", "My License\nDo as you like.")], "license string, text string")
+    own = licenses.scan_licenses(spark.createDataFrame([(1, "my licence\ndo as you like")], "doc_id long, text string"), licenses.known_digests(spark, table))
+    assert own.first().license == "Mine"
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((12, 16))

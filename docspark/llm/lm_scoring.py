@@ -232,17 +232,20 @@ def fit_scores(words: DataFrame, vocabulary: Vocabulary, texts: int = 0, rounds:
     return v
 
 
-def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text", id: str = "doc_id", rounds: int = ROUNDS) -> DataFrame:
-    """Rows (id, train, n_tokens, n_known, train_tokens, base_score, score), one per row of ``docs``.
+def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text", id: str = "doc_id", rounds: int = ROUNDS, mixture: bool = False) -> DataFrame:
+    """Rows (id, train, n_tokens, n_known, train_tokens, base_score, score), one per row of ``docs``; with ``mixture`` mixture_score too.
 
     score is the log10 probability of the text under a unigram model of the pieces in the vocabulary
-    file ``path``: each word's probability, summed over all its segmentations by the forward recursion
-    in log space, and that of the end. The vocabulary is as it is; its scores start from those of the
-    file and are fitted to all words of the ``training`` rows. To a word of the training texts the lattice has one
-    more path, the word whole, scored by its frequency; the end of a text is such a token too. The
-    pieces' paths share what the seen tokens leave: distinct tokens / (tokens + distinct tokens), the
-    expected share of new ones (Witten and Bell; copied documents hardly change it). n_tokens counts words and one end; n_known those tokens seen in training;
-    train_tokens all training tokens; base_score is the log10 probability under add-one word counts.
+    file ``path`` alone: each word's probability, summed over all its segmentations by the forward
+    recursion in log space, and that of the end. The vocabulary is as it is; its scores start from those
+    of the file and are fitted to all words of the ``training`` rows (``rounds=0``: those of the file).
+    n_tokens counts words and one end; n_known those tokens seen in training; train_tokens all training
+    tokens; base_score is the log10 probability under add-one word counts.
+
+    mixture_score gives a word of the training texts one more path, the word whole, scored by its
+    frequency; the end of a text is such a token too. The pieces' paths share what the seen tokens
+    leave: distinct tokens / (tokens + distinct tokens), the expected share of new ones (Witten and
+    Bell; copied documents hardly change it).
 
     Counts and probabilities are looked up by a join on the word, so nothing that grows with the
     corpus is broadcast: a block of texts is one row per distinct word, whose postings lead back to
@@ -270,35 +273,40 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
             out = np.zeros(len(all_words))
             for at, codes in same_length(all_words):
                 out[at] = forward(codes, v)[:, -1]
-            if tokens:
+            logs = [out]
+            if mixture and tokens:
                 with np.errstate(divide="ignore"):
                     whole = np.log(batch.column("times").to_numpy(zero_copy_only=False) / tokens)
-                out = np.logaddexp(whole + np.log1p(-fresh), out + np.log(fresh))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(out / np.log(10))], ["word", "seen", "logp"])
-
-    weighed = words.mapInArrow(weigh, "word string, seen long, logp double")
-    rows = held.select("block", "word", "k").join(weighed, "word").select("block", "k", "seen", "logp")
+                logs.append(np.logaddexp(whole + np.log1p(-fresh), out + np.log(fresh)))
+            elif mixture:
+                logs.append(out)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), *[pa.array(x / np.log(10)) for x in logs]], ["word", "seen", *logps])
+
+    logps = ["logp", "mixed"] if mixture else ["logp"]
+    weighed = words.mapInArrow(weigh, f"word string, seen long, {', '.join(f'{c} double' for c in logps)}")
+    rows = held.select("block", "word", "k").join(weighed, "word").select("block", "k", "seen", *logps)
     whole = ["ids", "train", "sizes", "starts", "places", "counts"]
     rows = rows.withColumns({c: F.lit(None).cast(listed.schema[c].dataType) for c in whole})
-    rows = rows.unionByName(listed.select("block", "k", F.lit(None).cast("long").alias("seen"), F.lit(None).cast("double").alias("logp"), *whole))
+    rows = rows.unionByName(listed.select("block", "k", F.lit(None).cast("long").alias("seen"), *[F.lit(None).cast("double").alias(c) for c in logps], *whole))
     rows = rows.repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
     floor = float(tokens + distinct + 1)
-    end = np.log10((1 - fresh) * texts / tokens) if texts else vocabulary.end / np.log(10)
+    end = vocabulary.end / np.log(10)
+    ends = [end, np.log10((1 - fresh) * texts / tokens) if texts else end][: len(logps)]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None  # block, its row, and per word whether and how often it was seen, and its score
+        state = None  # block, its row, and per word whether and how often it was seen, and its scores
 
         def done() -> pa.RecordBatch:
-            _, row, seen, logp = state
+            _, row, seen, logs = state
             n = len(row["ids"])
             each = np.diff(np.frombuffer(row["starts"], "<u4").astype(np.int64))
             place, count = np.frombuffer(row["places"], "<u2"), np.frombuffer(row["counts"], "u1").astype(np.float64)
             add = lambda x: np.bincount(place, count * np.repeat(x, each), n)
             known = add((seen > 0).astype(float)).round().astype(np.int64) + (texts > 0)
             base = add(np.log10((seen + 1) / floor)) + np.log10((texts + 1) / floor)
-            arrays = [row["ids"], row["train"], np.array(row["sizes"], np.int64) + 1, known, np.full(n, tokens), base, add(logp) + end]
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+            arrays = [row["ids"], row["train"], np.array(row["sizes"], np.int64) + 1, known, np.full(n, tokens), base, *[add(x) + e for x, e in zip(logs, ends, strict=True)]]
+            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), *[pa.float64()] * len(logs)]
+            names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score", "mixture_score"][: len(kinds)]
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(arrays, kinds, strict=True)], names)
 
         for batch in batches:
@@ -310,14 +318,16 @@ def score_texts(docs: DataFrame, path: str, training: Column, text: str = "text"
                         yield done()
                     row = {c: batch.column(c)[a].as_py() for c in whole}
                     words_here = batch.column("k")[a].as_py()
-                    state = (blocks[a], row, np.zeros(words_here, np.int64), np.zeros(words_here))
+                    state = (blocks[a], row, np.zeros(words_here, np.int64), np.zeros((len(logps), words_here)))
                     a += 1
                 part = batch.slice(a, b - a)
                 k = part.column("k").to_numpy(zero_copy_only=False)
                 state[2][k] = part.column("seen").to_numpy(zero_copy_only=False)
-                state[3][k] = part.column("logp").to_numpy(zero_copy_only=False)
+                for n, c in enumerate(logps):
+                    state[3][n, k] = part.column(c).to_numpy(zero_copy_only=False)
         if state is not None:
             yield done()
 
-    out = rows.mapInArrow(gather, "id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = "id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    out = rows.mapInArrow(gather, schema + (", mixture_score double" if mixture else ""))
     return out.withColumnRenamed("id", id)

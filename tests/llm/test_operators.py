@@ -90,6 +90,20 @@ def test_lm_scoring(docs, empty):
     assert lm_scoring.score_texts(empty, path, F.lit(True)).count() == 0
 
 
+def test_lm_score_is_that_of_the_pieces(docs):
+    path = tokenizer_path("piece_bpe_32k.model")
+    v = lm_scoring.read_vocabulary(path)
+    text = {r.doc_id: r.text for r in docs.collect() if r.doc_id not in (3, 40)}
+    fitted = lm_scoring.score_texts(docs, path, ~in_fold("doc_id", 7, 2), mixture=True).collect()
+    plain = lm_scoring.score_texts(docs, path, ~in_fold("doc_id", 7, 2), rounds=0).collect()
+    for r in plain:  # known words too have nothing but their pieces
+        if r.doc_id in text:
+            own = [w.decode() for w in words(text[r.doc_id])]
+            logs = {own[k]: x for at, codes in lm_scoring.same_length(own) for k, x in zip(at.tolist(), lm_scoring.forward(codes, v)[:, -1], strict=True)} if own else {}
+            assert r.score == pytest.approx((sum(logs[w] for w in own) + v.end) / math.log(10))
+    assert "mixture_score" not in plain[0] and all(r.score < r.mixture_score < 0 for r in fitted if r.doc_id == 1)
+
+
 def test_forward_sums_all_segmentations():
     v = lm_scoring.read_vocabulary(tokenizer_path("piece_bpe_32k.model"))
     import sentencepiece

@@ -17,10 +17,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Documents whose language the classifier names; it learns from the labelled ones among them.
 
     A document goes if it has no letter, or the probability of its language is below LEAST_CONFIDENCE.
+    Each row is judged by itself: it carries its prediction, so that rows without id stay too.
     """
-    model = language_id.train(docs)
-    good = language_id.predict(docs, model).filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_CONFIDENCE))
-    return docs.join(good.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # no clash with the prediction
+    found = language_id.predict(docs.toDF(*names.values()), language_id.train(docs), names["text"], names["doc_id"], whole=True)
+    good = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_CONFIDENCE))
+    return good.select(*names.values()).toDF(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +33,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
+
+    Rows without id link with nothing and stay.
+    """
     joined = ngram_join.jaccard_components(docs, size=5, percent=80)
-    return docs.join(joined.filter("component_id = doc_id").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    first = docs.join(joined.filter("component_id = doc_id").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    return first.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

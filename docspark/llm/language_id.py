@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from docspark.llm.arrays import slices
 from docspark.llm.ngrams import DIMS, counted, hashed_ngrams
@@ -148,15 +149,18 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     return LanguageModel(m["names"].tolist(), m["weights"], m["bias"], idf, float(m["temperature"]))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text", id: str = "doc_id") -> DataFrame:
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text", id: str = "doc_id", whole: bool = False) -> DataFrame:
     """Rows (id, lang_pred, score), one per row of ``docs``, from the whole text alone; no shuffle.
 
+    ``whole`` keeps all columns of ``docs`` in place of the id.
+
     score is the calibrated probability of the language. Null texts, texts without a letter, and all
     texts where no language was learned are `und` with score 0. Ties go to the first name by the
     alphabet. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))  # of fixed size: features x languages
-    rows = docs.select(id, text)
+    rows = docs if whole else docs.select(id, text)
+    kept = docs.columns if whole else [id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(*shared.value)
@@ -172,6 +176,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", id: str =
                 else:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(id), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [id, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"`{id}` {rows.schema[id].dataType.simpleString()}, lang_pred string, score double")
+    schema = StructType([StructField(c, rows.schema[c].dataType) for c in kept])
+    return rows.mapInArrow(run, schema.add("lang_pred", "string").add("score", "double"))

@@ -368,3 +368,15 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
     assert {1, 20, 60} <= kept["ngram_jaccard_join"]
     assert 60 not in kept["decontamination"] and {1, 20} <= kept["decontamination"]
     assert kept["sentencepiece"] == kept["decontamination"]
+
+
+def test_pipeline_keeps_rows_without_id(spark, docs, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, "some benchmark item that occurs in none of the documents here")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    odd = [(None, "12 34 !!", "en", "s", 1, "lines", 1, 2), (None, None, None, "s", 0, "lines", 1, 2), (None, story(3, 50), "en", "s", 1, "lines", 1, 2)]
+    now = docs.unionByName(spark.createDataFrame(odd, SCHEMA))
+    expected = {story(2, 40), story(3, 50)}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, folder).cache()
+        assert {r.text for r in now.filter("doc_id is null").collect()} == expected, name
+    assert corpus_pipeline.STAGES[-1][1](spark, now, folder).filter("doc_id is null").count() == 2

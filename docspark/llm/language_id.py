@@ -14,11 +14,11 @@ from pyspark.sql.types import StructField, StructType
 
 from docspark.llm.arrays import slices
 from docspark.llm.ngrams import DIMS, counted, hashed_ngrams
-from docspark.llm.sampling import bounded
+from docspark.llm.sampling import bounded, held_out, label_sizes
 
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
-#: Labelled documents the weights are fitted on, at most; document frequencies come from all of them.
+#: Labelled documents the weights are fitted on, at most (and LEAST of each language); document frequencies come from all of them.
 SAMPLE = 6000
 
 
@@ -104,15 +104,13 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit(texts: list[str], langs: list[str], idf: np.ndarray, epochs: int = 3) -> LanguageModel:
-    """Fit on four of five texts, in a fixed order; calibrate on the fifth."""
-    names = sorted(set(langs))
+def fit(texts: list[str], langs: list[str], idf: np.ndarray, names: list[str], epochs: int = 3) -> LanguageModel:
+    """Fit on four of five texts of each language, in a fixed order; calibrate on the fifth."""
     label = {n: k for k, n in enumerate(names)}
     data, y = [], np.array([label[x] for x in langs])
     for k in range(0, len(texts), 200):
         data += list(features(texts[k : k + 200], idf))
-    order = np.random.default_rng(0).permutation(len(data))
-    kept, held = order[len(order) // 5 :], order[: len(order) // 5]
+    kept, held = held_out(y, np.random.default_rng(0).permutation(len(data)))
     model = Ftrl(len(names))
     for _ in range(epochs):
         for k in kept:
@@ -125,23 +123,26 @@ def fit(texts: list[str], langs: list[str], idf: np.ndarray, epochs: int = 3) ->
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", sample: int = SAMPLE) -> LanguageModel:
     """Learn from the rows of ``docs`` with text and language.
 
-    Document frequencies cover all those rows. The weights are fitted in one task on at most ``sample``
-    documents picked by a hash of the id, and only the model, whose size is fixed, comes to the driver.
+    Document frequencies and the list of languages cover all those rows. The weights are fitted in one
+    task on at most ``sample`` documents picked by a hash of the id, in the shares of the languages, but
+    LEAST of each, however rare; only the model, of fixed size per language, comes to the driver.
     """
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     df, n = document_frequencies(rows, text)
     idf = np.log((1 + n) / (1 + df)) + 1
+    sizes = label_sizes(rows, id, lang)
+    names = sorted(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         out = io.BytesIO()
         if table.num_rows:
             table = table.sort_by([("k", "ascending"), ("t", "ascending")])
-            m = fit(table.column("t").to_pylist(), table.column("l").to_pylist(), idf)
+            m = fit(table.column("t").to_pylist(), table.column("l").to_pylist(), idf, names)
             np.savez_compressed(out, names=np.array(m.names), weights=m.weights, bias=m.bias, temperature=m.temperature)
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    picked = bounded(rows, id, sample).select(F.xxhash64(id).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
+    picked = bounded(rows.select(id, text, lang), id, lang, sizes, sample).select(F.xxhash64(id).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
     found = picked.repartition(1).mapInArrow(run, "model binary").first()
     if found is None or not found["model"]:
         return LanguageModel([], np.zeros((DIMS, 0)), np.zeros(0), idf, 1.0)

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from docspark.llm.arrays import slices, word_hashes
 from docspark.llm.ngrams import DIMS, counted, hashed_ngrams
-from docspark.llm.sampling import bounded
+from docspark.llm.sampling import bounded, held_out, label_sizes
 
 ORDERS = (1, 2, 3)
 #: Marks of word pairs follow the characters' features: a word repeated once, twice, three times in a row.
 REPEATS = 3
 SIZE = DIMS + REPEATS
-#: Labelled documents the SVM is fitted on, at most; the log-count ratios come from all of them.
+#: Labelled documents the SVM is fitted on, at most (and LEAST of each label); the log-count ratios come from all of them.
 SAMPLE = 6000
 
 
@@ -114,13 +114,12 @@ def sigmoid_fit(margins: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[f
 
 
 def fit(column: pa.Array, labels: list[int], counts: np.ndarray) -> QualityModel:
-    """Fit on four of five texts, in a fixed order; calibrate on the fifth."""
+    """Fit on four of five texts of each label, in a fixed order; calibrate on the fifth."""
     p, q = counts[1] + 1, counts[0] + 1
     ratio = np.log((p / p.sum()) / (q / q.sum()))
     y = np.where(np.array(labels) == 1, 1, -1)
     data = [(at, scaled(at, ratio)) for k in range(0, len(labels), 200) for at in indicators(column.slice(k, 200))]
-    order = np.random.default_rng(1).permutation(len(data))
-    kept, held = order[len(order) // 5 :], order[: len(order) // 5]
+    kept, held = held_out(y, np.random.default_rng(1).permutation(len(data)))
     share = {s: max(1, (y[kept] == s).sum()) for s in (-1, 1)}
     cost = np.array([len(kept) / (2 * share[int(s)]) for s in y[kept]])
     w = dual_coordinate_descent([data[k] for k in kept], y[kept], SIZE, cost)
@@ -133,7 +132,8 @@ def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str =
     """Learn from the rows with label 0 or 1; null texts are empty, other labels are left out.
 
     The log-count ratios cover all those rows. The SVM is fitted in one task on at most ``sample``
-    documents picked by a hash of the id, and only the model, whose size is fixed, comes to the driver.
+    documents picked by a hash of the id, in the shares of the labels, but LEAST of each, however rare;
+    only the model, whose size is fixed, comes to the driver.
     """
     rows = rows.filter(F.col(label).isin(0, 1)).select(id, F.coalesce(text, F.lit("")).alias("t"), F.col(label).cast("long").alias("y"))
     counts = class_counts(rows, "t", "y")
@@ -147,7 +147,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str =
             np.savez_compressed(out, ratio=m.ratio, weights=m.weights, rest=np.array([m.bias, m.slope, m.shift]))
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    picked = bounded(rows, id, sample).select(F.xxhash64(id).alias("k"), "t", "y")
+    picked = bounded(rows, id, "y", label_sizes(rows, id, "y"), sample).select(F.xxhash64(id).alias("k"), "t", "y")
     found = picked.repartition(1).mapInArrow(run, "model binary").first()
     if found is None or not found["model"]:
         return QualityModel(np.zeros(SIZE), np.zeros(SIZE), 0.0, 1.0, 0.0)

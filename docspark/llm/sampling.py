@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+#: Rows of each label in a sample, at least, if it has as many.
+LEAST = 100
 
 
 def in_fold(id: str, modulus: int, remainder: int) -> Column:
@@ -11,11 +16,39 @@ def in_fold(id: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % modulus == remainder
 
 
-def bounded(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """At most ``most`` distinct keys of ``rows``, those with the smallest hashes: any key is as likely.
+def label_sizes(rows: DataFrame, key: str, label: str) -> dict:
+    """Each label of ``rows`` and how many distinct keys it has: one row per label comes to the driver."""
+    each = rows.select(F.col(label).alias("label"), _mark(key).alias("mark")).distinct()
+    return {r["label"]: r["n"] for r in each.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+
+def _mark(key: str) -> Column:
+    return F.xxhash64(F.col(key), F.lit("sample"))
+
 
-    The keys alone are ranked; the rows are then found by one comparison each. Rows with one key stay together.
+def bounded(rows: DataFrame, key: str, label: str, sizes: dict, most: int, least: int = LEAST) -> DataFrame:
+    """About the shares of the labels (``sizes``: label_sizes) in ``most`` distinct keys, but ``least`` of each label or all it has.
+
+    So at most ``most`` and ``least`` per label. Those of a label with the smallest hashes are taken: any
+    key is as likely. A first cut by the hash alone, with room to spare, leaves few rows to rank. Rows with one
+    key and label stay together.
     """
-    mark = F.xxhash64(F.col(key), F.lit("sample"))
-    cut = rows.select(mark.alias("mark")).distinct().orderBy("mark").limit(most).agg(F.max("mark")).first()[0]
-    return rows.filter(mark <= F.lit(cut)) if cut is not None else rows.limit(0)
+    total = sum(sizes.values())
+    if not total:
+        return rows.limit(0)
+    quotas = {x: min(n, max(least, most * n // total)) for x, n in sizes.items()}
+    cuts = [(x, q, min(2**63 - 1, int((1.2 * q + 50) / sizes[x] * 2**64) - 2**63)) for x, q in quotas.items()]
+    schema = StructType([StructField("_label", rows.schema[label].dataType), StructField("_quota", LongType()), StructField("_cut", LongType())])
+    table = F.broadcast(rows.sparkSession.createDataFrame(cuts, schema))  # one row per label
+    near = rows.withColumn("_mark", _mark(key)).join(table, F.col(label) == F.col("_label")).filter("_mark <= _cut")
+    place = F.dense_rank().over(Window.partitionBy("_label").orderBy("_mark"))
+    return near.withColumn("_place", place).filter("_place <= _quota").select(*rows.columns)
+
+
+def held_out(labels: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``order`` in two parts: four of five rows of each label, and the fifth (one row of two to nine; a label's only row is in the first part)."""
+    held = np.zeros(len(order), bool)
+    for label in np.unique(labels):
+        at = np.flatnonzero(labels[order] == label)
+        held[at[: max(len(at) // 5, len(at) > 1)]] = True
+    return order[~held], order[held]

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docspark.llm import decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, token_files
+from docspark.llm import decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, sampling, token_files
 from docspark.llm.graph import connected_components
 from docspark.llm.queries import tokenizer_path
 from docspark.llm.sampling import in_fold
@@ -191,6 +191,20 @@ def test_language_id(spark, docs, empty):
     assert {r.lang_pred for r in language_id.predict(docs, none).collect()} == {"und"} and language_id.predict(empty, model).count() == 0
 
 
+def test_rare_labels_stay_in_the_sample(spark):
+    rows = [(k, story(k, 12), "en", 1) for k in range(3000)] + [(5000 + k, "größe straße und fließt über die brücke " * (k % 5 + 1), "de", 0) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    model = language_id.train(df, sample=40)
+    german = spark.createDataFrame([(1, "Die Straße und die Brücke!")], "doc_id long, text string")
+    assert model.names == ["de", "en"] and language_id.predict(german, model).first().lang_pred == "de"
+    sizes = sampling.label_sizes(df, "doc_id", "lang")
+    assert sizes == {"en": 3000, "de": 30}
+    picked = sampling.bounded(df, "doc_id", "lang", sizes, 1000, 20)
+    assert picked.columns == df.columns and {r.lang: r["count"] for r in picked.groupBy("lang").count().collect()} == {"en": 990, "de": 20}
+    model = quality.train(df, sample=40)
+    assert quality.score(german, model).first().score < 0.5 < quality.score(df.limit(1), model).first().score
+
+
 def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 

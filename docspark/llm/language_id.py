@@ -124,13 +124,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     """Learn from the rows of ``docs`` with text and language.
 
     Document frequencies and the list of languages cover all those rows. The weights are fitted in one
-    task on at most ``sample`` documents picked by a hash of the id, in the shares of the languages, but
+    task on at most ``sample`` rows, distinct and picked by a hash of id and text, in the shares of the languages, but
     LEAST of each, however rare; only the model, of fixed size per language, comes to the driver.
     """
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     df, n = document_frequencies(rows, text)
     idf = np.log((1 + n) / (1 + df)) + 1
-    sizes = label_sizes(rows, id, lang)
+    sizes = label_sizes(rows, id, text, lang)
     names = sorted(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
             np.savez_compressed(out, names=np.array(m.names), weights=m.weights, bias=m.bias, temperature=m.temperature)
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    picked = bounded(rows.select(id, text, lang), id, lang, sizes, sample).select(F.xxhash64(id).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
+    picked = bounded(rows, id, text, lang, sizes, sample).select(F.xxhash64(id).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
     found = picked.repartition(1).mapInArrow(run, "model binary").first()
     if found is None or not found["model"]:
         return LanguageModel([], np.zeros((DIMS, 0)), np.zeros(0), idf, 1.0)

@@ -132,7 +132,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str =
     """Learn from the rows with label 0 or 1; null texts are empty, other labels are left out.
 
     The log-count ratios cover all those rows. The SVM is fitted in one task on at most ``sample``
-    documents picked by a hash of the id, in the shares of the labels, but LEAST of each, however rare;
+    rows, distinct and picked by a hash of id and text, in the shares of the labels, but LEAST of each, however rare;
     only the model, whose size is fixed, comes to the driver.
     """
     rows = rows.filter(F.col(label).isin(0, 1)).select(id, F.coalesce(text, F.lit("")).alias("t"), F.col(label).cast("long").alias("y"))
@@ -147,7 +147,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str =
             np.savez_compressed(out, ratio=m.ratio, weights=m.weights, rest=np.array([m.bias, m.slope, m.shift]))
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    picked = bounded(rows, id, "y", label_sizes(rows, id, "y"), sample).select(F.xxhash64(id).alias("k"), "t", "y")
+    picked = bounded(rows, id, "t", "y", label_sizes(rows, id, "t", "y"), sample).select(F.xxhash64(id).alias("k"), "t", "y")
     found = picked.repartition(1).mapInArrow(run, "model binary").first()
     if found is None or not found["model"]:
         return QualityModel(np.zeros(SIZE), np.zeros(SIZE), 0.0, 1.0, 0.0)

@@ -16,22 +16,22 @@ def in_fold(id: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % modulus == remainder
 
 
-def label_sizes(rows: DataFrame, key: str, label: str) -> dict:
-    """Each label of ``rows`` and how many distinct keys it has: one row per label comes to the driver."""
-    each = rows.select(F.col(label).alias("label"), _mark(key).alias("mark")).distinct()
+def label_sizes(rows: DataFrame, key: str, text: str, label: str) -> dict:
+    """Each label of ``rows`` and how many distinct pairs of key and text it has: one row per label comes to the driver."""
+    each = rows.select(F.col(label).alias("label"), _mark(key, text).alias("mark")).distinct()
     return {r["label"]: r["n"] for r in each.groupBy("label").agg(F.count("*").alias("n")).collect()}
 
 
-def _mark(key: str) -> Column:
-    return F.xxhash64(F.col(key), F.lit("sample"))
+def _mark(key: str, text: str) -> Column:
+    return F.xxhash64(F.col(key), F.col(text), F.lit("sample"))
 
 
-def bounded(rows: DataFrame, key: str, label: str, sizes: dict, most: int, least: int = LEAST) -> DataFrame:
-    """About the shares of the labels (``sizes``: label_sizes) in ``most`` distinct keys, but ``least`` of each label or all it has.
+def bounded(rows: DataFrame, key: str, text: str, label: str, sizes: dict, most: int, least: int = LEAST) -> DataFrame:
+    """Rows (key, text, label), none twice: ``most`` by the shares of the labels (``sizes``: label_sizes), but ``least`` of each label or all it has.
 
-    So at most ``most`` and ``least`` per label. Those of a label with the smallest hashes are taken: any
-    key is as likely. A first cut by the hash alone, with room to spare, leaves few rows to rank. Rows with one
-    key and label stay together.
+    So at most ``most`` rows and ``least`` per label, however often a key or null repeats. Those of a label
+    with the smallest hashes of key and text are taken: any pair is as likely. A first cut by the hash
+    alone, with room to spare, leaves few rows to rank.
     """
     total = sum(sizes.values())
     if not total:
@@ -40,9 +40,10 @@ def bounded(rows: DataFrame, key: str, label: str, sizes: dict, most: int, least
     cuts = [(x, q, min(2**63 - 1, int((1.2 * q + 50) / sizes[x] * 2**64) - 2**63)) for x, q in quotas.items()]
     schema = StructType([StructField("_label", rows.schema[label].dataType), StructField("_quota", LongType()), StructField("_cut", LongType())])
     table = F.broadcast(rows.sparkSession.createDataFrame(cuts, schema))  # one row per label
-    near = rows.withColumn("_mark", _mark(key)).join(table, F.col(label) == F.col("_label")).filter("_mark <= _cut")
-    place = F.dense_rank().over(Window.partitionBy("_label").orderBy("_mark"))
-    return near.withColumn("_place", place).filter("_place <= _quota").select(*rows.columns)
+    near = rows.select(key, text, label, _mark(key, text).alias("_mark")).join(table, F.col(label) == F.col("_label"))
+    near = near.filter("_mark <= _cut").distinct()  # combined before the shuffle
+    place = F.row_number().over(Window.partitionBy("_label").orderBy("_mark"))
+    return near.withColumn("_place", place).filter("_place <= _quota").select(key, text, label)
 
 
 def held_out(labels: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

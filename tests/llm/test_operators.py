@@ -197,14 +197,25 @@ def test_rare_labels_stay_in_the_sample(spark):
     model = language_id.train(df, sample=40)
     german = spark.createDataFrame([(1, "Die Straße und die Brücke!")], "doc_id long, text string")
     assert model.names == ["de", "en"] and language_id.predict(german, model).first().lang_pred == "de"
-    sizes = sampling.label_sizes(df, "doc_id", "lang")
+    sizes = sampling.label_sizes(df, "doc_id", "text", "lang")
     assert sizes == {"en": 3000, "de": 30}
-    picked = sampling.bounded(df, "doc_id", "lang", sizes, 1000, 20)
-    assert picked.columns == df.columns and {r.lang: r["count"] for r in picked.groupBy("lang").count().collect()} == {"en": 990, "de": 20}
+    picked = sampling.bounded(df, "doc_id", "text", "lang", sizes, 1000, 20)
+    assert picked.columns == ["doc_id", "text", "lang"] and {r.lang: r["count"] for r in picked.groupBy("lang").count().collect()} == {"en": 990, "de": 20}
     model = quality.train(df, sample=40)
     assert quality.score(german, model).first().score < 0.5 < quality.score(df.limit(1), model).first().score
 
 
+def test_sample_bounds_rows_of_one_id(spark):
+    rows = [(None, story(k, 8), "en") for k in range(900)] + [(7, story(2000 + k % 400, 8), "en") for k in range(900)] + [(8, "x y", "en")] * 900
+    rows += [(k, story(k, 8), "de") for k in range(100, 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = sampling.label_sizes(df, "doc_id", "text", "lang")
+    assert sizes == {"en": 1301, "de": 100}
+    picked = sampling.bounded(df, "doc_id", "text", "lang", sizes, 140, 15).collect()
+    assert len(picked) == len(set(picked)) == 130 + 15 and sum(r.lang == "de" for r in picked) == 15
+    assert 0 < sum(r.doc_id == 7 for r in picked) < 100 and 0 < sum(r.doc_id is None for r in picked) < 130
+
+
 def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 

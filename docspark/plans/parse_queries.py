@@ -241,14 +241,13 @@ SQL_MIXED = """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'html' WHEN 1 THEN 'em
         c AS (SELECT *, CASE format WHEN 'html' THEN '<p>' || t || '</p>' WHEN 'email' THEN 'Subject: s' || chr(10) || chr(10) || t ELSE t END AS content,
               list_filter(string_split(t, chr(10)), lambda x, i: i < len(string_split(t, chr(10))) OR x <> '') AS recs FROM m),
         h AS (SELECT *, string_split(recs[1], ',') AS head,
-              list_transform(recs[2:51], lambda x, i: 'Row ' || i || ': ' || CASE WHEN x = '' THEN '' ELSE
+              list_transform(recs[2:], lambda x, i: 'Row ' || i || ': ' || CASE WHEN x = '' THEN '' ELSE
                 array_to_string(list_transform(string_split(x, ','), lambda v, j: coalesce(string_split(recs[1], ',')[j], 'col_' || (j - 1)) || ': ' || v), ' | ') END) AS shown FROM c)
         SELECT doc_id::VARCHAR AS document_id, format, strlen(content)::BIGINT AS size_bytes,
           CASE format WHEN 'html' THEN {sql_html_text('content')}
             WHEN 'email' THEN 'From: ' || chr(10) || 'To: ' || chr(10) || 'Subject: s' || chr(10) || 'Date: ' || chr(10) || chr(10) || t
             WHEN 'csv' THEN 'Columns: ' || array_to_string(head, ', ') || chr(10) || 'Total rows: ' || (len(recs) - 1) || chr(10)
               || CASE WHEN len(recs) > 1 THEN chr(10) || array_to_string(shown, chr(10)) ELSE '' END
-              || CASE WHEN len(recs) > 51 THEN chr(10) || '... (' || (len(recs) - 51) || ' more rows)' ELSE '' END
             WHEN 'pdf' THEN CASE WHEN {sql_strip('t')} = '' THEN '(empty PDF)' ELSE regexp_replace(t, '[^\\x20-\\x7E\\n\\t]', ' ', 'g') END
             ELSE '(parse error: No parser available for format: text)' END AS raw_content,
           CASE WHEN format = 'text' THEN 'No parser available for format: text' END AS parse_error

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, token_files
+from docspark.llm import conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, token_files
 from docspark.llm.sampling import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs.select("doc_id", "text").join(labels, "doc_id"))
     scored = quality.score(docs, model)
     return scored.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op11_conversation_repair", conversation_repair.ORACLE)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_repair(table(spark, sf_dir, "conversations"))

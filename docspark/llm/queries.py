@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, token_files
+from docspark.llm import conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, token_files, vector_codes
 from docspark.llm.sampling import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_conversation_repair", conversation_repair.ORACLE)
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damaged_repair(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_vector_codes", vector_codes.ORACLE)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    return codes.select("vec_id", "code", "error", "label_error", digest)

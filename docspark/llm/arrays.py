@@ -116,27 +116,36 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, and where each text's words begin."""
-    data, offsets = buffers(column)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    solid = ~_SPACE[data]
-    first = solid.copy()
-    first[1:] &= ~solid[:-1]
-    at = offsets[offsets < len(data)]
-    first[at] = solid[at]  # a word never runs from one text into the next
-    start = np.flatnonzero(first)
-    bounds = np.searchsorted(start, offsets)
-    if not len(start):
-        return np.zeros(0, np.uint64), bounds
-    letters = _LOWER[data[solid]]
-    begins = np.flatnonzero(first[solid])
+def run_hashes(letters: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of bytes that begin at ``begins``; the last one ends with the bytes."""
+    if not len(begins):
+        return np.zeros(0, np.uint64)
     length = np.diff(np.append(begins, len(letters)))
     within = np.arange(len(letters)) - np.repeat(begins, length)
     power = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(max(int(length.max()) - 1, 0), _STEP))])
     sums = np.add.reduceat(_BYTE[letters] * power[within], begins)
-    return mix(sums + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), bounds
+    return mix(sums + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def run_starts(inside: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where runs of ``inside`` begin; none runs from one text into the next."""
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    at = offsets[offsets < len(inside)]
+    first[at] = inside[at]
+    return first
+
+
+def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+``, with A-Z in lower case if ``lower``, and where each text's words begin."""
+    data, offsets = buffers(column)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    solid = ~_SPACE[data]
+    first = run_starts(solid, offsets)
+    bounds = np.searchsorted(np.flatnonzero(first), offsets)
+    letters = data[solid]
+    return run_hashes(_LOWER[letters] if lower else letters, np.flatnonzero(first[solid])), bounds
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:

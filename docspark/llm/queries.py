@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, token_files, vector_codes
-from docspark.llm.sampling import in_fold
+from docspark.llm import conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scoring, ngram_join, piece_codec, quality, quality_rules, token_files, vector_codes
+from docspark.llm.sampling import in_fold, rows_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,11 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
     digest = F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
     return codes.select("vec_id", "code", "error", "label_error", digest)
+
+
+@query("op12_quality_rules")
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = rows_with(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").filter("quality = 1"), "doc_id")
+    judged = quality_rules.judge(docs, quality_rules.learn_ratios(docs, trusted))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")

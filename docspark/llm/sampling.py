@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from docspark.session import materialize
+
 #: Rows of each label in a sample, at least, if it has as many.
 LEAST = 100
 
@@ -53,3 +55,10 @@ def held_out(labels: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndar
         at = np.flatnonzero(labels[order] == label)
         held[at[: max(len(at) // 5, len(at) > 1)]] = True
     return order[~held], order[held]
+
+
+def rows_with(docs: DataFrame, ids: DataFrame, id: str, most: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids``, null in none; ``ids`` goes to every task if it has at most ``most`` distinct ones, else both sides meet by a shuffle."""
+    ids = materialize(ids.select(F.col(id)).filter(F.col(id).isNotNull()).distinct(), "ids")
+    few = ids.limit(most + 1).count() <= most
+    return docs.join(F.broadcast(ids) if few else ids, id, "left_semi")

@@ -74,20 +74,22 @@ def test_verdicts_against_loops(spark):
     assert trusted.count() == len([k for k in range(20, 60) if k % 7])
     wide = rows_with(docs, spark.createDataFrame([(k,) for k in range(20, 60)], "doc_id long"), "doc_id", most=3)
     assert wide.count() == trusted.count()
-    out = qr.judge(docs, qr.learn_ratios(docs, trusted), least=0.01)
-    assert out.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "base_failed", "kept"]
     p, q = Counter(), Counter()
     for k, x, *_ in rows:
         q.update(grams(x))
         if k is not None and 20 <= k < 60:
             p.update(grams(x))
     logs = {b: math.log((p[b] + 1) / (p.total() + qr.BUCKETS)) - math.log((q[b] + 1) / (q.total() + qr.BUCKETS)) for b in q}
+    ratios = [sum(logs[b] for b in g) / len(g) if g else 0.0 for g in (grams(x) for _, x, *_ in rows)]
+    good = sorted(r for r, (_, x, *_) in zip(ratios, rows, strict=True) if plain(x)[0] >= 10 and plain(x)[4] * 5 <= plain(x)[0])
+    least = (good[len(good) // 2 - 1] + good[len(good) // 2]) / 2
+    out = qr.judge(docs, qr.learn_ratios(docs, trusted), least=least)
+    assert out.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "base_failed", "kept"]
     want = []
-    for k, x, *_ in rows:
-        g, m = grams(x), plain(x)
-        ratio = sum(logs[b] for b in g) / len(g) if g else 0.0
+    for (k, x, *_), ratio in zip(rows, ratios, strict=True):
+        m = plain(x)
         failed = m[0] < 10 or 100 * m[4] > 20 * m[0]
-        want.append((k, *m, round(ratio, 9), failed, not failed and ratio >= 0.01))
+        want.append((k, *m, round(ratio, 9), failed, not failed and ratio >= least))
     got = [(*tuple(r)[:6], round(r.ratio, 9), r.base_failed, r.kept) for r in out.collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert len({r[-1] for r in want}) == 2

@@ -70,13 +70,12 @@ class Memo:
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
         young, old, out = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                v = old.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    young[k] = v
+        for k in [k for k in keys if k not in young]:
+            v = old.get(k)
+            if v is None:
+                out.append(k)
+            else:
+                young[k] = v
         return out
 
 

@@ -6,18 +6,22 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.arrays import Memo, kept, slices
+from docspark.llm.arrays import Memo, kept, larger, slices
 from docspark.session import materialize, scratch_dir
 
 #: Ids per block. A block starts at a whole byte, so any block can be read alone.
 BLOCK = 1 << 16
+#: Documents and bytes of text that are encoded at once; one longer text is encoded alone.
+ROWS, TEXT_BYTES = 4000, 8 << 20
 _MAGIC = b"IDBLOCK1"
 _HEAD = "<8sIIQQQ"  # magic, bits per id, ids per block, ids, documents, byte where the tables begin
 _HEAD_BYTES = struct.calcsize(_HEAD)
@@ -62,6 +66,16 @@ class Writer:
         self.ids += len(ids)
         self.docs.append(doc)
         self.ends.append(self.ids)
+        self._hold(ids)
+
+    def add_all(self, docs: list[int], ids: np.ndarray, bounds: np.ndarray) -> None:
+        """Many documents: ids one after the other, and where each one's begin and the last one's end."""
+        self.docs += docs
+        self.ends += (self.ids + bounds[1:]).tolist()
+        self.ids += len(ids)
+        self._hold(ids)
+
+    def _hold(self, ids: np.ndarray) -> None:
         self.open.append(ids)
         self.held += len(ids)
         if self.held >= BLOCK:
@@ -131,7 +145,7 @@ class Reader:
                 stop = min(end, (block + 1) * self.block)
                 parts.append(ids[k - block * self.block : stop - block * self.block])
                 k = stop
-            yield doc, at, np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            yield doc, at, parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint32)
             at = end
 
 
@@ -157,21 +171,57 @@ class PieceEncoder:
         self.memo = Memo(size)
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        whole = {k: self.tokenizer.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts) if any(s in t for s in self.special)}
-        odd = [t[-1:] == " " or t[:1].isspace() or "\0" in t or self.blanks(t) is not None for t in texts]
-        cut = [self.find(t) if x else t.split(" ") for t, x in zip(texts, odd, strict=True)]
+        ids, bounds = self.encode(pa.array(texts, pa.string()))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            yield ids[a:b]
+
+    def encode(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each followed by ``end`` if given, and where each text's begin; null is empty.
+
+        The words of all texts are numbered by Arrow, so that Python sees each distinct one once; the
+        ids come from one gathering of the distinct words' ids.
+        """
+        texts = [t or "" for t in column.to_pylist()]
+        whole = {k: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for k, t in enumerate(texts) if any(s in t for s in self.special)}
+        odd = np.array([t[-1:] == " " or t[:1].isspace() or "\0" in t or self.blanks(t) is not None for t in texts], bool)
+        plain = np.flatnonzero(~odd & ~np.isin(np.arange(len(texts)), list(whole)))
+        words = pc.split_pattern(pa.array([texts[k] for k in plain.tolist()], pa.large_string()), " ")
+        numbered = words.flatten().dictionary_encode()
+        code, starts = numbered.indices.to_numpy().astype(np.int64), words.offsets.to_numpy() - words.offsets[0].as_py()
+        keys = numbered.dictionary.to_pylist()
         # stretches lack their blank: pieces keep theirs, so the two are told apart by a mark in front of a piece
-        for k, one in enumerate(cut):
-            if k in whole:
-                one.clear()
-            elif odd[k]:
-                cut[k] = ["\0" + p for p in one]
-            else:
-                one[0] = "\0" + one[0]
-        self._learn(self.memo.missing(set().union(*cut)))
+        number = {}
+        first = np.array([number.setdefault("\0" + keys[c], len(keys) + len(number)) for c in code[starts[:-1]].tolist()], np.int64)
+        code[starts[:-1]] = first
+        pieces = {k: [number.setdefault("\0" + p, len(keys) + len(number)) for p in self.find(texts[k])] for k in np.flatnonzero(odd).tolist() if k not in whole}
+        keys += number
+        self._learn(self.memo.missing(keys))
         known = self.memo.young.__getitem__
-        for k, one in enumerate(cut):
-            yield np.array(whole[k], np.uint32) if k in whole else np.frombuffer(b"".join(map(known, one)), "<u4")
+        values = [*map(known, keys), *whole.values(), b"" if end is None else np.array([end], "<u4").tobytes()]
+        # slots of each text's codes, the last one for the end
+        counts = np.ones(len(texts), np.int64)
+        counts[plain] = np.diff(starts)
+        for k, one in pieces.items():
+            counts[k] = len(one)
+        slots = np.concatenate([[0], np.cumsum(counts + 1)])
+        codes = np.empty(slots[-1], np.int64)
+        codes[slots[1:] - 1] = len(values) - 1
+        fill = np.ones(len(codes), bool)
+        fill[slots[1:] - 1] = False
+        for n, k in enumerate(whole):
+            codes[slots[k]] = len(keys) + n
+            fill[slots[k]] = False
+        for k, one in pieces.items():
+            codes[slots[k] : slots[k] + len(one)] = one
+            fill[slots[k] : slots[k + 1]] = False
+        codes[fill] = code
+        pool = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        length = sizes[codes]
+        ends = np.cumsum(length)
+        at = np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - length), length)
+        at += np.arange(len(at))
+        return pool[at], np.concatenate([[0], ends])[slots]
 
     def _learn(self, stretches: list[str]) -> None:
         """Encode many at once: joined where the pattern cuts them again, each piece's ids known by its number."""
@@ -184,18 +234,19 @@ class PieceEncoder:
         groups = [joined[k : k + 256] for k in range(0, len(joined), 256)]
         texts = ["".join([f" {s}" for s in g]) for g in groups]
         for g, e in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            ids, at = np.array(e.ids, "<u4"), np.array([a for a, _ in e.offsets])
+            ids, at = np.array(e.ids, "<u4"), np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(e))[::2]
             starts = np.cumsum([0, *[len(s) + 1 for s in g]])
             bounds = np.searchsorted(at, starts).tolist()
+            data = ids.tobytes()
             for s, i, j in zip(g, bounds[:-1], bounds[1:], strict=True):
-                young[s] = ids[i:j].tobytes()
+                young[s] = data[4 * i : 4 * j]
 
 
 def write_ids(
     docs: DataFrame,
     folder: str,
     vocabulary: int,
-    encoder: Callable[[], Callable[[list[str]], Iterator[np.ndarray]]],
+    encoder: Callable[[], Callable[[pa.Array, int | None], tuple[np.ndarray, np.ndarray]]],
     end: int | None = None,
     text: str = "text",
     id: str = "doc_id",
@@ -218,15 +269,14 @@ def write_ids(
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         writer = None
-        for batch in slices(batches, "text"):
+        for batch in slices(larger(batches, ROWS), "text", TEXT_BYTES):
             if writer is None:
                 encode = encoder()
                 part, name = batch.column("part")[0].as_py(), f"{folder}/ids-{uuid.uuid4().hex}.bin"
                 system, path = pafs.FileSystem.from_uri(name)
                 system.create_dir(path.rpartition("/")[0], recursive=True)
                 writer = Writer(system.open_output_stream(path), bits)
-            for doc, ids in zip(batch.column("id").to_pylist(), encode(batch.column("text").to_pylist()), strict=True):
-                writer.add(doc, ids if end is None else np.append(ids, np.uint32(end)))
+            writer.add_all(batch.column("id").to_pylist(), *encode(batch.column("text"), end))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_docs": [len(writer.docs)], "n_ids": [writer.ids]})
@@ -235,42 +285,41 @@ def write_ids(
 
 
 def file_starts(files: DataFrame) -> DataFrame:
-    """``files`` with start: the ids in all files before it. One row per file, so far fewer than documents."""
-    rows = files.select("part", "n_ids").collect()
+    """``files`` with start: the ids in all files before it. One row per file, so far fewer than documents; as many partitions as files."""
     starts, at = [], 0
-    for r in sorted(rows, key=lambda r: r["part"]):
-        starts.append((r["part"], at))
+    for r in sorted(files.select("part", "file", "n_ids").collect()):
+        starts.append((r["part"], r["file"], at))
         at += r["n_ids"]
-    table = files.sparkSession.createDataFrame(starts, "part long, start long")
-    return files.join(table, "part")
+    return files.sparkSession.createDataFrame(starts, "part long, file string, start long").repartition(max(1, len(starts)))
 
 
 def read_ids(files: DataFrame) -> DataFrame:
     """Read the files of ``write_ids`` back: rows (doc_id, start, n_tokens, ids_crc32), one per document.
 
     start counts the ids of all documents before it; the checksum is over its ids as little-endian
-    unsigned 32-bit integers. Files are dealt out to tasks; each is read block by block.
+    unsigned 32-bit integers. Files are dealt out to tasks, one to each; a file is read block by block.
     """
-    rows = file_starts(files).repartition(F.col("part"))
+    rows = file_starts(files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 system, path = pafs.FileSystem.from_uri(name)
                 with system.open_input_file(path) as source:
-                    out = [(d if d > -(2**63) else None, start + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, at, ids in Reader(source).documents()]
+                    out = [(d if d > -(2**63) else None, start + at, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4"))) for d, at, ids in Reader(source).documents()]
                 columns = list(zip(*out, strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def piece_encoder(path: str, size: int = 300_000) -> Callable[[], PieceEncoder]:
-    """A maker of encoders for a byte-level vocabulary file; one per Python worker."""
-    return lambda: kept(f"pieces {path}", lambda: PieceEncoder(path, size))
+def piece_encoder(path: str, size: int = 300_000) -> Callable[[], Callable]:
+    """A maker of encoders (a column of texts and the end id give ids and bounds) for a byte-level vocabulary file; one per Python worker."""
+    return lambda: kept(f"pieces {path}", lambda: PieceEncoder(path, size)).encode
 
 
 def id_folder(spark) -> str:
-    """A new folder below the shared one, as a URI that any file system library reads."""
-    folder = scratch_dir(spark, "token-ids")
-    return folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    """A new folder below the shared one, as a URI that any file system library reads: a path without scheme is on Hadoop's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "token-ids"))
+    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return folder if "://" in folder else folder.replace("file:", "file://", 1)

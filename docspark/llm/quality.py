@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docspark.llm.arrays import slices, word_hashes
 from docspark.llm.ngrams import DIMS, counted, hashed_ngrams
-from docspark.llm.sampling import bounded, held_out, label_sizes
+from docspark.llm.sampling import bounded, bounded_by_marks, held_out, label_sizes, sized
 
 ORDERS = (1, 2, 3)
 #: Marks of word pairs follow the characters' features: a word repeated once, twice, three times in a row.
@@ -128,15 +128,27 @@ def fit(column: pa.Array, labels: list[int], counts: np.ndarray) -> QualityModel
     return QualityModel(ratio, w[:SIZE], float(w[SIZE]), slope, shift)
 
 
-def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str = "doc_id", sample: int = SAMPLE) -> QualityModel:
+def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str = "doc_id", sample: int = SAMPLE, labels: DataFrame | None = None) -> QualityModel:
     """Learn from the rows with label 0 or 1; null texts are empty, other labels are left out.
 
+    ``labels``: a table (id, label) of its own, where ``rows`` have none; a row learns from each distinct label of its
+    id. It is reduced to distinct pairs first, so that whole texts meet it at most once by a shuffle, and by
+    none where it is small.
+
     The log-count ratios cover all those rows. The SVM is fitted in one task on at most ``sample``
     rows, distinct and picked by a hash of id and text, in the shares of the labels, but LEAST of each, however rare;
     only the model, whose size is fixed, comes to the driver.
     """
-    rows = rows.filter(F.col(label).isin(0, 1)).select(id, F.coalesce(text, F.lit("")).alias("t"), F.col(label).cast("long").alias("y"))
-    counts = class_counts(rows, "t", "y")
+    known = F.col(label).isin(0, 1)
+    if labels is None:
+        rows = rows.filter(known).select(id, F.coalesce(text, F.lit("")).alias("t"), F.col(label).cast("long").alias("y"))
+        counts = class_counts(rows, "t", "y")
+        picked = bounded(rows, id, "t", "y", label_sizes(rows, id, "t", "y"), sample)
+    else:
+        rows = rows.select(id, F.coalesce(text, F.lit("")).alias("t"))
+        labels = sized(labels.filter(known & F.col(id).isNotNull()).select(id, F.col(label).cast("long").alias("y")).distinct())
+        counts = class_counts(rows.join(labels, id), "t", "y")
+        picked = bounded_by_marks(rows, labels, id, "t", "y", sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
@@ -147,8 +159,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "quality", id: str =
             np.savez_compressed(out, ratio=m.ratio, weights=m.weights, rest=np.array([m.bias, m.slope, m.shift]))
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    picked = bounded(rows, id, "t", "y", label_sizes(rows, id, "t", "y"), sample).select(F.xxhash64(id).alias("k"), "t", "y")
-    found = picked.repartition(1).mapInArrow(run, "model binary").first()
+    found = picked.select(F.xxhash64(id).alias("k"), "t", "y").repartition(1).mapInArrow(run, "model binary").first()
     if found is None or not found["model"]:
         return QualityModel(np.zeros(SIZE), np.zeros(SIZE), 0.0, 1.0, 0.0)
     m = np.load(io.BytesIO(found["model"]))

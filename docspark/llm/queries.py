@@ -92,8 +92,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").filter(~in_fold("doc_id", 4, 2)).select("doc_id", "quality")
-    model = quality.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = quality.train(docs, labels=table(spark, sf_dir, "labels").filter(~in_fold("doc_id", 4, 2)))
     scored = quality.score(docs, model)
     return scored.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

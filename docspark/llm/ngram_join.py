@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from docspark.llm.arrays import mix, remembered, shingles, slices, word_hashes
 from docspark.llm.graph import connected_components
+from docspark.llm.sampling import sized
 from docspark.session import discard, materialize
 
 #: Sizes of sets in one band differ by at most this factor (and by at least one).
 BAND = 1.4
 #: Segments beyond those the pigeonhole needs, as a share: what a set may leave out where a segment is common.
 SPARE = 0.1
+#: Texts that are compared with one other in one go.
+GROUP = 1000
 _SALT = 0x9E3779B97F4A7C15
 
 
@@ -137,24 +140,41 @@ def _plausible(a: str, b: str, percent: int) -> Column:
 
 
 def verified(docs: DataFrame, pairs: DataFrame, text: str, id: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids whose shingle sets are as similar as asked for, by their exact intersection.
+    """The pairs (a, b) of ids whose shingle sets are as similar as asked for, by their exact intersection, as a table.
 
-    Only the texts that some pair names move, and their sets are made once more from the whole text.
+    Only the texts that some pair names move, each once per pair in which it is b, and once per GROUP
+    pairs in which it is a: a's text comes first, is made a set once, and the others pass by it one by one.
+    An id may have several texts: a pair links if some two of them do.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+    pairs = pairs.withColumn("group", F.pmod(F.xxhash64("b"), F.lit(2**20)))
+    crowd = pairs.groupBy("a").agg(F.count("*").alias("m"))
+    pairs = materialize(pairs.join(crowd, "a").select("a", "b", F.pmod("group", F.ceil(F.col("m") / GROUP)).cast("int").alias("group")), "pairs")
+    heads = pairs.select(F.col("a").alias("id"), "a", "group", F.lit(0).alias("kind")).distinct()
+    roles = sized(heads.unionByName(pairs.select(F.col("b").alias("id"), "a", "group", F.lit(1).alias("kind"))))
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(roles, "id")
+    rows = rows.repartition("a", "group").sortWithinPartitions("a", "group", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, heads = None, []
         for batch in slices(batches, "text"):
             words, bounds = word_hashes(batch.column("text"))
-            sets = [shingles(words[a:b], size) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(sets)], ["id", "set"])
-
-    sets = materialize(rows.mapInArrow(run, "id long, set array<long>"), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    link = (F.size("x") + F.size("y") - shared) * percent <= shared * 100
-    return both.select("a", "b", link.alias("link")).filter("link").select("a", "b").distinct()
+            out = []
+            columns = (batch.column(c).to_pylist() for c in ("a", "group", "kind", "id"))
+            for k, (a, group, kind, b) in enumerate(zip(*columns, strict=True)):
+                own = shingles(words[bounds[k] : bounds[k + 1]], size)
+                if (a, group) != at:
+                    at, heads = (a, group), []
+                if kind == 0:
+                    heads.append(own)
+                    continue
+                for h in heads:
+                    shared = len(np.intersect1d(h, own, assume_unique=True))
+                    if len(own) and shared * 100 >= percent * (len(h) + len(own) - shared):
+                        out.append((a, b))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    return materialize(rows.mapInArrow(run, "a long, b long").distinct(), "links")
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 3, percent: int = 90) -> DataFrame:
@@ -178,30 +198,33 @@ def jaccard_components(docs: DataFrame, text: str = "text", id: str = "doc_id",
     Empty tables give empty results. Other columns are not read.
     """
     sets = materialize(signatures(docs, text, id, size, percent), "signatures")
-    usable = sets.filter(F.col("id").isNotNull() & (F.col("n") > 0))
-    same = usable.groupBy("sum1", "sum2", "n").agg(F.min("id").alias("rep"))
-    narrow = usable.select("id", "n", "sum1", "sum2")
-    named = materialize(narrow.join(same, ["sum1", "sum2", "n"]).select("id", "n", "rep").distinct(), "copies")
+    sizes = materialize(sets.select("id", "n", "sum1", "sum2"), "sizes")
+    usable, narrow = (x.filter(F.col("id").isNotNull() & (F.col("n") > 0)) for x in (sets, sizes))
+    # written, so that the join deals the rows anew and can split a large group of copies
+    same = materialize(narrow.groupBy("sum1", "sum2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("of")).filter("of > 1").drop("of"), "same")
+    named = materialize(narrow.join(same, ["sum1", "sum2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")).distinct(), "copies")
 
     found = usable.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("f")).filter("f > 1").select("key")
-    rows = usable.select("id", "n", "n_own", "n_low", "spare_own", "spare_low", F.posexplode("keys").alias("pos", "key")).join(found, "key")
+    rows = usable.select("id", "n", "n_own", "n_low", "spare_own", "spare_low", F.posexplode("keys").alias("pos", "key"))
     exact = F.col("pos") < F.col("n_own") + F.col("n_low")
     low = (F.col("pos") >= F.col("n_own")) & exact
-    rows = rows.select(
-        "key", "id", "n", exact.alias("exact"), low.alias("low"),
-        (exact & (F.when(low, F.col("pos") - F.col("n_own")).otherwise(F.col("pos")) == 0)).alias("first"),
-        F.when(low, F.col("spare_low")).otherwise(F.col("spare_own")).alias("spare"),
-    )
+    first = exact & (F.when(low, F.col("pos") - F.col("n_own")).otherwise(F.col("pos")) == 0)
+    spare = F.when(low, F.col("spare_low")).otherwise(F.col("spare_own"))
+    # few bytes a key go through the shuffle: spare segments and three marks in one number
+    marks = spare * 8 + exact.cast("long") * 4 + low.cast("long") * 2 + first.cast("long")
+    rows = rows.select("key", "id", F.col("n").cast("int").alias("n"), marks.cast("int").alias("marks")).join(found, "key")
     # copies share all keys: what only they share goes
-    rows = rows.join(named, ["id", "n"]).select("key", F.col("rep").alias("node"), "exact", "low", "first", "spare").distinct()
+    rows = rows.join(named, ["id", "n"]).select("key", F.col("rep").alias("node"), "marks").distinct()
     rows = materialize(rows, "shared-keys")
     counts = rows.select("key", "node").distinct().groupBy("key").agg(F.count("*").alias("f")).filter("f > 1")
-    shared = materialize(rows.join(counts, "key"), "shared-keys")
+    bit = [(F.col("marks").bitwiseAND(b) > 0).alias(c) for c, b in (("exact", 4), ("low", 2), ("first", 1))]
+    shared = materialize(rows.join(counts, "key").select("key", "node", *bit, F.shiftright("marks", 3).cast("long").alias("spare"), "f"), "shared-keys")
     discard(rows)
     heads = named.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("node")).join(shared.select("node").distinct(), "node", "left_semi")
     sketches = materialize(
         usable.select(F.col("id").alias("node"), "n", "sketch").join(heads, "node", "left_semi").dropDuplicates(["node"]), "sketches"
     )
+    discard(sets)
 
     def plausible(pairs: DataFrame) -> DataFrame:
         x = sketches.select(F.col("node").alias("a"), F.struct("n", "sketch").alias("p"))
@@ -213,20 +236,23 @@ def jaccard_components(docs: DataFrame, text: str = "text", id: str = "doc_id",
     centers = shared.select("key", "node").distinct().join(fame, "node").groupBy("key").agg(F.max(F.struct("fame", "node")).alias("c"))
     stars = shared.join(centers.select("key", F.col("c.node").alias("a")), "key").filter(F.col("a") != F.col("node"))
     stars = stars.select("a", F.col("node").alias("b")).distinct()
-    links = materialize(verified(docs, plausible(stars), text, id, size, percent), "links")
+    links = verified(docs, materialize(plausible(stars), "stars"), text, id, size, percent)
     parts = materialize(connected_components(links), "parts")
 
-    pairs = _open_pairs(shared, sketches, parts, percent)
-    more = materialize(verified(docs, pairs, text, id, size, percent), "links")
+    pairs = materialize(_open_pairs(shared, sketches, parts, percent), "open-pairs")
+    more = verified(docs, pairs, text, id, size, percent)
+    for table in (shared, sketches, parts):
+        discard(table)
     parts = materialize(connected_components(links.unionByName(more)), "parts")
 
-    named = named.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    # a component's name is its smallest id; ids that repeat tie the components of their texts together
-    tie = named.groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component"), F.max(F.coalesce("component", "rep")).alias("other"), F.min("rep").alias("copies_of"))
-    ties = connected_components(tie.filter("component != other"), "component", "other")
+    named = named.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("id", "rep", F.coalesce("component", "rep").alias("component"))
+    # a component's name is its smallest id; ids that repeat tie the components of all their texts together
+    tie = named.groupBy("id").agg(F.min("component").alias("component"), F.max("component").alias("last"), F.min("rep").alias("copies_of"))
+    split = materialize(tie.filter("component != last").select("id", F.col("component").alias("least")), "several")
+    ties = connected_components(named.join(split, "id").select("least", "component"), "least", "component")
     named = tie.join(ties.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
     named = named.select(F.col("id").alias("_id"), F.coalesce("root", "component").alias("component"), "copies_of")
-    out = sets.select("id", "n").join(named, (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left")
+    out = sizes.select("id", "n").join(named, (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left")
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.coalesce("copies_of", "id").alias("copies_of"))
 
 

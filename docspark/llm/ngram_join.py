@@ -20,6 +20,8 @@ BAND = 1.4
 SPARE = 0.1
 #: Texts that are compared with one other in one go.
 GROUP = 1000
+#: Keys that a task holds at once, about, and the bits of a key that are compared between tasks.
+BUCKET, KEY_BITS = 1_500_000, 48
 _SALT = 0x9E3779B97F4A7C15
 
 
@@ -125,6 +127,90 @@ def signatures(docs: DataFrame, text: str, id: str, size: int, percent: int) ->
     return rows.mapInArrow(run, "id long, n long, sum1 long, sum2 long, sketch array<long>, keys array<long>, n_own long, n_low long, spare_own long, spare_low long")
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Integers as planes of their bytes, so that high bytes that are all zero take no room once compressed."""
+    return np.ascontiguousarray(np.asarray(x, "<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+
+
+def shared_keys(sets: DataFrame, count: int) -> DataFrame:
+    """Rows (key, row, marks) of all ``count`` keys of ``sets`` that two rows or more have; marks: 4 exact, 2 of the band below, 1 segment 0.
+
+    A task sorts some millions of keys at a time. Those that it meets twice are known to be shared; of
+    them only a mark goes to the other tasks' keys, the rest by a way of its own, so that a key of very many rows
+    does not gather in one task. The others meet in buckets of the key space, whose number grows with the keys, as
+    differences of sorted keys cut to KEY_BITS bits: two keys that fall together only make a pair more to compare.
+    """
+    buckets = max(1, -(-count // BUCKET))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            lists = batch.column("keys")
+            sizes = np.diff(lists.offsets.to_numpy())
+            row, own, low = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("row", "n_own", "n_low"))
+            at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            exact, below = at < own + low, (at >= own) & (at < own + low)
+            first = exact & (at == np.where(below, own, 0))
+            held.append((lists.flatten().to_numpy().view(np.uint64) >> np.uint64(64 - KEY_BITS), row * 8 + exact * 4 + below * 2 + first))
+            if sum(len(k) for k, _ in held) >= BUCKET:
+                yield from flush(held)
+                held = []
+        if held:
+            yield from flush(held)
+
+    def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, values = keys[order].astype(np.int64), values[order]
+        same = keys[1:] == keys[:-1]
+        before, after = np.concatenate([[False], same]), np.concatenate([same, [False]])
+        out = []
+        if same.any():
+            known = before | after
+            spread = int(values[0] % buckets) if len(values) else 0
+            out.append((spread, True, keys[known], values[known]))
+        keys, values = keys[~before], np.where(after, -1, values)[~before]  # the first of several stands for all
+        bounds = np.searchsorted((keys >> (KEY_BITS - 31)) * buckets >> 31, np.arange(buckets + 1))
+        out += [(b, False, keys[i:j], values[i:j]) for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if j > i]
+        for bucket, known, k, v in out:
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([bucket], pa.int32()), "known": [known], "keys": [_packed(np.diff(k, prepend=0))], "base": [int(v.min())], "vals": [_packed(v - v.min())],
+            })
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+        for batch in batches:
+            for bucket, known, keys, base, values in zip(*[batch.column(c).to_pylist() for c in ("bucket", "known", "keys", "base", "vals")], strict=True):
+                k, v = np.cumsum(_unpacked(keys)), _unpacked(values) + base
+                if known:
+                    yield rows(k, v)
+                    continue
+                if bucket != current:
+                    yield from finish(held)
+                    current, held = bucket, []
+                held.append((k, v))
+        yield from finish(held)
+
+    def finish(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if held:
+            keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(keys, kind="stable")
+            keys, values = keys[order], values[order]
+            same = keys[1:] == keys[:-1]
+            shared = (np.concatenate([[False], same]) | np.concatenate([same, [False]])) & (values >= 0)
+            yield rows(keys[shared], values[shared])
+
+    def rows(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"key": keys, "row": values >> 3, "marks": values & 7})
+
+    sent = sets.select("row", "n_own", "n_low", "keys").mapInArrow(send, "bucket int, known boolean, keys binary, base long, vals binary")
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "key long, row long, marks long")
+
+
 def _similar(n1: Column, n2: Column, percent: int) -> Column:
     """Whether sizes allow the similarity."""
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
@@ -197,28 +283,22 @@ def jaccard_components(docs: DataFrame, text: str = "text", id: str = "doc_id",
     component_id null; rows that repeat an id are one document with several texts, each of which links.
     Empty tables give empty results. Other columns are not read.
     """
-    sets = materialize(signatures(docs, text, id, size, percent), "signatures")
-    sizes = materialize(sets.select("id", "n", "sum1", "sum2"), "sizes")
+    sets = materialize(signatures(docs, text, id, size, percent).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    sizes = materialize(sets.select("row", "id", "n", "sum1", "sum2", "spare_own", "spare_low", F.size("keys").alias("n_keys")), "sizes")
     usable, narrow = (x.filter(F.col("id").isNotNull() & (F.col("n") > 0)) for x in (sets, sizes))
     # written, so that the join deals the rows anew and can split a large group of copies
     same = materialize(narrow.groupBy("sum1", "sum2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("of")).filter("of > 1").drop("of"), "same")
-    named = materialize(narrow.join(same, ["sum1", "sum2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")).distinct(), "copies")
-
-    found = usable.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("f")).filter("f > 1").select("key")
-    rows = usable.select("id", "n", "n_own", "n_low", "spare_own", "spare_low", F.posexplode("keys").alias("pos", "key"))
-    exact = F.col("pos") < F.col("n_own") + F.col("n_low")
-    low = (F.col("pos") >= F.col("n_own")) & exact
-    first = exact & (F.when(low, F.col("pos") - F.col("n_own")).otherwise(F.col("pos")) == 0)
-    spare = F.when(low, F.col("spare_low")).otherwise(F.col("spare_own"))
-    # few bytes a key go through the shuffle: spare segments and three marks in one number
-    marks = spare * 8 + exact.cast("long") * 4 + low.cast("long") * 2 + first.cast("long")
-    rows = rows.select("key", "id", F.col("n").cast("int").alias("n"), marks.cast("int").alias("marks")).join(found, "key")
+    named = materialize(narrow.join(same, ["sum1", "sum2", "n"], "left").select("row", "id", "n", "spare_own", "spare_low", F.coalesce("rep", "id").alias("rep")), "copies")
+
+    rows = shared_keys(usable, narrow.agg(F.sum("n_keys")).first()[0] or 0)
     # copies share all keys: what only they share goes
-    rows = rows.join(named, ["id", "n"]).select("key", F.col("rep").alias("node"), "marks").distinct()
+    low = F.col("marks").bitwiseAND(2) > 0
+    marks = F.col("marks") + 8 * F.when(low, F.col("spare_low")).otherwise(F.col("spare_own"))
+    rows = rows.join(named, "row").select("key", F.col("rep").alias("node"), marks.alias("marks")).distinct()
     rows = materialize(rows, "shared-keys")
     counts = rows.select("key", "node").distinct().groupBy("key").agg(F.count("*").alias("f")).filter("f > 1")
     bit = [(F.col("marks").bitwiseAND(b) > 0).alias(c) for c, b in (("exact", 4), ("low", 2), ("first", 1))]
-    shared = materialize(rows.join(counts, "key").select("key", "node", *bit, F.shiftright("marks", 3).cast("long").alias("spare"), "f"), "shared-keys")
+    shared = materialize(rows.join(counts, "key").select("key", "node", *bit, F.shiftright("marks", 3).alias("spare"), "f"), "shared-keys")
     discard(rows)
     heads = named.filter(F.col("id") == F.col("rep")).select(F.col("id").alias("node")).join(shared.select("node").distinct(), "node", "left_semi")
     sketches = materialize(

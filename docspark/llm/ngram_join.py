@@ -221,6 +221,14 @@ def _plausible(a: str, b: str, percent: int) -> Column:
     n = F.col(f"{a}.n") + F.col(f"{b}.n")
     apart = n - 2 * F.floor((n * percent + (99 + percent)) / (100 + percent))
     x, y = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    size = F.least(F.size(x), F.size(y))
+
+    def folded(s: Column) -> Column:
+        """A sketch of twice the size, brought to the smaller one's: places fall together modulo a power of two."""
+        halves = F.zip_with(F.slice(s, 1, size), F.slice(s, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(s) == 2 * size, halves).otherwise(s)
+
+    x, y = folded(x), folded(y)
     differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, d: s + d)
     return _similar(F.col(f"{a}.n"), F.col(f"{b}.n"), percent) & ((F.size(x) != F.size(y)) | (differ <= apart))
 

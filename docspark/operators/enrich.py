@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docspark.functions.guard import Guarded
 from docspark.functions.render import sorted_json_fields
 from docspark.functions.rows import literal
 from docspark.functions.text import WORD, WS, word_count
@@ -148,7 +149,7 @@ def enrich(
     df: DataFrame,
     fields: list[str],
     metadata: str | None = None,
-    computed: Mapping[str, str | Callable[[DataFrame], Column]] | None = None,
+    computed: Mapping[str, str | Callable[[DataFrame], Column] | Guarded] | None = None,
     rules: list[SetWhen] | None = None,
     presence: str = "non_null",
     stamp: bool = True,
@@ -157,7 +158,8 @@ def enrich(
     """Add ``_enrichment``, ``_source``, computed and conditional fields and ``_text_analytics``.
 
     ``fields`` are the record's own columns; other columns ride along. Computed fields (a SQL
-    expression, or a function of the DataFrame) see the record as it came in. With ``presence``
+    expression, a function of the DataFrame, or a ``Guarded`` Python function of the record as a dict, whose
+    failure leaves null and the reason in ``<field>_error``) see the record as it came in. With ``presence``
     "non_null" a null field counts as absent, with "declared" as present but empty.
     """
     info = [F.current_timestamp().alias("processed_at")] if stamp else []
@@ -166,12 +168,20 @@ def enrich(
         field_count(fields, presence).alias("field_count"),
         completeness(df, fields, presence).alias("completeness"),
     ]
+    before = set(df.columns)
+    guarded = {n: f for n, f in (computed or {}).items() if isinstance(f, Guarded)}
+    if guarded:  # each gets a column first, so that it is called once
+        record = F.struct(*[_col(f) for f in fields])
+        df = df.withColumns({f"_{n}_result": f(record) for n, f in guarded.items()})
     new: dict[str, Column] = {"_enrichment": F.struct(*info)}
     if metadata is not None:
         new["_source"] = source_info(_col(metadata))
     for name, how in (computed or {}).items():
+        if name in guarded:
+            new[name] = F.col(f"`_{name}_result`.value")
+            new[f"{name}_error"] = F.col(f"`_{name}_result`.error")
+            continue
         new[name] = F.expr(how) if isinstance(how, str) else how(df)
-    before = set(df.columns)
-    df = set_when(df.withColumns(new), rules or [], presence)
-    added = [n for n in df.columns if n not in before and n not in fields]
+    df = set_when(df.withColumns(new).drop(*[f"_{n}_result" for n in guarded]), rules or [], presence)
+    added = [n for n in df.columns if n not in before and n not in fields and n not in {f"{g}_error" for g in guarded}]
     return add_text_analytics(df, [*fields, *added], longer_than=longer_than)

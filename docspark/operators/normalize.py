@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docspark.functions.guard import Guarded
 from docspark.functions.render import py_str
 from docspark.functions.rows import literal
 from docspark.functions.text import parse_float, strip
@@ -115,8 +116,24 @@ def coerce(df: DataFrame, types: Mapping[str, str], keep_raw: bool = True) -> Da
 
 
 def transform_fields(df: DataFrame, transforms: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    """Apply a Column function (or a pandas UDF) to each named field that exists."""
-    return df.withColumns({n: f(F.col(f"`{n}`")) for n, f in transforms.items() if n in df.columns})
+    """Apply a Column function, a pandas UDF or a ``Guarded`` Python function to each named field that exists.
+
+    Where a guarded function fails the field keeps its value (as the function's type; null if it does not fit), and
+    ``<field>_error`` says why.
+    """
+    plain = {n: f for n, f in transforms.items() if n in df.columns and not isinstance(f, Guarded)}
+    guarded = {n: f for n, f in transforms.items() if n in df.columns and isinstance(f, Guarded)}
+    df = df.withColumns({n: f(F.col(f"`{n}`")) for n, f in plain.items()})
+    if not guarded:
+        return df
+    # the function's result gets a column first, so that it is called once
+    df = df.withColumns({f"_{n}_result": f(F.col(f"`{n}`")) for n, f in guarded.items()})
+    new: dict[str, Column] = {}
+    for n, f in guarded.items():
+        value, error = (F.col(f"`_{n}_result`.{part}") for part in ("value", "error"))
+        new[n] = F.when(error.isNull(), value).otherwise(F.col(f"`{n}`").try_cast(f.returns))
+        new[f"{n}_error"] = error
+    return df.withColumns(new).drop(*[f"_{n}_result" for n in guarded])
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:

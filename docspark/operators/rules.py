@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docspark.functions.guard import Guarded
 from docspark.functions.render import py_str
 from docspark.functions.text import is_blank, java_regex, parse_float
 from docspark.operators.normalize import truthy
@@ -42,7 +43,7 @@ class Rule:
     max: float | None = None
     other: str | None = None
     condition: str | None = None  # equals, greater_than, not_empty_if
-    predicate: Callable[[Column], Column] | None = None
+    predicate: Callable[[Column], Column] | None = None  # or a Guarded Python function: one that fails makes a warning
 
 
 def required(field: str, message: str = "", severity: str = ERROR) -> Rule:
@@ -125,6 +126,11 @@ def _custom(rule: Rule, record: _Record) -> Column | None:
     c, dtype = record.get(rule.field)
     ok = rule.predicate(c)
     actual = py_str(c, dtype)
+    if isinstance(rule.predicate, Guarded):
+        error = F.concat(F.lit(f"{CUSTOM_ERROR}: "), ok["error"])
+        return F.when(error.isNotNull(), _violation(rule, error, actual, WARNING)).when(
+            ~F.coalesce(ok["value"], F.lit(False)), _violation(rule, rule.message, actual)
+        )
     return F.when(ok.isNull(), _violation(rule, CUSTOM_ERROR, actual, WARNING)).when(
         ~ok, _violation(rule, rule.message, actual)
     )

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators.batches import assign_batches, batch_results, delivery_outcome as outcome, progress
 from docspark.operators.clean import FieldRule
-from docspark.operators.extract import CallSettings, ExtractionSchema
+from docspark.operators.extract import ExtractionSchema
+from docspark.operators.ledger import ReplyLedger, prompt_key
 from docspark.operators.quality import LOAD, THRESHOLDS
 from docspark.plans.flow import DocumentFlow, FlowResult
 from docspark.plans.quality_queries import SQL_JUDGED, SQL_PAGES, checked_pages, judged
@@ -193,7 +193,7 @@ def stream_report(spark: SparkSession, sf: str) -> DataFrame:
     return read_reports(spark, f"{work}/out").select("batch_id", "total_documents", "successful", "failed", "status")
 
 
-# ---- the whole flow, with a rule-based function in the place of a model ----
+# ---- the whole flow, on recorded replies ----
 
 NOTE = ExtractionSchema(
     name="note",
@@ -202,35 +202,30 @@ NOTE = ExtractionSchema(
 )
 
 
-def first_line_reader():
-    """First line and length of the text in the prompt; no answer for parse errors, a crash for tiny texts."""
-    body = re.compile(r"\n\nText:\n(.*)\n\nRespond with ONLY valid JSON matching the schema\.\Z", re.DOTALL)
+def note_replies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Recorded replies on the notes: heading and length of each text in printable ASCII, scores by the digits of the length.
 
-    def read(prompt: str, settings: CallSettings) -> str:
-        text = body.search(prompt).group(1)
-        if text.startswith("(parse error"):
-            return "no idea"
-        if len(text) < 40:
-            raise ValueError("text too short")
-        reply = {"heading": "  " + text.split("\n")[0] + " ", "letters": f"{len(text):,}", "kind": ""}
-        return "```json\n" + json.dumps(reply) + "\n```"
-
-    return read
-
-
-def length_judge():
-    """Scores by the digits of the length in the record."""
-
-    def score(prompt: str, settings: CallSettings) -> str:
-        letters = int(re.search(r"'size': (\d+)", prompt).group(1))
-        return f"COMPLETENESS: {(letters % 10) / 10}\nACCURACY: {1.0 if letters % 3 else 0.2}\nISSUES: {letters}"
-
-    return score
+    Every note has two attempts, of which the second counts; parse errors have a reply that is no JSON,
+    tiny texts a failed call.
+    """
+    text = F.regexp_replace("content", r"[^\x20-\x7E\n\t]", " ")
+    notes = documents.select("document_id", "format", text.alias("t"), F.explode(F.array(F.lit(0), F.lit(1))).alias("attempt"))
+    fields = F.struct(
+        F.concat(F.lit("  "), F.substring_index("t", "\n", 1), F.lit(" ")).alias("heading"), F.format_number(F.length("t"), 0).alias("letters"), F.lit("").alias("kind")
+    )
+    reply = F.concat(F.lit("```json\n"), F.to_json(fields), F.lit("\n```"))
+    bad, tiny, last = F.col("format") == "text", F.length("t") < 40, F.col("attempt") == 1
+    replies = notes.select(
+        "document_id", "attempt", F.when(bad | ~last, "no idea").when(~tiny, reply).alias("reply"), F.when(~bad & tiny & last, "text too short").alias("call_error")
+    )
+    size = F.length("t")
+    scores = F.format_string("COMPLETENESS: %s\nACCURACY: %s\nISSUES: %d", (size % 10 / 10).cast("string"), F.when(size % 3 != 0, "1.0").otherwise("0.2"), size)
+    return replies, notes.select("document_id", "attempt", F.when(last, scores).otherwise("?").alias("reply"), F.lit(None).cast("string").alias("call_error"))
 
 
 def note_flow() -> DocumentFlow:
     return DocumentFlow(
-        schema=NOTE, model=first_line_reader, judge_model=length_judge, clean_rules={"heading": FieldRule(uppercase=True)},
+        schema=NOTE, clean_rules={"heading": FieldRule(uppercase=True)},
         mapping={"letters": "size"}, types={"size": "int"}, defaults={"kind": "note"}, thresholds=THRESHOLDS["development"],
         formats=("pdf",), stamp=False,
     )
@@ -244,7 +239,9 @@ def note_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_notes(spark: SparkSession, sf: str, sink=None) -> FlowResult:
-    return note_flow().run(note_documents(spark, sf), sink=sink)
+    notes = note_documents(spark, sf)
+    replies, judgements = note_replies(notes)
+    return note_flow().run(notes, sink=sink, replies=replies, judgements=judgements)
 
 
 SQL_NOTES = r"""WITH t AS (SELECT doc_id, doc_id % 5 = 4 AS bad, regexp_replace(text, '[^\x20-\x7E\n\t]', ' ', 'g') AS t FROM documents),
@@ -296,7 +293,9 @@ def flow_summary(spark: SparkSession, sf: str) -> DataFrame:
 )
 def flow_batches(spark: SparkSession, sf: str) -> DataFrame:
     """The flow over numbered batches of 50 documents: one result row per batch."""
-    return note_flow().run_batches(note_documents(spark, sf), 50, ["document_id"]).summary
+    notes = note_documents(spark, sf)
+    replies, judgements = note_replies(notes)
+    return note_flow().run_batches(notes, 50, ["document_id"], replies=replies, judgements=judgements).summary
 
 
 @query(
@@ -307,3 +306,27 @@ def flow_load_log(spark: SparkSession, sf: str) -> DataFrame:
     """The flow with a JSON sink: one log row per document."""
     sink = JsonSink(scratch_dir(spark, "notes"))
     return run_notes(spark, sf, sink).load_log.drop("destination")
+
+
+# ---- replies kept over runs ----
+
+SETTINGS_TEXT = '["", {"max_tokens": 4096, "temperature": 0.1}]'
+
+
+@query(
+    "ledger_pending",
+    """WITH p AS (SELECT doc_id, sha256('@S@' || chr(10) || 'Summarize: ' || text) AS prompt_key FROM documents),
+         l AS (SELECT p.prompt_key, bool_or(quality = 1) AS answered FROM labels JOIN p USING (doc_id) GROUP BY p.prompt_key)
+       SELECT prompt_key, count(*) AS documents FROM p WHERE prompt_key NOT IN (SELECT prompt_key FROM l WHERE answered) GROUP BY prompt_key""".replace("@S@", SETTINGS_TEXT),
+)
+def ledger_pending(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts still to ask after a run that answered those of the labelled documents of quality 1 and failed on the others."""
+    ledger = ReplyLedger(scratch_dir(spark, "ledger"))
+    prompts = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("Summarize: "), "text").alias("prompt"))
+    keyed = materialize(prompts.select("doc_id", prompt_key(F.col("prompt")).alias("prompt_key")), "prompt-keys")
+    run = keyed.join(table(spark, sf, "labels"), "doc_id").select(
+        "prompt_key", F.when(F.col("quality") == 1, "good").alias("reply"), F.lit(1.0).alias("call_ms"), F.when(F.col("quality") != 1, "busy").alias("call_error")
+    )
+    ledger.record(run)
+    pending = ledger.pending(prompts).select("prompt_key")
+    return keyed.join(pending, "prompt_key").groupBy("prompt_key").agg(F.count("*").alias("documents"))

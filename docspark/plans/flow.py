@@ -15,8 +15,9 @@ from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import SetWhen, enrich
 from docspark.operators.extract import (
     JUDGE_SETTINGS, CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns,
-    judge_prompt, parse_reply, typed_fields,
+    join_replies, judge_prompt, parse_reply, typed_fields,
 )
+from docspark.operators.ledger import ReplyLedger
 from docspark.operators.normalize import normalize
 from docspark.operators.quality import LOAD, Thresholds, judge, quality_report, skip_judging
 from docspark.session import materialize
@@ -25,6 +26,7 @@ from docspark.sinks.targets import Sink
 from docspark.sources.documents import PARSERS, parse
 
 ASIDE = "__doc_"
+NO_REPLY = "No recorded reply"
 
 Model = Callable[[], Callable[[str, CallSettings], str]]
 
@@ -39,10 +41,10 @@ class FlowResult(NamedTuple):
 
 @dataclass(frozen=True)
 class DocumentFlow:
-    """Configuration of a run; ``model`` and ``judge`` are made once per task (see ``call_model``)."""
+    """Configuration of a run; ``model`` and ``judge_model`` are made once per task (see ``call_model``)."""
 
     schema: ExtractionSchema
-    model: Model
+    model: Model | None = None  # none: every reply comes from a table given to run
     judge_model: Model | None = None
     clean_rules: Mapping[str, FieldRule] = field(default_factory=dict)
     mapping: Mapping[str, str] = field(default_factory=dict)
@@ -58,10 +60,21 @@ class DocumentFlow:
     tasks: int | None = None
     stamp: bool = True
     log_sink_errors: bool = False
-
-    def run(self, documents: DataFrame, sink: Sink | None = None, run_id: str | None = None) -> FlowResult:
+    ledger: ReplyLedger | None = None  # remembers replies over runs
+
+    def run(
+        self,
+        documents: DataFrame,
+        sink: Sink | None = None,
+        run_id: str | None = None,
+        replies: DataFrame | None = None,
+        judgements: DataFrame | None = None,
+    ) -> FlowResult:
         """Run all stages on a documents table (see ``sources.documents.as_documents``).
 
+        ``replies`` and ``judgements`` are tables of recorded replies (document_id, attempt, reply,
+        call_error), of which the latest of each document counts; where they are given no model is asked.
+
         What the models return is parsed and written once, so the report, the log and any later
         action reuse it. Documents whose extraction failed skip the transforms and the judge but
         stay in the result. Sinks file their output under ``run_id``: give the same one to replace
@@ -76,30 +89,41 @@ class DocumentFlow:
                 "prompt": extraction_prompt(F.col("raw_content"), self.schema),
             }
         )
-        replies = call_model(asked, self.model, keep=keep, settings=self.settings, tasks=self.tasks)
-        answered = parse_reply(replies).drop("reply", "call_error").withColumnRenamed("call_ms", "extract_ms")
+        answered = parse_reply(self._replies(asked, self.model, keep, self.settings, replies)).drop("reply", "call_error").withColumnRenamed("call_ms", "extract_ms")
         extracted = materialize(answered, f"{run_id}-extracted")
         columns = self.schema.columns or infer_columns(extracted)
 
         good, fields = self._transform(extracted.filter("success"), columns)
         bad = extracted.filter("not success").drop("extracted")
-        judged = materialize(self._judge(good, bad, fields), f"{run_id}-judged")
+        judged = materialize(self._judge(good, bad, fields, judgements), f"{run_id}-judged")
 
         log = self._load(judged, sink, run_id) if sink is not None else None
         return FlowResult(parsed, judged, quality_report(judged), run_summary(judged, run_id), log)
 
     def run_batches(
-        self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str | None = None
+        self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str | None = None, **recorded: DataFrame
     ) -> FlowResult:
         """The same over numbered batches of ``size`` documents; report and summary have one row per batch.
 
         The batches are labels on one job, not jobs of their own: tasks follow the partitions.
         """
         flow = replace(self, carry=(*self.carry, "batch_id"))
-        result = flow.run(assign_batches(documents, size, order), sink, run_id)
+        result = flow.run(assign_batches(documents, size, order), sink, run_id, **recorded)
         summary = batch_results(result.records)
         return result._replace(report=quality_report(result.records, ["batch_id"]), summary=summary)
 
+    def _replies(self, asked: DataFrame, model: Model | None, keep: tuple[str, ...], settings: CallSettings, recorded: DataFrame | None) -> DataFrame:
+        """The columns ``keep`` with reply, call_ms and call_error: from recorded replies, the ledger, or the model."""
+        if recorded is not None:
+            known = recorded.select("document_id", "attempt", "reply", "call_error")
+            rows = join_replies(asked.select(*keep), known).withColumn("call_ms", F.lit(None).cast("double"))
+            none = F.when(F.col("reply").isNull(), NO_REPLY)
+            return rows.select(*keep, "reply", "call_ms", F.coalesce("call_error", none).alias("call_error"))
+        if model is None:
+            raise ValueError("a flow without a model needs recorded replies")
+        ask = self.ledger.ask if self.ledger else call_model
+        return ask(asked, model, keep=keep, settings=settings, tasks=self.tasks)
+
     def _load(self, judged: DataFrame, sink: Sink, run_id: str) -> DataFrame:
         """Write what passed and log every document; with ``log_sink_errors`` a failed write is logged, not raised."""
         ready = judged.filter(F.col("route") == LOAD)
@@ -127,14 +151,14 @@ class DocumentFlow:
         data = F.struct(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(ASIDE)])
         return df.select(*[F.col(ASIDE + c).alias(c) for c in own], data.alias("data")), fields
 
-    def _judge(self, good: DataFrame, bad: DataFrame, fields: list[str]) -> DataFrame:
+    def _judge(self, good: DataFrame, bad: DataFrame, fields: list[str], judgements: DataFrame | None) -> DataFrame:
         bad = bad.drop("source_text")
-        if self.judge_model is None:
+        if self.judge_model is None and judgements is None:
             return skip_judging(good.drop("source_text").unionByName(bad, allowMissingColumns=True))
         record = {f: (F.col("data")[f], good.schema["data"].dataType[f].dataType) for f in fields}
         asked = good.withColumn("prompt", judge_prompt(F.col("source_text"), record)).drop("source_text")
         keep = tuple(c for c in asked.columns if c != "prompt")
-        replies = call_model(asked, self.judge_model, keep=keep, settings=JUDGE_SETTINGS, tasks=self.tasks)
+        replies = self._replies(asked, self.judge_model, keep, JUDGE_SETTINGS, judgements)
         replies = replies.withColumnsRenamed({"reply": "judge_reply", "call_error": "judge_error", "call_ms": "judge_ms"})
         return judge(replies.unionByName(bad, allowMissingColumns=True), "judge_reply", self.thresholds)
 

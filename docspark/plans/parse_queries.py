@@ -296,3 +296,23 @@ def request_documents(spark: SparkSession, sf: str) -> DataFrame:
     bodies = request_bodies(table(spark, sf, "conversations", spread=True))
     parsed = bodies.select(F.from_json("body", documents.REQUEST).alias("body")).select("body.*")
     return documents.parse(documents.request_documents(parsed)).select("document_id", "format", "raw_content")
+
+
+@query(
+    "request_errors",
+    """WITH b AS (SELECT conv_id, turn, role, text, CASE WHEN conv_id % 5 = 1 AND turn % 3 = 0 THEN 1 WHEN conv_id % 5 = 2 AND turn % 2 = 0 THEN 2 WHEN conv_id % 5 = 3 AND turn = 1 THEN 3 ELSE 0 END AS kind FROM conversations),
+       d AS (SELECT conv_id, turn, kind, 'html' AS format, '<li>' || text AS content FROM b WHERE kind = 0 AND turn % 4 <> 3
+             UNION ALL SELECT conv_id, turn, kind, 'text', role FROM b WHERE kind = 0 AND turn % 4 <> 3
+             UNION ALL SELECT conv_id, turn, kind, 'request', CASE kind WHEN 1 THEN '{"documents": [{"text": "' || role WHEN 2 THEN '{"documents": "' || role || '"}' ELSE '{}' END FROM b WHERE kind > 0)
+       SELECT conv_id, turn, sha256(content) AS document_id, format, CASE kind WHEN 0 THEN CASE WHEN format = 'text' THEN 'No parser available for format: text' END
+         WHEN 3 THEN 'Request body has no documents' ELSE 'Request body is not valid JSON with a list of documents' END AS parse_error FROM d""",
+)
+def request_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests of which some are cut off, of a wrong type or without documents: none vanishes."""
+    conversations = table(spark, sf, "conversations", spread=True)
+    bodies = request_bodies(conversations).join(conversations.select("conv_id", "turn", "role"), ["conv_id", "turn"])
+    broken = F.when((F.col("conv_id") % 5 == 1) & (F.col("turn") % 3 == 0), F.concat(F.lit('{"documents": [{"text": "'), "role"))
+    broken = broken.when((F.col("conv_id") % 5 == 2) & (F.col("turn") % 2 == 0), F.concat(F.lit('{"documents": "'), "role", F.lit('"}')))
+    broken = broken.when((F.col("conv_id") % 5 == 3) & (F.col("turn") == 1), "{}")
+    bodies = bodies.select("conv_id", "turn", F.coalesce(broken, "body").alias("body"))
+    return documents.parse(documents.request_documents(documents.parse_requests(bodies))).select("conv_id", "turn", "document_id", "format", "parse_error")

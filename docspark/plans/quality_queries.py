@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docspark.functions.guard import Guarded
 from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import enrich
 from docspark.operators.extract import (
@@ -14,7 +15,7 @@ from docspark.operators.quality import THRESHOLDS, extract_response as respond
 from docspark.operators.quality import batch_responses, judge, passes, quality_report as report, skip_judging
 from docspark.operators.rules import INFO, WARNING, Rule, in_range, list_violations, matches, required, rule_route, validate
 from docspark.plans.parse_queries import SQL_LINKS, SQL_TITLE, sql_html_text
-from docspark.plans.record_queries import SQL_SPARSE, sparse_customers
+from docspark.plans.record_queries import SQL_CODES, SQL_SPARSE, order_codes, sparse_customers, sql_int_error
 from docspark.plans.registry import query, sql_float, sql_strip, table
 from docspark.sources import html
 
@@ -122,6 +123,18 @@ def rule_custom(spark: SparkSession, sf: str) -> DataFrame:
     return found(sparse_customers(spark, sf), rules, "c_custkey")
 
 
+@query(
+    "rule_guarded",
+    f"""SELECT o_orderkey, 'even' AS rule, 'code' AS field, CASE WHEN TRY_CAST(code AS BIGINT) IS NULL THEN 'warning' ELSE 'error' END AS severity,
+          CASE WHEN TRY_CAST(code AS BIGINT) IS NULL THEN 'Custom validation error: ' || {sql_int_error('code')} ELSE 'must be even' END AS message, code AS actual_value
+        FROM ({SQL_CODES}) WHERE TRY_CAST(code AS BIGINT) IS NULL OR TRY_CAST(code AS BIGINT) % 2 <> 0""",
+)
+def rule_guarded(spark: SparkSession, sf: str) -> DataFrame:
+    """A Python predicate: records it fails on get a warning with the reason."""
+    rules = [Rule("even", "code", "custom", message="must be even", predicate=Guarded(lambda v: int(v) % 2 == 0, "boolean"))]
+    return found(order_codes(spark, sf), rules, "o_orderkey")
+
+
 @query(
     "rules_suite",
     f"""WITH v AS (SELECT c_custkey, (name IS NULL OR trim(name) = '') AS a, coalesce(balance < 0 OR balance > 9000, false) AS b,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docspark.functions.guard import Guarded
 from docspark.operators.clean import FieldRule, clean, clean_summary
 from docspark.operators.dedup import dedup_records as one_of_each
 from docspark.operators.enrich import SetWhen, enrich, list_text_analytics
 from docspark.operators.joins import lookup
-from docspark.operators.normalize import coerce, fill_defaults, normalize, rename
+from docspark.operators.normalize import coerce, fill_defaults, normalize, rename, transform_fields
 from docspark.plans.parse_queries import sql_collapse
 from docspark.plans.registry import query, sql_float, sql_strip, table
 
@@ -396,3 +397,42 @@ def enrich_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Every customer with the name of its nation; some nations are not known."""
     nations = table(spark, sf, "nation").filter("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return lookup(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), nations, "c_nationkey", ["n_name"]).select("c_custkey", "n_name")
+
+
+# ---- a caller's Python functions that fail on some records ----
+
+SQL_CODES = """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 3 THEN o_orderpriority WHEN o_orderkey % 11 = 5 THEN NULL ELSE o_custkey::VARCHAR END AS code,
+    CASE WHEN o_orderkey % 97 = 3 THEN o_orderpriority ELSE o_custkey::VARCHAR END AS batch_code FROM orders"""
+
+
+def order_codes(spark: SparkSession, sf: str) -> DataFrame:
+    number = F.col("o_custkey").cast("string")
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 == 3, F.col("o_orderpriority")).when(F.col("o_orderkey") % 11 == 5, None).otherwise(number).alias("code"),
+        F.when(F.col("o_orderkey") % 97 == 3, F.col("o_orderpriority")).otherwise(number).alias("batch_code"),
+    )
+
+
+def sql_int_error(x: str) -> str:
+    """DuckDB: what Python says about text that is no int."""
+    return f"""CASE WHEN {x} IS NULL THEN 'int() argument must be a string, a bytes-like object or a real number, not ''NoneType'''
+        WHEN TRY_CAST({x} AS BIGINT) IS NULL THEN 'invalid literal for int() with base 10: ''' || {x} || '''' END"""
+
+
+@query(
+    "transform_guarded",
+    f"""SELECT o_orderkey, coalesce((TRY_CAST(code AS BIGINT) * 2)::VARCHAR, code) AS code, {sql_int_error('code')} AS code_error,
+          coalesce((TRY_CAST(batch_code AS BIGINT) + 1)::VARCHAR, batch_code) AS batch_code, {sql_int_error('batch_code')} AS batch_code_error FROM ({SQL_CODES})""",
+)
+def transform_guarded(spark: SparkSession, sf: str) -> DataFrame:
+    """Two Python functions, of one value and of a Series: records they fail on keep their value and say why."""
+    one, many = Guarded(lambda v: str(int(v) * 2)), Guarded(lambda s: (s.astype("int64") + 1).astype(str), whole=True)
+    return transform_fields(order_codes(spark, sf), {"code": one, "batch_code": many})
+
+
+@query("computed_guarded", f"SELECT o_orderkey, TRY_CAST(code AS BIGINT) + o_orderkey AS total, {sql_int_error('code')} AS total_error FROM ({SQL_CODES})")
+def computed_guarded(spark: SparkSession, sf: str) -> DataFrame:
+    """A computed field by a Python function of the whole record."""
+    total = Guarded(lambda record: int(record["code"]) + record["o_orderkey"], "long")
+    return enrich(order_codes(spark, sf), ["o_orderkey", "code"], computed={"total": total}, stamp=False).select("o_orderkey", "total", "total_error")

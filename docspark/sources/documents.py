@@ -16,6 +16,9 @@ NO_PARSER = "No parser available for format: "
 BLANK_CONTENT = "Document raw_content must not be empty"
 PARSE_ERROR = "(parse error: {})"
 META = "map<string,string>"
+BROKEN_REQUEST = "Request body is not valid JSON with a list of documents"
+NO_DOCUMENTS = "Request body has no documents"
+REQUEST_FORMAT = "request"
 REQUEST = "documents array<struct<text:string,format:string>>"
 
 
@@ -29,16 +32,40 @@ def read_files(spark: SparkSession, path: str, format: str, glob: str | None = N
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """JSON request bodies ``{"documents": [{"text", "format"}]}`` as documents; unknown formats are text."""
-    body = spark.read.schema(REQUEST).json(path)
-    return request_documents(body)
+    """JSON request bodies ``{"documents": [{"text", "format"}]}``, one per line, as documents; unknown formats are text.
+
+    Every line leaves its trace: see ``parse_requests``.
+    """
+    return request_documents(parse_requests(spark.read.text(path), "value"))
+
+
+def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
+    """Request bodies held as text in ``body`` to their ``documents``, with the other columns of ``df``.
+
+    A body that is no JSON, or has something else than a list of texts and formats, keeps its text in ``broken`` and
+    the reason in ``request_error``; so does one without ``documents``. Blank lines are no bodies.
+    """
+    rest = [c for c in df.columns if c != body]
+    df = df.filter(~is_blank(F.col(body)))
+    parsed = F.from_json(F.col(body), f"{REQUEST}, _broken string", {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"})
+    df = df.withColumn("_request", parsed)
+    error = F.when(F.col("_request._broken").isNotNull() | F.col("_request").isNull(), BROKEN_REQUEST).when(F.col("_request.documents").isNull(), NO_DOCUMENTS)
+    return df.select(
+        *rest, F.when(error.isNull(), F.col("_request.documents")).alias("documents"), F.when(error.isNotNull(), F.col(body)).alias("broken"), error.alias("request_error")
+    )
 
 
 def request_documents(body: DataFrame) -> DataFrame:
-    """The documents of parsed request bodies."""
-    items = body.select(F.explode("documents").alias("d"))
-    content = F.coalesce("d.text", F.lit(""))
-    return as_documents(items.select(content.alias("content"), known_format(F.col("d.format")).alias("format")))
+    """The documents of parsed request bodies; a broken body is one document of format "request" that carries its error to ``parse``."""
+    item = "struct<text:string,format:string>"
+    if "broken" not in body.columns:
+        body = body.withColumns({"broken": F.lit(None).cast("string"), "request_error": F.lit(None).cast("string")})
+    rest = [c for c in body.columns if c not in ("documents", "broken", "request_error")]
+    failed = F.col("request_error").isNotNull()
+    whole = F.array(F.struct(F.col("broken").alias("text"), F.lit(REQUEST_FORMAT).alias("format")).cast(item))
+    items = body.select(*rest, "request_error", F.explode(F.when(failed, whole).otherwise(F.col("documents"))).alias("d"))
+    format = F.when(failed, F.col("d.format")).otherwise(known_format(F.col("d.format")))
+    return as_documents(items.select(*rest, F.coalesce("d.text", F.lit("")).alias("content"), format.alias("format"), "request_error"))
 
 
 def known_format(c: Column) -> Column:
@@ -89,7 +116,9 @@ def parse(
     if max_size_mb:
         limit = int(max_size_mb * 1024 * 1024)
         error = F.when(F.col("size_bytes") > limit, f"Document exceeds {max_size_mb} MB").otherwise(error)
-    base = df.columns
+    if "request_error" in df.columns:  # a broken request body
+        error = F.coalesce("request_error", error)
+    base = [c for c in df.columns if c != "request_error"]
     df = df.withColumn("parse_error", error)
     texts, metas = [], []
     for name in formats:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -10,6 +11,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 
 #: Bytes of text that are worked on at once; one longer text is worked on alone.
 SLICE_BYTES = 2 << 20
@@ -37,17 +39,39 @@ _BYTE = stream(1, 256)
 _STEP = np.uint64(0x2545F4914F6CDD1D)
 
 
-def kept(name: str, make: Callable[[], Any]) -> Any:
-    """A value made once per Python worker, not once per task.
+def _store() -> dict:
+    """What a Python worker keeps. Functions reach the workers by value, so a module's own globals end with the task."""
+    return sys.modules.setdefault("docspark_kept", types.ModuleType("docspark_kept")).__dict__
 
-    Functions reach the workers by value, so a module's own globals end with the task.
-    """
-    store = sys.modules.setdefault("docspark_kept", types.ModuleType("docspark_kept")).__dict__
+
+def _task() -> int | None:
+    context = TaskContext.get()
+    return context.taskAttemptId() if context else None
+
+
+def kept(name: str, make: Callable[[], Any], large: bool = False) -> Any:
+    """A value made once per Python worker, not once per task. A large one stays until the worker's first task without it."""
+    store = _store()
     if name not in store:
         store[name] = make()
+    if large:
+        store.setdefault("_large", {})[name] = _task()
     return store[name]
 
 
+def give_back() -> None:
+    """Let go of large values that this task has not asked for, and of freed memory: a worker lives on from stage to stage."""
+    store, task = _store(), _task()
+    for name in [n for n, t in store.get("_large", {}).items() if t != task]:
+        store.pop(name, None)
+        del store["_large"][name]
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def remembered(f: Callable) -> Callable:
     """``f`` with its results kept per Python worker."""
     def g(*key):
@@ -81,6 +105,7 @@ class Memo:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in order, in pieces of at most ``limit`` bytes of text or one row."""
+    give_back()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(sizes)

@@ -180,7 +180,7 @@ def merge_blanks(parts: list[str]) -> list[str]:
 
 def piece_model(path: str, memo: int = 200_000) -> Callable[[], PieceModel]:
     """A maker of the model; one per Python worker."""
-    return lambda: kept(f"model {path}", lambda: PieceModel(path, memo))
+    return lambda: kept(f"model {path}", lambda: PieceModel(path, memo), large=True)
 
 
 def encode_decode(docs: DataFrame, model: Callable[[], PieceModel], text: str = "text", id: str = "doc_id", ids: bool = False) -> DataFrame:

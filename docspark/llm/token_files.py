@@ -268,10 +268,9 @@ def write_ids(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        writer = None
+        writer, encode = None, encoder()
         for batch in slices(larger(batches, ROWS), "text", TEXT_BYTES):
             if writer is None:
-                encode = encoder()
                 part, name = batch.column("part")[0].as_py(), f"{folder}/ids-{uuid.uuid4().hex}.bin"
                 system, path = pafs.FileSystem.from_uri(name)
                 system.create_dir(path.rpartition("/")[0], recursive=True)
@@ -315,7 +314,7 @@ def read_ids(files: DataFrame) -> DataFrame:
 
 def piece_encoder(path: str, size: int = 300_000) -> Callable[[], Callable]:
     """A maker of encoders (a column of texts and the end id give ids and bounds) for a byte-level vocabulary file; one per Python worker."""
-    return lambda: kept(f"pieces {path}", lambda: PieceEncoder(path, size)).encode
+    return lambda: kept(f"pieces {path}", lambda: PieceEncoder(path, size), large=True).encode
 
 
 def id_folder(spark) -> str:

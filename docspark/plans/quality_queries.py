@@ -9,7 +9,7 @@ from docspark.functions.guard import Guarded
 from docspark.operators.clean import FieldRule, clean
 from docspark.operators.enrich import enrich
 from docspark.operators.extract import (
-    ExtractionSchema, extraction_prompt, join_replies, judge_prompt, parse_judgement, parse_reply, typed_fields,
+    ExtractionSchema, extraction_prompt, join_replies, judge_prompt, merge_parts, parse_judgement, parse_reply, split_text, typed_fields,
 )
 from docspark.operators.quality import THRESHOLDS, extract_response as respond
 from docspark.operators.quality import batch_responses, judge, passes, quality_report as report, skip_judging
@@ -456,3 +456,20 @@ def page_quality(spark: SparkSession, sf: str) -> DataFrame:
         *[F.count_if(F.col("route") == r).alias(n) for r, n in (("load", "loaded"), ("review", "review"), ("reject", "rejected"))],
         F.sum("links_count").alias("links"), F.sum(words).alias("words"),
     )
+
+
+@query(
+    "extract_windows",
+    """WITH p AS (SELECT doc_id, part, substr(text, part * 900 + 1, 1000) AS t FROM (SELECT doc_id, text, unnest(range(greatest(ceil((length(text) - 1000) / 900.0), 0)::BIGINT + 1)) AS part FROM documents))
+       SELECT doc_id::VARCHAR AS document_id, count(*) AS parts, count(*) FILTER (regexp_matches(t, '[0-9]')) AS answered,
+         arg_min(regexp_extract(t, '[0-9]+'), part) FILTER (regexp_matches(t, '[0-9]')) AS number,
+         arg_min(length(t), part) FILTER (regexp_matches(t, '[0-9]')) AS size FROM p GROUP BY doc_id""",
+)
+def extract_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts in overlapping windows, a recorded reply to each window, and one record per document: each field from its first window that has it."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("document_id"), "text")
+    windows = split_text(docs, "text", 1000, 100)
+    number = F.nullif(F.regexp_extract("text", "[0-9]+", 0), F.lit(""))
+    reply = F.when(number.isNull(), "none here").otherwise(F.to_json(F.struct(number.alias("number"), F.length("text").alias("size"))))
+    replies = windows.select("document_id", "part", reply.alias("reply"))
+    return merge_parts(parse_reply(replies), {"number": "string", "size": "int"})

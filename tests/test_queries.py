@@ -25,3 +25,11 @@ def test_query(spark, duck, name):
     columns, rows = spark_rows(driver.queries()[name](spark, SF_DIR))
     assert rows
     assert (columns, rows) == duck_rows(duck, ORACLES[name])
+
+
+@pytest.mark.parametrize("name", ["csv_doc_text", "extract_windows", "format_dispatch", "request_errors"])
+def test_long_texts(spark, name):
+    """Texts long enough for many CSV rows and windows, which the smallest tables do not hold."""
+    con = connect("/root/testdata/sf0.01")
+    columns, rows = spark_rows(driver.queries()[name](spark, "/root/testdata/sf0.01"))
+    assert (columns, rows) == duck_rows(con, ORACLES[name])

@@ -15,9 +15,10 @@ from docspark.sources.tables import spread
 SF = "/root/testdata/sf0.001"
 
 # queries that hand rows to a caller's Python function
-WITH_PYTHON = {"sink_function", "flow_records", "flow_report", "flow_summary", "flow_batches", "flow_load_log"}
+WITH_PYTHON = {"sink_function", "transform_guarded", "computed_guarded", "rule_guarded"}
 # queries that write tables while they are being built
-WITH_JOBS = WITH_PYTHON | {"sink_json", "stream_pages", "stream_report", "batch_assign", "batch_report", "batch_progress"}
+WITH_JOBS = WITH_PYTHON | {"sink_json", "stream_pages", "stream_report", "batch_assign", "batch_report", "batch_progress",
+                           "flow_records", "flow_report", "flow_summary", "flow_batches", "flow_load_log", "ledger_pending"}
 
 
 def plan(df) -> str:

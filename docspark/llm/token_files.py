@@ -188,7 +188,7 @@ class PieceEncoder:
         words = pc.split_pattern(pa.array([texts[k] for k in plain.tolist()], pa.large_string()), " ")
         numbered = words.flatten().dictionary_encode()
         code, starts = numbered.indices.to_numpy().astype(np.int64), words.offsets.to_numpy() - words.offsets[0].as_py()
-        keys = numbered.dictionary.to_pylist()
+        keys = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         # stretches lack their blank: pieces keep theirs, so the two are told apart by a mark in front of a piece
         number = {}
         first = np.array([number.setdefault("\0" + keys[c], len(keys) + len(number)) for c in code[starts[:-1]].tolist()], np.int64)
@@ -229,8 +229,8 @@ class PieceEncoder:
         joined, alone = [], []
         for s in stretches:
             (alone if s[:1] == "\0" else joined).append(s)
-        for s in alone:
-            young[s] = np.array(self.tokenizer.encode(s[1:], add_special_tokens=False).ids, "<u4").tobytes()
+        for s, e in zip(alone, self.tokenizer.encode_batch([s[1:] for s in alone], add_special_tokens=False), strict=True):
+            young[s] = np.array(e.ids, "<u4").tobytes()
         groups = [joined[k : k + 256] for k in range(0, len(joined), 256)]
         texts = ["".join([f" {s}" for s in g]) for g in groups]
         for g, e in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docspark.operators.clean import FieldRule, clean
 from docspark.plans.registry import query, sql_strip, table
+from docspark.session import scratch_dir
 from docspark.sources import csv, documents, email, html, pdf
 
 # ---- HTML ----
@@ -197,6 +198,56 @@ def csv_table_text(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("file", "part", "row_count", "column_count", "raw_content")
 
 
+def written_files(rows: DataFrame, head: str, work: str) -> str:
+    """(bucket, place, record) as CSV files of one bucket each, header first; buckets are of bounded size."""
+    heads = rows.select("bucket").distinct().select("bucket", F.lit(None).cast("bigint").alias("place"), F.lit(head).alias("record"))
+    files = heads.unionByName(rows).repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("place"))
+    files.select("bucket", F.col("record").alias("value")).write.partitionBy("bucket").text(work)
+    return f"{work}/*"
+
+
+BUCKET = "bigint(regexp_extract(file, 'bucket=([0-9]+)', 1)) AS bucket"
+
+
+@query(
+    "csv_file_rows",
+    """SELECT doc_id // 500 AS bucket, doc_id::VARCHAR AS id, text AS body, CASE WHEN doc_id % 4 = 3 THEN 'extra|5" wide' ELSE '' END AS extra FROM documents
+       UNION ALL SELECT doc_id // 500, NULL, NULL, '' FROM documents WHERE doc_id % 10 = 0""",
+)
+def csv_file_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as CSV files with quoted line breaks, blank lines and cells too many, and read back."""
+    docs = table(spark, sf, "documents").select(
+        F.floor(F.col("doc_id") / 500).alias("bucket"), F.col("doc_id").alias("place"),
+        F.concat(
+            F.col("doc_id").cast("string"), F.lit(',"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'),
+            F.when(F.col("doc_id") % 4 == 3, ',extra,5" wide').otherwise(""), F.when(F.col("doc_id") % 10 == 0, "\n").otherwise(""),
+        ).alias("record"),
+    )
+    rows = csv.read_rows(spark, written_files(docs, "id,body", scratch_dir(spark, "csv")), ["id", "body"])
+    return rows.select(F.expr(BUCKET), "id", "body", F.array_join("extra_cells", "|").alias("extra"))
+
+
+@query(
+    "csv_files_text",
+    """WITH r AS (SELECT o_orderkey // 5000 AS bucket, row_number() OVER (PARTITION BY o_orderkey // 5000 ORDER BY o_orderkey) AS i,
+                 'key: ' || o_orderkey || ' | note: ' || o_orderpriority || chr(10) || '"' || o_orderstatus || '"' || CASE WHEN o_orderkey % 3 = 0 THEN ' | col_2: ' || o_custkey ELSE '' END AS line FROM orders),
+            n AS (SELECT bucket, count(*) AS row_count FROM r GROUP BY bucket)
+       SELECT n.bucket, (i - 1) // 1000 AS part, row_count, 2 AS column_count,
+         'Columns: key, note' || chr(10) || 'Total rows: ' || row_count || chr(10) || chr(10) || string_agg('Row ' || i || ': ' || line, chr(10) ORDER BY i) AS raw_content
+       FROM n JOIN r ON n.bucket = r.bucket GROUP BY n.bucket, row_count, part""",
+)
+def csv_files_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as CSV files with quoted line breaks; the text of each file in parts."""
+    note = F.concat("o_orderpriority", F.lit('\n""'), "o_orderstatus", F.lit('""'))
+    more = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(","), F.col("o_custkey").cast("string"))).otherwise("")
+    orders = table(spark, sf, "orders").select(
+        F.floor(F.col("o_orderkey") / 5000).alias("bucket"), F.col("o_orderkey").alias("place"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), note, F.lit('"'), more).alias("record"),
+    )
+    texts = csv.files_text(spark, written_files(orders, "key,note", scratch_dir(spark, "csv")))
+    return texts.select(F.expr(BUCKET), "part", "row_count", "column_count", "raw_content")
+
+
 @query(
     "csv_counts",
     "SELECT c_mktsegment, count(*) AS row_count, 3 AS column_count FROM customer GROUP BY c_mktsegment",

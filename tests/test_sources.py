@@ -155,3 +155,40 @@ def test_unclosed_tags_take_linear_time(spark, unit):
 def test_long_csv_is_whole(spark):
     r = one(spark, "n,m\n" + "\n".join(f"{i},x" for i in range(10_000)), "csv")
     assert r.raw_content.endswith("Row 10000: n: 9999 | m: x")
+
+
+RECORDS = [
+    "a,b\n1,2\n",
+    'a,b\r\n1,"x\r\ny"\r\n\r\n2,3,4,5\r\n',
+    'a,"b\nc"\n\n"1,\n""2""\n",3\nz 5" w,"q" t"r\n"\n\n\n",""\nlast',
+    'a\n"open\nto, the "" end\nof it',
+    "a,b\r1,2\r\"x\r\ny\",3\r",
+    '"x"\n' * 40 + '"y\n' * 30 + '"y',
+    "only",
+    "\n\nx\n",
+    'a,b\n' + '"' + "line, of a cell\n" * 60 + '",2\n3,4\n',
+]
+
+
+@pytest.mark.parametrize("split", [23, 1 << 20])
+def test_files_in_splits_give_what_the_whole_text_gives(spark, tmp_path, split):
+    for k, text in enumerate(RECORDS):
+        (tmp_path / f"{k}.csv").write_bytes(text.encode())
+    (tmp_path / "none.csv").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r.file.split("/")[-1]: r for r in csv.files_text(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    texts = spark.createDataFrame(list(enumerate(RECORDS)), "k int, content string")
+    for r in csv.parse(texts).collect():
+        mine = got.pop(f"{r.k}.csv")
+        assert (mine.raw_content, mine.row_count, mine.column_count) == (r.raw_content, r.meta_row_count, r.meta_column_count), r.k
+    assert not got
+
+
+def test_last_line_feed_of_an_open_quote(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a\n"x\ny\n')
+    assert [r.a for r in csv.read_rows(spark, str(tmp_path), ["a"]).collect()] == ["x\ny"]

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docspark.functions.rows import row_hash
@@ -49,13 +47,20 @@ def assign_batches(df: DataFrame, size: int, order: list[str], partitions: int |
     )
 
 
-def batch_results(df: DataFrame, batch: str = "batch_id", success: str = "success", crashed: str | None = None) -> DataFrame:
-    """One row per batch: documents, successes, failures and status; a crashed batch fails as a whole."""
+def batch_results(
+    df: DataFrame, batch: str = "batch_id", success: str = "success", crashed: str | None = None, at: str | None = None, error: str | None = None
+) -> DataFrame:
+    """One row per batch: documents, successes, failures and status; a crashed batch fails as a whole.
+
+    With the time ``at`` of each record also started and ended, and with ``error`` the earliest message of a batch.
+    """
     ok = F.count_if(F.col(success))
     agg = df.groupBy(batch).agg(
         F.count("*").alias("total_documents"),
         ok.alias("_ok"),
         (F.bool_or(crashed) if crashed else F.lit(False)).alias("_crashed"),
+        *([F.min(at).alias("started"), F.max(at).alias("ended")] if at else []),
+        *([F.min(F.when(F.col(error).isNotNull(), F.struct(*([at] if at else []), error)))[error].alias("error")] if error else []),
     )
     good = F.when(F.col("_crashed"), F.lit(0).cast("bigint")).otherwise(F.col("_ok"))
     return agg.select(
@@ -64,25 +69,37 @@ def batch_results(df: DataFrame, batch: str = "batch_id", success: str = "succes
         good.alias("successful"),
         (F.col("total_documents") - good).alias("failed"),
         F.when(F.col("_crashed"), "failed").otherwise("completed").alias("status"),
+        *(["started", "ended"] if at else []),
+        *(["error"] if error else []),
     )
 
 
-def progress(results: DataFrame, total_documents: int | None = None, elapsed: float | Column = 0.0) -> DataFrame:
-    """Totals over finished batches, percent done and documents per second."""
-    elapsed = elapsed if isinstance(elapsed, Column) else F.lit(float(elapsed))
+def seconds(start: Column, end: Column) -> Column:
+    """Seconds from one time to another, with a fraction."""
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1e6
+
+
+def progress(results: DataFrame, total_documents: int | None = None, elapsed: float | None = None) -> DataFrame:
+    """Totals over finished batches, percent done and documents per second.
+
+    Without ``elapsed`` the time is that from the first start to the last end that ``results`` records.
+    """
+    timed = elapsed is None and {"started", "ended"} <= set(results.columns)
     totals = results.agg(
         F.coalesce(F.sum("total_documents"), F.lit(0)).alias("processed"),
         F.coalesce(F.sum("successful"), F.lit(0)).alias("successful"),
         F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"),
         F.count("*").alias("batches"),
+        (seconds(F.min("started"), F.max("ended")) if timed else F.lit(float(elapsed or 0.0))).alias("_elapsed"),
     )
+    elapsed = F.col("_elapsed")
     whole = F.lit(total_documents) if total_documents is not None else F.col("processed")
     return totals.withColumns(
         {
             "progress_percent": F.when(whole > 0, F.bround(F.col("processed") / whole * 100, 1)).otherwise(0.0),
             "documents_per_second": F.when(elapsed > 0, F.bround(F.col("processed") / elapsed, 2)).otherwise(0.0),
         }
-    )
+    ).drop("_elapsed")
 
 
 def delivery_outcome(
@@ -94,8 +111,8 @@ def delivery_outcome(
     (null status) are retried after ``delay * 2**attempt`` seconds; any other status fails for good.
     If none is terminal the last one decides. With ``max_retries`` attempts from that number on never
     happened, and a document whose attempts are used up says so (or has its last transport error).
-    Entries that repeat an attempt count once. Both steps combine before the shuffle, however long a
-    log gets.
+    Entries that repeat an attempt count once. They are combined before the first shuffle, however long a
+    log gets; the second, on the document, carries one row per attempt, and the outcome needs no join.
     """
     keys = [key] if isinstance(key, str) else key
     if max_retries is not None:
@@ -103,10 +120,9 @@ def delivery_outcome(
     each = attempts.groupBy(*keys, "attempt").agg(F.min(F.struct("status", "error")).alias("_answer"))
     status = F.col("_answer.status")
     retried = status.isNull() | (status == 429) | (status >= 500)
-    ends = each.groupBy(*keys).agg(F.min(F.when(~retried, F.col("attempt"))).alias("_first"), F.max("attempt").alias("_last"))
-    ends = ends.withColumn("_ended", F.coalesce("_first", "_last")).withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    seen = each.join(ends, same).filter(F.col("attempt") <= F.col("_ended"))
+    whole = Window.partitionBy(*keys)
+    ends = {"_first": F.min(F.when(~retried, F.col("attempt"))).over(whole), "_last": F.max("attempt").over(whole)}
+    seen = each.withColumns(ends).withColumn("_ended", F.coalesce("_first", "_last")).filter(F.col("attempt") <= F.col("_ended"))
     waits = retried if max_retries is not None else retried & (F.col("attempt") < F.col("_ended"))
     if max_retries is not None:  # no wait behind the last transport error
         waits = waits & ~(status.isNull() & (F.col("attempt") == max_retries - 1))

@@ -22,5 +22,9 @@ def dedup_records(df: DataFrame, fields: list[str], order: list[str]) -> DataFra
 
 
 def dedup_stream(df: DataFrame, fields: list[str], time: str, delay: str) -> DataFrame:
-    """The same on a stream: the first row of a record that arrives within ``delay`` of event time, in bounded state."""
+    """The same on a stream: the first row of a record that arrives within ``delay`` of event time, in bounded state.
+
+    State goes when the watermark (the latest event time less ``delay``) has passed a record by ``delay``. Rows that are older than
+    the watermark when they arrive are late and left out, repeated or not: choose ``delay`` above the lateness to be expected.
+    """
     return df.withColumn("record_hash", record_hash(df, fields)).withWatermark(time, delay).dropDuplicatesWithinWatermark(["record_hash"])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions.rows import row_hash
+from docspark.session import materialize
 
 # A key that owns a larger share of the rows than this is split; so there are at most 1 / SHARE such keys.
 SHARE = 1e-3
@@ -47,7 +48,9 @@ def lookup(df: DataFrame, table: DataFrame, key: str, columns: list[str]) -> Dat
     """``columns`` of ``table`` beside every row of ``df`` with its key; null where there is none.
 
     A key that the table holds more than once counts with its smallest row, so no row of ``df`` is
-    multiplied. Which side moves is left to the optimizer.
+    multiplied. The reduced table is written, so that its size is known: Spark broadcasts it below its own
+    bound, and else splits hot keys of ``df`` (a written side can be read twice, an aggregated one not).
     """
     one = table.groupBy(key).agg(F.min(F.struct(*columns)).alias("_row"))
-    return left_join_unique(df, one.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in columns]), key)
+    one = materialize(one.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in columns]), "lookup")
+    return df.join(one, key, "left")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.operators.extract import parse_judgement
+from docspark.operators.extract import parse_judgement, parse_reply
 
 LOAD, REVIEW, REJECT = "load", "review", "reject"
 
@@ -116,6 +116,27 @@ def quality_report(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return agg.withColumn("pass_rate", F.coalesce(rate, F.lit(0.0)))
 
 
+def reply_agreement(replies: DataFrame, key: str = "document_id", reply: str = "reply") -> DataFrame:
+    """How far repeated replies on a document agree: (key, replies, usable, fields, consistency).
+
+    A reply is usable if it is a JSON object with a key at least. Per field the replies with its most frequent value count,
+    a reply without the field having the value "absent"; their share of the usable replies, averaged over all fields, is the
+    consistency (1 for a single reply, null without a usable one). Values are equal if their JSON texts are.
+    Counts per (key, field, value) are combined before the shuffle, so a document with many replies sends one row per value and task.
+    """
+    parsed = parse_reply(replies.select(key, F.col(reply).alias("reply"))).select(key, F.when(F.col("success"), F.col("extracted")).alias("_fields"))
+    totals = parsed.groupBy(key).agg(F.count("*").alias("replies"), F.count("_fields").alias("usable"))
+    values = parsed.select(key, F.explode("_fields").alias("_field", "_value")).withColumn("_value", F.to_json("_value"))
+    counts = values.groupBy(key, "_field", "_value").agg(F.count("*").alias("_n"))
+    most = counts.groupBy(key, "_field").agg(F.max("_n").alias("_most"), F.sum("_n").alias("_present"))
+    own = totals.withColumnRenamed(key, "_key")
+    joined = own.join(most, own["_key"].eqNullSafe(most[key]), "left")
+    best = F.greatest(F.col("_most"), F.col("usable") - F.col("_present"))
+    out = joined.groupBy("_key", "replies", "usable").agg(F.count("_field").alias("fields"), F.sum(best).alias("_best"))
+    consistency = F.when(F.col("usable") > 0, F.col("_best") / (F.col("fields") * F.col("usable")))
+    return out.select(F.col("_key").alias(key), "replies", "usable", "fields", consistency.alias("consistency"))
+
+
 def extract_response(df: DataFrame, reply: str = "judge_reply", t: Thresholds = Thresholds()) -> DataFrame:
     """Answer to a single extraction: quality score, passed and issues, or an error when nothing was extracted."""
     scores = parse_judgement(F.col(reply))

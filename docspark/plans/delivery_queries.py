@@ -7,20 +7,22 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.operators.batches import assign_batches, batch_results, delivery_outcome as outcome, progress
+from docspark.operators.batches import assign_batches, batch_results, delivery_outcome as outcome, progress, seconds
 from docspark.operators.clean import FieldRule
+from docspark.operators.dedup import dedup_stream
 from docspark.operators.extract import ExtractionSchema
 from docspark.operators.ledger import ReplyLedger, prompt_key
-from docspark.operators.quality import LOAD, THRESHOLDS
-from docspark.plans.flow import DocumentFlow, FlowResult
+from docspark.operators.quality import LOAD, THRESHOLDS, reply_agreement
+from docspark.plans.parse_queries import written_files
+from docspark.plans.flow import DocumentFlow, FlowResult, run_errors
 from docspark.plans.quality_queries import SQL_JUDGED, SQL_PAGES, checked_pages, judged
 from docspark.plans.registry import query, table
 from docspark.session import materialize, scratch_dir
 from docspark.sinks.records import api_payload as payload, load_log as log_of, skipped, table_rows as rows_of
-from docspark.sinks.targets import FunctionSink, JsonSink
-from docspark.sources.documents import as_documents
+from docspark.sinks.targets import FunctionSink, JsonSink, StagedSink
+from docspark.sources.documents import as_documents, parse
 from docspark.sources.tables import spread
-from docspark.streaming.ingest import file_stream, ingest, read_records, read_reports
+from docspark.streaming.ingest import append_json, document_files, file_stream, ingest, read_records, read_reports
 
 # ---- batches ----
 
@@ -32,30 +34,36 @@ def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
     return assign_batches(table(spark, sf, "documents").select("doc_id"), 10, ["doc_id"])
 
 
-SQL_RESULTS = f"""SELECT batch_id, total_documents, CASE WHEN crashed THEN 0 ELSE ok END AS successful,
-    CASE WHEN crashed THEN total_documents ELSE total_documents - ok END AS failed, CASE WHEN crashed THEN 'failed' ELSE 'completed' END AS status
-  FROM (SELECT batch_id, count(*) AS total_documents, count(*) FILTER (n_chars % 4 <> 0) AS ok, bool_or(doc_id % 97 = 5) AS crashed FROM ({SQL_BATCHES}) GROUP BY batch_id)"""
+SQL_RESULTS = """SELECT batch_id, total_documents, CASE WHEN crashed THEN 0 ELSE ok END AS successful, CASE WHEN crashed THEN total_documents ELSE total_documents - ok END AS failed,
+    CASE WHEN crashed THEN 'failed' ELSE 'completed' END AS status, started, ended, (ended - started) / 1e6 AS elapsed_seconds, error
+  FROM (SELECT batch_id, count(*) AS total_documents, count(*) FILTER (event_type <> 'error') AS ok, bool_or(event_type = 'error' AND value > 150) AS crashed,
+          epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, arg_min(props, (ts, props)) FILTER (event_type = 'error') AS error
+        FROM (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // 3 AS batch_id FROM events) GROUP BY batch_id)"""
 
 
-def document_batches(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "n_chars")
-    batches = assign_batches(docs, 10, ["doc_id"])
-    marked = batches.withColumns({"success": F.col("n_chars") % 4 != 0, "crash": F.col("doc_id") % 97 == 5})
-    return batch_results(marked, crashed="crash")
+def event_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Results of batches of three events: an error event fails, one of a high value takes its batch with it."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value", "props")
+    failed = F.col("event_type") == "error"
+    marked = assign_batches(events, 3, ["event_id"]).withColumns(
+        {"success": ~failed, "crash": failed & (F.col("value") > 150), "error": F.when(failed, F.col("props"))}
+    )
+    return batch_results(marked, crashed="crash", at="ts", error="error")
 
 
-@query("batch_report", SQL_RESULTS)
+@query("batch_report", f"SELECT batch_id, total_documents, successful, failed, status, elapsed_seconds, error FROM ({SQL_RESULTS})")
 def batch_report(spark: SparkSession, sf: str) -> DataFrame:
-    return document_batches(spark, sf)
+    results = event_batches(spark, sf)
+    return results.select("batch_id", "total_documents", "successful", "failed", "status", seconds(F.col("started"), F.col("ended")).alias("elapsed_seconds"), "error")
 
 
 @query(
     "batch_progress",
     f"""SELECT sum(total_documents)::BIGINT AS processed, sum(successful)::BIGINT AS successful, sum(failed)::BIGINT AS failed, count(*) AS batches,
-          100.0::DOUBLE AS progress_percent, round_even(sum(total_documents) / 12.5, 2) AS documents_per_second FROM ({SQL_RESULTS})""",
+          100.0::DOUBLE AS progress_percent, round_even(sum(total_documents) / ((max(ended) - min(started)) / 1e6), 2)::DOUBLE AS documents_per_second FROM ({SQL_RESULTS})""",
 )
 def batch_progress(spark: SparkSession, sf: str) -> DataFrame:
-    return progress(document_batches(spark, sf), elapsed=12.5)
+    return progress(event_batches(spark, sf))
 
 
 # ---- sinks ----
@@ -112,6 +120,22 @@ def sink_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "sink_staged",
+    """SELECT 'notes-' || (doc_id % 2) AS batch, doc_id::VARCHAR AS document_id, CASE WHEN length(text) <= 2000 THEN text END AS text, length(text) <= 2000 AS success,
+         CASE WHEN length(text) > 2000 THEN 'Text of ' || length(text) || ' characters' END AS error FROM documents""",
+)
+def sink_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, of which one runs twice: every row once, refused ones with their reason."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("document_id"), "text")
+    size = F.length("text")
+    too_long = F.when(size > 2000, F.concat(F.lit("Text of "), size.cast("string"), F.lit(" characters")))
+    sink = StagedSink(scratch_dir(spark, "staged"), ["text"], lambda df: too_long)
+    for k in (0, 1, 1):
+        sink.write(docs.filter(F.col("doc_id") % 2 == k), f"notes-{k}")
+    return sink.read(spark, "document_id string, data struct<text:string>, success boolean, error string").select("batch", "document_id", "data.text", "success", "error")
+
+
 def flaky_target():
     """Answers by the customer number in the payload: accepted, busy once, broken, refused, unreachable."""
     seen: dict[str, int] = {}
@@ -193,6 +217,44 @@ def stream_report(spark: SparkSession, sf: str) -> DataFrame:
     return read_reports(spark, f"{work}/out").select("batch_id", "total_documents", "successful", "failed", "status")
 
 
+@query("stream_dedup", "SELECT user_id, event_type, value FROM events GROUP BY ALL")
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that come in waves, a part of them once more in the next wave and late: each record once."""
+    work = scratch_dir(spark, "dedup")
+    events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", "event_id")
+    events = events.withColumn("wave", F.floor((F.dayofmonth("ts") - 1) / 8))
+    again = events.filter(F.col("event_id") % 3 == 0).withColumn("wave", F.col("wave") + 1)
+    events.unionByName(again).drop("event_id").write.partitionBy("wave").parquet(f"{work}/in")
+    schema = "ts timestamp, user_id bigint, event_type string, value double"
+    source = file_stream(spark, f"{work}/in", schema, files_per_batch=2)
+    fields = ["user_id", "event_type", "value"]
+    append_json(dedup_stream(source, fields, "ts", "40 days").select(*fields), f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return spark.read.schema("user_id bigint, event_type string, value double").json(f"{work}/out")
+
+
+@query(
+    "stream_documents",
+    """SELECT bucket, sum(octet_length(encode(line)) + 1)::BIGINT + 9 AS size_bytes, count(*) AS row_count, 2 AS column_count
+       FROM (SELECT o_orderkey // 5000 AS bucket, o_orderkey || ',"' || o_orderpriority || chr(10) || o_orderstatus || '"' AS line FROM orders) GROUP BY bucket""",
+)
+def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw CSV files that arrive in a folder, a few per micro-batch, parsed as one document each."""
+    work = scratch_dir(spark, "files")
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
+    orders = table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 5000).alias("bucket"), F.col("o_orderkey").alias("place"), line.alias("record"))
+    source = document_files(spark, written_files(orders, "key,note", f"{work}/in"), "csv", "*.txt", files_per_batch=8)
+    bucket = F.regexp_extract("path", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
+
+    def parsed(batch: DataFrame) -> DataFrame:
+        done = parse(batch, formats=("csv",))
+        counts = [F.col(f"metadata.{c}").cast(t).alias(c) for c, t in (("row_count", "bigint"), ("column_count", "int"))]
+        return done.select(bucket, "size_bytes", *counts, F.col("parse_error").isNull().alias("success"), F.lit(LOAD).alias("route"))
+
+    ingest(source, parsed, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    done = read_records(spark, f"{work}/out", "bucket bigint, size_bytes bigint, row_count bigint, column_count int, success boolean, route string")
+    return done.filter("success").select("bucket", "size_bytes", "row_count", "column_count")
+
+
 # ---- the whole flow, on recorded replies ----
 
 NOTE = ExtractionSchema(
@@ -286,6 +348,16 @@ def flow_summary(spark: SparkSession, sf: str) -> DataFrame:
     return run_notes(spark, sf).summary.drop("run_id")
 
 
+@query(
+    "flow_errors",
+    f"""{SQL_NOTES} SELECT 'parse' AS stage, 'No parser available for format: text' AS error, count(*) AS documents FROM r WHERE bad HAVING count(*) > 0
+        UNION ALL SELECT 'extract', 'text too short', count(*) FROM r WHERE NOT success AND NOT bad HAVING count(*) > 0""",
+)
+def flow_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """What went wrong in a run, and how often."""
+    return run_errors(run_notes(spark, sf).records)
+
+
 @query(
     "flow_batches",
     f"""{SQL_NOTES}, b AS (SELECT *, (row_number() OVER (ORDER BY doc_id::VARCHAR) - 1) // 50 AS batch_id FROM r)
@@ -330,3 +402,22 @@ def ledger_pending(spark: SparkSession, sf: str) -> DataFrame:
     ledger.record(run)
     pending = ledger.pending(prompts).select("prompt_key")
     return keyed.join(pending, "prompt_key").groupBy("prompt_key").agg(F.count("*").alias("documents"))
+
+
+@query(
+    "reply_consistency",
+    """WITH r AS (SELECT user_id, event_type = 'error' AS bad, {'kind': event_type, 'size': CASE WHEN value > 50 THEN 'big' ELSE 'small' END, 'note': CASE WHEN value < 100 THEN props END} AS v FROM events),
+         t AS (SELECT user_id, count(*) AS replies, count(*) FILTER (NOT bad) AS usable FROM r GROUP BY user_id),
+         c AS (SELECT user_id, f.k AS k, f.v AS v, count(*) AS n
+               FROM (SELECT user_id, unnest([{'k': 'kind', 'v': v.kind}, {'k': 'size', 'v': v.size}, {'k': 'note', 'v': v.note}]) AS f FROM r WHERE NOT bad) WHERE f.v IS NOT NULL GROUP BY ALL),
+         m AS (SELECT user_id, k, max(n) AS most, sum(n) AS present FROM c GROUP BY ALL),
+         s AS (SELECT user_id, count(*) AS fields, sum(greatest(most, usable - present))::BIGINT AS best FROM m JOIN t USING (user_id) GROUP BY user_id)
+       SELECT user_id, replies, usable, coalesce(fields, 0) AS fields, CASE WHEN usable > 0 THEN best / (fields * usable) END AS consistency FROM t LEFT JOIN s USING (user_id)""",
+)
+def reply_consistency(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as one attempt to describe its user: how far the attempts agree; an error event is no JSON."""
+    fields = F.struct(
+        F.col("event_type").alias("kind"), F.when(F.col("value") > 50, "big").otherwise("small").alias("size"), F.when(F.col("value") < 100, F.col("props")).alias("note")
+    )
+    reply = F.when(F.col("event_type") == "error", "no idea").otherwise(F.to_json(fields))
+    return reply_agreement(table(spark, sf, "events").select("user_id", reply.alias("reply")), "user_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
+from datetime import UTC, datetime
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,7 @@ from docspark.sources.documents import PARSERS, parse
 
 ASIDE = "__doc_"
 NO_REPLY = "No recorded reply"
+ERROR_COLUMNS = {"parse": "parse_error", "extract": "extract_error", "judge": "judge_error"}
 
 Model = Callable[[], Callable[[str, CallSettings], str]]
 
@@ -37,6 +39,8 @@ class FlowResult(NamedTuple):
     report: DataFrame  # quality report, one row per run or batch
     summary: DataFrame  # run result, one row per run or batch
     load_log: DataFrame | None  # one row per document when a sink was given
+    started: datetime | None = None
+    ended: datetime | None = None  # models have answered, the sink has written
 
 
 @dataclass(frozen=True)
@@ -80,7 +84,7 @@ class DocumentFlow:
         stay in the result. Sinks file their output under ``run_id``: give the same one to replace
         the output of an earlier run, none to add to it.
         """
-        run_id = run_id or uuid.uuid4().hex
+        run_id, started = run_id or uuid.uuid4().hex, datetime.now(UTC)
         parsed = parse(documents, text_passthrough=self.text_passthrough, formats=self.formats)
         keep = ("document_id", "format", "metadata", "parse_error", *self.carry, "source_text")
         asked = parsed.withColumns(
@@ -98,7 +102,7 @@ class DocumentFlow:
         judged = materialize(self._judge(good, bad, fields, judgements), f"{run_id}-judged")
 
         log = self._load(judged, sink, run_id) if sink is not None else None
-        return FlowResult(parsed, judged, quality_report(judged), run_summary(judged, run_id), log)
+        return FlowResult(parsed, judged, quality_report(judged), run_summary(judged, run_id), log, started, datetime.now(UTC))
 
     def run_batches(
         self, documents: DataFrame, size: int, order: list[str], sink: Sink | None = None, run_id: str | None = None, **recorded: DataFrame
@@ -163,12 +167,20 @@ class DocumentFlow:
         return judge(replies.unionByName(bad, allowMissingColumns=True), "judge_reply", self.thresholds)
 
 
+def run_errors(records: DataFrame) -> DataFrame:
+    """The errors of a run and how many documents have each: (stage, error, documents)."""
+    kinds = [F.struct(F.lit(stage).alias("stage"), F.col(c).alias("error")) for stage, c in ERROR_COLUMNS.items() if c in records.columns]
+    found = records.select(F.explode(F.array(*kinds)).alias("e")).filter("e.error is not null")
+    return found.groupBy("e.stage", "e.error").agg(F.count("*").alias("documents"))
+
+
 def run_summary(records: DataFrame, run_id: str) -> DataFrame:
-    """One row on a finished run."""
+    """One row on a finished run; it failed if it has documents and none of them succeeded."""
+    total, good = F.count("*"), F.count_if("success")
     return records.agg(
         F.lit(run_id).alias("run_id"),
         F.count("*").alias("total_documents"),
         F.count_if("success").alias("successful_extractions"),
         F.count_if(~F.col("success")).alias("failed_extractions"),
-        F.lit("completed").alias("status"),
+        F.when((total > 0) & (good == 0), "failed").otherwise("completed").alias("status"),
     )

@@ -7,19 +7,21 @@ so running a batch again replaces it instead of adding to it (files), or is visi
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators.batches import MAX_RETRIES, RETRY_DELAY, delivery_outcome
 from docspark.session import materialize
 from docspark.sinks.records import api_payload, envelope, table_rows, written
 
-
+NO_ID = "Record has no document id"
 ATTEMPTS = pa.schema([("record", pa.int64()), ("document_id", pa.string()), ("attempt", pa.int32()), ("status", pa.int32()), ("error", pa.string())])
 
 
@@ -48,6 +50,68 @@ class JsonSink:
         return written(df.sparkSession.read.schema("document_id string").json(target), target)
 
 
+@dataclass(frozen=True)
+class StagedSink:
+    """JSON lines that count only once their batch is committed, with a status per row.
+
+    A batch is written to a folder of its own attempt, refused rows with their reason, the others with their data; then one small
+    file named after the batch says which attempt counts. It is created only if it is not there (one atomic step on
+    file systems such as HDFS), so of two attempts at a batch, one after the other or at the same time, one counts: the later
+    gets the log of the first. A job that fails before the commit leaves rows that nothing reads. ``refuse`` gives the
+    reason to refuse a row, or null. Rows without document id are refused.
+    """
+
+    path: str
+    fields: list[str] | None = None
+    refuse: Callable[[DataFrame], Column] | None = None
+
+    def write(self, df: DataFrame, batch_id: str) -> DataFrame:
+        spark = df.sparkSession
+        if self._committed(spark, batch_id) is None:
+            attempt = uuid.uuid4().hex
+            reason = F.when(F.col("document_id").isNull(), NO_ID)
+            reason = F.coalesce(reason, self.refuse(df)) if self.refuse else reason
+            marked = envelope(df.withColumn("_reason", reason), self.fields, F.col("_reason")).withColumnRenamed("loaded_at", "error")
+            ok = F.col("error").isNull()
+            rows = marked.select("document_id", F.when(ok, F.col("data")).alias("data"), ok.alias("success"), "error")
+            rows.write.json(f"{self._root}/rows/batch={batch_id}/attempt={attempt}")
+            self._commit(spark, batch_id, attempt)
+        log = self.read(spark, "document_id string, success boolean, error string", self._committed(spark, batch_id), batch_id)
+        return log.select("document_id", F.lit(self._root).alias("destination"), "success", F.col("success").cast("int").alias("records_written"), "error")
+
+    def read(self, spark: SparkSession, schema: str, attempt: str | None = None, batch_id: str | None = None) -> DataFrame:
+        """Rows of all committed batches, or of one attempt: the columns of ``schema`` and the batch."""
+        if attempt is not None:
+            return spark.read.schema(schema).json(f"{self._root}/rows/batch={batch_id}/attempt={attempt}")
+        rows = spark.read.schema(f"{schema}, batch string, attempt string").json(f"{self._root}/rows")
+        done = spark.read.option("wholetext", "true").text(f"{self._root}/commits")
+        done = done.select(F.regexp_extract(F.col("_metadata.file_path"), r"batch=([^/]+)\z", 1).alias("batch"), F.col("value").alias("attempt"))
+        return rows.join(done, ["batch", "attempt"], "left_semi").drop("attempt")
+
+    @property
+    def _root(self) -> str:
+        return self.path.rstrip("/")
+
+    def _file(self, spark: SparkSession, batch_id: str):
+        file = spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/commits/batch={batch_id}")
+        return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _committed(self, spark: SparkSession, batch_id: str) -> str | None:
+        file, system = self._file(spark, batch_id)
+        return spark.read.option("wholetext", "true").text(file.toString()).first()["value"] if system.exists(file) else None
+
+    def _commit(self, spark: SparkSession, batch_id: str, attempt: str) -> None:
+        file, system = self._file(spark, batch_id)
+        try:
+            out = system.create(file, False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+                raise
+            return  # another attempt was first
+        out.write(bytearray(attempt.encode()))
+        out.close()
+
+
 @dataclass(frozen=True)
 class JdbcSink:
     """Append to a SQL table through JDBC, one transaction per partition.

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docspark.operators.batches import batch_results
+from docspark.sources.documents import as_documents
 
-REPORT = "batch_id bigint, total_documents bigint, successful bigint, failed bigint, status string, error string"
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
+REPORT = "batch_id bigint, total_documents bigint, successful bigint, failed bigint, status string, started timestamp, ended timestamp, error string"
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, format: str = "parquet", files_per_batch: int = 100, **options: str) -> DataFrame:
@@ -19,6 +21,14 @@ def file_stream(spark: SparkSession, path: str, schema: str, format: str = "parq
     return reader.options(**options).load(path)
 
 
+def document_files(spark: SparkSession, path: str, format: str, glob: str | None = None, files_per_batch: int = 100) -> DataFrame:
+    """A stream of documents, one per raw file that arrives in ``path``, as ``read_files`` gives them; ``path`` stays as a column."""
+    options = {"pathGlobFilter": glob} if glob else {}
+    files = file_stream(spark, path, FILE, "binaryFile", files_per_batch, **options)
+    name = F.regexp_extract("path", r"[^/]+\z", 0).alias("filename")
+    return as_documents(files.select("content", F.lit(format).alias("format"), name, "path"))
+
+
 def ingest(
     source: DataFrame,
     process: Callable[[DataFrame], DataFrame],
@@ -34,29 +44,24 @@ def ingest(
     Rows go to ``out/records/batch_id=N/<route>=...`` and the report to ``out/reports/batch_id=N``;
     a batch that runs again after a failure replaces its own folders. ``out`` and ``checkpoint``
     belong together: a new checkpoint numbers its batches from 0 and needs a new ``out``. The
-    report is counted from what was written, so ``process`` runs once. With ``keep_going`` a batch that fails is stored
+    report has the start and end of the batch and counts observed while its rows are written: nothing runs or is read twice. With ``keep_going`` a batch that fails is stored
     as it came under ``out/failed`` and reported, and the stream moves on.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        folder = f"batch_id={batch_id}"
+        folder, started, error = f"batch_id={batch_id}", datetime.now(UTC), None
         try:
             done = process(batch)
-            done.write.mode("overwrite").partitionBy(route).parquet(f"{out}/records/{folder}")
-            rows = spark.read.schema(done.schema).parquet(f"{out}/records/{folder}")
-            result = batch_results(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), success=success)
-            report = result.withColumn("error", F.lit(None).cast("string"))
+            counts = _written(done, F.count_if(success), lambda w: w.partitionBy(route).parquet(f"{out}/records/{folder}"))
         except Exception as e:
             if not keep_going:
                 raise
-            batch.write.mode("overwrite").parquet(f"{out}/failed/{folder}")
-            n = F.count("*")
-            report = spark.read.schema(batch.schema).parquet(f"{out}/failed/{folder}").agg(
-                F.lit(batch_id).cast("bigint").alias("batch_id"), n.alias("total_documents"),
-                F.lit(0).cast("bigint").alias("successful"), n.alias("failed"),
-                F.lit("failed").alias("status"), F.lit(str(e)).alias("error"),
-            )
+            error = str(e)
+            counts = _written(batch, F.lit(0) * F.count("*"), lambda w: w.parquet(f"{out}/failed/{folder}"))
+        total, good = counts["total"], counts["good"]
+        row = (batch_id, total, good, total - good, "completed" if error is None else "failed", started, datetime.now(UTC), error)
+        report = spark.createDataFrame([row], REPORT)
         report.drop("batch_id").write.mode("overwrite").parquet(f"{out}/reports/{folder}")
         if on_progress:
             try:
@@ -72,6 +77,13 @@ def ingest(
     )
 
 
+def _written(df: DataFrame, good: Column, write: Callable[[DataFrameWriter], None]) -> dict[str, int]:
+    """Write ``df`` and count its rows on the way."""
+    seen = Observation()
+    write(df.observe(seen, F.count("*").alias("total"), good.alias("good")).write.mode("overwrite"))
+    return seen.get
+
+
 def append_json(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the rows of a stream to JSON lines files, each exactly once."""
     writer = rows.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from docspark.operators.batches import batch_results, delivery_outcome, progress
 from docspark.operators.extract import CallSettings, ExtractionSchema, call_model, extraction_prompt, infer_columns, join_replies, merge_parts, parse_reply, split_text, typed_fields
-from docspark.operators.quality import Thresholds, judge, passes, quality_report
+from docspark.operators.quality import Thresholds, judge, passes, quality_report, reply_agreement
 from docspark.plans.flow import DocumentFlow
 from docspark.session import materialize
-from docspark.sinks.targets import FunctionSink, JdbcSink, JsonSink
+from docspark.sinks.targets import FunctionSink, JdbcSink, JsonSink, StagedSink
 from docspark.sources.documents import as_documents
 
 
@@ -236,3 +236,40 @@ def test_equal_documents_have_outcomes_of_their_own(spark):
     df = spark.createDataFrame([("same",), ("same",), ("other",)], "document_id string").coalesce(1).withColumn("v", F.lit(1))
     rows = FunctionSink(make, "t", ["v"], delay=0.0, rate_per_second=0.0).write(df, "x").collect()
     assert sorted((r.document_id, r.success) for r in rows) == [("other", True), ("same", False), ("same", True)]
+
+
+def test_reply_agreement(spark):
+    rows = [(1, '{"a": 1, "b": "x"}'), (1, '{"a": 1, "b": "y"}'), (1, '{"a": 2}'), (1, "none"), (2, '{"a": null}'), (3, "x"), (3, None), (None, '{"a": [1]}'), (None, '{"a": [1]}')]
+    got = {r.k: tuple(r)[1:] for r in reply_agreement(spark.createDataFrame(rows, "k int, reply string"), "k").collect()}
+    assert got[1][:3] == (4, 3, 2) and abs(got[1][3] - (2 / 3 + 1 / 3) / 2) < 1e-12
+    assert got[2] == (1, 1, 1, 1.0) and got[3] == (2, 0, 0, None) and got[None] == (2, 2, 1, 1.0)
+    assert reply_agreement(spark.createDataFrame([], "document_id int, reply string")).count() == 0
+
+
+def test_batches_with_times_and_errors(spark):
+    rows = [(1, 10.0, True, None), (1, 12.5, False, "late"), (1, 11.0, False, "first"), (2, 13.0, True, None)]
+    df = spark.createDataFrame(rows, "batch_id int, s double, success boolean, error string").withColumn("at", F.col("s").cast("timestamp"))
+    results = batch_results(df, at="at", error="error")
+    one, two = results.orderBy("batch_id").collect()
+    assert one.error == "first" and two.error is None and two.started == two.ended
+    assert progress(results).first().documents_per_second == 1.33  # 4 rows in 3 seconds
+
+
+def test_staged_batches_count_once(spark, tmp_path):
+    df = spark.createDataFrame([("a", "x"), ("b", None), (None, "y")], "document_id string, v string")
+    sink = StagedSink(str(tmp_path), ["v"], lambda d: F.when(F.col("v").isNull(), "no v"))
+    schema = "document_id string, success boolean, error string"
+
+    def broken(d):
+        return F.raise_error(F.lit("down"))
+
+    with pytest.raises(Exception, match="down"):
+        StagedSink(str(tmp_path), ["v"], broken).write(df, "1")  # nothing is committed
+    first = sorted(map(tuple, sink.write(df, "1").collect()), key=repr)
+    again = sorted(map(tuple, sink.write(df.union(df), "1").collect()), key=repr)
+    assert first == again and [(r[0], r[2], r[3], r[4]) for r in first] == [("a", True, 1, None), ("b", False, 0, "no v"), (None, False, 0, "Record has no document id")]
+    rows = df.write.json  # an attempt that lost the race: staged, not committed
+    rows(f"{tmp_path}/rows/batch=1/attempt=other")
+    sink._commit(spark, "1", "other")
+    sink.write(df.limit(1), "2")
+    assert sorted(map(tuple, sink.read(spark, schema).select("batch", "document_id").collect()), key=repr) == [("1", "a"), ("1", "b"), ("1", None), ("2", "a")]

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from docspark.operators.extract import ExtractionSchema
 from docspark.plans.flow import DocumentFlow
-from docspark.sources.documents import as_documents
+from docspark.operators.dedup import dedup_records, dedup_stream
+from docspark.sources.documents import as_documents, read_files
 from docspark.plans.quality_queries import checked_pages
-from docspark.streaming.ingest import append_json, file_stream, ingest, read_records, read_reports
+from docspark.streaming.ingest import append_json, document_files, file_stream, ingest, read_records, read_reports
 
 COLUMNS = ["page_id", "host", "title", "links_count", "success", "route"]
 SCHEMA = "page_id bigint, host string, title string, links_count int, success boolean, route string"
@@ -103,3 +104,45 @@ def test_bad_batches_stop_the_stream_by_default(spark, pages):
     query = ingest(file_stream(spark, folder, PAGES), fail, f"{tmp}/out", f"{tmp}/cp")
     with pytest.raises(Exception, match="broken"):
         query.awaitTermination()
+
+
+def test_documents_stream_equals_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(5):
+        (folder / f"{k}.csv").write_text(f'a,b\n{k},"x\ny"\n')
+    (folder / "other.txt").write_text("no")
+
+    def one(df):
+        return sorted(map(tuple, df.select("document_id", "format", "content", "size_bytes", F.col("metadata.filename")).collect()))
+
+    def plain(batch):
+        return batch.select("document_id", "format", "content", "size_bytes", F.col("metadata.filename"), F.lit(True).alias("success"), F.lit("load").alias("route"))
+
+    ingest(document_files(spark, str(folder), "csv", "*.csv", files_per_batch=2), plain, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    got = read_records(spark, f"{tmp_path}/out", "document_id string, format string, content string, size_bytes bigint, filename string")
+    assert sorted(map(tuple, got.select("document_id", "format", "content", "size_bytes", "filename").collect())) == one(read_files(spark, str(folder), "csv", "*.csv"))
+    reports = read_reports(spark, f"{tmp_path}/out").collect()
+    assert len(reports) == 3 and all(r.status == "completed" and r.started <= r.ended and r.successful == r.total_documents for r in reports)
+
+
+def test_dedup_over_micro_batches(spark, tmp_path):
+    """Repeats in the same batch, in later ones, and late: each record once while the watermark is behind it."""
+    hour = "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, t)"
+    waves = [[(0, "a"), (0, "a"), (5, "b")], [(30, "c"), (1, "a"), (4, "b")], [(31, "c"), (2, "d"), (30, "e")]]
+    for wave in waves:  # one batch per wave: each is written when the one before is done
+        spark.createDataFrame(wave, "t int, v string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        rows = file_stream(spark, f"{tmp_path}/in", "t int, v string", files_per_batch=1).withColumn("at", F.expr(hour))
+        append_json(dedup_stream(rows, ["v"], "at", "48 hours").select("v"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    got = sorted(r.v for r in spark.read.json(f"{tmp_path}/out").collect())
+    batch = dedup_records(spark.createDataFrame(sum(waves, []), "t int, v string"), ["v"], ["t"])
+    assert got == sorted(r.v for r in batch.collect()) == list("abcde")
+
+
+def test_records_older_than_the_watermark_are_late(spark, tmp_path):
+    hour = "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, t)"
+    for wave in [[(0, "a")], [(100, "b")], [(1, "a"), (2, "c"), (101, "b")]]:
+        spark.createDataFrame(wave, "t int, v string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        rows = file_stream(spark, f"{tmp_path}/in", "t int, v string", files_per_batch=1).withColumn("at", F.expr(hour))
+        append_json(dedup_stream(rows, ["v"], "at", "10 hours").select("v"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    assert sorted(r.v for r in spark.read.json(f"{tmp_path}/out").collect()) == ["a", "b"]

@@ -3,23 +3,37 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.llm.graph import connected_components
 from docspark.session import materialize
 
-#: Signs per table and tables. Two vectors of cosine 0.98 agree in one sign with probability 1 - 0.2003 / pi = 0.936,
-#: so they share a bucket of some table with probability 1 - (1 - 0.936^16)^24 > 0.9999; closer ones more surely.
-BITS, TABLES = 16, 24
+#: Share of the pairs right at the threshold that no table may bring together; closer pairs are missed less.
+MISS = 4e-5
+#: Vectors that chance may bring together in a bucket: more rows have more signs, and more tables.
+SPREAD, LEAST_BITS = 256, 16
 #: Rows of one side of a cell: larger buckets are cut into chunks, every two chunks are a cell.
 CHUNK = 1024
 
 
+def table_plan(rows: int, threshold: float) -> tuple[int, int]:
+    """Signs per table and number of tables for so many rows: buckets of a bounded size, pairs missed with probability MISS at most.
+
+    Two vectors of cosine c agree in one sign with probability 1 - arccos(c) / pi; at 0.98 that is 0.936, so 16 signs need 24 tables
+    and 20 signs (a quarter of a thousand million rows) need 33.
+    """
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(rows, 1) / SPREAD)))
+    same = (1 - math.acos(threshold) / math.pi) ** bits
+    return bits, max(1, math.ceil(math.log(MISS) / math.log1p(-same))) if same < 1 else 1
+
+
 def hashed_vectors(rows: DataFrame, vector: str, label: str, id: str, bits: int, tables: int) -> DataFrame:
     """Rows (id, digest, vec, codes): digest, vector and codes are null where the vector links with nothing.
 
@@ -29,21 +43,26 @@ def hashed_vectors(rows: DataFrame, vector: str, label: str, id: str, bits: int,
         planes: dict[int, np.ndarray] = {}
         powers = 1 << np.arange(bits, dtype=np.int64)
         for batch in batches:
-            digests, vecs, codes = [], [], []
-            for v, name in zip(batch.column("vec").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                x = np.array([np.nan if c is None else c for c in v], np.float64) if v and name is not None else np.zeros(0)
-                norm = np.sqrt(x @ x) if np.isfinite(x).all() else 0.0
-                if not (norm > 0 and np.isfinite(norm)):
-                    digests.append(None)
-                    vecs.append(None)
-                    codes.append(None)
-                    continue
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng([17, len(x)]).standard_normal((len(x), bits * tables))
-                signs = (x / norm) @ planes[len(x)] > 0
-                digests.append(hashlib.blake2b(x.tobytes() + repr(name).encode(), digest_size=16).digest())
-                vecs.append(x)
-                codes.append(signs.reshape(tables, bits) @ powers)
+            lists, names = batch.column("vec"), batch.column("label").to_pylist()
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            values = pc.cast(lists.flatten(), pa.float64()).to_numpy(zero_copy_only=False)  # nulls are not-a-number
+            begins = np.cumsum(sizes) - sizes
+            labelled = np.array([n is not None for n in names], bool)
+            digests, vecs, codes = [None] * len(names), [None] * len(names), [None] * len(names)
+            for size in np.unique(sizes[sizes > 0]).tolist():
+                at = np.flatnonzero((sizes == size) & labelled)
+                x = values[begins[at][:, None] + np.arange(size)]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    norm = np.sqrt((x * x).sum(1))
+                good = (norm > 0) & np.isfinite(norm)
+                at, x, norm = at[good], x[good], norm[good]
+                if size not in planes:
+                    planes[size] = np.random.default_rng([17, size]).standard_normal((size, bits * tables))
+                signs = (x / norm[:, None]) @ planes[size] > 0
+                found = signs.reshape(len(at), tables, bits) @ powers
+                for k, i in enumerate(at.tolist()):
+                    digests[i] = hashlib.blake2b(x[k].tobytes() + repr(names[i]).encode(), digest_size=16).digest()
+                    vecs[i], codes[i] = x[k], found[k]
             columns = [batch.column("id"), batch.column("label"), pa.array(digests, pa.binary()), pa.array(vecs, pa.list_(pa.float64())), pa.array(codes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "label", "digest", "vec", "codes"])
 
@@ -93,12 +112,13 @@ def _cell(rows: list[tuple], threshold: float) -> tuple[np.ndarray, np.ndarray,
 
 
 def link_vectors(
-    rows: DataFrame, vector: str = "embedding", label: str = "label", id: str = "vec_id", threshold: float = 0.98, bits: int = BITS, tables: int = TABLES
+    rows: DataFrame, vector: str = "embedding", label: str = "label", id: str = "vec_id", threshold: float = 0.98, bits: int | None = None, tables: int | None = None
 ) -> DataFrame:
     """Rows (id, n_links, component_id, kept), one per row of ``rows``.
 
     Two vectors of one label and length link when their cosine in double precision is ``threshold`` or
-    more. Candidates share a bucket in one of ``tables`` tables. Exact copies are one node with a weight.
+    more. Candidates share a bucket in one of ``tables`` tables of ``bits`` signs, by ``table_plan`` unless both are given. Exact
+    copies are one node with a weight.
     A bucket is compared as blocks of a matrix product, a large one as cells of two chunks, which
     spread over tasks; a cell gives back one row per node, not its pairs: the weight gained by pairs
     that share no earlier table, and the smallest node connected to it within the cell.
@@ -106,13 +126,15 @@ def link_vectors(
     n_links counts other vectors linked directly, component_id is the smallest id reachable, kept marks
     that vector. Vectors that are null, empty, zero, not finite, hold nulls or have no label link with
     nothing; rows without an id as well, with component_id null and kept false. A row that repeats id,
-    label and vector counts once. An empty table gives an empty result. Other columns are not read.
+    label and vector counts once; an id with several vectors is as many vectors, each with its own links and component. An empty table gives an empty result. Other columns are not read.
     """
+    if bits is None or tables is None:
+        bits, tables = table_plan(rows.count(), threshold)
     hashed = materialize(hashed_vectors(rows, vector, label, id, bits, tables), "vectors")
     usable = hashed.filter(F.col("digest").isNotNull() & F.col("id").isNotNull())
-    copies = usable.select("digest", "id").distinct().groupBy("digest").agg(F.min("id").alias("node"), F.count("*").alias("weight"))
-    copies = materialize(copies, "copies")
-    chosen = usable.dropDuplicates(["digest", "id"]).join(copies, (usable.digest == copies.digest) & (F.col("id") == F.col("node")))
+    copies = usable.select("digest", "id").distinct().groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("weight"))
+    copies = materialize(copies.withColumn("node", F.monotonically_increasing_id()), "copies")
+    chosen = usable.dropDuplicates(["digest", "id"]).join(copies, (usable.digest == copies.digest) & (F.col("id") == F.col("first")))
     nodes = materialize(chosen.select("node", "label", "weight", "vec", "codes"), "nodes")
     buckets = nodes.select("node", "label", F.size("vec").alias("dim"), F.posexplode("codes").alias("t", "code"))
     buckets = buckets.select("node", "t", F.xxhash64("label", "dim", "t", "code").alias("bucket"))
@@ -151,9 +173,11 @@ def link_vectors(
 def _finish(hashed: DataFrame, copies: DataFrame, found: DataFrame, id: str) -> DataFrame:
     gains = found.groupBy("node").agg(F.sum("gain").alias("gain"))
     parts = connected_components(found, "node", "root")
-    named = copies.join(gains, "node", "left").join(parts, "node", "left")
+    least = parts.join(copies.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("least"))
+    named = copies.join(gains, "node", "left").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = named.join(materialize(least, "components"), "component", "left")
     named = named.select(
-        F.col("digest").alias("_digest"), (F.col("weight") - 1 + F.coalesce("gain", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component")
+        F.col("digest").alias("_digest"), (F.col("weight") - 1 + F.coalesce("gain", F.lit(0))).alias("n_links"), F.coalesce("least", "first").alias("component")
     )
     usable = F.col("id").isNotNull() & (F.col("digest") == F.col("_digest"))
     out = hashed.select("id", "digest").join(named, usable, "left")

@@ -22,7 +22,7 @@ from docspark.sinks.records import api_payload as payload, load_log as log_of, s
 from docspark.sinks.targets import FunctionSink, JsonSink, StagedSink
 from docspark.sources.documents import as_documents, parse
 from docspark.sources.tables import spread
-from docspark.streaming.ingest import append_json, document_files, file_stream, ingest, read_records, read_reports
+from docspark.streaming.ingest import append_json, document_files, file_stream, ingest, read_records, read_reports, table_stream
 
 # ---- batches ----
 
@@ -200,7 +200,7 @@ def delivery_outcome(spark: SparkSession, sf: str) -> DataFrame:
 def stream_pages(spark: SparkSession, sf: str) -> DataFrame:
     """The page flow as a stream: same operators, rows read back from what the stream stored."""
     work = scratch_dir(spark, "stream")
-    source = file_stream(spark, sf, "page_id bigint, url string, html string", pathGlobFilter="pages.parquet")
+    source = table_stream(spark, f"{sf}/pages.parquet", "page_id bigint, url string, html string")
     shown = ["page_id", "host", "title", "links_count", "success", "route"]
     ingest(source, lambda df: checked_pages(spread(df)).select(*shown), f"{work}/out", f"{work}/checkpoint").awaitTermination()
     done = read_records(spark, f"{work}/out", "page_id bigint, host string, title string, links_count int, success boolean, route string")

@@ -15,12 +15,21 @@ FILE = "path string, modificationTime timestamp, length bigint, content binary"
 REPORT = "batch_id bigint, total_documents bigint, successful bigint, failed bigint, status string, started timestamp, ended timestamp, error string"
 
 
-def file_stream(spark: SparkSession, path: str, schema: str, format: str = "parquet", files_per_batch: int = 100, **options: str) -> DataFrame:
-    """A stream over files that arrive in ``path``; at most ``files_per_batch`` files per micro-batch."""
-    reader = spark.readStream.format(format).schema(schema).option("maxFilesPerTrigger", str(files_per_batch))
+def file_stream(spark: SparkSession, path: str, schema: str, format: str = "parquet", files_per_batch: int | None = 100, **options: str) -> DataFrame:
+    """A stream over files that arrive in ``path``; at most ``files_per_batch`` files per micro-batch, with None all that are there."""
+    reader = spark.readStream.format(format).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     return reader.options(**options).load(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = 100) -> DataFrame:
+    """A stream over the Parquet files of a table, which is one file or a folder of them."""
+    path = path.rstrip("/")
+    # a plain path has to be a folder, a pattern may match either
+    return file_stream(spark, f"{path[:-1]}[{path[-1]}]", schema, files_per_batch=files_per_batch)
+
+
 def document_files(spark: SparkSession, path: str, format: str, glob: str | None = None, files_per_batch: int = 100) -> DataFrame:
     """A stream of documents, one per raw file that arrives in ``path``, as ``read_files`` gives them; ``path`` stays as a column."""
     options = {"pathGlobFilter": glob} if glob else {}

@@ -9,6 +9,7 @@ from docspark.operators.extract import ExtractionSchema
 from docspark.plans.flow import DocumentFlow
 from docspark.operators.dedup import dedup_records, dedup_stream
 from docspark.sources.documents import as_documents, read_files
+from docspark.plans.delivery_queries import stream_pages
 from docspark.plans.quality_queries import checked_pages
 from docspark.streaming.ingest import append_json, document_files, file_stream, ingest, read_records, read_reports
 
@@ -146,3 +147,13 @@ def test_records_older_than_the_watermark_are_late(spark, tmp_path):
         rows = file_stream(spark, f"{tmp_path}/in", "t int, v string", files_per_batch=1).withColumn("at", F.expr(hour))
         append_json(dedup_stream(rows, ["v"], "at", "10 hours").select("v"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert sorted(r.v for r in spark.read.json(f"{tmp_path}/out").collect()) == ["a", "b"]
+
+
+def test_tables_in_parts_are_streamed_whole(spark, tmp_path):
+    """A table may be one file or a folder of files."""
+    pages = spark.createDataFrame([(k, f"http://h{k}.org/", f"<title>t{k}</title>") for k in range(9)], "page_id bigint, url string, html string")
+    pages.repartition(3).write.parquet(f"{tmp_path}/parts/pages.parquet")
+    (tmp_path / "one").mkdir()
+    pages.toPandas().to_parquet(f"{tmp_path}/one/pages.parquet")
+    parts, one = (sorted(map(tuple, stream_pages(spark, f"{tmp_path}/{f}").collect())) for f in ("parts", "one"))
+    assert parts == one and [r[0] for r in parts] == list(range(9))

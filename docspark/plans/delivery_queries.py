@@ -209,9 +209,9 @@ def stream_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_report", "SELECT 0::BIGINT AS batch_id, count(*) AS total_documents, count(*) FILTER (n_chars % 4 <> 0) AS successful, count(*) FILTER (n_chars % 4 = 0) AS failed, 'completed' AS status FROM documents")
 def stream_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Progress rows of a document stream."""
+    """Progress of a document stream: one row, as one batch takes all files of the table."""
     work = scratch_dir(spark, "stream")
-    source = file_stream(spark, sf, "doc_id bigint, n_chars bigint", pathGlobFilter="documents.parquet")
+    source = table_stream(spark, f"{sf}/documents.parquet", "doc_id bigint, n_chars bigint", files_per_batch=None)
     mark = lambda df: df.withColumns({"success": F.col("n_chars") % 4 != 0, "route": F.lit(LOAD)})
     ingest(source, mark, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return read_reports(spark, f"{work}/out").select("batch_id", "total_documents", "successful", "failed", "status")

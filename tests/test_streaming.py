@@ -9,7 +9,7 @@ from docspark.operators.extract import ExtractionSchema
 from docspark.plans.flow import DocumentFlow
 from docspark.operators.dedup import dedup_records, dedup_stream
 from docspark.sources.documents import as_documents, read_files
-from docspark.plans.delivery_queries import stream_pages
+from docspark.plans.delivery_queries import stream_pages, stream_report
 from docspark.plans.quality_queries import checked_pages
 from docspark.streaming.ingest import append_json, document_files, file_stream, ingest, read_records, read_reports
 
@@ -150,10 +150,17 @@ def test_records_older_than_the_watermark_are_late(spark, tmp_path):
 
 
 def test_tables_in_parts_are_streamed_whole(spark, tmp_path):
-    """A table may be one file or a folder of files."""
+    """A table may be one file or a folder of files; the report is of one batch, however many files there are."""
+    sizes = [(k, k % 10) for k in range(240)]
+    docs = spark.createDataFrame(sizes, "doc_id bigint, n_chars bigint")
     pages = spark.createDataFrame([(k, f"http://h{k}.org/", f"<title>t{k}</title>") for k in range(9)], "page_id bigint, url string, html string")
+    docs.repartition(120).write.parquet(f"{tmp_path}/parts/documents.parquet")
     pages.repartition(3).write.parquet(f"{tmp_path}/parts/pages.parquet")
     (tmp_path / "one").mkdir()
+    docs.toPandas().to_parquet(f"{tmp_path}/one/documents.parquet")
     pages.toPandas().to_parquet(f"{tmp_path}/one/pages.parquet")
+    good = sum(n % 4 != 0 for _, n in sizes)
+    for folder in ("parts", "one"):
+        assert [tuple(r) for r in stream_report(spark, f"{tmp_path}/{folder}").collect()] == [(0, 240, good, 240 - good, "completed")]
     parts, one = (sorted(map(tuple, stream_pages(spark, f"{tmp_path}/{f}").collect())) for f in ("parts", "one"))
     assert parts == one and [r[0] for r in parts] == list(range(9))

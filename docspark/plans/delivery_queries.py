@@ -238,11 +238,11 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
        FROM (SELECT o_orderkey // 5000 AS bucket, o_orderkey || ',"' || o_orderpriority || chr(10) || o_orderstatus || '"' AS line FROM orders) GROUP BY bucket""",
 )
 def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw CSV files that arrive in a folder, a few per micro-batch, parsed as one document each."""
+    """Raw CSV files that arrive in a folder, 128 MB per micro-batch, parsed as one document each."""
     work = scratch_dir(spark, "files")
     line = F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
     orders = table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 5000).alias("bucket"), F.col("o_orderkey").alias("place"), line.alias("record"))
-    source = document_files(spark, written_files(orders, "key,note", f"{work}/in"), "csv", "*.txt", files_per_batch=8)
+    source = document_files(spark, written_files(orders, "key,note", f"{work}/in"), "csv", "*.txt")
     bucket = F.regexp_extract("path", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
 
     def parsed(batch: DataFrame) -> DataFrame:

@@ -14,6 +14,9 @@ from docspark.sources.documents import as_documents
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
 REPORT = "batch_id bigint, total_documents bigint, successful bigint, failed bigint, status string, started timestamp, ended timestamp, error string"
 
+# Not fixed: the bytes of raw files in one micro-batch
+BATCH_BYTES = 128 << 20
+
 
 def file_stream(spark: SparkSession, path: str, schema: str, format: str = "parquet", files_per_batch: int | None = 100, **options: str) -> DataFrame:
     """A stream over files that arrive in ``path``; at most ``files_per_batch`` files per micro-batch, with None all that are there."""
@@ -30,9 +33,15 @@ def table_stream(spark: SparkSession, path: str, schema: str, files_per_batch: i
     return file_stream(spark, f"{path[:-1]}[{path[-1]}]", schema, files_per_batch=files_per_batch)
 
 
-def document_files(spark: SparkSession, path: str, format: str, glob: str | None = None, files_per_batch: int = 100) -> DataFrame:
-    """A stream of documents, one per raw file that arrives in ``path``, as ``read_files`` gives them; ``path`` stays as a column."""
+def document_files(spark: SparkSession, path: str, format: str, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of documents, one per raw file that arrives in ``path``, as ``read_files`` gives them; ``path`` stays as a column.
+
+    A micro-batch takes ``files_per_batch`` files or, without that, as many as make BATCH_BYTES (one at least): raw files are mostly
+    small, and the number of batches is to grow with the bytes.
+    """
     options = {"pathGlobFilter": glob} if glob else {}
+    if not files_per_batch:
+        options["maxBytesPerTrigger"] = str(BATCH_BYTES)
     files = file_stream(spark, path, FILE, "binaryFile", files_per_batch, **options)
     name = F.regexp_extract("path", r"[^/]+\z", 0).alias("filename")
     return as_documents(files.select("content", F.lit(format).alias("format"), name, "path"))

@@ -164,3 +164,24 @@ def test_tables_in_parts_are_streamed_whole(spark, tmp_path):
         assert [tuple(r) for r in stream_report(spark, f"{tmp_path}/{folder}").collect()] == [(0, 240, good, 240 - good, "completed")]
     parts, one = (sorted(map(tuple, stream_pages(spark, f"{tmp_path}/{f}").collect())) for f in ("parts", "one"))
     assert parts == one and [r[0] for r in parts] == list(range(9))
+
+
+def test_many_small_files_make_few_batches(spark, tmp_path, monkeypatch):
+    """Without a number of files a batch is bounded by its bytes, so the number of batches does not grow with that of the files."""
+    from docspark.streaming import ingest as module
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(130):
+        (folder / f"{k}.csv").write_text(f"a,b\n{k},x\n")
+
+    def stream(out):
+        plain = lambda batch: batch.select("content", F.lit(True).alias("success"), F.lit("load").alias("route"))
+        ingest(document_files(spark, str(folder), "csv"), plain, f"{tmp_path}/{out}", f"{tmp_path}/{out}-cp").awaitTermination()
+        reports = sorted(r.total_documents for r in read_reports(spark, f"{tmp_path}/{out}").collect())
+        return reports, read_records(spark, f"{tmp_path}/{out}", "content string").distinct().count()
+
+    assert stream("whole") == ([130], 130)
+    monkeypatch.setattr(module, "BATCH_BYTES", 700)  # about 1,000 bytes of files
+    reports, rows = stream("bounded")
+    assert len(reports) == 2 and sum(reports) == rows == 130

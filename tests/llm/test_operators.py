@@ -178,6 +178,25 @@ def test_sentencepiece(docs, empty):
     assert piece_codec.encode_decode(empty, piece_codec.piece_model(path)).count() == 0
 
 
+def test_sentencepiece_side_by_side(monkeypatch):
+    """Distinct words are walked together, not one by one, in little memory; results are the library's on either path."""
+    model = piece_codec.PieceModel(tokenizer_path("piece_bpe_32k.model"), memo=500)
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlu\u00e9\n.\0\U0001f600") for _ in range(r.randint(1, 20))) for _ in range(20_000)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)] + ["x", "  ", "a" * 3000]
+    single = []
+    walk = piece_codec.PieceModel.backtrack
+    monkeypatch.setattr(piece_codec.PieceModel, "backtrack", lambda self, text: single.append(text) or walk(self, text))
+    want = model.library.encode(texts)
+    assert list(model.encode(texts)) == [(ids, ",".join(map(str, ids))) for ids in want]
+    assert len(single) < 200
+    for few in (1, 1 << 30):  # all side by side, all one by one
+        monkeypatch.setattr(piece_codec, "_FEW", few)
+        assert [next(model.encode([t]))[0] for t in texts[-40:]] == want[-40:]
+    names = r.sample(sorted(model.usable), 200)
+    assert all(model.stay_apart(a, b) == (model.merge(list(a + b)) == [a, b]) for a in names for b in names[:30])
+
+
 def test_language_id(spark, docs, empty):
     rows = [(k, story(k, 30), "en") for k in range(60)] + [(100 + k, "größe straße und fließt über die brücke " * (k % 5 + 1), "de") for k in range(60)]
     model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
